@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import splits
+from . import profile, splits
 
-_MODULES = [splits]
+_MODULES = [splits, profile]
 
 QUERIES: dict = {}
 SQL: dict = {}

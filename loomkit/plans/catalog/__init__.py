@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import profile, splits
+from . import profile, runs, splits
 
-_MODULES = [splits, profile]
+_MODULES = [splits, profile, runs]
 
 QUERIES: dict = {}
 SQL: dict = {}

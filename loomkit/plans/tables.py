@@ -54,3 +54,24 @@ def quality_view(spark: SparkSession, sf_dir: str) -> DataFrame:
              .select("doc_id", "lang", "n_chars",
                      (letters / F.length("text")).alias("letter_share"),
                      F.col("quality").cast("int").alias("quality")))
+
+
+def registry_from_runs(runs):
+    """A model registry derived from run records: every run that was ever a
+    champion or archived is a version (numbered by start time per model);
+    aliases point at the newest champion and newest archived run."""
+    from pyspark.sql import Window
+    alias = F.col("tags")["model_alias"]
+    reg = runs.where(alias.isin("champion", "archived")).select(
+        F.concat(F.lit("model-"), F.col("experiment_id").cast("string")).alias("model_name"),
+        "experiment_id", "run_id", "start_time", alias.alias("alias"))
+    w = Window.partitionBy("model_name").orderBy("start_time", "run_id")
+    versions = reg.withColumn("version", F.row_number().over(w).cast("bigint"))
+    newest = Window.partitionBy("model_name", "alias").orderBy(F.col("start_time").desc(), F.col("run_id").desc())
+    aliases = (versions.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1")
+                       .select("model_name", "alias", "version"))
+    return versions.select("model_name", "version", "run_id"), aliases
+
+
+def model_name_of(experiment):
+    return F.concat(F.lit("model-"), experiment.cast("string"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import profile, runs, splits
+from . import evaluate, profile, runs, splits
 
-_MODULES = [splits, profile, runs]
+_MODULES = [splits, profile, runs, evaluate]
 
 QUERIES: dict = {}
 SQL: dict = {}

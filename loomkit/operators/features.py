@@ -31,34 +31,59 @@ def select_features(df: DataFrame, features) -> DataFrame:
     return df.select(*features)
 
 
+def _array_to_vector_stage(cols):
+    """Pipeline stage: array<float|double> columns -> ML vectors (``<c>__vec``)."""
+    from pyspark.ml import Transformer
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.param.shared import HasInputCols
+    from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+
+    class _A2V(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+        def _transform(self, dataset):
+            for c in self.getInputCols():
+                dataset = dataset.withColumn(f"{c}__vec", array_to_vector(F.col(c).cast("array<double>")))
+            return dataset
+
+    t = _A2V()
+    t._set(inputCols=list(cols))
+    return t
+
+
 def assemble_features(df: DataFrame, features=None, label: str | None = None,
                       output: str = "features"):
     """M1: numeric / boolean columns, string columns (indexed; unseen values
     get an extra index) and array<float|double> columns -> one vector.
 
-    Returns ``(prepared_df, pipeline)``: arrays are turned into vectors with
-    ``array_to_vector`` (a column function, no UDF), and the unfitted
-    ``Pipeline`` holds the indexers and the assembler.
+    Returns the unfitted stages (a list for a ``Pipeline``): string indexers,
+    an array-to-vector stage (a column function, no UDF) and the assembler.
     """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 
     features = list(features or [c for c in df.columns if c != label])
-    stages, cols = [], []
+    stages, cols, arrays, bools = [], [], [], []
     for c in features:
         dt = df.schema[c].dataType
         if isinstance(dt, StringType):
             stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep"))
             cols.append(f"{c}__idx")
         elif isinstance(dt, ArrayType):
-            df = df.withColumn(f"{c}__vec", array_to_vector(F.col(c).cast("array<double>")))
+            arrays.append(c)
             cols.append(f"{c}__vec")
-        elif isinstance(dt, (NumericType, BooleanType)):
-            if isinstance(dt, BooleanType):
-                df = df.withColumn(c, F.col(c).cast("double"))
+        elif isinstance(dt, BooleanType):
+            bools.append(c)
+            cols.append(f"{c}__num")
+        elif isinstance(dt, NumericType):
             cols.append(c)
         else:
             raise ValueError(f"Cannot use column {c} of type {dt.simpleString()} as a feature")
+    if bools:
+        casts = ", ".join(f"cast(`{c}` as double) as `{c}__num`" for c in bools)
+        stages.append(SQLTransformer(statement=f"SELECT *, {casts} FROM __THIS__"))
+    if arrays:
+        from pyspark.ml.feature import VectorSizeHint
+        stages.append(_array_to_vector_stage(arrays))
+        for a in arrays:  # the assembler needs each vector's length up front
+            n = df.select(F.size(a).alias("n")).where("n >= 0").first()["n"]
+            stages.append(VectorSizeHint(inputCol=f"{a}__vec", size=int(n), handleInvalid="skip"))
     stages.append(VectorAssembler(inputCols=cols, outputCol=output, handleInvalid="keep"))
-    return df, Pipeline(stages=stages)
+    return stages

@@ -207,18 +207,20 @@ def split_three_way(df: DataFrame, keys=None, label: str | None = None, test_siz
     """Test first, then validation carved out of train with
     ``validation_size / (1 - test_size)``; stratified again on train labels
     when the target is a classification target (``stratify=None``)."""
-    def strat(frame):
-        if not label:
-            return None
-        use = is_classification(frame, label) if stratify is None else stratify
-        return label if use else None
-
-    s1 = exact_split(df, keys, strat(df), test_size, seed, split_col=split_col)
+    stratified = None
+    if label:
+        stratified = is_classification(df, label) if stratify is None else stratify
+    s1 = exact_split(df, keys, label if stratified else None, test_size, seed, split_col=split_col)
     if not validation_size or validation_size <= 0:
         return s1
     val_share = validation_size / (1 - test_size)
     train = s1.where(F.col(split_col) == "train").drop(split_col)
-    s2 = exact_split(train, keys, strat(train), val_share, seed, salt="validation",
+    # Train labels are re-checked only when they could change the answer: a
+    # subset of a classification target (string, or < 20 values) stays one.
+    strat2 = stratified
+    if label and stratify is None and not stratified:
+        strat2 = is_classification(train, label)
+    s2 = exact_split(train, keys, label if strat2 else None, val_share, seed, salt="validation",
                      split_col=split_col, first="train", second="validation")
     return s1.where(F.col(split_col) == "test").unionByName(s2)
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import evaluate, profile, runs, splits
+from . import evaluate, learn, profile, runs, splits
 
-_MODULES = [splits, profile, runs, evaluate]
+_MODULES = [splits, profile, runs, evaluate, learn]
 
 QUERIES: dict = {}
 SQL: dict = {}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import evaluate, learn, profile, runs, splits
+from . import evaluate, io, learn, profile, runs, splits
 
-_MODULES = [splits, profile, runs, evaluate, learn]
+_MODULES = [splits, profile, runs, evaluate, learn, io]
 
 QUERIES: dict = {}
 SQL: dict = {}

@@ -164,7 +164,7 @@ def task_types(df: DataFrame, columns=None) -> DataFrame:
     num = [c for c in columns if not isinstance(fields[c], StringType)]
     near = []
     if num:
-        est = df.agg(*[F.approx_count_distinct(as_missing(F.col(c), fields[c]), 0.01).alias(c)
+        est = df.agg(*[F.approx_count_distinct(as_missing(F.col(c), fields[c])).alias(c)
                        for c in num]).first()
         near = [c for c in num if est[c] < 2 * CLASSIFICATION_MAX_DISTINCT]
     exprs = []

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import evaluate, io, learn, profile, runs, splits
+from . import evaluate, images, io, learn, profile, runs, splits
 
-_MODULES = [splits, profile, runs, evaluate, learn, io]
+_MODULES = [splits, profile, runs, evaluate, learn, io, images]
 
 QUERIES: dict = {}
 SQL: dict = {}

@@ -159,8 +159,13 @@ QUERIES = {
     "best_trial": q_best_trial,
 }
 
+from .evaluate import QV as _QV  # noqa: E402
+
 _U = "cast(('0x' || substr(md5('42|' || vec_id), 1, 8)) as bigint) / 4294967296.0e0"
 SQL = {
+    "assemble_features": f"""with {_QV},
+li as (select lang, cast(row_number() over (order by count(*) desc, lang) - 1 as double) idx from qv group by lang)
+select doc_id, [letter_share, cast(n_chars as double), idx] features from qv join li using (lang)""",
     "metric_reconstruction_error": f"""with e as (select vec_id, embedding,
    case when {_U} < 0.2e0 then 'test' when {_U} < 0.2e0 + 0.0e0 then 'validation' else 'train' end split from embeddings),
 x as (select vec_id, split, unnest(embedding) v, generate_subscripts(embedding, 1) i from e),

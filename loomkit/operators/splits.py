@@ -12,13 +12,17 @@ Semantics (same contract as the common in-memory splitter):
   first quota rows are train.
 
 The cut never ranks a whole class in one task.  Rows are counted per
-``(class, hash-prefix bucket)``: a table with at most ``16**d`` rows per
-class where ``d`` is chosen so a bucket holds about ``sqrt(class size)``
-rows.  A running sum over that small table finds, for each class, the one
-bucket holding the quota boundary.  Rows below it are train and rows above
-it test with no shuffle (broadcast join of a per-class table whose size
-is checked); only the rows of the boundary bucket are ranked.  The result
-equals a full sort by (hash, key) and does not depend on partitioning.
+``(class, hash-prefix bucket)`` with the first 4 hex digits of the hash:
+at most 65,536 buckets per class, so map-side partial aggregation shrinks
+every task's output to that size.  This count table is computed once and
+its lineage cut with ``checkpoint()`` (into the session's checkpoint
+folder); class sizes, quotas and the cut all derive from it.  A running
+sum over the buckets finds, for each class, the one bucket holding the
+quota boundary.  Rows below it go first and rows above it second with no
+shuffle (broadcast join of a per-class table whose size is checked); only
+the rows of the boundary bucket (about 1/65,536 of a class) are ranked.
+The result equals a full sort by (hash, key) and does not depend on
+partitioning.
 """
 
 from __future__ import annotations
@@ -59,10 +63,8 @@ def maybe_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
     return F.broadcast(df) if n_rows <= BROADCAST_MAX_ROWS else df
 
 
-def _bucket_digits(max_class_rows: int) -> int:
-    # about sqrt(rows) buckets: balances the bucket table and the boundary bucket
-    d = math.ceil(math.log(max(max_class_rows, 2), 16) / 2)
-    return max(2, min(8, d))
+# Hash-prefix length of a bucket: 16**4 = 65,536 buckets per class.
+BUCKET_HEX = 4
 
 
 def _prepare(df: DataFrame, keys, label, seed, salt) -> DataFrame:
@@ -70,12 +72,20 @@ def _prepare(df: DataFrame, keys, label, seed, salt) -> DataFrame:
     y = F.col(label) if label else F.lit(0)
     if label:
         y = as_missing(y, df.schema[label].dataType)
-    return (df.withColumn(_Y, y)
-              .withColumn(_H, seeded_md5(seed, *keys, salt=salt))), keys
+    d = (df.withColumn(_Y, y)
+           .withColumn(_H, seeded_md5(seed, *keys, salt=salt)))
+    return d.withColumn(_B, hash_prefix(F.col(_H), BUCKET_HEX)), keys
 
 
-def _class_stats(d: DataFrame):
-    cls = d.groupBy(_Y).agg(F.count(F.lit(1)).alias("_c"))
+def _bucket_counts(d: DataFrame) -> DataFrame:
+    """Rows per (class, bucket), materialized once with ``checkpoint()``."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(d.sparkSession)
+    return d.groupBy(_Y, _B).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+
+
+def _class_stats(bc: DataFrame):
+    cls = bc.groupBy(_Y).agg(F.sum("_n").alias("_c"))
     s = cls.agg(F.sum("_c").alias("n"), F.count(F.lit(1)).alias("k"),
                 F.min("_c").alias("minc"), F.max("_c").alias("maxc")).first()
     return cls, int(s["n"] or 0), int(s["k"] or 0), int(s["minc"] or 0), int(s["maxc"] or 0)
@@ -115,7 +125,8 @@ def exact_split(df: DataFrame, keys=None, label: str | None = None, test_size=0.
     (default: all columns, so identical rows tie and are interchangeable).
     """
     d, keys = _prepare(df, keys, label, seed, salt)
-    cls, n, k, minc, maxc = _class_stats(d)
+    bc = _bucket_counts(d)
+    cls, n, k, minc, maxc = _class_stats(bc)
     if n == 0:
         raise ValueError("Cannot split an empty table")
     n_first, n_second = split_sizes(n, test_size)
@@ -123,17 +134,14 @@ def exact_split(df: DataFrame, keys=None, label: str | None = None, test_size=0.
         _check_strata(n, k, minc, n_first, n_second)
     quotas = _train_quotas(cls, n, n_first, bool(label))
 
-    digits = _bucket_digits(maxc)
-    d = d.withColumn(_B, hash_prefix(F.col(_H), digits))
-    bc = d.groupBy(_Y, _B).agg(F.count(F.lit(1)).alias("_n"))
     run = Window.partitionBy(_Y).orderBy(_B).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bc = bc.withColumn("_cum", F.sum("_n").over(run))
-    cut = (bc.join(quotas, bc[_Y].eqNullSafe(quotas["_yk"]))
+    cut = (bc.join(maybe_broadcast(quotas, k), bc[_Y].eqNullSafe(quotas["_yk"]))
              .where((F.col("_cum") - F.col("_n") < F.col("_tr")) & (F.col("_tr") <= F.col("_cum")))
-             .select("_yk", F.col(_B).alias("_bb"),
+             .select(F.col("_yk").alias("_yc"), F.col(_B).alias("_bb"),
                      (F.col("_tr") - (F.col("_cum") - F.col("_n"))).alias("_need")))
     # classes whose quota is 0 have no boundary: everything goes second
-    cut = quotas.join(cut, "_yk", "left").select(
+    cut = quotas.join(maybe_broadcast(cut, k), quotas["_yk"].eqNullSafe(cut["_yc"]), "left").select(
         "_yk", F.coalesce("_bb", F.lit("")).alias("_bb"), F.coalesce("_need", F.lit(0)).alias("_need"))
 
     rows = d.join(maybe_broadcast(cut, k), d[_Y].eqNullSafe(cut["_yk"]))
@@ -244,14 +252,12 @@ def rank_within(df: DataFrame, keys, label: str | None, seed=42, rank_col="_rank
     rows are ranked inside their bucket only, so no task holds a class.
     """
     d, keys = _prepare(df, keys, label, seed, None)
-    _, n, k, _, maxc = _class_stats(d)
-    digits = _bucket_digits(maxc)
-    d = d.withColumn(_B, hash_prefix(F.col(_H), digits))
-    bc = d.groupBy(_Y, _B).agg(F.count(F.lit(1)).alias("_n"))
+    bc = _bucket_counts(d)
+    _, n, k, _, maxc = _class_stats(bc)
     run = Window.partitionBy(_Y).orderBy(_B).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     off = bc.select(F.col(_Y).alias("_yk"), F.col(_B).alias("_bk"),
                     (F.sum("_n").over(run) - F.col("_n")).alias("_off"))
-    bound = k * 16 ** digits
+    bound = min(n, k * 16 ** BUCKET_HEX)
     rows = d.join(maybe_broadcast(off, bound),
                   d[_Y].eqNullSafe(off["_yk"]) & (d[_B] == off["_bk"]))
     order = [F.col(_H)] + [F.col(c).asc_nulls_first() for c in keys]

@@ -29,17 +29,28 @@ def _label_stages(df: DataFrame, label: str):
     return [], label
 
 
+# Learners pay per partition on every pass: aim for at least this many rows
+# in a cached training partition (large inputs keep their partitioning).
+ROWS_PER_PARTITION = 200_000
+
+
 class cached:
     """Persist a training input for the duration of a fit: tree and
     iterative learners make many passes, and the input's lineage (splits,
-    joins, text features) should run once.  Lost blocks are recomputed."""
+    joins, text features) should run once.  Lost blocks are recomputed.
+    Many tiny partitions (a small table after a wide shuffle) are merged
+    with a narrow ``coalesce`` over the cached blocks."""
 
     def __init__(self, df: DataFrame):
         self.df = df
 
     def __enter__(self) -> DataFrame:
+        import math
         from pyspark import StorageLevel
-        return self.df.persist(StorageLevel.MEMORY_AND_DISK)
+        d = self.df.persist(StorageLevel.MEMORY_AND_DISK)
+        n = d.count()
+        target = max(1, math.ceil(n / ROWS_PER_PARTITION))
+        return d.coalesce(target) if d.rdd.getNumPartitions() > target else d
 
     def __exit__(self, *exc):
         self.df.unpersist()

@@ -281,3 +281,26 @@ def with_split_views(df: DataFrame, split_col="split") -> dict[str, DataFrame]:
 
 def hash_order_col(seed, *keys) -> Column:
     return seeded_md5(seed, *keys)
+
+
+def rank_in_groups(df: DataFrame, group_cols, order_cols, bucket: Column, rank_col: str = "_rank") -> DataFrame:
+    """Exact 1-based ``row_number`` inside each group by ``order_cols``
+    without sorting a whole group in one task.
+
+    ``bucket`` must be an order-preserving coarsening of the first order
+    column (e.g. the minute of a time stamp).  Per (group, bucket) counts
+    are cumulated on that small table to give each bucket's offset; rows
+    are then ranked inside their (group, bucket) only.
+    """
+    g = list(group_cols)
+    d = df.withColumn("_rb", bucket)
+    bc = d.groupBy(*g, "_rb").agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.partitionBy(*g).orderBy("_rb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    off = bc.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)], F.col("_rb").alias("_rbk"),
+                    (F.sum("_n").over(run) - F.col("_n")).alias("_off"))
+    cond = d["_rb"].eqNullSafe(off["_rbk"])
+    for i, c in enumerate(g):
+        cond = cond & d[c].eqNullSafe(off[f"_g{i}"])
+    rows = d.join(off, cond)
+    rn = F.row_number().over(Window.partitionBy(*g, "_rb").orderBy(*order_cols))
+    return rows.withColumn(rank_col, F.col("_off") + rn).select(*df.columns, rank_col)

@@ -100,8 +100,9 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
     spark = df.sparkSession
     from .models import cached
     with cached(df) as d:
-        folds = stratified_kfold(d, label if stratify else None, keys, k, seed).persist()
-        folds.count()
+        folds_src = stratified_kfold(d, label if stratify else None, keys, k, seed)
+        holder = cached(folds_src)
+        folds = holder.__enter__()
     rows = [r.asDict() for r in trials.orderBy("trial_id").collect()]  # one row per trial (bounded)
     fits = {}
     for r in rows:
@@ -125,7 +126,7 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             res = {(key, f): (te, tr) for key, f, te, tr in pool.map(run, jobs)}
     finally:
-        folds.unpersist()
+        holder.__exit__(None, None, None)
     out = []
     for r in rows:
         p = {n: _parse(v) for n, v in r.items() if n != "trial_id"}

@@ -59,17 +59,21 @@ def quality_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry_from_runs(runs):
     """A model registry derived from run records: every run that was ever a
     champion or archived is a version (numbered by start time per model);
-    aliases point at the newest champion and newest archived run."""
-    from pyspark.sql import Window
+    aliases point at the newest champion and newest archived run.
+
+    Version numbers are an exact per-model rank computed bucket by bucket
+    (minute of the start time), so a model with a third of all runs is
+    never sorted in one task; the aliases are ``max_by`` aggregates."""
+    from ..operators.splits import rank_in_groups
     alias = F.col("tags")["model_alias"]
     reg = runs.where(alias.isin("champion", "archived")).select(
         F.concat(F.lit("model-"), F.col("experiment_id").cast("string")).alias("model_name"),
         "experiment_id", "run_id", "start_time", alias.alias("alias"))
-    w = Window.partitionBy("model_name").orderBy("start_time", "run_id")
-    versions = reg.withColumn("version", F.row_number().over(w).cast("bigint"))
-    newest = Window.partitionBy("model_name", "alias").orderBy(F.col("start_time").desc(), F.col("run_id").desc())
-    aliases = (versions.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1")
-                       .select("model_name", "alias", "version"))
+    minute = F.floor(F.unix_micros(F.col("start_time").cast("timestamp")) / 60_000_000)
+    versions = rank_in_groups(reg, ["model_name"], [F.col("start_time"), F.col("run_id")], minute, "version") \
+        .withColumn("version", F.col("version").cast("bigint"))
+    aliases = versions.groupBy("model_name", "alias").agg(
+        F.max_by("version", F.struct("start_time", "run_id")).alias("version"))
     return versions.select("model_name", "version", "run_id"), aliases
 
 

@@ -112,3 +112,13 @@ def test_bernoulli_is_stateless(spark):
     df = spark.range(2000)
     a = _assign(S.split_bernoulli(df.withColumnRenamed("id", "id"), keys=["id"], test_size=0.25))
     assert abs(sum(v == "test" for v in a.values()) / 2000 - 0.25) < 0.05
+
+
+def test_rank_in_groups_equals_row_number(spark):
+    from pyspark.sql import Window
+    # one hot group with most rows, several time buckets with ties
+    rows = [("hot", i // 7, i) for i in range(300)] + [("cold", i % 3, i) for i in range(20)]
+    df = spark.createDataFrame(rows, "g string, t long, id long")
+    got = S.rank_in_groups(df, ["g"], [F.col("t"), F.col("id")], F.floor(F.col("t") / 5), "r")
+    want = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("t", "id")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

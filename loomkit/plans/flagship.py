@@ -1,14 +1,37 @@
-"""The flagship: load -> stratified split -> class shares per split."""
+"""The flagship: validate -> stratified three-way split -> fit on document
+quality -> score -> metrics by split, with the suite's verdict beside them."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import expectations as X
+from ..operators import metrics as E
+from ..operators import models as M
 from ..operators import splits as S
-from .tables import table
+from ..operators.scoring import predict_with_inputs
+from .tables import quality_view
 
+FEATURES = ["letter_share", "n_chars", "lang"]
 
-def flagship(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    s = S.split_stratified(o, "o_orderstatus", keys=["o_orderkey"], test_size=0.2, seed=42)
-    return s.groupBy("split", "o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows"))
+
+def quality_suite():
+    return [X.Expectation.of(X.ROW_COUNT, min_value=1),
+            X.Expectation.of(X.NOT_NULL, "quality"),
+            X.Expectation.of(X.IN_SET, "quality", value_set=[0, 1]),
+            X.Expectation.of(X.BETWEEN, "letter_share", min_value=0, max_value=1),
+            X.Expectation.of(X.UNIQUE, "doc_id")]
+
+
+def flagship(spark, sf_dir, n_estimators: int = 100, max_depth: int = 10):
+    q = quality_view(spark, sf_dir)
+    verdict = X.suite_statistics(X.validate(q, quality_suite())).select(
+        F.lit(1).alias("_k"), F.col("success").alias("suite_success"), "success_percent")
+    s = S.split_three_way(q, keys=["doc_id"], label="quality", test_size=0.2, validation_size=0.1, seed=42)
+    model = M.train_random_forest(s.where("split = 'train'"), FEATURES, "quality",
+                                  n_estimators=n_estimators, max_depth=max_depth)
+    scored = predict_with_inputs(model, s, num_classes=2).withColumn("quality", F.col("quality").cast("double"))
+    acc = E.accuracy(scored, "quality", "prediction", ["split"])
+    auc = E.roc_auc(scored, "quality", "prob_class_1", ["split"])
+    return (acc.join(auc, "split").withColumn("_k", F.lit(1)).join(F.broadcast(verdict), "_k")
+               .select("split", "n_rows", "accuracy", "roc_auc", "suite_success", "success_percent"))

@@ -16,7 +16,8 @@ def test_entry_smoke(spark):
     df = entry(spark)
     rows = df.collect()
     assert len(rows) > 0
-    assert df.columns == ["split", "o_orderstatus", "n_rows"]
+    assert df.columns == ["split", "n_rows", "accuracy", "roc_auc", "suite_success", "success_percent"]
+    assert {r["split"] for r in rows} == {"train", "test", "validation"}
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -264,14 +264,18 @@ def silhouette_squared(df: DataFrame, features="features", cluster="cluster") ->
 
 
 # ---------------------------------------------------------------- E13-E15
-def reconstruction_error(original: DataFrame, reconstructed: DataFrame, key: str,
+def reconstruction_error(df: DataFrame, reconstructed: DataFrame | None = None, key: str | None = None,
                          features="features", recon="reconstruction", group=None) -> DataFrame:
-    """Mean squared cell error between a row and its reconstruction."""
+    """Mean squared cell error between a row and its reconstruction.
+    With ``reconstructed=None`` both arrays are columns of ``df`` (no join);
+    otherwise the two tables are joined on ``key``."""
     g = _g(group)
-    r = reconstructed.select(key, F.col(recon).alias("_rec"))
-    j = original.join(r, key)
-    cells = F.size(features)
-    return j.groupBy(*g).agg((F.sum(_sqdist(F.col(features), F.col("_rec"))) / F.sum(cells))
+    if reconstructed is not None:
+        r = reconstructed.select(key, F.col(recon).alias("_rec"))
+        j = df.join(r, key)
+    else:
+        j = df.withColumn("_rec", F.col(recon))
+    return j.groupBy(*g).agg((F.sum(_sqdist(F.col(features), F.col("_rec"))) / F.sum(F.size(features)))
                              .alias("reconstruction_error"))
 
 

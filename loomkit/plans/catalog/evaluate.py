@@ -61,9 +61,10 @@ def _orders_copy(spark, sf, fmt):
 
 
 def q_scan_csv(spark, sf):
-    _, path = _orders_copy(spark, sf, "csv")
-    df = FS.read_table(spark, path, "csv")  # header + inferred schema
-    return df.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    schema, path = _orders_copy(spark, sf, "csv")
+    df = FS.read_table(spark, path, "csv")  # header + inferred schema (ints infer as int)
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    return df.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in cols])
 
 
 def _sink(fmt):

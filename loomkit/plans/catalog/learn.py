@@ -89,7 +89,7 @@ def q_reconstruction_error(spark, sf):
     mean = M.column_means(e.where("split = 'train'"), "embedding", dim)
     comps = [[1.0 if (i == j) else 0.0 for j in range(2)] for i in range(dim)]
     rec = M.reconstruct(M.project(e, "embedding", comps, mean), "scores", comps, mean)
-    return E.reconstruction_error(e, rec, "vec_id", "embedding", "reconstruction", ["split"])
+    return E.reconstruction_error(rec, features="embedding", recon="reconstruction", group=["split"])
 
 
 def rf_pipeline_for(df):

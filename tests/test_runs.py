@@ -71,3 +71,22 @@ def test_tag_promote_rollback_state_machine(spark):
     for df in (tagged, r2, r3):
         champs = df.where(F.col("tags")["model_alias"] == "champion").groupBy("experiment_id").count()
         assert champs.where("count > 1").count() == 0
+
+
+def test_threshold_edges_and_no_runs(spark):
+    # pct exactly 0.01 promotes (>=); pct just under does not; lower-is-better metric
+    rows = [("a", 1, 1, {"model_alias": "champion"}, 0.5), ("a", 2, 2, {}, 0.505),
+            ("b", 3, 1, {"model_alias": "champion"}, 0.5), ("b", 4, 2, {}, 0.50499)]
+    runs = _runs(spark, rows)
+    c = {r["experiment_id"]: r for r in R.compare_models(runs, threshold=0.01).collect()}
+    assert abs(c["a"]["pct_improvement"] - 0.01) < 1e-12
+    assert c["a"]["promote_challenger"] == (c["a"]["pct_improvement"] >= 0.01)
+    assert not c["b"]["promote_challenger"] and c["b"]["reason"].startswith("Improvement 1.00% below")
+    low = runs.withColumn("metrics", F.create_map(F.lit("test_rmse"), F.col("metrics")["test_accuracy"]))
+    c = {r["experiment_id"]: r for r in R.compare_models(low, "test_rmse").collect()}
+    assert c["a"]["higher_is_better"] is False and not c["a"]["promote_challenger"]
+    assert c["a"]["reason"] == "Challenger performed worse on test_rmse"
+    exps = spark.createDataFrame([("a",), ("zz",)], "experiment_id string")
+    c = {r["experiment_id"]: r for r in R.compare_models(runs, experiments=exps).collect()}
+    assert c["zz"]["reason"] == R.REASON_NO_RUNS and not c["zz"]["promote_challenger"]
+    assert set(c) == {"a", "zz"}

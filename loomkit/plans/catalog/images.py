@@ -62,7 +62,16 @@ def q_image_decode_resize(spark, sf):
                     F.aggregate(px, F.lit(0).cast("bigint"), lambda a, v: a + v).alias("pixel_sum"))
 
 
+def q_image_dataset_summary(spark, sf):
+    from ...operators import profile as P
+    root = image_tree(spark, sf)
+    m = IM.image_manifest_dir(spark, root)
+    info = P.image_dataset_info(m, "directory", (8, 8), "embeddings-images")
+    return P.image_dataset_summary(info, P.class_distribution(m, "label"))
+
+
 QUERIES = {
+    "image_dataset_summary": q_image_dataset_summary,
     "image_manifest_dir": q_image_manifest_dir,
     "image_manifest_csv": q_image_manifest_csv,
     "manifest_missing_files": q_manifest_missing_files,
@@ -71,6 +80,15 @@ QUERIES = {
 
 _REL = "cast(label as varchar) || '/' || lpad(cast(vec_id as varchar), 6, '0') || '.png'"
 SQL = {
+    "image_dataset_summary": """with c as (select cast(label as varchar) label, count(*) n from embeddings group by label),
+r as (select label, n, n * 100.0 / sum(n) over () pct, row_number() over (order by n desc, label) rk from c),
+h as (select count(*) n, count(distinct label) k from embeddings),
+head as (select unnest([repeat('=', 60), 'IMAGE DATASET SUMMARY', repeat('=', 60), 'Source: embeddings-images',
+      'Structure: directory', 'Images: ' || format('{:,}', n), 'Image Size: 8x8', '', 'Task: SUPERVISED',
+      'Classes: ' || k, '', 'Class Distribution:']) line, unnest(range(1, 13)) line_no from h)
+select cast(line_no as bigint) line_no, line from head
+union all select cast(12 + rk as bigint), '  ' || label || ': ' || n || ' (' || printf('%.1f', pct) || '%)' from r
+union all select cast(13 + (select count(*) from c) as bigint), repeat('=', 60)""",
     "image_manifest_dir": f"select {_REL} rel_path, cast(label as varchar) label from embeddings",
     "image_manifest_csv": f"select {_REL} rel_path, cast(label as varchar) label from embeddings",
     "manifest_missing_files": """select 'missing/' || lpad(cast(vec_id as varchar), 6, '0') || '.png' rel_path,

@@ -98,11 +98,9 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
     fit-relevant settings share their fits.
     """
     spark = df.sparkSession
+    from contextlib import ExitStack
+
     from .models import cached
-    with cached(df) as d:
-        folds_src = stratified_kfold(d, label if stratify else None, keys, k, seed)
-        holder = cached(folds_src)
-        folds = holder.__enter__()
     rows = [r.asDict() for r in trials.orderBy("trial_id").collect()]  # one row per trial (bounded)
     fits = {}
     for r in rows:
@@ -113,20 +111,20 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
     else:
         ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
 
-    def run(job):
-        key, f = job
-        p = fits[key]
-        train = folds.where(F.col("fold") != f)
-        test = folds.where(F.col("fold") == f)
-        m = make_pipeline(p).fit(train)
-        return key, f, float(ev.evaluate(m.transform(test))), float(ev.evaluate(m.transform(train)))
+    with ExitStack() as stack:
+        # the input and its fold assignment are each computed once and cached
+        d = stack.enter_context(cached(df))
+        folds = stack.enter_context(cached(stratified_kfold(d, label if stratify else None, keys, k, seed)))
 
-    jobs = [(key, f) for key in fits for f in range(k)]
-    try:
+        def run(job):
+            key, f = job
+            m = make_pipeline(fits[key]).fit(folds.where(F.col("fold") != f))
+            test, train = folds.where(F.col("fold") == f), folds.where(F.col("fold") != f)
+            return key, f, float(ev.evaluate(m.transform(test))), float(ev.evaluate(m.transform(train)))
+
+        jobs = [(key, f) for key in fits for f in range(k)]
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             res = {(key, f): (te, tr) for key, f, te, tr in pool.map(run, jobs)}
-    finally:
-        holder.__exit__(None, None, None)
     out = []
     for r in rows:
         p = {n: _parse(v) for n, v in r.items() if n != "trial_id"}

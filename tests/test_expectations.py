@@ -43,3 +43,23 @@ def test_missing_column_fails(spark):
     df, _ = _nulls(spark)
     r = X.validate(df, [X.Expectation.of(X.EXISTS, "nope"), X.Expectation.of(X.NOT_NULL, "nope")]).collect()
     assert [x["success"] for x in r] == [False, False]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(vals=st.lists(st.one_of(st.none(), st.integers(-5, 5)), min_size=1, max_size=30),
+       lo=st.integers(-5, 0), hi=st.integers(0, 5))
+def test_row_checks_equal_brute_force(spark, vals, lo, hi):
+    df = spark.createDataFrame([(v,) for v in vals], "v long")
+    suite = [X.Expectation.of(X.BETWEEN, "v", min_value=lo, max_value=hi), X.Expectation.of(X.UNIQUE, "v"),
+             X.Expectation.of(X.NOT_NULL, "v"), X.Expectation.of(X.IN_SET, "v", value_set=[0, 1, 2])]
+    r = {x["expectation"]: x for x in X.validate(df, suite).collect()}
+    nn = [v for v in vals if v is not None]
+    assert r[X.BETWEEN]["unexpected_count"] == sum(1 for v in nn if not lo <= v <= hi)
+    assert r[X.UNIQUE]["unexpected_count"] == sum(1 for v in nn if nn.count(v) > 1)
+    assert r[X.NOT_NULL]["unexpected_count"] == len(vals) - len(nn)
+    assert r[X.IN_SET]["unexpected_count"] == sum(1 for v in nn if v not in (0, 1, 2))
+    assert r[X.BETWEEN]["success"] == all(lo <= v <= hi for v in nn)

@@ -122,3 +122,17 @@ def test_rank_in_groups_equals_row_number(spark):
     got = S.rank_in_groups(df, ["g"], [F.col("t"), F.col("id")], F.floor(F.col("t") / 5), "r")
     want = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("t", "id")))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(counts=st.lists(st.integers(min_value=3, max_value=30), min_size=1, max_size=4),
+       parts=st.integers(min_value=1, max_value=9), k=st.integers(min_value=2, max_value=5))
+def test_kfold_partition_independent(spark, counts, parts, k):
+    labels = [f"k{i}" for i, c in enumerate(counts) for _ in range(c)]
+    df = _df(spark, labels)
+    a = {r["id"]: r["fold"] for r in S.stratified_kfold(df, "y", keys=["id"], k=k).collect()}
+    b = {r["id"]: r["fold"] for r in S.stratified_kfold(df.repartition(parts), "y", keys=["id"], k=k).collect()}
+    assert a == b
+    for i, c in enumerate(counts):     # every fold within one of c / k
+        per = [sum(1 for j, y in enumerate(labels) if y == f"k{i}" and a[j] == f) for f in range(k)]
+        assert max(per) - min(per) <= 1

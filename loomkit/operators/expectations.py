@@ -118,6 +118,31 @@ def _count(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
 
 
+def _row_exprs(i: int, e: Expectation, fields: dict) -> list:
+    """Aggregate expressions of one row-wise expectation: missing count
+    ``m<i>`` and unexpected count ``u<i>`` or observation ``o<i>``."""
+    kw = e.kw
+    v = as_missing(F.col(e.column), fields[e.column])
+    out = [_count(v.isNull()).alias(f"m{i}")]
+    if e.expectation == BETWEEN:
+        ok = _in_range(v, kw.get("min_value"), kw.get("max_value"),
+                       kw.get("strict_min", False), kw.get("strict_max", False))
+        out.append(_count(v.isNotNull() & ~ok).alias(f"u{i}"))
+    elif e.expectation == REGEX:
+        out.append(_count(v.isNotNull() & ~v.cast("string").rlike(kw["regex"])).alias(f"u{i}"))
+    elif e.expectation == IN_SET:
+        out.append(_count(v.isNotNull() & ~v.isin(list(kw["value_set"]))).alias(f"u{i}"))
+    elif e.expectation == NOT_NULL:
+        out.append(_count(v.isNull()).alias(f"u{i}"))
+    elif e.expectation == MEAN_BETWEEN:
+        out.append(F.avg(v).cast("double").alias(f"o{i}"))
+    elif e.expectation == DISTINCT_BETWEEN:
+        out.append(F.count_distinct(v).cast("double").alias(f"o{i}"))
+    else:
+        raise ValueError(f"Unknown expectation {e.expectation}")
+    return out
+
+
 def validate(df: DataFrame, suite) -> DataFrame:
     """One result row per expectation (exact repeats dropped).
 
@@ -135,26 +160,11 @@ def validate(df: DataFrame, suite) -> DataFrame:
             continue
         if c not in fields:
             continue  # reported as a failed expectation below
-        v = as_missing(F.col(c), fields[c])
-        aggs.append(_count(v.isNull()).alias(f"m{i}"))
-        if e.expectation == BETWEEN:
-            ok = _in_range(v, kw.get("min_value"), kw.get("max_value"),
-                           kw.get("strict_min", False), kw.get("strict_max", False))
-            aggs.append(_count(v.isNotNull() & ~ok).alias(f"u{i}"))
-        elif e.expectation == REGEX:
-            aggs.append(_count(v.isNotNull() & ~v.cast("string").rlike(kw["regex"])).alias(f"u{i}"))
-        elif e.expectation == IN_SET:
-            aggs.append(_count(v.isNotNull() & ~v.isin(list(kw["value_set"]))).alias(f"u{i}"))
-        elif e.expectation == NOT_NULL:
-            aggs.append(_count(v.isNull()).alias(f"u{i}"))
-        elif e.expectation == MEAN_BETWEEN:
-            aggs.append(F.avg(v).cast("double").alias(f"o{i}"))
-        elif e.expectation == DISTINCT_BETWEEN:
-            aggs.append(F.count_distinct(v).cast("double").alias(f"o{i}"))
-        elif e.expectation == UNIQUE:
+        if e.expectation == UNIQUE:
+            aggs.append(_count(as_missing(F.col(c), fields[c]).isNull()).alias(f"m{i}"))
             uniq.append(i)
         else:
-            raise ValueError(f"Unknown expectation {e.expectation}")
+            aggs += _row_exprs(i, e, fields)
     stats = df.agg(*aggs).withColumn("_k", F.lit(1))
     for i in uniq:
         c = suite[i].column
@@ -233,3 +243,52 @@ def suite_statistics(results: DataFrame) -> DataFrame:
 def expect_one(df: DataFrame, expectation: str, column: str | None = None, **kw) -> DataFrame:
     """Run a single expectation (V1-V12) as a one-row result."""
     return validate(df, [Expectation.of(expectation, column, **kw)])
+
+
+ROW_WISE = (BETWEEN, REGEX, IN_SET, NOT_NULL, MEAN_BETWEEN)
+
+
+def observe_suite(df: DataFrame, suite, name: str = "suite"):
+    """Row-wise expectations collected *while* another action runs (e.g. the
+    write that publishes the table): ``df.observe`` adds the counts to that
+    job, so no second read is needed.  Returns ``(observed_df, result)``;
+    call ``result()`` after the action for one dict per expectation.
+    Uniqueness and distinct counts need their own aggregation (``validate``)."""
+    from pyspark.sql import Observation
+    suite = [e for e in dedupe(suite) if e.expectation in ROW_WISE or e.expectation == ROW_COUNT]
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    obs = Observation(name)
+    exprs = [F.count(F.lit(1)).alias("_rows")]
+    for i, e in enumerate(suite):
+        if e.expectation == ROW_COUNT:
+            continue
+        exprs += _row_exprs(i, e, fields)
+    observed = df.observe(obs, *exprs)
+
+    def result():
+        got = obs.get
+        n = got["_rows"]
+        out = []
+        for i, e in enumerate(suite):
+            kw = e.kw
+            if e.expectation == ROW_COUNT:
+                ok = (kw.get("min_value") is None or n >= kw["min_value"]) and \
+                     (kw.get("max_value") is None or n <= kw["max_value"])
+                out.append({"expectation": e.expectation, "success": ok, "observed_value": float(n)})
+                continue
+            miss = got[f"m{i}"]
+            if e.expectation == MEAN_BETWEEN:
+                m = got[f"o{i}"]
+                ok = m is not None and (kw.get("min_value") is None or m >= kw["min_value"]) and \
+                    (kw.get("max_value") is None or m <= kw["max_value"])
+                out.append({"expectation": e.expectation, "column": e.column, "success": bool(ok),
+                            "observed_value": m, "missing_count": miss})
+                continue
+            u = got[f"u{i}"]
+            denom = n if e.expectation == NOT_NULL else n - miss
+            out.append({"expectation": e.expectation, "column": e.column, "success": u == 0,
+                        "unexpected_count": u, "missing_count": miss,
+                        "unexpected_percent": (u * 100.0 / denom) if denom else 0.0})
+        return out
+
+    return observed, result

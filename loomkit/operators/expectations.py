@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, ByteType, DataType, DateType, DoubleType, FloatType,
-                               IntegerType, LongType, ShortType, StringType, TimestampNTZType,
+                               IntegerType, LongType, ShortType, TimestampNTZType,
                                TimestampType)
 
 from ..functions.missing import as_missing

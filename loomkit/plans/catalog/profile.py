@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 
 from ...operators import expectations as X
 from ...operators import profile as P

@@ -124,24 +124,33 @@ def train_mlp(df: DataFrame, features, label: str, hidden=(4,), num_classes: int
     return _fit(Pipeline(stages=stages + ls + [mlp]), df)
 
 
-def train_kmeans(df: DataFrame, features, k=3, max_iter=300, seed=42, n_init=10):
+def concurrency(spark, jobs: int, parallelism: int | None) -> int:
+    """Concurrent Spark jobs: given, else the cluster's default parallelism,
+    never more than the number of jobs."""
+    p = parallelism or spark.sparkContext.defaultParallelism
+    return max(1, min(int(jobs), int(p)))
+
+
+def train_kmeans(df: DataFrame, features, k=3, max_iter=300, seed=42, n_init=10, parallelism: int | None = None):
     """M4: k-means; ``n_init`` seeded restarts, the lowest training cost wins.
-    Each restart is one distributed fit; the assembled input is cached once."""
-    stages = assemble_features(df, features)
-    prep = Pipeline(stages=stages).fit(df)
-    data = prep.transform(df).select("features").persist()
-    try:
-        best = None
-        for i in range(max(1, int(n_init))):
+    The assembled input is cached once and the restarts run as concurrent
+    Spark jobs (``parallelism`` at a time)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.ml import PipelineModel
+    prep = Pipeline(stages=assemble_features(df, features)).fit(df)
+
+    with cached(prep.transform(df).select("features")) as data:
+        def fit(i):
             m = KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol="features",
                        predictionCol="cluster").fit(data)
-            cost = m.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, m)
-    finally:
-        data.unpersist()
-    from pyspark.ml import PipelineModel
-    return PipelineModel(stages=prep.stages + [best[1]])
+            return m.summary.trainingCost, i, m
+
+        n = max(1, int(n_init))
+        with ThreadPoolExecutor(max_workers=concurrency(df.sparkSession, n, parallelism)) as pool:
+            runs = list(pool.map(fit, range(n)))
+    best = min(runs, key=lambda r: (r[0], r[1]))  # lowest cost, ties to the first seed
+    return PipelineModel(stages=prep.stages + [best[2]])
 
 
 def train_pca(df: DataFrame, features, k=2):

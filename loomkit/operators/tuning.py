@@ -90,7 +90,7 @@ def fit_key(params: dict) -> tuple:
 
 
 def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str, k: int = 3,
-                   metric: str = "accuracy", keys=None, seed: int = 42, parallelism: int = 4,
+                   metric: str = "accuracy", keys=None, seed: int = 42, parallelism: int | None = None,
                    stratify: bool = True) -> DataFrame:
     """H2 core: per (trial, fold) test and train scores, as a Spark table.
 
@@ -123,7 +123,8 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
             return key, f, float(ev.evaluate(m.transform(test))), float(ev.evaluate(m.transform(train)))
 
         jobs = [(key, f) for key in fits for f in range(k)]
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        from .models import concurrency
+        with ThreadPoolExecutor(max_workers=concurrency(spark, len(jobs), parallelism)) as pool:
             res = {(key, f): (te, tr) for key, f, te, tr in pool.map(run, jobs)}
     out = []
     for r in rows:
@@ -165,21 +166,21 @@ def _search(df, trials, make_pipeline, label, k, metric, keys, seed, parallelism
 
 
 def grid_search(df, space, make_pipeline, label, k=3, metric="accuracy", keys=None, seed=42,
-                parallelism=4, higher_is_better=True) -> DataFrame:
+                parallelism=None, higher_is_better=True) -> DataFrame:
     """H2: CV score of every combination (mean, std, train score) ranked."""
     trials = param_grid(df.sparkSession, space)
     return _search(df, trials, make_pipeline, label, k, metric, keys, seed, parallelism, higher_is_better)
 
 
 def random_search(df, ranges, make_pipeline, label, n_trials=20, k=3, metric="accuracy", keys=None,
-                  seed=42, parallelism=4, higher_is_better=True) -> DataFrame:
+                  seed=42, parallelism=None, higher_is_better=True) -> DataFrame:
     """H3: ``n_trials`` seeded draws, then cross-validated like H2."""
     trials = random_trials(df.sparkSession, ranges, n_trials, seed)
     return _search(df, trials, make_pipeline, label, k, metric, keys, seed, parallelism, higher_is_better)
 
 
 def adaptive_search(df, ranges, make_pipeline, label, n_trials=20, n_startup=8, batch=4, gamma=0.25,
-                    n_candidates=64, k=3, metric="accuracy", keys=None, seed=42, parallelism=4,
+                    n_candidates=64, k=3, metric="accuracy", keys=None, seed=42, parallelism=None,
                     higher_is_better=True) -> DataFrame:
     """H4: sequential model-based search in rounds (tree-structured Parzen
     style).  Start with ``n_startup`` seeded draws; each round splits past

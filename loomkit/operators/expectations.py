@@ -244,51 +244,3 @@ def expect_one(df: DataFrame, expectation: str, column: str | None = None, **kw)
     """Run a single expectation (V1-V12) as a one-row result."""
     return validate(df, [Expectation.of(expectation, column, **kw)])
 
-
-ROW_WISE = (BETWEEN, REGEX, IN_SET, NOT_NULL, MEAN_BETWEEN)
-
-
-def observe_suite(df: DataFrame, suite, name: str = "suite"):
-    """Row-wise expectations collected *while* another action runs (e.g. the
-    write that publishes the table): ``df.observe`` adds the counts to that
-    job, so no second read is needed.  Returns ``(observed_df, result)``;
-    call ``result()`` after the action for one dict per expectation.
-    Uniqueness and distinct counts need their own aggregation (``validate``)."""
-    from pyspark.sql import Observation
-    suite = [e for e in dedupe(suite) if e.expectation in ROW_WISE or e.expectation == ROW_COUNT]
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    obs = Observation(name)
-    exprs = [F.count(F.lit(1)).alias("_rows")]
-    for i, e in enumerate(suite):
-        if e.expectation == ROW_COUNT:
-            continue
-        exprs += _row_exprs(i, e, fields)
-    observed = df.observe(obs, *exprs)
-
-    def result():
-        got = obs.get
-        n = got["_rows"]
-        out = []
-        for i, e in enumerate(suite):
-            kw = e.kw
-            if e.expectation == ROW_COUNT:
-                ok = (kw.get("min_value") is None or n >= kw["min_value"]) and \
-                     (kw.get("max_value") is None or n <= kw["max_value"])
-                out.append({"expectation": e.expectation, "success": ok, "observed_value": float(n)})
-                continue
-            miss = got[f"m{i}"]
-            if e.expectation == MEAN_BETWEEN:
-                m = got[f"o{i}"]
-                ok = m is not None and (kw.get("min_value") is None or m >= kw["min_value"]) and \
-                    (kw.get("max_value") is None or m <= kw["max_value"])
-                out.append({"expectation": e.expectation, "column": e.column, "success": bool(ok),
-                            "observed_value": m, "missing_count": miss})
-                continue
-            u = got[f"u{i}"]
-            denom = n if e.expectation == NOT_NULL else n - miss
-            out.append({"expectation": e.expectation, "column": e.column, "success": u == 0,
-                        "unexpected_count": u, "missing_count": miss,
-                        "unexpected_percent": (u * 100.0 / denom) if denom else 0.0})
-        return out
-
-    return observed, result

@@ -61,3 +61,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediates."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as parquet under the shared checkpoint
+    folder and reading it back (survives executor loss; no recomputation)."""
+    import uuid
+    path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

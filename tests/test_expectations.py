@@ -64,18 +64,3 @@ def test_row_checks_equal_brute_force(spark, vals, lo, hi):
     assert r[X.IN_SET]["unexpected_count"] == sum(1 for v in nn if v not in (0, 1, 2))
     assert r[X.BETWEEN]["success"] == all(lo <= v <= hi for v in nn)
 
-
-def test_observe_equals_validate(spark):
-    import tempfile
-    df, _ = _nulls(spark)
-    suite = [X.Expectation.of(X.ROW_COUNT, min_value=1), X.Expectation.of(X.BETWEEN, "v", min_value=0, max_value=3),
-             X.Expectation.of(X.NOT_NULL, "v"), X.Expectation.of(X.MEAN_BETWEEN, "v", min_value=2, max_value=3)]
-    observed, result = X.observe_suite(df, suite)
-    observed.write.mode("overwrite").parquet(tempfile.mkdtemp(prefix="lk-obs-") + "/t")   # the one read
-    got = result()
-    want = X.validate(df, suite).orderBy("expectation_id").collect()
-    for g, w in zip(got, want):
-        assert g["success"] == w["success"]
-        if "unexpected_count" in g:
-            assert g["unexpected_count"] == w["unexpected_count"]
-            assert abs(g["unexpected_percent"] - w["unexpected_percent"]) < 1e-12

@@ -132,15 +132,19 @@ def image_decode_resize(spark: SparkSession, root: str, height: int, width: int,
     """Decode -> RGB -> resize to (height, width) -> optional
     ``transform(array) -> array`` -> fixed-size uint8 RGB bytes.
     Undecodable files become all-zero images.  With a manifest, only its
-    files are kept (semi join on the path) and its label is carried."""
+    files are kept (join on the path) and its label is carried."""
     imgs = (spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true")
             .load(root).select(F.col("image.origin").alias("image_path"), F.col("image.height").alias("h"),
                                F.col("image.width").alias("w"), F.col("image.nChannels").alias("c"),
                                F.col("image.data").alias("data")))
     if manifest is not None:
+        from ..operators.splits import maybe_broadcast
         m = manifest.select(path_key(F.col("image_path")).alias("_k"),
                             *(["label"] if "label" in manifest.columns else []))
-        imgs = imgs.withColumn("_k", path_key(F.col("image_path"))).join(m, "_k").drop("_k")
+        # broadcast the (path, label) list when its size allows, so image
+        # bytes are never shuffled; a shuffle join beyond the bound
+        imgs = imgs.withColumn("_k", path_key(F.col("image_path"))).join(
+            maybe_broadcast(m, manifest.count()), "_k").drop("_k")
     keep_label = "label" in imgs.columns
     fields = [StructField("image_path", StringType())]
     if keep_label:

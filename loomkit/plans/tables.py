@@ -46,14 +46,15 @@ def runs_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with a learnable binary target (``labels.quality``)."""
-    d = table(spark, sf_dir, "documents").where(F.col("n_chars") > 0)
-    lab = table(spark, sf_dir, "labels")
+    """Documents with a learnable binary target (``labels.quality``).
+
+    The text feature is computed before the join, so a shuffle join carries
+    numbers, never whole texts."""
     letters = F.length(F.regexp_replace("text", "[^a-zA-Z]", ""))
-    return (d.join(lab, "doc_id")
-             .select("doc_id", "lang", "n_chars",
-                     (letters / F.length("text")).alias("letter_share"),
-                     F.col("quality").cast("int").alias("quality")))
+    d = (table(spark, sf_dir, "documents").where(F.col("n_chars") > 0)
+         .select("doc_id", "lang", "n_chars", (letters / F.length("text")).alias("letter_share")))
+    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("int").alias("quality"))
+    return d.join(lab, "doc_id").select("doc_id", "lang", "n_chars", "letter_share", "quality")
 
 
 def registry_from_runs(runs):

@@ -165,15 +165,17 @@ def validate(df: DataFrame, suite) -> DataFrame:
             uniq.append(i)
         else:
             aggs += _row_exprs(i, e, fields)
-    stats = df.agg(*aggs).withColumn("_k", F.lit(1))
+    stats = df.agg(*aggs)
+    dups = []
     for i in uniq:
         c = suite[i].column
         v = as_missing(F.col(c), fields[c])
         dup = (df.select(v.alias("_v")).where(F.col("_v").isNotNull())
                  .groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
-                 .agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint").alias(f"u{i}"))
-                 .withColumn("_k", F.lit(1)))
-        stats = stats.join(dup, "_k")  # one row joined to one row
+                 .agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint")))
+        dups.append(dup.scalar().alias(f"u{i}"))  # scalar subquery: one value, no join
+    if dups:
+        stats = stats.select("*", *dups)
 
     rows = [_result(i, e, fields, df.columns) for i, e in enumerate(suite)]
     return stats.select(F.inline(F.array(*rows)))

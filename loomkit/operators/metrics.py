@@ -7,7 +7,9 @@ columns; nothing is collected.
 
 Clustering metrics take a ``features`` array column and a ``cluster``
 column.  Centroids are a per-cluster aggregate (k rows) joined back by
-broadcast after a size check.
+broadcast after a size check, or as one array from a one-row broadcast (the
+array feeds higher-order functions, where scalar subqueries are not
+allowed); other one-row results (totals, ranges) are scalar subqueries.
 """
 
 from __future__ import annotations
@@ -87,7 +89,8 @@ def mcc(df: DataFrame, label="label", prediction="prediction", group=None) -> Da
     tot = c.groupBy(*g).agg(F.sum("n_rows").cast("double").alias("s"),
                             F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n_rows")).otherwise(0))
                             .cast("double").alias("cor"))
-    j = tot.join(tp, g) if g else tot.withColumn("_k", F.lit(1)).join(tp.withColumn("_k", F.lit(1)), "_k")
+    j = tot.join(tp, g) if g else tot.select(
+        "*", *[tp.select(c).scalar().alias(c) for c in ("tp_sum", "t2", "p2")])
     den = F.sqrt((F.col("s") * F.col("s") - F.col("p2")) * (F.col("s") * F.col("s") - F.col("t2")))
     return j.select(*g, F.when(den > 0, (F.col("cor") * F.col("s") - F.col("tp_sum")) / den)
                     .otherwise(F.lit(0.0)).alias("mcc"))
@@ -122,7 +125,7 @@ def roc_auc(df: DataFrame, label="label", score="score", group=None, buckets=AUC
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("double").alias("_p"),
         F.sum(F.when(y == 0, 1).otherwise(0)).cast("double").alias("_n"))
     rng = d.groupBy(*g).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
-    d = (d.join(rng, g) if g else d.withColumn("_k", F.lit(1)).join(rng.withColumn("_k", F.lit(1)), "_k"))
+    d = d.join(rng, g) if g else d.select("*", *[rng.select(c).scalar().alias(c) for c in ("_lo", "_hi")])
     width = F.when(F.col("_hi") > F.col("_lo"), (F.col("_hi") - F.col("_lo")) / buckets).otherwise(F.lit(1.0))
     d = d.withColumn("_b", F.least(F.floor((F.col("_s") - F.col("_lo")) / width), F.lit(buckets - 1)).cast("int"))
     bt = d.groupBy(*g, "_b").agg(F.sum("_n").alias("_bn"))
@@ -187,25 +190,28 @@ def calinski_harabasz(df: DataFrame, features="features", cluster="cluster") ->
     dim = _dim(df, features)
     cent = centroids(df, features, cluster, dim)
     k = cent.count()
-    mean = df.agg(F.array(*[F.avg(F.col(features)[i].cast("double")) for i in range(dim)]).alias("_m"),
-                  F.count(F.lit(1)).alias("_n"))
+    mean = df.agg(F.array(*[F.avg(F.col(features)[i].cast("double")) for i in range(dim)]).alias("_m"))
     within = _with_centroid(df, features, cluster, cent, k).agg(
         F.sum(_sqdist(F.col(features), F.col("_cen"))).alias("_w"))
-    between = (cent.withColumn("_k", F.lit(1)).join(mean.withColumn("_k", F.lit(1)), "_k")
-               .agg(F.sum(F.col("n") * _sqdist(F.col("centroid"), F.col("_m"))).alias("_b"),
-                    F.count(F.lit(1)).alias("_kk"), F.first("_n").alias("_n")))
-    j = within.withColumn("_k", F.lit(1)).join(between.withColumn("_k", F.lit(1)), "_k")
+    # the overall mean (one row) is broadcast to the k centroids
+    between = cent.join(F.broadcast(mean), how="inner").agg(
+        F.sum(F.col("n") * _sqdist(F.col("centroid"), F.col("_m"))).alias("_b"),
+        F.count(F.lit(1)).alias("_kk"), F.sum("n").alias("_n"))
+    j = within.select("*", *[between.select(c).scalar().alias(c) for c in ("_b", "_kk", "_n")])
     return j.select(F.when((F.col("_w") > 0) & (F.col("_kk") > 1),
                            (F.col("_b") / (F.col("_kk") - 1)) / (F.col("_w") / (F.col("_n") - F.col("_kk"))))
                     .otherwise(F.lit(1.0)).alias("calinski_harabasz"))
 
 
-def _centroid_row(cent: DataFrame, cluster: str, k: int, extra=()) -> DataFrame:
-    """All k centroids as one array in one row (k is bounded and checked)."""
+def _with_centroid_array(df: DataFrame, cent: DataFrame, cluster: str, k: int, extra=()) -> DataFrame:
+    """``df`` plus ``_all``: all k centroids as one array (k bounded and
+    checked).  The array feeds higher-order functions, where Spark allows
+    no scalar subquery, so it comes from a one-row broadcast join."""
     if k > MAX_CLUSTERS:
         raise ValueError(f"{k} clusters exceed the {MAX_CLUSTERS} supported by centroid metrics")
     fields = [F.col(cluster).alias("c"), "n", "centroid", *extra]
-    return cent.agg(F.collect_list(F.struct(*fields)).alias("_all")).withColumn("_k", F.lit(1))
+    one = cent.agg(F.collect_list(F.struct(*fields)).alias("_all"))
+    return df.join(F.broadcast(one), how="inner")  # exactly one row on the build side
 
 
 def davies_bouldin(df: DataFrame, features="features", cluster="cluster") -> DataFrame:
@@ -218,8 +224,7 @@ def davies_bouldin(df: DataFrame, features="features", cluster="cluster") -> Dat
     j = _with_centroid(df, features, cluster, cent, k)
     s = j.groupBy(cluster).agg(F.avg(F.sqrt(_sqdist(F.col(features), F.col("_cen")))).alias("s"))
     cs = cent.join(s, cluster)
-    allc = _centroid_row(cs, cluster, k, ["s"])
-    me = cs.withColumn("_k", F.lit(1)).join(F.broadcast(allc), "_k")
+    me = _with_centroid_array(cs, cs, cluster, k, ["s"])
     worst = F.array_max(F.transform(
         F.filter("_all", lambda o: o["c"] != F.col(cluster)),
         lambda o: (F.col("s") + o["s"]) / F.sqrt(_sqdist(F.col("centroid"), o["centroid"]))))
@@ -243,9 +248,8 @@ def silhouette_squared(df: DataFrame, features="features", cluster="cluster") ->
         F.count(F.lit(1)).alias("n"), F.sum(nrm).alias("q"),
         F.array(*[F.sum(F.col(features)[i].cast("double")) for i in range(dim)]).alias("centroid"))
     k = stats.count()
-    allc = _centroid_row(stats, cluster, k, ["q"])
-    x = df.select(F.col(cluster).alias("_own"), F.col(features).alias("_f"), nrm.alias("_xx")) \
-          .withColumn("_k", F.lit(1)).join(F.broadcast(allc), "_k")
+    x = _with_centroid_array(df.select(F.col(cluster).alias("_own"), F.col(features).alias("_f"), nrm.alias("_xx")),
+                             stats, cluster, k, ["q"])
 
     def mean_d(o):
         dot = F.aggregate(F.zip_with("_f", o["centroid"], lambda a, b: a.cast("double") * b), F.lit(0.0),

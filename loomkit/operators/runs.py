@@ -368,21 +368,16 @@ def log_run(experiment_id, run_id, start_time: str, tags: DataFrame | None = Non
     """One run record from (key, value) tables of tags, params and
     metrics (each a small DataFrame with columns key, value), built with
     ``map_from_entries`` so the values never leave Spark."""
-    def as_map(df, vtype):
+    def as_map(df, vtype, t):
         if df is None:
-            return None
+            return F.create_map().cast(t)
         return df.agg(F.map_from_entries(F.collect_list(F.struct(
-            F.col("key").cast("string"), F.col("value").cast(vtype)))).alias("m")).withColumn("_k", F.lit(1))
-    parts = [(as_map(tags, "string"), "tags", "map<string,string>"),
-             (as_map(params, "string"), "params", "map<string,string>"),
-             (as_map(metrics, "double"), "metrics", "map<string,double>")]
-    base = None
-    for df, name, t in parts:
-        if df is None:
-            continue
-        df = df.select("_k", F.col("m").alias(name))
-        base = df if base is None else base.join(df, "_k")
-    out = base.select(F.lit(experiment_id).alias(EXP), F.lit(run_id).alias(RUN),
-                      F.to_timestamp_ntz(F.lit(start_time)).alias(START),
-                      *[F.col(n) if n in base.columns else F.create_map().cast(t).alias(n) for _, n, t in parts])
-    return out
+            F.col("key").cast("string"), F.col("value").cast(vtype))))).scalar()
+    parts = [(tags, "tags", "string", "map<string,string>"), (params, "params", "string", "map<string,string>"),
+             (metrics, "metrics", "double", "map<string,double>")]
+    base = next(df for df, *_ in parts if df is not None)
+    # each map is a scalar subquery over its (small) key / value table
+    return base.agg(F.count(F.lit(1))).select(
+        F.lit(experiment_id).alias(EXP), F.lit(run_id).alias(RUN),
+        F.to_timestamp_ntz(F.lit(start_time)).alias(START),
+        *[as_map(df, vt, t).alias(n) for df, n, vt, t in parts])

@@ -143,7 +143,10 @@ def exact_split(df: DataFrame, keys=None, label: str | None = None, test_size=0.
     cut = quotas.join(maybe_broadcast(cut, k), quotas["_yk"].eqNullSafe(cut["_yc"]), "left").select(
         "_yk", F.coalesce("_bb", F.lit("")).alias("_bb"), F.coalesce("_need", F.lit(0)).alias("_need"))
 
-    rows = d.join(maybe_broadcast(cut, k), d[_Y].eqNullSafe(cut["_yk"]))
+    if label:
+        rows = d.join(maybe_broadcast(cut, k), d[_Y].eqNullSafe(cut["_yk"]))
+    else:  # one stratum: its boundary is two scalars, no join needed
+        rows = d.select("*", cut.select("_bb").scalar().alias("_bb"), cut.select("_need").scalar().alias("_need"))
     inner = rows.where(F.col(_B) != F.col("_bb")).withColumn(
         split_col, F.when(F.col(_B) < F.col("_bb"), F.lit(first)).otherwise(F.lit(second)))
     order = [F.col(_H)] + [F.col(c).asc_nulls_first() for c in keys]

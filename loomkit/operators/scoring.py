@@ -149,8 +149,10 @@ def predict_batch_udf(df: DataFrame, model, features, num_classes: int = 2,
     Python worker and cached) or a small picklable model object shipped
     with the task.  ``keep`` columns (e.g. a key) are carried through.
     """
+    from ..session import ship_package
     keep = list(keep or [])
     spark = df.sparkSession
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(int(batch_size)))
     fields = [df.schema[c] for c in keep] + [StructField("prediction", DoubleType())] + [
         StructField(f"prob_class_{i}", DoubleType()) for i in range(num_classes)]

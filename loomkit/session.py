@@ -70,3 +70,30 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``loomkit`` importable in executor Python workers: zip the
+    package once per SparkContext and ``addPyFile`` it (Spark distributes
+    it with the tasks).  Needed by code that runs Python on executors
+    (``mapInPandas``), whose pickled functions reference this package."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="loomkit-pyfiles-"), "loomkit.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, dirs, files in os.walk(pkg):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("loomkit", os.path.relpath(full, pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)

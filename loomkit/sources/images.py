@@ -153,6 +153,8 @@ def image_decode_resize(spark: SparkSession, root: str, height: int, width: int,
                StructField("n_channels", IntegerType()), StructField("data", BinaryType()),
                StructField("decoded", IntegerType())]
     H, W = int(height), int(width)
+    from ..session import ship_package
+    ship_package(spark)
 
     def run(batches):
         for pdf in batches:
@@ -203,6 +205,9 @@ def write_embedding_images(df: DataFrame, root: str, side: int = 8) -> DataFrame
     (the root must be a folder every executor can write, e.g. a shared
     mount); returns ``(vec_id, label, rel_path)`` of what was written."""
     import os
+
+    from ..session import ship_package
+    ship_package(df.sparkSession)
     local_root = root[5:] if root.startswith("file:") else root
 
     def run(batches):

@@ -79,3 +79,19 @@ def test_spark_ml_model_columns(spark):
     out = I.predict_batch(m, df, num_classes=2)
     assert out.columns == ["prediction", "prob_class_0", "prob_class_1"]
     assert out.count() == df.count()
+
+
+def test_stream_with_array_requests(spark):
+    """Requests as array<double> rows (the online call's shape) on a stream."""
+    from loomkit.streaming.scoring import request_features, score_stream
+    src = tempfile.mkdtemp(prefix="lk-req-")
+    spark.createDataFrame([(i, [float(i), 2.0 * i]) for i in range(20)], "req_id long, features array<double>") \
+        .write.mode("append").parquet(src)
+    schema = spark.read.parquet(src).schema
+    stream = request_features(spark.readStream.schema(schema).parquet(src), "features", ["a", "b"])
+    model = I.linear_expression_model({"a": 1.0, "b": 0.5}, 1.0)
+    q = (score_stream(stream, model, "m-req", keep=["req_id"]).writeStream.format("memory")
+         .queryName("lk_requests").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r["req_id"]: (r["prediction"], r["model_id"]) for r in spark.sql("select * from lk_requests").collect()}
+    assert got == {i: (1.0 + i + i, "m-req") for i in range(20)}

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .splits import maybe_broadcast
 
 LOG_LOSS_EPS = 1e-15
-AUC_BUCKETS = 65536
+AUC_BUCKETS = 1 << 20  # value ranges per group: non-empty ones only are materialized
 # Centroid metrics ship all k centroids to every row: bound k.
 MAX_CLUSTERS = 10_000
 

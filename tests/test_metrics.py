@@ -96,3 +96,22 @@ def test_log_loss_clips(spark):
     df = spark.createDataFrame([(1, 0.0, 1.0), (0, 1.0, 0.0), (1, 1.0, 0.0)], "label int, p0 double, p1 double")
     got = E.log_loss(df, "label", ["p0", "p1"]).first()["log_loss"]
     assert abs(got - (-math.log(1e-15)) / 3) < 1e-9
+
+
+def test_pca_inverse_round_trip(spark):
+    from loomkit.operators import models as M
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 4)) @ rng.normal(size=(4, 4)) + 3.0
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(60)], "id long, f array<double>")
+    full = M.train_pca(df, ["f"], k=4)
+    pc, mean = M.pca_parts(full)
+    rec = M.reconstruct(M.project(df, "f", pc, mean), "scores", pc, mean)
+    err = E.reconstruction_error(rec, features="f", recon="reconstruction").first()["reconstruction_error"]
+    assert err < 1e-18                                   # all components: exact inverse
+    two = M.train_pca(df, ["f"], k=2)
+    assert 0 < M.explained_variance_ratio(two) <= 1
+    pc2, mean2 = M.pca_parts(two)
+    rec2 = M.reconstruct(M.project(df, "f", pc2, mean2), "scores", pc2, mean2)
+    err2 = E.reconstruction_error(rec2, features="f", recon="reconstruction").first()["reconstruction_error"]
+    ev = np.sort(np.linalg.eigvalsh(np.cov(x.T, bias=True)))[::-1]
+    assert abs(err2 - ev[2:].sum() / 4) < 1e-9           # dropped variance per cell

@@ -18,8 +18,11 @@ QF = ["letter_share", "n_chars", "lang"]
 
 
 def _quality_split(spark, sf):
+    """Split feature table, written once (text features are computed once)."""
+    from ...session import materialize
     q = quality_view(spark, sf)
-    return S.split_three_way(q, keys=["doc_id"], label="quality", test_size=0.2, validation_size=0.1)
+    return materialize(S.split_three_way(q, keys=["doc_id"], label="quality", test_size=0.2,
+                                         validation_size=0.1), "quality_split")
 
 
 def _train_test(spark, sf):

@@ -10,6 +10,7 @@ from ..operators import metrics as E
 from ..operators import models as M
 from ..operators import splits as S
 from ..operators.scoring import predict_with_inputs
+from ..session import materialize
 from .tables import quality_view
 
 FEATURES = ["letter_share", "n_chars", "lang"]
@@ -27,7 +28,10 @@ def flagship(spark, sf_dir, n_estimators: int = 100, max_depth: int = 10):
     q = quality_view(spark, sf_dir)
     verdict = X.suite_statistics(X.validate(q, quality_suite())).select(
         F.lit(1).alias("_k"), F.col("success").alias("suite_success"), "success_percent")
-    s = S.split_three_way(q, keys=["doc_id"], label="quality", test_size=0.2, validation_size=0.1, seed=42)
+    # the split feature table (numbers only, far smaller than the texts) is
+    # written once, so fit, scoring and metrics never recompute text features
+    s = materialize(S.split_three_way(q, keys=["doc_id"], label="quality", test_size=0.2,
+                                      validation_size=0.1, seed=42), "flagship_split")
     model = M.train_random_forest(s.where("split = 'train'"), FEATURES, "quality",
                                   n_estimators=n_estimators, max_depth=max_depth)
     scored = predict_with_inputs(model, s, num_classes=2).withColumn("quality", F.col("quality").cast("double"))

@@ -136,3 +136,14 @@ def test_kfold_partition_independent(spark, counts, parts, k):
     for i, c in enumerate(counts):     # every fold within one of c / k
         per = [sum(1 for j, y in enumerate(labels) if y == f"k{i}" and a[j] == f) for f in range(k)]
         assert max(per) - min(per) <= 1
+
+
+def test_null_labels_are_their_own_stratum(spark):
+    labels = ["a"] * 20 + [None] * 10 + ["b"] * 10
+    df = spark.createDataFrame([(i, y) for i, y in enumerate(labels)], "id long, y string")
+    out = S.split_stratified(df, "y", keys=["id"], test_size=0.2).collect()
+    assert len(out) == 40
+    tr = {k: sum(1 for r in out if r["y"] == k and r["split"] == "train") for k in ("a", "b", None)}
+    assert tr == {"a": 16, "b": 8, None: 8}
+    folds = S.stratified_kfold(df, "y", keys=["id"], k=2).collect()
+    assert sum(1 for r in folds if r["y"] is None and r["fold"] == 0) == 5

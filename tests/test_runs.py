@@ -90,3 +90,65 @@ def test_threshold_edges_and_no_runs(spark):
     c = {r["experiment_id"]: r for r in R.compare_models(runs, experiments=exps).collect()}
     assert c["zz"]["reason"] == R.REASON_NO_RUNS and not c["zz"]["promote_challenger"]
     assert set(c) == {"a", "zz"}
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+def _model_step(state, op):
+    """Dict model: state[exp] = list of [run_id, start, tags]; newest = max (start, run_id)."""
+    for exp, runs in state.items():
+        def newest(pred, key=lambda r: (r[1], r[0])):
+            c = [r for r in runs if pred(r)]
+            return max(c, key=key) if c else None
+        if op == "tag":
+            r = newest(lambda r: True)
+            r[2].update({"model_alias": "challenger", "ci_pipeline": "true"})
+        elif op == "promote":
+            ch = newest(lambda r: r[2].get("model_alias") == "challenger")
+            if ch is None:
+                continue
+            cp = newest(lambda r: r[2].get("model_alias") == "champion")
+            if cp is not None:
+                cp[2].update({"model_alias": "archived", "archived_at": NOW,
+                              "archived_reason": "Replaced by better model"})
+            ch[2].update({"model_alias": "champion", "promoted_at": NOW, "promoted_from": "challenger"})
+        elif op == "rollback":
+            cur = newest(lambda r: r[2].get("model_alias") == "champion")
+            prev = newest(lambda r: r[2].get("model_alias") == "archived",
+                          key=lambda r: ("archived_at" in r[2], r[2].get("archived_at", ""), r[1], r[0]))
+            if cur is None or prev is None:
+                continue
+            cur[2].update({"model_alias": "archived", "archived_at": NOW,
+                           "archived_reason": "Rollback - replaced by previous model"})
+            prev[2].pop("archived_at", None)
+            prev[2].update({"model_alias": "champion", "restored_at": NOW})
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(ops=st.lists(st.sampled_from(["tag", "promote", "rollback"]), min_size=1, max_size=4))
+def test_operation_sequences_match_dict_model(spark, ops):
+    rows = [("x-exp", 1, 1, {"model_alias": "archived"}, 0.1), ("x-exp", 2, 2, {"model_alias": "champion"}, 0.2),
+            ("x-exp", 3, 3, {}, 0.3), ("y-exp", 4, 1, {}, 0.1), ("y-exp", 5, 2, {}, 0.2)]
+    state = {}
+    for e, r, t, tags, _ in rows:
+        state.setdefault(e, []).append([r, t, dict(tags)])
+    runs = _runs(spark, rows)
+    versions = spark.createDataFrame([("x-model", 1, 1), ("x-model", 2, 2)], "model_name string, version long, run_id long")
+    aliases = spark.createDataFrame([("x-model", "archived", 1), ("x-model", "champion", 2)],
+                                    "model_name string, alias string, version long")
+    for op in ops:
+        if op == "tag":
+            runs = R.tag_challenger(runs)
+        elif op == "promote":
+            runs, versions, aliases = R.promote_model(runs, versions, aliases, NOW)
+        else:
+            runs, aliases = R.rollback_model(runs, versions, aliases, NOW)
+        runs = spark.createDataFrame(runs.collect(), runs.schema)  # small fixture: keep plans short
+        _model_step(state, op)
+        got = {r["run_id"]: dict(r["tags"]) for r in runs.collect()}
+        want = {r[0]: r[2] for rs in state.values() for r in rs}
+        assert got == want, (ops, op)
+        for rs in state.values():
+            assert sum(1 for r in rs if r[2].get("model_alias") == "champion") <= 1

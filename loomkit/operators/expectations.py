@@ -143,6 +143,21 @@ def _row_exprs(i: int, e: Expectation, fields: dict) -> list:
     return out
 
 
+def _duplicate_counts(df: DataFrame, suite, uniq, fields) -> Column:
+    """Rows whose value occurs more than once, for every uniqueness check at
+    once: one scan and one shuffle with grouping sets (one per column; map-side
+    partial counts, so a hot value is pre-reduced), returned as one struct
+    (a scalar subquery, no join)."""
+    cols = [f"_u{i}" for i in uniq]
+    vals = df.select(*[as_missing(F.col(suite[i].column), fields[suite[i].column]).alias(f"_u{i}") for i in uniq])
+    counts = vals.groupingSets([[c] for c in cols], *cols).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.grouping(c).alias(f"_g{c}") for c in cols])
+    sums = counts.agg(F.struct(*[
+        F.coalesce(F.sum(F.when((F.col(f"_g{c}") == 0) & F.col(c).isNotNull() & (F.col("_n") > 1), F.col("_n"))),
+                   F.lit(0)).cast("bigint").alias(f"u{i}") for c, i in zip(cols, uniq)]))
+    return sums.scalar().alias("_dups")
+
+
 def validate(df: DataFrame, suite) -> DataFrame:
     """One result row per expectation (exact repeats dropped).
 
@@ -166,16 +181,9 @@ def validate(df: DataFrame, suite) -> DataFrame:
         else:
             aggs += _row_exprs(i, e, fields)
     stats = df.agg(*aggs)
-    dups = []
-    for i in uniq:
-        c = suite[i].column
-        v = as_missing(F.col(c), fields[c])
-        dup = (df.select(v.alias("_v")).where(F.col("_v").isNotNull())
-                 .groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
-                 .agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint")))
-        dups.append(dup.scalar().alias(f"u{i}"))  # scalar subquery: one value, no join
-    if dups:
-        stats = stats.select("*", *dups)
+    if uniq:
+        stats = stats.select("*", _duplicate_counts(df, suite, uniq, fields))
+        stats = stats.select("*", *[F.col("_dups")[f"u{i}"].alias(f"u{i}") for i in uniq]).drop("_dups")
 
     rows = [_result(i, e, fields, df.columns) for i, e in enumerate(suite)]
     return stats.select(F.inline(F.array(*rows)))

@@ -64,3 +64,11 @@ def test_row_checks_equal_brute_force(spark, vals, lo, hi):
     assert r[X.IN_SET]["unexpected_count"] == sum(1 for v in nn if v not in (0, 1, 2))
     assert r[X.BETWEEN]["success"] == all(lo <= v <= hi for v in nn)
 
+
+
+def test_several_unique_checks_in_one_pass(spark):
+    rows = [(1, "a", 0.5), (1, "b", float("nan")), (2, "b", 0.5), (3, None, float("nan")), (4, "c", 1.5)]
+    df = spark.createDataFrame(rows, "k long, s string, d double")
+    suite = [X.Expectation.of(X.UNIQUE, c) for c in ("k", "s", "d")]
+    got = {r["column"]: r["unexpected_count"] for r in X.validate(df, suite).collect()}
+    assert got == {"k": 2, "s": 2, "d": 2}     # NaN is missing, so only the two 0.5 values collide

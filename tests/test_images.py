@@ -5,7 +5,6 @@ import tempfile
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from loomkit.sources import images as IM
 

@@ -2,7 +2,6 @@
 import math
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from loomkit.operators import metrics as E
 

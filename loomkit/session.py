@@ -77,8 +77,8 @@ _SHIPPED: set = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``loomkit`` importable in executor Python workers: zip the
-    package once per SparkContext and ``addPyFile`` it (Spark distributes
-    it with the tasks).  Needed by code that runs Python on executors
+    package once per SparkContext, copy the zip to the shared checkpoint
+    folder and ``addPyFile`` it from there.  Needed by code that runs Python on executors
     (``mapInPandas``), whose pickled functions reference this package."""
     import zipfile
 
@@ -95,5 +95,11 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.join("loomkit", os.path.relpath(full, pkg)))
-    sc.addPyFile(out)
+    # executors fetch it from the shared checkpoint folder, not the driver's disk
+    import uuid
+    dst = scratch_path(spark, f"pyfiles/{uuid.uuid4().hex}/loomkit.zip")
+    jvm = sc._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(dst)
+    hp.getFileSystem(sc._jsc.hadoopConfiguration()).copyFromLocalFile(jvm.org.apache.hadoop.fs.Path(out), hp)
+    sc.addPyFile(hp.toString())
     _SHIPPED.add(key)

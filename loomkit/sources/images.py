@@ -199,25 +199,36 @@ def quantize_embedding(vec) -> np.ndarray:
     return np.clip(np.floor((v + 1.0) * 127.5 + 0.5), 0, 255).astype(np.uint8)
 
 
+def _arrow_fs(root: str):
+    """A pyarrow file system and base path for a folder URI (local, s3, gs, hdfs...)."""
+    import pyarrow.fs as pafs
+    if root.startswith("file:") and not root.startswith("file://"):
+        root = "file://" + root[5:]
+    if "://" not in root:
+        return pafs.LocalFileSystem(), root
+    return pafs.FileSystem.from_uri(root)
+
+
 def write_embedding_images(df: DataFrame, root: str, side: int = 8) -> DataFrame:
     """Render each ``embeddings`` row as a ``side x side`` gray PNG at
     ``<root>/<label>/<vec_id:06d>.png``.  Each task writes its own files
-    (the root must be a folder every executor can write, e.g. a shared
-    mount); returns ``(vec_id, label, rel_path)`` of what was written."""
-    import os
-
+    through ``pyarrow.fs`` (local, object store or HDFS folder; rewriting a
+    file on retry is harmless); returns ``(vec_id, label, rel_path)``."""
     from ..session import ship_package
     ship_package(df.sparkSession)
-    local_root = root[5:] if root.startswith("file:") else root
 
     def run(batches):
+        fs, base = _arrow_fs(root)
+        made = set()
         for pdf in batches:
             rels = []
             for vid, lab, emb in zip(pdf["vec_id"], pdf["label"], pdf["embedding"]):
                 rel = f"{int(lab)}/{int(vid):06d}.png"
-                full = os.path.join(local_root, rel)
-                os.makedirs(os.path.dirname(full), exist_ok=True)
-                with open(full, "wb") as f:
+                folder = f"{base}/{int(lab)}"
+                if folder not in made:
+                    fs.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with fs.open_output_stream(f"{base}/{rel}") as f:
                     f.write(png_bytes(quantize_embedding(emb).reshape(side, side)))
                 rels.append(rel)
             yield pd.DataFrame({"vec_id": pdf["vec_id"], "label": pdf["label"].astype("int32"), "rel_path": rels})

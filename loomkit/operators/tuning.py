@@ -14,7 +14,6 @@ import math
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
@@ -89,6 +88,22 @@ def fit_key(params: dict) -> tuple:
     return tuple(sorted((k, v) for k, v in params.items() if k not in NO_SPARK_COUNTERPART))
 
 
+# Metrics a cross-validation can optimize (computed by loomkit's aggregates).
+CV_METRICS = {"accuracy", "f1", "precision", "recall", "rmse", "mse", "mae", "r2"}
+
+
+def fold_scores(scored: DataFrame, label: str, metric: str) -> dict:
+    """``{part: score}`` for the parts in ``_part`` (one aggregate job)."""
+    from .metrics import accuracy, precision_recall_f1, regression_metrics
+    if metric == "accuracy":
+        rows = accuracy(scored, label, "prediction", ["_part"]).collect()
+    elif metric in ("f1", "precision", "recall"):
+        rows = precision_recall_f1(scored, label, "prediction", ["_part"]).where(F.col("class") == "weighted").collect()
+    else:
+        rows = regression_metrics(scored, label, "prediction", ["_part"]).collect()
+    return {r["_part"]: float(r[metric]) for r in rows}
+
+
 def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str, k: int = 3,
                    metric: str = "accuracy", keys=None, seed: int = 42, parallelism: int | None = None,
                    stratify: bool = True) -> DataFrame:
@@ -106,10 +121,8 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
     for r in rows:
         p = {n: _parse(v) for n, v in r.items() if n != "trial_id"}
         fits.setdefault(fit_key(p), p)
-    if metric in ("accuracy", "f1", "weightedPrecision", "weightedRecall"):
-        ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
-    else:
-        ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
+    if metric not in CV_METRICS:
+        raise ValueError(f"metric must be one of {sorted(CV_METRICS)}")
 
     with ExitStack() as stack:
         # the input and its fold assignment are each computed once and cached
@@ -119,8 +132,10 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
         def run(job):
             key, f = job
             m = make_pipeline(fits[key]).fit(folds.where(F.col("fold") != f))
-            test, train = folds.where(F.col("fold") == f), folds.where(F.col("fold") != f)
-            return key, f, float(ev.evaluate(m.transform(test))), float(ev.evaluate(m.transform(train)))
+            # test and train scores from one pass over the scored folds
+            part = F.when(F.col("fold") == f, F.lit("test")).otherwise(F.lit("train")).alias("_part")
+            got = fold_scores(m.transform(folds).select(part, label, "prediction"), label, metric)
+            return key, f, got["test"], got["train"]
 
         jobs = [(key, f) for key in fits for f in range(k)]
         from .models import concurrency

@@ -30,7 +30,11 @@ METRIC_DIRECTIONS = [
     ("mae", False), ("error", False),
 ]
 
-# Reason texts of the comparison.
+# Reason texts of the comparison ({pct} and {thr} are percents
+# with two decimals, e.g. "2.67%"; {metric} is the metric name).
+REASON_IMPROVED = "Challenger improved by {pct} (threshold: {thr})"
+REASON_BELOW = "Improvement {pct} below threshold {thr}"
+REASON_WORSE = "Challenger performed worse on {metric}"
 REASON_MISSING = "Challenger missing primary metric: "
 REASON_FIRST = "First model - promoting as champion"
 REASON_SAME = "No challenger: the newest run is the champion"
@@ -116,6 +120,14 @@ def _pct_text(x: Column) -> Column:
     return F.format_string("%.2f%%", x * 100)
 
 
+def _fill(template: str, **cols) -> Column:
+    """A text template with ``{name}`` slots filled by string columns."""
+    import re
+    parts = re.split(r"\{(\w+)\}", template)
+    out = [F.lit(p) if i % 2 == 0 else cols[p] for i, p in enumerate(parts) if p != "" or i % 2]
+    return F.concat(*out)
+
+
 def compare_models(runs: DataFrame, metric: str = "test_accuracy", threshold: float = 0.01,
                    experiments: DataFrame | None = None, direction_overrides: dict | None = None) -> DataFrame:
     """Newest run (challenger) vs newest champion, per experiment.
@@ -150,11 +162,9 @@ def compare_models(runs: DataFrame, metric: str = "test_accuracy", threshold: fl
                .when(F.coalesce(same, F.lit(False)), F.lit(REASON_SAME))
                .when(missing, F.lit(REASON_MISSING + metric))
                .when(first, F.lit(REASON_FIRST))
-               .when(promote, F.concat(F.lit("Challenger improved by "), _pct_text(pct),
-                                       F.lit(" (threshold: "), _pct_text(thr), F.lit(")")))
-               .when(better, F.concat(F.lit("Improvement "), _pct_text(pct), F.lit(" below threshold "),
-                                      _pct_text(thr)))
-               .otherwise(F.lit(f"Challenger performed worse on {metric}")))
+               .when(promote, _fill(REASON_IMPROVED, pct=_pct_text(pct), thr=_pct_text(thr)))
+               .when(better, _fill(REASON_BELOW, pct=_pct_text(pct), thr=_pct_text(thr)))
+               .otherwise(F.lit(REASON_WORSE.format(metric=metric))))
     dnull = F.lit(None).cast("double")
     return j.select(
         EXP, "champion_run_id", "challenger_run_id", promote.alias("promote_challenger"),

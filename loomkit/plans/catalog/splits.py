@@ -22,6 +22,13 @@ def q_split_three_way(spark, sf):
                              test_size=0.2, validation_size=0.1, seed=42)
 
 
+def q_split_three_way_regression(spark, sf):
+    """A continuous target (regression): no strata in either stage."""
+    p = table(spark, sf, "part").select("p_partkey", "p_retailprice")
+    return S.split_three_way(p, keys=["p_partkey"], label="p_retailprice",
+                             test_size=0.2, validation_size=0.1, seed=42)
+
+
 def q_split_bernoulli(spark, sf):
     e = table(spark, sf, "events").select("event_id")
     return S.split_bernoulli(e, keys=["event_id"], test_size=0.2, validation_size=0.1, seed=42)
@@ -40,6 +47,7 @@ QUERIES = {
     "split_random": q_split_random,
     "split_stratified": q_split_stratified,
     "split_three_way": q_split_three_way,
+    "split_three_way_regression": q_split_three_way_regression,
     "split_bernoulli": q_split_bernoulli,
     "stratified_kfold": q_stratified_kfold,
     "task_type": q_task_type,
@@ -97,6 +105,16 @@ select o_orderkey, o_orderstatus, split from s1 where split = 'test'
 union all
 select o_orderkey, o_orderstatus, case when rn <= tr then 'train' else 'validation' end
 from o2 join w2 on o2.o_orderstatus = w2.y""",
+    "split_three_way_regression": """
+with n as (select count(*) - cast(ceil(0.2e0*count(*)) as bigint) ntr from part),
+o as (select p_partkey, p_retailprice, row_number() over (order by md5('42|' || p_partkey), p_partkey) rn from part),
+s1 as (select p_partkey, p_retailprice, case when rn <= ntr then 'train' else 'test' end split from o, n),
+t1 as (select p_partkey, p_retailprice from s1 where split = 'train'),
+n2 as (select count(*) - cast(ceil((0.1e0/(1-0.2e0))*count(*)) as bigint) ntr2 from t1),
+o2 as (select p_partkey, p_retailprice, row_number() over (order by md5('42|validation|' || p_partkey), p_partkey) rn2 from t1)
+select p_partkey, p_retailprice, split from s1 where split = 'test'
+union all
+select p_partkey, p_retailprice, case when rn2 <= ntr2 then 'train' else 'validation' end from o2, n2""",
     "split_bernoulli": """
 select event_id, case when u < 0.2e0 then 'test' when u < 0.2e0 + 0.1e0 then 'validation' else 'train' end as split
 from (select event_id, cast(('0x' || substr(md5('42|' || event_id), 1, 8)) as bigint) / 4294967296.0e0 u from events)""",

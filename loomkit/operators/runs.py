@@ -73,7 +73,9 @@ def _newest(runs: DataFrame, order=None) -> DataFrame:
 def search_runs(runs: DataFrame, experiment_ids=None, tag_equals: dict | None = None,
                 order_by=None, max_results: int | None = None) -> DataFrame:
     """Filter by experiment and tag equality, order, keep the first
-    ``max_results`` per experiment (``order_by``: list of (column, asc))."""
+    ``max_results`` per experiment.  ``order_by`` is a list of
+    ``(column, ascending)`` where column is a name or an expression such as
+    ``F.col("tags")["archived_at"]``; missing values sort last."""
     r = runs
     if experiment_ids is not None:
         r = r.where(F.col(EXP).isin(list(experiment_ids)))
@@ -82,7 +84,8 @@ def search_runs(runs: DataFrame, experiment_ids=None, tag_equals: dict | None =
     order_by = order_by or [(START, False), (RUN, False)]
     if max_results is None:
         return r
-    ords = [F.col(c).asc_nulls_last() if asc else F.col(c).desc_nulls_last() for c, asc in order_by]
+    cols = [(F.col(c) if isinstance(c, str) else c, asc) for c, asc in order_by]
+    ords = [c.asc_nulls_last() if asc else c.desc_nulls_last() for c, asc in cols]
     w = Window.partitionBy(EXP).orderBy(*ords)
     # rank filter -> planned as a per-partition group limit before the shuffle
     return r.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_results).drop("_rn")

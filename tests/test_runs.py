@@ -152,3 +152,12 @@ def test_operation_sequences_match_dict_model(spark, ops):
         assert got == want, (ops, op)
         for rs in state.values():
             assert sum(1 for r in rs if r[2].get("model_alias") == "champion") <= 1
+
+
+def test_search_runs_by_tag_order(spark):
+    rows = [("e", 1, 1, {"model_alias": "archived", "archived_at": "2024-03"}, 0.1),
+            ("e", 2, 2, {"model_alias": "archived", "archived_at": "2024-05"}, 0.2),
+            ("e", 3, 3, {"model_alias": "archived"}, 0.3)]
+    got = R.search_runs(_runs(spark, rows), tag_equals={"model_alias": "archived"},
+                        order_by=[(F.col("tags")["archived_at"], False)], max_results=2).collect()
+    assert [r["run_id"] for r in sorted(got, key=lambda r: r["tags"].get("archived_at", ""), reverse=True)] == [2, 1]

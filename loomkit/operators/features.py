@@ -3,6 +3,9 @@ assembly for Spark ML (M1)."""
 
 from __future__ import annotations
 
+from pyspark.ml import Transformer
+from pyspark.ml.param.shared import HasInputCols
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType, BooleanType, ArrayType
@@ -31,22 +34,21 @@ def select_features(df: DataFrame, features) -> DataFrame:
     return df.select(*features)
 
 
-def _array_to_vector_stage(cols):
-    """Pipeline stage: array<float|double> columns -> ML vectors (``<c>__vec``)."""
-    from pyspark.ml import Transformer
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.param.shared import HasInputCols
-    from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+class ArrayToVector(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Pipeline stage: array<float|double> columns -> ML vectors named
+    ``<column>__vec`` (``array_to_vector``, a column function; no UDF).
+    Saved and loaded with the pipeline like any Spark ML stage."""
 
-    class _A2V(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
-        def _transform(self, dataset):
-            for c in self.getInputCols():
-                dataset = dataset.withColumn(f"{c}__vec", array_to_vector(F.col(c).cast("array<double>")))
-            return dataset
+    def __init__(self, inputCols=None):
+        super().__init__()
+        if inputCols is not None:
+            self._set(inputCols=list(inputCols))
 
-    t = _A2V()
-    t._set(inputCols=list(cols))
-    return t
+    def _transform(self, dataset):
+        from pyspark.ml.functions import array_to_vector
+        for c in self.getInputCols():
+            dataset = dataset.withColumn(f"{c}__vec", array_to_vector(F.col(c).cast("array<double>")))
+        return dataset
 
 
 def assemble_features(df: DataFrame, features=None, label: str | None = None,
@@ -81,7 +83,7 @@ def assemble_features(df: DataFrame, features=None, label: str | None = None,
         stages.append(SQLTransformer(statement=f"SELECT *, {casts} FROM __THIS__"))
     if arrays:
         from pyspark.ml.feature import VectorSizeHint
-        stages.append(_array_to_vector_stage(arrays))
+        stages.append(ArrayToVector(arrays))
         for a in arrays:  # the assembler needs each vector's length up front
             n = df.select(F.size(a).alias("n")).where("n >= 0").first()["n"]
             stages.append(VectorSizeHint(inputCol=f"{a}__vec", size=int(n), handleInvalid="skip"))

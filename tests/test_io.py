@@ -95,3 +95,17 @@ def test_stream_with_array_requests(spark):
     q.awaitTermination()
     got = {r["req_id"]: (r["prediction"], r["model_id"]) for r in spark.sql("select * from lk_requests").collect()}
     assert got == {i: (1.0 + i + i, "m-req") for i in range(20)}
+
+
+def test_pipeline_with_arrays_saves_and_loads(spark):
+    from pyspark.ml import PipelineModel
+
+    from loomkit.operators import models as M
+    e = spark.read.parquet(f"{SF001}/embeddings.parquet")
+    m = M.train_kmeans(e, ["embedding"], k=3, max_iter=5, n_init=1)
+    path = tempfile.mkdtemp(prefix="lk-model-") + "/km"
+    m.write().overwrite().save(path)
+    back = PipelineModel.load(path)
+    a = m.transform(e).select("vec_id", "cluster").collect()
+    b = back.transform(e).select("vec_id", "cluster").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))

@@ -53,12 +53,16 @@ QUERIES = {
     "task_type": q_task_type,
 }
 
-_QUOTA = """
-n  as (select count(*) n, cast(ceil({ts}*count(*)) as bigint) nt from {src}),
-cl as (select {y} y, count(*) c from {src} group by {y}),
-q  as (select y, (c*(n-nt) - (c*(n-nt)) % n) / n f, (c*(n-nt)) % n r, n, nt from cl, n),
-z  as (select y, f, n - nt - sum(f) over () k, row_number() over (order by r desc, y) rk from q),
-w  as (select y, cast(f + case when rk <= k then 1 else 0 end as bigint) tr from z)"""
+def _quota(ts: str, src: str, y: str, sfx: str = "") -> str:
+    """CTEs n, cl, q, z, w (+ suffix) giving the train quota ``tr`` per class
+    ``y`` of ``src`` for a test share ``ts`` (largest remainder, ties by y)."""
+    return f"""
+n{sfx}  as (select count(*) n, cast(ceil({ts}*count(*)) as bigint) nt from {src}),
+cl{sfx} as (select {y} y, count(*) c from {src} group by {y}),
+q{sfx}  as (select y, (c*(n-nt) - (c*(n-nt)) % n) / n f, (c*(n-nt)) % n r, n, nt from cl{sfx}, n{sfx}),
+z{sfx}  as (select y, f, n - nt - sum(f) over () k, row_number() over (order by r desc, y) rk from q{sfx}),
+w{sfx}  as (select y, cast(f + case when rk <= k then 1 else 0 end as bigint) tr from z{sfx})"""
+
 
 _LINEITEM_TYPES = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
                    ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"),
@@ -84,21 +88,18 @@ SQL = {
 with n as (select count(*) - cast(ceil(0.2e0*count(*)) as bigint) ntr from orders),
 o as (select o_orderkey, row_number() over (order by md5('42|' || o_orderkey), o_orderkey) rn from orders)
 select o_orderkey, case when rn <= ntr then 'train' else 'test' end as split from o, n""",
-    "split_stratified": "with" + _QUOTA.format(ts="0.2e0", src="orders", y="o_orderstatus") + """,
+    "split_stratified": "with" + _quota("0.2e0", "orders", "o_orderstatus") + """,
 o as (select o_orderkey, o_orderstatus, row_number() over (partition by o_orderstatus
       order by md5('42|' || o_orderkey), o_orderkey) rn from orders)
 select o_orderkey, o_orderstatus, case when rn <= tr then 'train' else 'test' end as split
 from o join w on o.o_orderstatus = w.y""",
-    "split_three_way": "with" + _QUOTA.format(ts="0.2e0", src="orders", y="o_orderstatus") + """,
+    "split_three_way": "with" + _quota("0.2e0", "orders", "o_orderstatus") + """,
 o as (select o_orderkey, o_orderstatus, row_number() over (partition by o_orderstatus
       order by md5('42|' || o_orderkey), o_orderkey) rn from orders),
 s1 as (select o_orderkey, o_orderstatus, case when rn <= tr then 'train' else 'test' end as split
        from o join w on o.o_orderstatus = w.y),
-tr1 as (select o_orderkey, o_orderstatus from s1 where split = 'train'),""" + _QUOTA.format(
-        ts="(0.1e0/(1-0.2e0))", src="tr1", y="o_orderstatus").replace(
-        "n  as", "n2 as").replace("cl as", "cl2 as").replace("q  as", "q2 as").replace(
-        "z  as", "z2 as").replace("w  as", "w2 as").replace("from cl, n", "from cl2, n2").replace(
-        "from q)", "from q2)").replace("from z)", "from z2)") + """,
+tr1 as (select o_orderkey, o_orderstatus from s1 where split = 'train'),""" + _quota(
+        "(0.1e0/(1-0.2e0))", "tr1", "o_orderstatus", "2") + """,
 o2 as (select o_orderkey, o_orderstatus, row_number() over (partition by o_orderstatus
       order by md5('42|validation|' || o_orderkey), o_orderkey) rn from tr1)
 select o_orderkey, o_orderstatus, split from s1 where split = 'test'

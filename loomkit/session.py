@@ -52,7 +52,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="loomkit-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:  # record it for later calls; some deployments refuse the change
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:
+            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d

@@ -109,3 +109,18 @@ def test_pipeline_with_arrays_saves_and_loads(spark):
     a = m.transform(e).select("vec_id", "cluster").collect()
     b = back.transform(e).select("vec_id", "cluster").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_bernoulli_split_on_a_stream_equals_batch(spark):
+    from loomkit.operators.splits import split_bernoulli
+    src = tempfile.mkdtemp(prefix="lk-bern-")
+    ev = spark.read.parquet(f"{SF001}/events.parquet").select("event_id", "value")
+    ev.write.mode("append").parquet(src)
+    stream = split_bernoulli(spark.readStream.schema(ev.schema).parquet(src), keys=["event_id"],
+                             test_size=0.2, validation_size=0.1)
+    q = stream.writeStream.format("memory").queryName("lk_bern").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {r["event_id"]: r["split"] for r in spark.sql("select * from lk_bern").collect()}
+    want = {r["event_id"]: r["split"] for r in split_bernoulli(ev, keys=["event_id"], test_size=0.2,
+                                                                 validation_size=0.1).collect()}
+    assert got == want and len(got) == ev.count()

@@ -124,10 +124,12 @@ def train_mlp(df: DataFrame, features, label: str, hidden=(4,), num_classes: int
     return _fit(Pipeline(stages=stages + ls + [mlp]), df)
 
 
-def concurrency(spark, jobs: int, parallelism: int | None) -> int:
-    """Concurrent Spark jobs: given, else the cluster's default parallelism,
-    never more than the number of jobs."""
-    p = parallelism or spark.sparkContext.defaultParallelism
+def concurrency(spark, jobs: int, parallelism: int | None, partitions: int = 1) -> int:
+    """Concurrent fits: as given, else as many as the cluster's cores can
+    run side by side, i.e. cores / partitions-per-fit (a fit over a large
+    input that already spans the cluster runs alone); never more than the
+    number of jobs."""
+    p = parallelism or spark.sparkContext.defaultParallelism // max(1, int(partitions))
     return max(1, min(int(jobs), int(p)))
 
 
@@ -147,7 +149,8 @@ def train_kmeans(df: DataFrame, features, k=3, max_iter=300, seed=42, n_init=10,
             return m.summary.trainingCost, i, m
 
         n = max(1, int(n_init))
-        with ThreadPoolExecutor(max_workers=concurrency(df.sparkSession, n, parallelism)) as pool:
+        workers = concurrency(df.sparkSession, n, parallelism, data.rdd.getNumPartitions())
+        with ThreadPoolExecutor(max_workers=workers) as pool:
             runs = list(pool.map(fit, range(n)))
     best = min(runs, key=lambda r: (r[0], r[1]))  # lowest cost, ties to the first seed
     return PipelineModel(stages=prep.stages + [best[2]])

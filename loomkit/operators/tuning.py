@@ -139,7 +139,8 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
 
         jobs = [(key, f) for key in fits for f in range(k)]
         from .models import concurrency
-        with ThreadPoolExecutor(max_workers=concurrency(spark, len(jobs), parallelism)) as pool:
+        workers = concurrency(spark, len(jobs), parallelism, folds.rdd.getNumPartitions())
+        with ThreadPoolExecutor(max_workers=workers) as pool:
             res = {(key, f): (te, tr) for key, f, te, tr in pool.map(run, jobs)}
     out = []
     for r in rows:

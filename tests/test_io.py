@@ -124,3 +124,15 @@ def test_bernoulli_split_on_a_stream_equals_batch(spark):
     want = {r["event_id"]: r["split"] for r in split_bernoulli(ev, keys=["event_id"], test_size=0.2,
                                                                  validation_size=0.1).collect()}
     assert got == want and len(got) == ev.count()
+
+
+def test_score_file_keeps_csv(spark):
+    d = tempfile.mkdtemp(prefix="lk-csv-")
+    part = spark.read.parquet(f"{SF001}/part.parquet").select("p_partkey", "p_size")
+    FS.write_table(part, f"{d}/in.csv", "csv")
+    model = I.linear_expression_model({"p_size": 2.0}, 1.0)
+    out = I.score_file(spark, model, f"{d}/in.csv", f"{d}/out.csv")
+    assert set(out.columns) == {"p_partkey", "p_size", "prediction"}
+    rows = out.collect()
+    assert len(rows) == part.count() and all(abs(r["prediction"] - (1.0 + 2.0 * r["p_size"])) < 1e-9 for r in rows)
+    assert FS.detect_format(f"{d}/out.csv") == "csv"

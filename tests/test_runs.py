@@ -161,3 +161,22 @@ def test_search_runs_by_tag_order(spark):
     got = R.search_runs(_runs(spark, rows), tag_equals={"model_alias": "archived"},
                         order_by=[(F.col("tags")["archived_at"], False)], max_results=2).collect()
     assert [r["run_id"] for r in sorted(got, key=lambda r: r["tags"].get("archived_at", ""), reverse=True)] == [2, 1]
+
+
+def test_resolve_model_fallbacks(spark):
+    runs = _runs(spark, [("a-exp", 1, 1, {"model_alias": "champion"}, 0.1), ("a-exp", 2, 2, {}, 0.2),
+                         ("b-exp", 3, 1, {}, 0.1)])
+    versions = spark.createDataFrame([("a-model", 1, 1), ("a-model", 4, 1)], "model_name string, version long, run_id long")
+    aliases = spark.createDataFrame([("a-model", "champion", 1)], "model_name string, alias string, version long")
+    req = spark.createDataFrame(
+        [("a-exp", "a-model", s) for s in ("Champion", "latest", "4", "9", "staging")] + [("b-exp", "b-model", "latest"),
+                                                                                          ("c-exp", "c-model", "1")],
+        "experiment_id string, model_name string, version_spec string")
+    got = {(r["model_name"], r["version_spec"]): r["model_uri"] for r in R.resolve_model(req, versions, aliases, runs).collect()}
+    assert got[("a-model", "Champion")] == "models:/a-model/1"      # alias (case-insensitive)
+    assert got[("a-model", "latest")] == "models:/a-model/4"        # highest version
+    assert got[("a-model", "4")] == "models:/a-model/4"             # that version
+    assert got[("a-model", "9")] == "runs:/1/model"                 # unknown version: newest champion run
+    assert got[("a-model", "staging")] == "runs:/1/model"           # alias not set: newest champion run
+    assert got[("b-model", "latest")] == "runs:/3/model"            # no registry, no champion: newest run
+    assert got[("c-model", "1")] == "models/c-model"                # nothing known: local path

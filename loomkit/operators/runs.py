@@ -61,6 +61,14 @@ def tags_text(tags: Column) -> Column:
     return F.array_sort(F.transform(F.map_entries(tags), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
 
 
+def _pinned(df: DataFrame) -> DataFrame:
+    """Checkpoint a small per-experiment table that several later steps
+    read, so the runs table is not re-aggregated for each of them."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _newest(runs: DataFrame, order=None) -> DataFrame:
     """Top-1 per experiment by (order..., start_time, run_id), newest wins."""
     order = order or [F.col(START), F.col(RUN)]
@@ -221,7 +229,7 @@ def promote_model(runs: DataFrame, versions: DataFrame, aliases: DataFrame, now:
     """
     ch = run_by_alias(runs, "challenger").select(EXP, F.col(RUN).alias("_chal"))
     cp = run_by_alias(runs, "champion").select(EXP, F.col(RUN).alias("_champ"))
-    pairs = ch.join(cp, EXP, "left").withColumn("model_name", model_name(F.col(EXP)))
+    pairs = _pinned(ch.join(cp, EXP, "left").withColumn("model_name", model_name(F.col(EXP))))
 
     arch = pairs.where(F.col("_champ").isNotNull()).select(
         EXP, F.col("_champ").alias(RUN),
@@ -267,7 +275,7 @@ def rollback_model(runs: DataFrame, versions: DataFrame, aliases: DataFrame, now
     # archived_at DESC with missing stamps last, then start_time / run_id DESC
     prev = _newest(arch, [F.col("tags")["archived_at"].isNotNull(), F.col("tags")["archived_at"],
                           F.col(START), F.col(RUN)]).select(EXP, F.col(RUN).alias("_prev"))
-    pairs = cur.join(prev, EXP).withColumn("model_name", model_name(F.col(EXP)))
+    pairs = _pinned(cur.join(prev, EXP).withColumn("model_name", model_name(F.col(EXP))))
     old = runs.select(EXP, RUN, "tags")
     a = pairs.select(EXP, F.col("_cur").alias(RUN)).join(old, [EXP, RUN]).select(
         EXP, RUN, set_tags(F.col("tags"), {ALIAS_TAG: "archived", "archived_at": now,

@@ -62,11 +62,11 @@ def tags_text(tags: Column) -> Column:
 
 
 def _pinned(df: DataFrame) -> DataFrame:
-    """Checkpoint a small per-experiment table that several later steps
-    read, so the runs table is not re-aggregated for each of them."""
-    from ..session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cache a small per-experiment table that several later steps read, so
+    the runs table is not re-aggregated for each of them (one row per
+    experiment; recomputed from lineage if an executor is lost)."""
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _newest(runs: DataFrame, order=None) -> DataFrame:

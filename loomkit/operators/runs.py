@@ -48,7 +48,8 @@ def set_tags(tags: Column, values: dict) -> Column:
     """Tags with ``values`` set (replacing existing keys)."""
     keys = list(values)
     kept = F.map_filter(tags, lambda k, v: ~k.isin(keys))
-    new = F.create_map(*[x for k in keys for x in (F.lit(k), values[k] if isinstance(values[k], Column) else F.lit(values[k]))])
+    vals = [values[k] if isinstance(values[k], Column) else F.lit(values[k]) for k in keys]
+    new = F.create_map(*[x for k, v in zip(keys, vals) for x in (F.lit(k), v)])
     return F.map_concat(kept, new)
 
 
@@ -255,7 +256,8 @@ def promote_model(runs: DataFrame, versions: DataFrame, aliases: DataFrame, now:
     new_versions = versions.unionByName(add)
     chal_v = p.where(F.col("_v").isNotNull()).select("model_name", EXP, "_chal", "_champ", "_v").unionByName(
         fresh.select("model_name", EXP, "_chal", "_champ", "_v"))
-    champ_alias = chal_v.select("model_name", F.lit("champion").alias("alias"), F.col("_v").cast("bigint").alias("version"))
+    champ_alias = chal_v.select("model_name", F.lit("champion").alias("alias"),
+                                F.col("_v").cast("bigint").alias("version"))
     old_v = (pairs.where(F.col("_champ").isNotNull())
                   .join(versions.select("model_name", F.col(RUN).alias("_champ"), "version"), ["model_name", "_champ"])
                   .groupBy("model_name", "_champ").agg(F.min("version").alias("version"))
@@ -360,7 +362,8 @@ def resolve_model(requests: DataFrame, versions: DataFrame, aliases: DataFrame,
     else:
         fallback = F.lit(None).cast("bigint")
     uri = (F.when(F.col("resolved_version").isNotNull(),
-                  F.concat(F.lit("models:/"), F.col("model_name"), F.lit("/"), F.col("resolved_version").cast("string")))
+                  F.concat(F.lit("models:/"), F.col("model_name"), F.lit("/"),
+                           F.col("resolved_version").cast("string")))
             .when(fallback.isNotNull(), F.concat(F.lit("runs:/"), fallback.cast("string"), F.lit("/model")))
             .otherwise(F.concat(F.lit("models/"), F.col("model_name"))))
     source = (F.when(F.col("resolved_version").isNotNull(), F.lit("registry"))

@@ -15,7 +15,8 @@ The cut never ranks a whole class in one task.  Rows are counted per
 ``(class, hash-prefix bucket)`` with the first 4 hex digits of the hash:
 at most 65,536 buckets per class, so map-side partial aggregation shrinks
 every task's output to that size.  This count table is computed once and
-its lineage cut with ``checkpoint()`` into the session's checkpoint folder; class sizes, quotas and the cut all derive from it.  A running
+its lineage cut with ``checkpoint()`` into the session's checkpoint
+folder; class sizes, quotas and the cut all derive from it.  A running
 sum over the buckets finds, for each class, the one bucket holding the
 quota boundary.  Rows below it go first and rows above it second with no
 shuffle (broadcast join of a per-class table whose size is checked); only

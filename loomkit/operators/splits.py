@@ -83,7 +83,11 @@ def _bucket_counts(d: DataFrame) -> DataFrame:
     per class)."""
     from ..session import checkpoint_dir
     checkpoint_dir(d.sparkSession)
-    return d.groupBy(_Y, _B).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    bc = d.groupBy(_Y, _B).agg(F.count(F.lit(1)).alias("_n"))
+    cap = d.sparkSession.sparkContext.defaultParallelism
+    if bc.rdd.getNumPartitions() > cap:  # a checkpoint keeps its partition count
+        bc = bc.coalesce(cap)
+    return bc.checkpoint(eager=True)
 
 
 def _class_stats(bc: DataFrame):

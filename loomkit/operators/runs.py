@@ -67,12 +67,9 @@ def _pinned(df: DataFrame) -> DataFrame:
     the runs table is not re-aggregated for each of them (one row per
     experiment; recomputed from lineage if an executor is lost)."""
     from pyspark import StorageLevel
-    # a cached relation keeps its shuffle's partition count (AQE does not
-    # coalesce it): narrow it to the cluster's parallelism first
-    cap = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() > cap:
-        df = df.coalesce(cap)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+    from ..session import narrowed
+    return narrowed(df).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _newest(runs: DataFrame, order=None) -> DataFrame:

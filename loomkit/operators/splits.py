@@ -81,13 +81,9 @@ def _bucket_counts(d: DataFrame) -> DataFrame:
     """Rows per (class, bucket), computed once and checkpointed into the
     session's shared checkpoint folder (lineage cut; small: <= 65,536 rows
     per class)."""
-    from ..session import checkpoint_dir
+    from ..session import checkpoint_dir, narrowed
     checkpoint_dir(d.sparkSession)
-    bc = d.groupBy(_Y, _B).agg(F.count(F.lit(1)).alias("_n"))
-    cap = d.sparkSession.sparkContext.defaultParallelism
-    if bc.rdd.getNumPartitions() > cap:  # a checkpoint keeps its partition count
-        bc = bc.coalesce(cap)
-    return bc.checkpoint(eager=True)
+    return narrowed(d.groupBy(_Y, _B).agg(F.count(F.lit(1)).alias("_n"))).checkpoint(eager=True)
 
 
 def _class_stats(bc: DataFrame):

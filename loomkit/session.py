@@ -106,3 +106,15 @@ def ship_package(spark: SparkSession) -> None:
     hp.getFileSystem(sc._jsc.hadoopConfiguration()).copyFromLocalFile(jvm.org.apache.hadoop.fs.Path(out), hp)
     sc.addPyFile(hp.toString())
     _SHIPPED.add(key)
+
+
+def narrowed(df):
+    """``df`` (straight out of a shuffle) coalesced to at most the cluster's
+    default parallelism.  A cached or checkpointed relation keeps its
+    partition count (AQE does not coalesce it).  The count is taken from
+    ``spark.sql.shuffle.partitions`` because asking an adaptive plan for
+    its partitions would execute it."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    cap = spark.sparkContext.defaultParallelism
+    return df.coalesce(cap) if parts > cap else df

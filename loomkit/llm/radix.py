@@ -31,9 +31,13 @@ def normalised(text: Column) -> Column:
 
 
 def _split(rows: DataFrame, keys: list[str], out: list) -> DataFrame:
-    """``rows`` that share ``keys`` with another row, with the group's number ``gid`` (its smallest row)."""
+    """``rows`` that share ``keys`` with another row, with the group's number ``gid`` (its smallest row).
+
+    The groups are written first, so both sides of the join are plain shuffles
+    and a hot group's rows can be split among tasks."""
     groups = rows.groupBy(*keys).agg(F.min("rid").alias("new"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return rows.join(groups.select(*keys, "new"), keys).select(F.col("new").alias("gid"), *out)
+    groups = written(groups.select(*keys, "new"), "radix-groups")
+    return rows.join(groups.hint("merge"), keys).select(F.col("new").alias("gid"), *out)
 
 
 def _base(docs: DataFrame, text: str) -> DataFrame:
@@ -51,7 +55,8 @@ def _classes(base: DataFrame, text: str) -> tuple[DataFrame, list[DataFrame]]:
     done, tables, at, width = [first.where(F.col("len") <= FIRST).select("rid", "gid")], [first], FIRST, FIRST
     norm = normalised(F.coalesce(F.col("row").getField(text).cast("string"), F.lit("")))
     rest = F.substring(norm.cast("binary"), FIRST + 1, 2147483647)
-    live = written(first.where(F.col("len") > FIRST).join(base.select("rid", rest.alias("rest")), "rid"), "radix-live")
+    more = first.where(F.col("len") > FIRST).hint("merge")  # grows with the corpus: never broadcast
+    live = written(base.select("rid", rest.alias("rest")).join(more, "rid").select("rid", "gid", "len", "rest"), "radix-live")
     while not live.isEmpty():
         width = min(width * GROWTH, LARGEST)
         at += width
@@ -74,8 +79,8 @@ def _flags(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFram
     members = classes.join(narrow.select("rid", "id", "n_chars"), "rid")
     best = F.min(F.struct(-F.col("n_chars"), F.isnull("id"), F.col("id"), F.col("rid")))
     per = members.groupBy("gid").agg(F.count(F.lit(1)).alias("n"), best.alias("b"))
-    per = per.select("gid", "n", F.col("b.id").alias("keep"), F.col("b.rid").alias("keep_rid"))
-    found = classes.join(per, "gid").select("rid", "n", "keep", "keep_rid")
+    per = written(per.select("gid", "n", F.col("b.id").alias("keep"), F.col("b.rid").alias("keep_rid")), "radix-classes")
+    found = classes.join(per.hint("merge"), "gid").select("rid", "n", "keep", "keep_rid")
     return base, narrow.join(found, "rid", "left").select(
         "rid", "id", F.when(F.isnull("n"), F.col("id")).otherwise(F.col("keep")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),

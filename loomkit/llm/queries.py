@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, radix, secrets
+from . import hnsw, langid, packing, radix, secrets, subword, urllist, warc
 from .common import read
 
 
@@ -13,10 +14,24 @@ def byte_bpe_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_bpe_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents"))
 
 
+def op2_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
+def op3_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op4_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), byte_bpe_path(), with_ids=False)
 
@@ -25,7 +40,47 @@ def op5_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix.exact_groups(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_secret_scan": op1_secret_scan, "op4_concat_and_cut": op4_concat_and_cut, "op5_radix_dedup": op5_radix_dedup}
+def _number(text: Column) -> Column:
+    """A number below 2**32 fixed by a text, the same in Spark and in SQL."""
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def captures_and_list(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Captures of ``pages`` with a fetch time in 2024, and a dated list over the hosts seen in them.
+
+    The tables have neither times nor lists, so both follow from the md5 of page id and host."""
+    pages = read(spark, sf_dir, "pages")
+    start = F.lit(1704067200)  # 2024-01-01 UTC
+    captures = pages.select("page_id", "url", F.timestamp_seconds(
+        start + _number(F.col("page_id").cast("string")) % (366 * 86400)).alias("fetched_at"))
+    hosts = pages.select(urllist.host_of(F.col("url")).alias("host")).where(F.isnotnull("host")).distinct()
+    n = _number(F.col("host"))
+    h = hosts.select("host", (n % 6).alias("k"), (start + n % (200 * 86400)).alias("t"), F.regexp_replace("host", r"^[^.]+\.", "").alias("parent"))
+    row = lambda p, action, t: F.struct(p.alias("pattern"), F.lit(action).alias("action"), F.timestamp_seconds(t).alias("listed_at"))
+    host, t, day = F.col("host"), F.col("t"), 86400
+    entries = F.when(F.col("k") == 0, F.array(row(host, "block", t), row(host, "remove", t + 60 * day), row(host, "block", t + 120 * day))
+                     ).when(F.col("k") == 1, F.array(row(F.col("parent"), "block", t))
+                            ).when(F.col("k") == 2, F.array(row(host, "block", t), row(F.concat(host, F.lit("/en/")), "allow", t + 10 * day))
+                                   ).when(F.col("k") == 3, F.array(row(F.concat(host, F.lit("/fr/")), "block", t)))
+    return captures, h.select(F.explode(entries).alias("e")).select("e.*")
+
+
+def op6_temporal_url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures, entries = captures_and_list(spark, sf_dir)
+    return urllist.temporal_list_join(captures, entries, "page_id", "url", "fetched_at")
+
+
+def op9_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword.sample_segmentations(read(spark, sf_dir, "conversations"), piece_bpe_path(), ["conv_id", "turn"])
+
+
+def op10_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op2_byte_cnn_language, op3_hnsw_search, op4_concat_and_cut, op5_radix_dedup, op6_temporal_url_list,
+    op9_sampled_segmentations, op10_warc_reassembly)}
 
 SQL = {
     "op5_radix_dedup": r"""
@@ -34,4 +89,33 @@ SQL = {
         g as (select *, count(*) over (partition by norm) as group_size,
                      first_value(doc_id) over (partition by norm order by n_cp desc, doc_id) as keep_id from n)
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from g""",
+    "op6_temporal_url_list": r"""
+        with p as (select page_id, url, ('0x' || substr(md5(page_id::varchar), 1, 8))::bigint as n,
+                          nullif(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1), '') as host,
+                          regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^/?#]+/)', 1) as seg from pages),
+        c as (select *, make_timestamp((1704067200 + n % (366 * 86400)) * 1000000) as fetched from p),
+        h as (select host, ('0x' || substr(md5(host), 1, 8))::bigint as n, regexp_replace(host, '^[^.]+\.', '') as parent
+              from (select distinct host from c where host is not null)),
+        d as (select host, parent, n % 6 as k, 1704067200 + n % (200 * 86400) as t from h),
+        e as (select host as pattern, 'block' as action, t from d where k in (0, 2)
+              union all select host, 'remove', t + 60 * 86400 from d where k = 0
+              union all select host, 'block', t + 120 * 86400 from d where k = 0
+              union all select parent, 'block', t from d where k = 1
+              union all select host || '/en/', 'allow', t + 10 * 86400 from d where k = 2
+              union all select host || '/fr/', 'block', t from d where k = 3),
+        o as (select pattern, make_timestamp(t * 1000000) as valid_from,
+                     arg_max(action, case action when 'allow' then 0 when 'block' then 1 else 2 end) as action from e group by all),
+        i as (select *, lead(valid_from) over (partition by pattern order by valid_from) as valid_to from o),
+        q as (select distinct page_id, url, fetched, unnest(list_concat(
+                     list_transform(range(1, greatest(len(string_split(host, '.')), 2)), lambda x: array_to_string(array_slice(string_split(host, '.'), x, len(string_split(host, '.'))), '.')),
+                     case when seg <> '' then list_transform(range(1, greatest(len(string_split(host, '.')), 2)),
+                          lambda x: array_to_string(array_slice(string_split(host, '.'), x, len(string_split(host, '.'))), '.') || seg) else [] end)) as pattern
+              from c where host is not null),
+        m as (select q.page_id, q.url, q.fetched, i.* from q join i using (pattern)
+              where action <> 'remove' and valid_from <= fetched and (valid_to is null or fetched < valid_to)),
+        w as (select page_id, url, fetched, count(*) as n_active,
+                     max({'n': length(pattern), 'pattern': pattern, 'action': action, 'valid_from': valid_from}) as b from m group by all)
+        select c.page_id, c.url, c.fetched as fetched_at, coalesce(w.n_active, 0) as n_active, w.b.pattern as pattern, w.b.action as action,
+               w.b.valid_from as active_since, coalesce(w.b.action = 'block', false) as blocked
+        from c left join w on c.page_id is not distinct from w.page_id and c.url is not distinct from w.url and c.fetched is not distinct from w.fetched""",
 }

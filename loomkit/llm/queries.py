@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hnsw, langid, packing, radix, secrets, subword, urllist, warc
+from . import hnsw, langid, neardup, packing, radix, secrets, subword, suffixes, urllist, warc
 from .common import read
 
 
@@ -70,6 +70,14 @@ def op6_temporal_url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urllist.temporal_list_join(captures, entries, "page_id", "url", "fetched_at")
 
 
+def op7_sparse_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+
+
+def op8_hamming_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_groups(read(spark, sf_dir, "documents"))
+
+
 def op9_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword.sample_segmentations(read(spark, sf_dir, "conversations"), piece_bpe_path(), ["conv_id", "turn"])
 
@@ -80,7 +88,7 @@ def op10_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_byte_cnn_language, op3_hnsw_search, op4_concat_and_cut, op5_radix_dedup, op6_temporal_url_list,
-    op9_sampled_segmentations, op10_warc_reassembly)}
+    op7_sparse_suffix_array, op8_hamming_near_dup, op9_sampled_segmentations, op10_warc_reassembly)}
 
 SQL = {
     "op5_radix_dedup": r"""

@@ -2,8 +2,10 @@
 
 A text without a space before another white-space character falls apart at its
 spaces: the pre-tokenizer starts a new word there, so each stretch encodes to
-the same ids alone as within the text.  Every distinct stretch is encoded once
-and remembered; other texts are encoded whole.
+the same ids alone as within the text.  So it does before a line break between
+other characters, and between a letter and a following stop; a new stretch is cut
+there too.  Every distinct stretch is encoded once and remembered, in two
+generations of bounded size; other texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -12,58 +14,91 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-MEMORY = 400_000  # distinct stretches remembered per worker
+MEMORY = 300_000  # stretches remembered per generation and worker
 _ODD = re.compile(r" (?:\s|\Z)")
+_CUT = re.compile(r"(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)|(?<=[a-z])(?=[.,;:!?])")
 
 
 class Encoder:
+    """Texts to ids; what it remembers are little-endian 32-bit words."""
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self):
-        self.index: dict[str, int] = {}
-        self.ids = np.zeros(1 << 20, np.uint32)
-        self.starts = np.zeros(MEMORY * 2, np.int64)
-        self.used = 0
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self.index]
-        for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            ids, n = e.ids, len(self.index)
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            if n + 2 > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.index[w] = n
-            self.starts[n + 1] = self.used
+        """Put distinct ``words`` into the new generation."""
+        old, new = self.old, self.new
+        parts, todo = {}, {}
+        for w in words:
+            if (ids := old.get(w)) is not None:
+                new[w] = ids
+            else:
+                parts[w] = p = _CUT.split(w)
+                for x in p:
+                    if x not in new and (len(p) == 1 or x not in old):
+                        todo[x] = None
+        if todo:
+            for w, e in zip(todo, self.tok.encode_batch_fast(list(todo), add_special_tokens=False), strict=True):
+                new[w] = np.array(e.ids, "<u4").tobytes()
+        for w, p in parts.items():
+            if len(p) > 1:
+                new[w] = b"".join([new[x] if x in new else old[x] for x in p])
 
     def encode(self, text: str) -> np.ndarray:
-        if _ODD.search(text):
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
-        if not text:
-            return np.zeros(0, np.uint32)
-        if len(self.index) > MEMORY:
-            self.forget()
-        head, *words = text.split(" ")
-        words = [" " + w for w in words]
-        if head:
-            words.insert(0, head)
-        get = self.index.get
-        at = list(map(get, words))
-        if None in at:
-            self._learn([w for w, i in zip(words, at, strict=True) if i is None])
-            at = list(map(get, words))
-        at = np.array(at, np.int64)
-        lo = self.starts[at]
-        n = self.starts[at + 1] - lo
-        ends = np.cumsum(n)
-        return self.ids[np.arange(ends[-1]) + np.repeat(lo - (ends - n), n)]
+        ids, _ = self.encode_many(pa.array([text], pa.string()))
+        return ids
+
+    def encode_many(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, number of ids of each); ``end_id`` follows each text if given."""
+        strings = texts.to_pylist()
+        n = len(strings)
+        odd = [i for i, t in enumerate(strings) if _ODD.search(t)]
+        plain = texts
+        if odd:
+            mask = np.zeros(n, bool)
+            mask[odd] = True
+            plain = pc.if_else(pa.array(mask), "", texts)
+        parts = pc.split_pattern(plain, " ")
+        count = np.diff(np.array(parts.offsets))  # stretches of each text; the first has no space before it
+        words = parts.flatten()
+        head = np.zeros(len(words), bool)
+        head[np.cumsum(count) - count] = True
+        coded = words.dictionary_encode()
+        known = [" " + w for w in coded.dictionary.to_pylist()]
+        if len(self.new) > MEMORY:
+            self.old, self.new = self.new, {}
+        get = self.new.get
+        found = list(map(get, known))
+        missing = [w for w, x in zip(known, found, strict=True) if x is None]
+        if missing:
+            self._learn(missing)
+            found = list(map(get, known))
+        special = words.filter(pa.array(head)).to_pylist()
+        for i in odd:  # encoded whole
+            special[i] = strings[i]
+        found += [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(special, add_special_tokens=False)]
+        tail = [] if end_id is None else [np.array([end_id], "<u4").tobytes()]
+        found += tail
+        at = np.array(coded.indices).astype(np.int64)
+        at[head] = len(known) + np.arange(n)
+        if tail:
+            at = np.insert(at, np.cumsum(count), len(found) - 1)
+            count = count + 1
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = np.cumsum(size) - size
+        pool = np.frombuffer(b"".join(found), "<u4")
+        each = size[at]
+        ends = np.cumsum(each)
+        ids = pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[at] - (ends - each), each)]
+        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(count)])]
+        return ids, np.diff(upto)
 
 
 _KNOWN: dict[str, Encoder] = {}

@@ -26,10 +26,11 @@ from pyspark.sql.window import Window
 from loomkit.session import ship_package
 
 from .bpe import encoder
-from .common import col, text_or_empty, written
+from .common import blocks, bytes_of, col, text_or_empty, written
 
 WINDOW = 1024
 END_ID = 0
+BLOCK = 8 << 20  # bytes of text encoded together
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text",
@@ -40,15 +41,16 @@ def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
     def run(batches):
         part, at = TaskContext.get().partitionId(), 0
         enc = encoder(tokenizer)
-        for b in batches:
-            rows = b.num_rows
-            ids = [np.append(enc.encode(t), np.uint32(end_id)) for t in b.column(1).to_pylist()]
-            n = np.fromiter(map(len, ids), np.int64, rows)
-            starts = at + np.cumsum(n) - n
-            at += int(n.sum())
-            yield pa.record_batch([pa.array(np.full(rows, part, np.int64)), pa.array(starts), b.column(0), pa.array(n),
-                                   pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())],
-                                  names=["part", "local_start", "id", "n", "ids"])
+        for whole in batches:
+            for lo, hi in blocks(np.diff(bytes_of(whole.column(1))[1]), BLOCK):
+                b = whole.slice(lo, hi - lo)
+                ids, n = enc.encode_many(b.column(1), end_id)
+                starts = at + np.cumsum(n) - n
+                at += int(n.sum())
+                offsets = np.concatenate([[0], np.cumsum(n) * 4]).astype(np.int64)
+                data = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<u4"))])
+                yield pa.record_batch([pa.array(np.full(len(n), part, np.int64)), pa.array(starts), b.column(0), pa.array(n), data.cast(pa.binary())],
+                                      names=["part", "local_start", "id", "n", "ids"])
 
     rows = docs.select(col(id_col).alias("id"), text_or_empty(text).alias("text"))
     schema = T.StructType([T.StructField("part", T.LongType()), T.StructField("local_start", T.LongType()),

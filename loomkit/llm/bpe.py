@@ -2,10 +2,10 @@
 
 A text without a space before another white-space character falls apart at its
 spaces: the pre-tokenizer starts a new word there, so each stretch encodes to
-the same ids alone as within the text.  So it does before a line break between
-other characters, and between a letter and a following stop; a new stretch is cut
-there too.  Every distinct stretch is encoded once and remembered, in two
-generations of bounded size; other texts are encoded whole.
+the same ids alone as within the text.  Every distinct stretch is encoded once
+and remembered, in two generations of bounded size; other texts are encoded whole.
+New stretches are encoded as one text, whose ids are dealt out by the number of
+bytes each stands for.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ import pyarrow.compute as pc
 
 MEMORY = 300_000  # stretches remembered per generation and worker
 _ODD = re.compile(r" (?:\s|\Z)")
-_CUT = re.compile(r"(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)|(?<=[a-z])(?=[.,;:!?])")
 
 
 class Encoder:
@@ -29,27 +28,33 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
+        vocab = self.tok.get_vocab()  # byte-level: a character stands for a byte
+        self.bytes_of_id = np.zeros(max(vocab.values()) + 1, np.int64)
+        for piece, i in vocab.items():
+            self.bytes_of_id[i] = len(piece)
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
         """Put distinct ``words`` into the new generation."""
         old, new = self.old, self.new
-        parts, todo = {}, {}
+        todo = []
         for w in words:
             if (ids := old.get(w)) is not None:
                 new[w] = ids
             else:
-                parts[w] = p = _CUT.split(w)
-                for x in p:
-                    if x not in new and (len(p) == 1 or x not in old):
-                        todo[x] = None
-        if todo:
-            for w, e in zip(todo, self.tok.encode_batch_fast(list(todo), add_special_tokens=False), strict=True):
-                new[w] = np.array(e.ids, "<u4").tobytes()
-        for w, p in parts.items():
-            if len(p) > 1:
-                new[w] = b"".join([new[x] if x in new else old[x] for x in p])
+                todo.append(w)
+        if not todo:
+            return
+        one = self.tok.encode_batch_fast(["".join(todo)], add_special_tokens=False)[0]
+        ids = np.array(one.ids, "<u4")
+        ends = np.cumsum(self.bytes_of_id[ids])
+        words_end = np.cumsum(np.array(pc.binary_length(pa.array(todo, pa.string())), np.int64))
+        cut = np.searchsorted(ends, words_end) + 1
+        if cut[-1] != len(ids) or (ends[cut - 1] != words_end).any():
+            raise ValueError("ids don't end where the stretches do: not a byte-level file")
+        raw, cut = ids.tobytes(), (cut * 4).tolist()
+        new.update(zip(todo, map(raw.__getitem__, map(slice, [0, *cut[:-1]], cut)), strict=True))
 
     def encode(self, text: str) -> np.ndarray:
         ids, _ = self.encode_many(pa.array([text], pa.string()))

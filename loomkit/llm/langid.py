@@ -197,7 +197,9 @@ def predict(docs: DataFrame, model: ByteCNN, id_col: str = "doc_id", text: str =
     return out.select(F.col("carry.id").alias(id_col), F.col("carry.held").alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, model: ByteCNN, text: str = "text", least: float = 0.5) -> DataFrame:
-    """``docs`` without the rows whose language is undetermined or scored below ``least``; columns as they were."""
+def keep_identified(docs: DataFrame, model: ByteCNN, text: str = "text", least: float = 0.0) -> DataFrame:
+    """``docs`` without the rows whose language is undetermined or scored below ``least``; columns as they were.
+
+    The default rejects only what cannot be told (null text, no letter): a short or odd text scores low but may be clean."""
     out = _predicted(_inputs(docs, whole_row(docs), text), model)
     return unpack_row(out.where((F.col("lang_pred") != UND) & (F.col("score") >= least)), "carry", docs.columns)

@@ -17,15 +17,11 @@ def features_target(df: DataFrame, target: str | None, label_col: str = "label")
     if target is None:
         return df
     if target not in df.columns:
-        raise ValueError(f"Target column '{target}' not found.\nAvailable: {df.columns}")
+        raise ValueError(f"no column {target!r} to predict among {df.columns}")
     feats = [c for c in df.columns if c != target]
     return df.select(*feats, F.col(target).alias(label_col))
 
 
-def feature_names(df: DataFrame, target: str | None) -> list:
-    return [c for c in df.columns if c != target]
-
-
 def select_features(df: DataFrame, features) -> DataFrame:
     """Keep only the named feature columns (pruned into the scan)."""
     missing = [c for c in features if c not in df.columns]
@@ -84,8 +80,14 @@ def assemble_features(df: DataFrame, features=None, label: str | None = None,
     if arrays:
         from pyspark.ml.feature import VectorSizeHint
         stages.append(ArrayToVector(arrays))
-        for a in arrays:  # the assembler needs each vector's length up front
-            n = df.select(F.size(a).alias("n")).where("n >= 0").first()["n"]
-            stages.append(VectorSizeHint(inputCol=f"{a}__vec", size=int(n), handleInvalid="skip"))
+        # the assembler needs each vector's length up front; a row of another length is an error, at fit and at scoring
+        least = [F.min(F.coalesce(F.size(a), F.lit(-1))).alias(f"lo{i}") for i, a in enumerate(arrays)]
+        most = [F.max(F.coalesce(F.size(a), F.lit(-1))).alias(f"hi{i}") for i, a in enumerate(arrays)]
+        width = df.agg(*least, *most).first()
+        for i, a in enumerate(arrays):
+            lo, hi = width[f"lo{i}"], width[f"hi{i}"]
+            if lo is None or lo < 0 or lo != hi:
+                raise ValueError(f"column {a} holds NULL arrays or arrays of different lengths ({lo} to {hi}; -1: NULL)")
+            stages.append(VectorSizeHint(inputCol=f"{a}__vec", size=int(lo), handleInvalid="error"))
     stages.append(VectorAssembler(inputCols=cols, outputCol=output, handleInvalid="keep"))
     return stages

@@ -5,11 +5,11 @@ optionally a probability / score column, plus any grouping columns (e.g.
 ``split``).  Every metric is one or two aggregates grouped by those
 columns; nothing is collected.
 
-Clustering metrics take a ``features`` array column and a ``cluster``
-column.  Centroids are a per-cluster aggregate (k rows) joined back by
-broadcast after a size check, or as one array from a one-row broadcast (the
-array feeds higher-order functions, where scalar subqueries are not
-allowed); other one-row results (totals, ranges) are scalar subqueries.
+Clustering metrics take a ``features`` array column, a ``cluster`` column
+and grouping columns.  One aggregate gives every cluster's size, mean,
+variances and vector lengths; vectors that are NULL or of different lengths
+are an error, never left out.  Inertia and Calinski-Harabasz need nothing
+else; Davies-Bouldin and the silhouette read the rows once more.
 """
 
 from __future__ import annotations
@@ -17,12 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .splits import maybe_broadcast
-
-LOG_LOSS_EPS = 1e-15
-AUC_BUCKETS = 1 << 20  # value ranges per group: non-empty ones only are materialized
-# Centroid metrics ship all k centroids to every row: bound k.
-MAX_CLUSTERS = 10_000
+LOG_LOSS_EPS = 1e-15  # fixed value: the clip of the usual library
 
 
 def _g(group):
@@ -99,43 +94,50 @@ def mcc(df: DataFrame, label="label", prediction="prediction", group=None) -> Da
 # ---------------------------------------------------------------- E5, E6
 def log_loss(df: DataFrame, label="label", prob_cols=None, group=None, eps=LOG_LOSS_EPS) -> DataFrame:
     """E5: mean of -ln(p of the true class), p clipped to [eps, 1-eps].
-    ``prob_cols[i]`` is the probability of class ``i``."""
+    ``prob_cols[i]`` is the probability of class ``i``.  A row without a
+    probability for its class (NULL, or a class outside ``prob_cols``) is an error."""
     chain = None
     for i, pc in enumerate(prob_cols):
         cond = F.col(label).cast("int") == F.lit(i)
         chain = F.when(cond, F.col(pc)) if chain is None else chain.when(cond, F.col(pc))
-    p = F.least(F.greatest(chain, F.lit(eps)), F.lit(1 - eps))
+    known = F.coalesce(chain.cast("double"), F.raise_error(F.lit("no probability for a row's class")).cast("double"))
+    p = F.least(F.greatest(known, F.lit(eps)), F.lit(1 - eps))
     return df.groupBy(*_g(group)).agg(F.avg(-F.log(p)).alias("log_loss"))
 
 
-def roc_auc(df: DataFrame, label="label", score="score", group=None, buckets=AUC_BUCKETS) -> DataFrame:
+def roc_auc(df: DataFrame, label="label", score="score", group=None) -> DataFrame:
     """Exact ROC AUC, ties averaged (Mann-Whitney), positives = label 1.
 
-    Per distinct score: positives and negatives (partial aggregation).
-    Each score's "negatives below" is a running sum; it is computed without
-    a global sort: scores fall in ``buckets`` value ranges per group, a
-    running sum over the per-bucket totals (small) gives each bucket's
-    offset, and the running sum inside a bucket is over its distinct
-    scores only.
+    Per distinct score: positives and negatives (partial aggregation).  The
+    distinct scores are range-partitioned (Spark samples the quantiles, so an
+    outlier moves no bounds) and written once; the partition number is the
+    bucket.  A running sum over the buckets' totals gives each bucket's
+    offset, and the running sum inside a bucket is over its scores only.
+
+    NULL or NaN scores are an error; a group with one class has no AUC (NULL).
     """
+    from ..session import materialize
+
     g = _g(group)
     s = F.col(score).cast("double")
+    s = F.when(F.isnotnull(s) & ~F.isnan(s), s).otherwise(F.raise_error(F.lit("a row has no score")).cast("double"))
     y = F.col(label).cast("int")
     d = df.groupBy(*g, s.alias("_s")).agg(
         F.sum(F.when(y == 1, 1).otherwise(0)).cast("double").alias("_p"),
         F.sum(F.when(y == 0, 1).otherwise(0)).cast("double").alias("_n"))
-    rng = d.groupBy(*g).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"))
-    d = d.join(rng, g) if g else d.select("*", *[rng.select(c).scalar().alias(c) for c in ("_lo", "_hi")])
-    width = F.when(F.col("_hi") > F.col("_lo"), (F.col("_hi") - F.col("_lo")) / buckets).otherwise(F.lit(1.0))
-    d = d.withColumn("_b", F.least(F.floor((F.col("_s") - F.col("_lo")) / width), F.lit(buckets - 1)).cast("int"))
+    d = materialize(d.repartitionByRange(*g, "_s").withColumn("_b", F.spark_partition_id()), "auc-scores")
     bt = d.groupBy(*g, "_b").agg(F.sum("_n").alias("_bn"))
     run = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bt = bt.withColumn("_off", F.sum("_bn").over(run) - F.col("_bn")).drop("_bn")
-    d = d.join(bt, g + ["_b"])
+    bt = bt.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)], F.col("_b").alias("_bb"),
+                   (F.sum("_bn").over(run) - F.col("_bn")).alias("_off"))
+    cond = d["_b"] == bt["_bb"]
+    for i, c in enumerate(g):
+        cond = cond & d[c].eqNullSafe(bt[f"_g{i}"])
+    d = d.join(bt, cond)
     inb = Window.partitionBy(*g, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("_below", F.col("_off") + F.sum("_n").over(inb) - F.col("_n"))
-    return d.groupBy(*g).agg(
-        (F.sum(F.col("_p") * (F.col("_below") + F.col("_n") / 2)) / (F.sum("_p") * F.sum("_n"))).alias("roc_auc"))
+    return d.groupBy(*g).agg(F.try_divide(
+        F.sum(F.col("_p") * (F.col("_below") + F.col("_n") / 2)), F.sum("_p") * F.sum("_n")).alias("roc_auc"))
 
 
 # ---------------------------------------------------------------- E7
@@ -155,16 +157,34 @@ def regression_metrics(df: DataFrame, label="label", prediction="prediction", gr
 
 
 # ---------------------------------------------------------------- clustering
-def _dim(df: DataFrame, features: str) -> int:
-    return int(df.select(F.size(features).alias("d")).where("d >= 0").first()["d"])
+_RAGGED = "feature vectors are missing or of different lengths"
+
+
+def _vector(features: str) -> Column:
+    """The feature array as an ML vector; NULL arrays and NULL components are errors."""
+    from pyspark.ml.functions import array_to_vector
+    v = F.col(features).cast("array<double>")
+    whole = F.isnotnull(v) & F.forall(v, lambda x: F.isnotnull(x))
+    return array_to_vector(F.when(whole, v).otherwise(F.raise_error(F.lit(_RAGGED)).cast("array<double>")))
+
+
+def cluster_stats(df: DataFrame, features="features", cluster="cluster", group=None) -> DataFrame:
+    """Per (group, cluster): n, centroid, within (sum of squared distances to
+    the centroid) and width, in one aggregate.  Vectors of different lengths
+    inside a cluster make the summarizer fail; across clusters ``width`` shows it."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    s = Summarizer.metrics("mean", "variance").summary(_vector(features))
+    a = df.groupBy(*_g(group), cluster).agg(F.count(F.lit(1)).alias("n"), s.alias("_s"), F.min(F.size(features)).alias("width"))
+    spread = F.aggregate(vector_to_array("_s.variance"), F.lit(0.0), lambda t, v: t + v)
+    return a.select(*_g(group), cluster, "n", vector_to_array("_s.mean").alias("centroid"),
+                    (spread * (F.col("n") - 1)).alias("within"), "width")
 
 
-def centroids(df: DataFrame, features="features", cluster="cluster", dim: int | None = None) -> DataFrame:
-    """Per cluster: size and mean vector (array<double>), one aggregate."""
-    dim = dim or _dim(df, features)
-    agg = [F.avg(F.col(features)[i].cast("double")).alias(f"_c{i}") for i in range(dim)]
-    c = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), *agg)
-    return c.select(cluster, "n", F.array(*[F.col(f"_c{i}") for i in range(dim)]).alias("centroid"))
+def _even(value: Column) -> Column:
+    """``value`` of an aggregate over clusters, provided that all have the same width."""
+    return F.when(F.min("width") == F.max("width"), value).otherwise(F.raise_error(F.lit(_RAGGED)).cast("double"))
 
 
 def _sqdist(a: Column, b: Column) -> Column:
@@ -172,99 +192,87 @@ def _sqdist(a: Column, b: Column) -> Column:
                        F.lit(0.0), lambda acc, v: acc + v)
 
 
-def _with_centroid(df, features, cluster, cent, k):
-    c = cent.select(F.col(cluster).alias("_cl"), F.col("centroid").alias("_cen"))
-    return df.join(maybe_broadcast(c, k), df[cluster] == c["_cl"])
-
-
-def inertia(df: DataFrame, features="features", cluster="cluster") -> DataFrame:
-    """Sum of squared distances to the own centroid."""
-    cent = centroids(df, features, cluster)
-    k = cent.count()
-    j = _with_centroid(df, features, cluster, cent, k)
-    return j.agg(F.sum(_sqdist(F.col(features), F.col("_cen"))).alias("inertia"))
-
-
-def calinski_harabasz(df: DataFrame, features="features", cluster="cluster") -> DataFrame:
-    """(between / (k-1)) / (within / (n-k)); higher is better."""
-    dim = _dim(df, features)
-    cent = centroids(df, features, cluster, dim)
-    k = cent.count()
-    mean = df.agg(F.array(*[F.avg(F.col(features)[i].cast("double")) for i in range(dim)]).alias("_m"))
-    within = _with_centroid(df, features, cluster, cent, k).agg(
-        F.sum(_sqdist(F.col(features), F.col("_cen"))).alias("_w"))
-    # the overall mean (one row) is broadcast to the k centroids
-    between = cent.join(F.broadcast(mean), how="inner").agg(
-        F.sum(F.col("n") * _sqdist(F.col("centroid"), F.col("_m"))).alias("_b"),
-        F.count(F.lit(1)).alias("_kk"), F.sum("n").alias("_n"))
-    j = within.select("*", *[between.select(c).scalar().alias(c) for c in ("_b", "_kk", "_n")])
-    return j.select(F.when((F.col("_w") > 0) & (F.col("_kk") > 1),
-                           (F.col("_b") / (F.col("_kk") - 1)) / (F.col("_w") / (F.col("_n") - F.col("_kk"))))
-                    .otherwise(F.lit(1.0)).alias("calinski_harabasz"))
-
-
-def _with_centroid_array(df: DataFrame, cent: DataFrame, cluster: str, k: int, extra=()) -> DataFrame:
-    """``df`` plus ``_all``: all k centroids as one array (k bounded and
-    checked).  The array feeds higher-order functions, where Spark allows
-    no scalar subquery, so it comes from a one-row broadcast join."""
-    if k > MAX_CLUSTERS:
-        raise ValueError(f"{k} clusters exceed the {MAX_CLUSTERS} supported by centroid metrics")
-    fields = [F.col(cluster).alias("c"), "n", "centroid", *extra]
-    one = cent.agg(F.collect_list(F.struct(*fields)).alias("_all"))
-    return df.join(F.broadcast(one), how="inner")  # exactly one row on the build side
-
-
-def davies_bouldin(df: DataFrame, features="features", cluster="cluster") -> DataFrame:
-    """Mean over clusters of the worst (s_i + s_j) / d(c_i, c_j);
-    s_i = mean distance to the own centroid.  Needs >= 2 clusters."""
-    cent = centroids(df, features, cluster)
-    k = cent.count()
-    if k < 2:
-        raise ValueError("Davies-Bouldin needs at least 2 clusters")
-    j = _with_centroid(df, features, cluster, cent, k)
-    s = j.groupBy(cluster).agg(F.avg(F.sqrt(_sqdist(F.col(features), F.col("_cen")))).alias("s"))
-    cs = cent.join(s, cluster)
-    me = _with_centroid_array(cs, cs, cluster, k, ["s"])
-    worst = F.array_max(F.transform(
-        F.filter("_all", lambda o: o["c"] != F.col(cluster)),
-        lambda o: (F.col("s") + o["s"]) / F.sqrt(_sqdist(F.col("centroid"), o["centroid"]))))
-    return me.agg(F.avg(worst).alias("davies_bouldin"))
-
-
-def silhouette_squared(df: DataFrame, features="features", cluster="cluster") -> DataFrame:
+def _on(left: DataFrame, right: DataFrame, names: list[str], how="inner") -> DataFrame:
+    """Join on equal (or both NULL) ``names``, keeping the left side's columns of that name."""
+    r = right.select(*[F.col(c).alias(f"_j{i}") if c in names else F.col(c) for i, c in enumerate(right.columns)])
+    cond = None
+    for i, c in enumerate(right.columns):
+        if c in names:
+            x = left[c].eqNullSafe(r[f"_j{i}"])
+            cond = x if cond is None else cond & x
+    out = left.join(r, cond, how) if names else left.join(r, how=how)
+    return out.drop(*[f"_j{i}" for i in range(len(right.columns))])
+
+
+def inertia(df: DataFrame, features="features", cluster="cluster", group=None) -> DataFrame:
+    """Sum of squared distances to the own centroid (one pass)."""
+    return cluster_stats(df, features, cluster, group).groupBy(*_g(group)).agg(_even(F.sum("within")).alias("inertia"))
+
+
+def calinski_harabasz(df: DataFrame, features="features", cluster="cluster", group=None) -> DataFrame:
+    """(between / (k-1)) / (within / (n-k)); higher is better (one pass).
+    1 when there is one cluster or no spread within the clusters."""
+    g = _g(group)
+    st = cluster_stats(df, features, cluster, g)
+    cells = st.select(*g, "n", "within", "width", F.posexplode("centroid").alias("i", "m"))
+    w = Window.partitionBy(*g, "i")
+    mean = F.sum(F.col("n") * F.col("m")).over(w) / F.sum("n").over(w)
+    cells = cells.withColumn("_b", F.col("n") * (F.col("m") - mean) * (F.col("m") - mean))
+    first = F.col("i") == 0  # a cluster's own figures count once
+    a = cells.groupBy(*g).agg(_even(F.sum("_b")).alias("_b"), F.sum(F.when(first, F.col("within"))).alias("_w"),
+                              F.count(F.when(first, 1)).alias("_k"), F.sum(F.when(first, F.col("n"))).alias("_n"))
+    value = F.try_divide(F.col("_b") / (F.col("_k") - 1), F.try_divide(F.col("_w"), F.col("_n") - F.col("_k")))
+    return a.select(*g, F.when((F.col("_w") > 0) & (F.col("_k") > 1), value).otherwise(F.lit(1.0)).alias("calinski_harabasz"))
+
+
+def davies_bouldin(df: DataFrame, features="features", cluster="cluster", group=None) -> DataFrame:
+    """Mean over clusters of the worst (s_i + s_j) / d(c_i, c_j); s_i =
+    mean distance to the own centroid.  Clusters whose centroids coincide
+    have ratio 0, as in the usual library; a group with one cluster is an error."""
+    from ..session import materialize
+
+    g = _g(group)
+    st = cluster_stats(df, features, cluster, g)
+    j = _on(df.select(*g, cluster, features), st.select(*g, cluster, "centroid", "width"), [*g, cluster])
+    s = j.groupBy(*g, cluster).agg(F.avg(F.sqrt(_sqdist(F.col(features), F.col("centroid")))).alias("s"),
+                                   F.first("centroid").alias("centroid"), F.first("width").alias("width"))
+    s = materialize(s, "db-clusters")  # read for both sides of the centroid comparison
+    every = s.groupBy(*g).agg(F.collect_list(F.struct(F.col(cluster).alias("c"), "s", "centroid")).alias("_all"))
+    me = _on(s, every, g)
+    ratio = lambda o: F.coalesce(F.try_divide(F.col("s") + o["s"], F.sqrt(_sqdist(F.col("centroid"), o["centroid"]))), F.lit(0.0))
+    worst = F.array_max(F.transform(F.filter("_all", lambda o: ~o["c"].eqNullSafe(F.col(cluster))), ratio))
+    worst = F.coalesce(worst, F.raise_error(F.lit("Davies-Bouldin compares clusters: a group has only one")).cast("double"))
+    return me.groupBy(*g).agg(_even(F.avg(worst)).alias("davies_bouldin"))
+
+
+def silhouette_squared(df: DataFrame, features="features", cluster="cluster", group=None) -> DataFrame:
     """Silhouette with squared Euclidean distance, in closed form from
-    per-cluster sums (linear cost; the exact Euclidean form needs every
+    per-cluster statistics (linear cost; the exact Euclidean form needs every
     pair of rows and is not built).
 
     Mean squared distance from x to the members of cluster C:
-    |x|^2 - 2 x.S_C/n_C + Q_C/n_C with S_C the vector sum and Q_C the sum
-    of squared norms (own cluster: over the other n_C - 1 members).
-    Singletons score 0.
+    |x - c|^2 + W/n with c the centroid and W the sum of squared distances to
+    it (own cluster: n/(n-1) times that, over the other members).
+    Singletons, one-cluster groups and rows at distance 0 from both score 0.
     """
-    dim = _dim(df, features)
-    nrm = F.aggregate(F.transform(features, lambda v: v.cast("double") * v.cast("double")), F.lit(0.0),
-                      lambda acc, v: acc + v)
-    stats = df.groupBy(cluster).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(nrm).alias("q"),
-        F.array(*[F.sum(F.col(features)[i].cast("double")) for i in range(dim)]).alias("centroid"))
-    k = stats.count()
-    x = _with_centroid_array(df.select(F.col(cluster).alias("_own"), F.col(features).alias("_f"), nrm.alias("_xx")),
-                             stats, cluster, k, ["q"])
+    g = _g(group)
+    st = cluster_stats(df, features, cluster, g)
+    every = st.groupBy(*g).agg(F.collect_list(F.struct(F.col(cluster).alias("c"), "n", "centroid", "within")).alias("_all"),
+                               _even(F.lit(0.0)).alias("_ok"))
+    x = _on(df.select(*g, F.col(cluster).alias("_own"), F.col(features).alias("_f")), every, g)
 
     def mean_d(o):
-        dot = F.aggregate(F.zip_with("_f", o["centroid"], lambda a, b: a.cast("double") * b), F.lit(0.0),
-                          lambda acc, v: acc + v)
-        total = o["n"] * F.col("_xx") - 2 * dot + o["q"]
-        return F.when(o["c"] == F.col("_own"),
-                      F.when(o["n"] > 1, total / (o["n"] - 1))).otherwise(total / o["n"])
+        d = _sqdist(F.col("_f"), o["centroid"]) + o["within"] / o["n"]
+        return F.when(o["c"].eqNullSafe(F.col("_own")), F.when(o["n"] > 1, d * o["n"] / (o["n"] - 1))).otherwise(d)
 
     per = x.select(
-        F.aggregate(F.filter("_all", lambda o: o["c"] == F.col("_own")), F.lit(None).cast("double"),
+        *g, "_ok",
+        F.aggregate(F.filter("_all", lambda o: o["c"].eqNullSafe(F.col("_own"))), F.lit(None).cast("double"),
                     lambda acc, o: mean_d(o)).alias("_a"),
-        F.array_min(F.transform(F.filter("_all", lambda o: o["c"] != F.col("_own")), mean_d)).alias("_b"))
+        F.array_min(F.transform(F.filter("_all", lambda o: ~o["c"].eqNullSafe(F.col("_own"))), mean_d)).alias("_b"))
     val = F.when(F.col("_a").isNull() | F.col("_b").isNull(), F.lit(0.0)).otherwise(
-        (F.col("_b") - F.col("_a")) / F.greatest(F.col("_a"), F.col("_b")))
-    return per.agg(F.avg(val).alias("silhouette_squared"))
+        F.coalesce(F.try_divide(F.col("_b") - F.col("_a"), F.greatest("_a", "_b")), F.lit(0.0)))
+    return per.groupBy(*g).agg((F.avg(val) + F.max("_ok")).alias("silhouette_squared"))
 
 
 # ---------------------------------------------------------------- E13-E15
@@ -293,6 +301,6 @@ def anomaly_metrics(df: DataFrame, score="score", threshold: float = 0.0, label:
     if label:
         y = F.col(label).cast("int") == 1
         tp = F.sum((flag & y).cast("double"))
-        aggs += [(tp / F.sum(flag.cast("double"))).alias("precision"),
-                 (tp / F.sum(y.cast("double"))).alias("recall")]
+        aggs += [F.try_divide(tp, F.sum(flag.cast("double"))).alias("precision"),  # NULL: nothing flagged
+                 F.try_divide(tp, F.sum(y.cast("double"))).alias("recall")]
     return df.groupBy(*_g(group)).agg(*aggs)

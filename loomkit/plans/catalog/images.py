@@ -26,12 +26,12 @@ def q_image_manifest_dir(spark, sf):
 
 def _csv_manifest(spark, sf, root, missing_twins=False):
     e = table(spark, sf, "embeddings")
-    name = F.concat(F.col("label").cast("string"), F.lit("/"), F.lpad(F.col("vec_id").cast("string"), 6, "0"),
+    name = F.concat(F.col("label").cast("string"), F.lit("/"), F.format_string("%06d", F.col("vec_id")),
                     F.lit(".png"))
     rows = e.select(F.concat(F.lit(root + "/"), name).alias("file"), F.col("label").cast("string").alias("class"))
     if missing_twins:  # one listed-but-absent file per row
         rows = rows.unionByName(e.select(
-            F.concat(F.lit(root + "/missing/"), F.lpad(F.col("vec_id").cast("string"), 6, "0"), F.lit(".png")).alias("file"),
+            F.concat(F.lit(root + "/missing/"), F.format_string("%06d", F.col("vec_id")), F.lit(".png")).alias("file"),
             F.col("label").cast("string").alias("class")))
     path = scratch_path(spark, f"manifests/{uuid.uuid4().hex}")
     rows.write.option("header", "true").csv(path)
@@ -78,7 +78,7 @@ QUERIES = {
     "image_decode_resize": q_image_decode_resize,
 }
 
-_REL = "cast(label as varchar) || '/' || lpad(cast(vec_id as varchar), 6, '0') || '.png'"
+_REL = "cast(label as varchar) || '/' || printf('%06d', vec_id) || '.png'"
 SQL = {
     "image_dataset_summary": """with c as (select cast(label as varchar) label, count(*) n from embeddings group by label),
 r as (select label, n, n * 100.0 / sum(n) over () pct, row_number() over (order by n desc, label) rk from c),
@@ -91,7 +91,7 @@ union all select cast(12 + rk as bigint), '  ' || label || ': ' || n || ' (' ||
 union all select cast(13 + (select count(*) from c) as bigint), repeat('=', 60)""",
     "image_manifest_dir": f"select {_REL} rel_path, cast(label as varchar) label from embeddings",
     "image_manifest_csv": f"select {_REL} rel_path, cast(label as varchar) label from embeddings",
-    "manifest_missing_files": """select 'missing/' || lpad(cast(vec_id as varchar), 6, '0') || '.png' rel_path,
+    "manifest_missing_files": """select 'missing/' || printf('%06d', vec_id) || '.png' rel_path,
   cast(label as varchar) label from embeddings""",
     "image_decode_resize": f"""select {_REL} rel_path, cast(label as varchar) label, 8 height, 8 width, 3 n_channels,
   1 decoded, cast(3 * (select sum(least(greatest(floor((cast(v as double) + 1.0) * 127.5 + 0.5), 0), 255))

@@ -1,10 +1,13 @@
 """Image folders.
 
-* Listing uses the ``binaryFile`` source with only ``path`` selected, so
-  file contents are pruned from the scan; labels come from the path.
+* Folders are listed in tasks through ``pyarrow.fs``: one task lists the
+  root, each folder below it is listed by a task of its own.  Names that
+  start with ``_`` or ``.`` count like any other (Spark's file sources skip
+  them).  Labels come from the path.
 * Decoding uses Spark's ``image`` source (undecodable files kept, marked
-  with height -1); converting to RGB, resizing and an optional user
-  transform run per Arrow batch in ``mapInPandas`` with numpy.
+  with height -1); files it would skip by name are first copied to visible
+  names in the checkpoint folder.  Converting to RGB, resizing and an
+  optional user transform run per Arrow batch in ``mapInPandas`` with numpy.
 """
 
 from __future__ import annotations
@@ -30,14 +33,9 @@ def _qualify(spark: SparkSession, path: str) -> str:
     return p.getFileSystem(conf).makeQualified(p).toString().rstrip("/")
 
 
-def _subdirs(spark: SparkSession, root: str) -> list:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        raise FileNotFoundError(f"Directory not found: {root}")
-    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+def _exists(spark: SparkSession, root: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def path_key(c) -> "F.Column":
@@ -45,10 +43,39 @@ def path_key(c) -> "F.Column":
     return F.regexp_replace(c, _SCHEME, "")
 
 
+_LISTED = "path string, length long, is_dir boolean"
+
+
+def _listed(folders: DataFrame, recursive: bool) -> DataFrame:
+    """The entries of each folder in ``path``, listed where the row is."""
+    from ..session import ship_package
+    ship_package(folders.sparkSession)
+
+    def run(batches):
+        import pyarrow.fs as pafs
+        for pdf in batches:
+            for folder in pdf["path"]:
+                fs, base = _arrow_fs(folder)
+                found = fs.get_file_info(pafs.FileSelector(base, recursive=recursive))
+                for lo in range(0, len(found), 10_000):
+                    part = found[lo:lo + 10_000]
+                    yield pd.DataFrame({"path": [folder + f.path[len(base.rstrip("/")):] for f in part],
+                                        "length": [f.size or 0 for f in part],
+                                        "is_dir": [f.type == pafs.FileType.Directory for f in part]})
+
+    return folders.mapInPandas(run, _LISTED)
+
+
+def _top_level(spark: SparkSession, root: str) -> DataFrame:
+    return _listed(spark.createDataFrame([(_qualify(spark, root),)], "path string"), False)
+
+
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """All files under ``root`` (recursive): ``path, length`` only."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-            .select("path", "length"))
+    """All files under ``root`` (recursive): ``path, length``."""
+    top = _top_level(spark, root)
+    folders = top.where("is_dir").select("path").repartition(spark.sparkContext.defaultParallelism)
+    below = _listed(folders, True).where("not is_dir")
+    return top.where("not is_dir").unionByName(below).select("path", "length")
 
 
 def _suffix_ok(path_col):
@@ -60,7 +87,9 @@ def image_manifest_dir(spark: SparkSession, root: str) -> DataFrame:
     """``(image_path, label)`` when the root has class folders (label =
     first-level folder, files found recursively, root-level files ignored),
     else ``(image_path)`` of every image under the root."""
-    labeled = bool(_subdirs(spark, root))
+    if not _exists(spark, root):
+        raise FileNotFoundError(f"no folder {root}")
+    labeled = not _top_level(spark, root).where("is_dir").isEmpty()
     base = _qualify(spark, root)
     files = list_files(spark, root).where(_suffix_ok(F.col("path")))
     rel = F.expr(f"substring(path, {len(base) + 2})")
@@ -69,8 +98,8 @@ def image_manifest_dir(spark: SparkSession, root: str) -> DataFrame:
             F.col("path").alias("image_path"), F.substring_index(rel, "/", 1).alias("label"))
     else:
         files = files.select(F.col("path").alias("image_path"))
-    if files.limit(1).count() == 0:
-        raise ValueError(f"No images found in {root}")
+    if files.isEmpty():
+        raise ValueError(f"No images under {root} (suffixes {', '.join(IMAGE_SUFFIXES)})")
     return files
 
 
@@ -78,7 +107,7 @@ def relative_path(spark: SparkSession, path_col, root: str):
     """The part of a path below ``root`` (scheme-independent)."""
     import re
     base = re.sub(_SCHEME, "", _qualify(spark, root))
-    return F.substring(path_key(path_col), len(base) + 2, 1 << 20)
+    return F.substr(path_key(path_col), F.lit(len(base) + 2))
 
 
 def image_manifest_csv(spark: SparkSession, csv_path: str, image_column: str = "image_path",
@@ -87,7 +116,7 @@ def image_manifest_csv(spark: SparkSession, csv_path: str, image_column: str = "
     the target ``label``; a missing image column is an error."""
     df = spark.read.option("header", "true").csv(csv_path)
     if image_column not in df.columns:
-        raise ValueError(f"Image column '{image_column}' not found in CSV.\nAvailable: {df.columns}")
+        raise ValueError(f"the manifest has no column {image_column!r}, only {df.columns}")
     df = df.withColumnRenamed(image_column, "image_path")
     if target_column and target_column in df.columns:
         df = df.withColumnRenamed(target_column, "label")
@@ -103,20 +132,24 @@ def manifest_missing_files(spark: SparkSession, manifest: DataFrame, root: str)
 
 
 # ---------------------------------------------------------------- S10
+def _weights(n_in: int, n_out: int) -> np.ndarray:
+    """(n_out, n_in) weights of a triangle filter, widened when scaling down so that every input pixel counts."""
+    scale = n_in / n_out
+    reach = max(scale, 1.0)
+    centre = (np.arange(n_out) + 0.5) * scale
+    w = np.maximum(0.0, 1.0 - np.abs(np.arange(n_in)[None, :] + 0.5 - centre[:, None]) / reach)
+    return w / w.sum(axis=1, keepdims=True)
+
+
 def _resize(img: np.ndarray, h: int, w: int) -> np.ndarray:
-    """Bilinear resize with pixel-centre alignment (uint8 in and out)."""
+    """Anti-aliased bilinear resize, columns then rows, each rounded to uint8."""
     ih, iw = img.shape[:2]
-    if (ih, iw) == (h, w):
-        return img
-    ys = np.clip((np.arange(h) + 0.5) * ih / h - 0.5, 0, ih - 1)
-    xs = np.clip((np.arange(w) + 0.5) * iw / w - 0.5, 0, iw - 1)
-    y0, x0 = np.floor(ys).astype(int), np.floor(xs).astype(int)
-    y1, x1 = np.minimum(y0 + 1, ih - 1), np.minimum(x0 + 1, iw - 1)
-    wy, wx = (ys - y0)[:, None, None], (xs - x0)[None, :, None]
     f = img.astype("float64")
-    top = f[y0][:, x0] * (1 - wx) + f[y0][:, x1] * wx
-    bot = f[y1][:, x0] * (1 - wx) + f[y1][:, x1] * wx
-    return np.clip(np.rint(top * (1 - wy) + bot * wy), 0, 255).astype("uint8")
+    if iw != w:
+        f = np.floor(np.einsum("yxc,ox->yoc", f, _weights(iw, w)) + 0.5)
+    if ih != h:
+        f = np.floor(np.einsum("yxc,oy->oxc", f, _weights(ih, h)) + 0.5)
+    return np.clip(f, 0, 255).astype("uint8")
 
 
 def to_rgb(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
@@ -127,24 +160,59 @@ def to_rgb(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
     return a[:, :, 2::-1].copy() if channels >= 3 else np.repeat(a[:, :, :1], 3, axis=2)
 
 
+def _decoded(spark: SparkSession, root: str) -> DataFrame:
+    return (spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true")
+            .load(root).select(F.col("image.origin").alias("image_path"), F.col("image.height").alias("h"),
+                               F.col("image.width").alias("w"), F.col("image.nChannels").alias("c"),
+                               F.col("image.data").alias("data")))
+
+
+def _visible_copies(spark: SparkSession, root: str):
+    """Files under ``root`` that Spark's sources skip by name, copied to visible
+    names: (folder, table of ``_n`` new name and ``image_path``), or None without any."""
+    import uuid
+    from ..session import materialize, scratch_path, ship_package
+    ship_package(spark)
+    base = _qualify(spark, root)
+    rel = F.expr(f"substring(path, {len(base) + 1})")
+    odd = list_files(spark, root).where(rel.rlike("/[_.]"))
+    if odd.isEmpty():
+        return None
+    folder = _qualify(spark, scratch_path(spark, f"visible-images/{uuid.uuid4().hex}"))
+
+    def run(batches):
+        import hashlib
+        fs, base_out = _arrow_fs(folder)
+        fs.create_dir(base_out, recursive=True)
+        for pdf in batches:
+            names = []
+            for path in pdf["path"]:
+                src, at = _arrow_fs(path)
+                names.append("f" + hashlib.sha256(path.encode()).hexdigest() + ".img")
+                with src.open_input_stream(at) as i, fs.open_output_stream(f"{base_out}/{names[-1]}") as o:
+                    while block := i.read(1 << 20):
+                        o.write(block)
+            yield pd.DataFrame({"_n": names, "image_path": pdf["path"]})
+
+    return folder, materialize(odd.select("path").mapInPandas(run, "_n string, image_path string"), "visible-images")
+
+
 def image_decode_resize(spark: SparkSession, root: str, height: int, width: int, manifest: DataFrame | None = None,
                         transform=None) -> DataFrame:
     """Decode -> RGB -> resize to (height, width) -> optional
     ``transform(array) -> array`` -> fixed-size uint8 RGB bytes.
     Undecodable files become all-zero images.  With a manifest, only its
     files are kept (join on the path) and its label is carried."""
-    imgs = (spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true")
-            .load(root).select(F.col("image.origin").alias("image_path"), F.col("image.height").alias("h"),
-                               F.col("image.width").alias("w"), F.col("image.nChannels").alias("c"),
-                               F.col("image.data").alias("data")))
+    imgs = _decoded(spark, root)
+    hidden = _visible_copies(spark, root)
+    if hidden is not None:
+        copies, names = hidden
+        again = _decoded(spark, copies).withColumn("_n", F.substring_index("image_path", "/", -1)).drop("image_path")
+        imgs = imgs.unionByName(again.join(names, "_n").drop("_n"))
     if manifest is not None:
-        from ..operators.splits import maybe_broadcast
         m = manifest.select(path_key(F.col("image_path")).alias("_k"),
                             *(["label"] if "label" in manifest.columns else []))
-        # broadcast the (path, label) list when its size allows, so image
-        # bytes are never shuffled; a shuffle join beyond the bound
-        imgs = imgs.withColumn("_k", path_key(F.col("image_path"))).join(
-            maybe_broadcast(m, manifest.count()), "_k").drop("_k")
+        imgs = imgs.withColumn("_k", path_key(F.col("image_path"))).join(m, "_k").drop("_k")
     keep_label = "label" in imgs.columns
     fields = [StructField("image_path", StringType())]
     if keep_label:
@@ -160,15 +228,13 @@ def image_decode_resize(spark: SparkSession, root: str, height: int, width: int,
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
-                ok = 1
-                try:
-                    if r.h is None or r.h < 0 or not r.data:
-                        raise ValueError("undecodable")
+                ok = int(r.h is not None and r.h > 0 and bool(r.data))
+                if ok:  # a fault of the user's transform is the user's to see
                     a = _resize(to_rgb(bytes(r.data), int(r.h), int(r.w), int(r.c)), H, W)
                     if transform is not None:
                         a = np.asarray(transform(a), dtype=np.uint8).reshape(H, W, 3)
-                except Exception:
-                    a, ok = np.zeros((H, W, 3), dtype=np.uint8), 0
+                else:
+                    a = np.zeros((H, W, 3), dtype=np.uint8)
                 row = [r.image_path] + ([r.label] if keep_label else []) + [H, W, 3, a.tobytes(), ok]
                 out.append(row)
             yield pd.DataFrame(out, columns=[f.name for f in fields])

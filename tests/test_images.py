@@ -62,8 +62,34 @@ def test_empty_tree_is_an_error(spark):
         IM.image_manifest_dir(spark, root)
 
 
-def test_resize_bilinear():
-    img = np.arange(16, dtype=np.uint8).reshape(4, 4, 1).repeat(3, axis=2) * 10
-    out = IM._resize(img, 2, 2)
-    assert out.shape == (2, 2, 3)
-    assert out[0, 0, 0] == round((0 + 10 + 40 + 50) / 4)
+def test_names_that_spark_skips_are_listed_and_decoded(spark):
+    root = tempfile.mkdtemp(prefix="lk-odd-")
+    for rel, v in [("cats/a.png", 10), ("cats/_b.png", 20), ("_dogs/c.png", 30), ("_dogs/.d.png", 40)]:
+        os.makedirs(os.path.dirname(f"{root}/{rel}"), exist_ok=True)
+        with open(f"{root}/{rel}", "wb") as f:
+            f.write(IM.png_bytes(np.full((2, 2), v, np.uint8)))
+    m = IM.image_manifest_dir(spark, root)
+    assert sorted((r["label"], os.path.basename(r["image_path"])) for r in m.collect()) == [
+        ("_dogs", ".d.png"), ("_dogs", "c.png"), ("cats", "_b.png"), ("cats", "a.png")]
+    got = {os.path.basename(r["image_path"]): r["data"][0] for r in IM.image_decode_resize(spark, root, 2, 2, manifest=m).collect()}
+    assert got == {"a.png": 10, "_b.png": 20, "c.png": 30, ".d.png": 40}
+
+
+def test_a_faulty_transform_is_not_hidden(spark):
+    root = _tree()
+
+    def broken(a):
+        raise RuntimeError("user code failed")
+
+    with pytest.raises(Exception, match="user code failed"):
+        IM.image_decode_resize(spark, root, 3, 5, transform=broken).collect()
+
+
+def test_resize_down_uses_every_pixel_and_up_interpolates():
+    img = np.zeros((1, 8, 3), np.uint8)
+    img[0, 3] = 200  # a thin line survives a four-fold reduction
+    assert IM._resize(img, 1, 2)[0, 0, 0] > 0
+    flat = np.full((5, 7, 3), 90, np.uint8)
+    assert (IM._resize(flat, 3, 2) == 90).all() and (IM._resize(flat, 11, 13) == 90).all()
+    two = np.array([[[0] * 3, [100] * 3]], np.uint8)
+    assert IM._resize(two, 1, 4)[0, :, 0].tolist() == [0, 25, 75, 100]

@@ -2,6 +2,8 @@
 import math
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from loomkit.operators import metrics as E
 
@@ -18,7 +20,7 @@ def test_roc_auc_with_ties(spark):
     y = rng.integers(0, 2, 300).tolist()
     s = np.round(rng.random(300), 1).tolist()
     df = spark.createDataFrame(list(zip(y, s)), "label int, score double")
-    got = E.roc_auc(df, "label", "score", buckets=4).first()["roc_auc"]
+    got = E.roc_auc(df, "label", "score").first()["roc_auc"]
     assert abs(got - _auc(y, s)) < 1e-12
 
 
@@ -114,3 +116,58 @@ def test_pca_inverse_round_trip(spark):
     err2 = E.reconstruction_error(rec2, features="f", recon="reconstruction").first()["reconstruction_error"]
     ev = np.sort(np.linalg.eigvalsh(np.cov(x.T, bias=True)))[::-1]
     assert abs(err2 - ev[2:].sum() / 4) < 1e-9           # dropped variance per cell
+
+
+def test_auc_one_class_group_is_null_and_outlier_is_exact(spark):
+    rows = [("a", 1, 0.1), ("a", 0, 0.2), ("a", 1, 1e12), ("b", 1, 0.3), ("b", 1, 0.4)]
+    df = spark.createDataFrame(rows, "g string, label int, score double")
+    got = {r["g"]: r["roc_auc"] for r in E.roc_auc(df, group=["g"]).collect()}
+    assert got == {"a": 0.5, "b": None}
+
+
+@pytest.mark.parametrize("bad", [None, float("nan")])
+def test_auc_refuses_rows_without_a_score(spark, bad):
+    df = spark.createDataFrame([(1, 0.5), (0, bad)], "label int, score double")
+    with pytest.raises(Exception, match="no score"):
+        E.roc_auc(df).collect()
+
+
+@pytest.mark.parametrize("row", [(1, 0.5, None), (7, 0.5, 0.5)])
+def test_log_loss_refuses_missing_probabilities(spark, row):
+    df = spark.createDataFrame([(0, 0.5, 0.5), row], "label int, p0 double, p1 double")
+    with pytest.raises(Exception, match="no probability"):
+        E.log_loss(df, "label", ["p0", "p1"]).collect()
+
+
+def test_anomaly_metrics_when_nothing_is_flagged(spark):
+    df = spark.createDataFrame([(0.1, 0), (0.2, 0)], "score double, y int")
+    r = E.anomaly_metrics(df, threshold=1.0, label="y").first()
+    assert r["contamination"] == 0 and r["precision"] is None and r["recall"] is None
+
+
+CLUSTER_METRICS = [E.inertia, E.calinski_harabasz, E.davies_bouldin, E.silhouette_squared]
+
+
+@pytest.mark.parametrize("metric", CLUSTER_METRICS)
+@pytest.mark.parametrize("odd", [([1.0, 2.0, 3.0], 1), (None, 1), ([1.0, None], 0), ([1.0, 2.0, 3.0], 0)])
+def test_ragged_or_null_vectors_are_errors(spark, metric, odd):
+    df = spark.createDataFrame([([0.0, 1.0], 0), ([0.0, 2.0], 0), ([5.0, 5.0], 2), odd], "features array<double>, cluster int")
+    with pytest.raises(Exception):
+        metric(df).collect()
+
+
+def test_identical_points_and_coinciding_centroids(spark):
+    df = spark.createDataFrame([([1.0, 1.0], 0), ([1.0, 1.0], 0), ([1.0, 1.0], 1), ([1.0, 1.0], 1)], "features array<double>, cluster int")
+    assert E.silhouette_squared(df).first()[0] == 0.0
+    assert E.davies_bouldin(df).first()[0] == 0.0
+    assert E.calinski_harabasz(df).first()[0] == 1.0
+    assert E.inertia(df).first()[0] == 0.0
+
+
+@pytest.mark.parametrize("metric", CLUSTER_METRICS)
+def test_cluster_metrics_by_group_equal_those_of_the_parts(spark, metric):
+    df, _, _ = _clusters(spark)
+    df = df.withColumn("split", F.when(F.col("id") % 3 == 0, "test").otherwise("train"))
+    got = {r["split"]: r[1] for r in metric(df, group=["split"]).collect()}
+    for s in ("train", "test"):
+        assert abs(metric(df.where(F.col("split") == s)).first()[0] - got[s]) < 1e-9

@@ -62,29 +62,20 @@ def tags_text(tags: Column) -> Column:
     return F.array_sort(F.transform(F.map_entries(tags), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
 
 
-def _pinned(df: DataFrame) -> DataFrame:
-    """Cache a small per-experiment table that several later steps read, so
-    the runs table is not re-aggregated for each of them (one row per
-    experiment; recomputed from lineage if an executor is lost)."""
-    from pyspark import StorageLevel
-
-    from ..session import narrowed
-    return narrowed(df).persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def _newest(runs: DataFrame, order=None) -> DataFrame:
-    """Top-1 per experiment by (order..., start_time, run_id), newest wins."""
+    """Top-1 per experiment by (order..., start_time, run_id), newest wins.
+    A rank filter: each task keeps one row per experiment before the shuffle,
+    and only the columns used later are carried."""
     order = order or [F.col(START), F.col(RUN)]
-    rec = F.struct(*[F.col(c) for c in runs.columns])
-    top = runs.groupBy(EXP).agg(F.max_by(rec, F.struct(*order)).alias("_r"))
-    return top.select("_r.*")
+    w = Window.partitionBy(EXP).orderBy(*[o.desc_nulls_last() for o in order])
+    return runs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 1).drop("_rn")
 
 
 # ------------------------------------------------------------------ R1-R3
 def search_runs(runs: DataFrame, experiment_ids=None, tag_equals: dict | None = None,
                 order_by=None, max_results: int | None = None) -> DataFrame:
-    """Filter by experiment and tag equality, order, keep the first
-    ``max_results`` per experiment.  ``order_by`` is a list of
+    """Filter by experiment and tag equality, keep the first
+    ``max_results`` per experiment (all if None), ordered by experiment and ``order_by``.  ``order_by`` is a list of
     ``(column, ascending)`` where column is a name or an expression such as
     ``F.col("tags")["archived_at"]``; missing values sort last."""
     r = runs
@@ -93,13 +84,14 @@ def search_runs(runs: DataFrame, experiment_ids=None, tag_equals: dict | None =
     for k, v in (tag_equals or {}).items():
         r = r.where(F.col("tags")[k] == F.lit(v))
     order_by = order_by or [(START, False), (RUN, False)]
-    if max_results is None:
-        return r
     cols = [(F.col(c) if isinstance(c, str) else c, asc) for c, asc in order_by]
     ords = [c.asc_nulls_last() if asc else c.desc_nulls_last() for c, asc in cols]
+    if max_results is None:
+        return r.orderBy(EXP, *ords)
     w = Window.partitionBy(EXP).orderBy(*ords)
     # rank filter -> planned as a per-partition group limit before the shuffle
-    return r.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_results).drop("_rn")
+    top = r.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_results)
+    return top.orderBy(EXP, "_rn").drop("_rn")
 
 
 def latest_run(runs: DataFrame) -> DataFrame:
@@ -208,11 +200,24 @@ def model_name_for(experiment: Column) -> Column:
     return F.replace(experiment.cast("string"), F.lit("-exp"), F.lit("-model"))
 
 
-def _apply(runs: DataFrame, changes: DataFrame) -> DataFrame:
-    """Replace the tags of changed runs (changes: run_id, experiment_id, _new)."""
-    c = changes.select(F.col(RUN).alias("_cr"), F.col(EXP).alias("_ce"), "_new")
-    j = runs.join(c, (runs[RUN] == c["_cr"]) & (runs[EXP] == c["_ce"]), "left")
-    return j.withColumn("tags", F.coalesce("_new", "tags")).select(*runs.columns)
+def _retag(runs: DataFrame, pairs: DataFrame, changes: dict) -> DataFrame:
+    """``runs`` with the tags of those runs replaced that ``pairs`` (one row per
+    experiment) names: ``changes`` maps a column of run ids to the new tags."""
+    p = pairs.select(F.col(EXP).alias("_pe"), *changes)
+    j = runs.join(p, runs[EXP] == F.col("_pe"), "left")
+    new = None
+    for c, tags in changes.items():
+        hit = F.col(RUN) == F.col(c)
+        new = F.when(hit, tags) if new is None else new.when(hit, tags)
+    return j.withColumn("tags", new.otherwise(F.col("tags"))).select(*runs.columns)
+
+
+def _alias_rows(pairs: DataFrame, versions: DataFrame, run_col: str, newest_col: str, alias: str) -> DataFrame:
+    """(model_name, alias, version) of the newest of each model's runs in ``run_col``; a run's first version counts."""
+    v = versions.groupBy("model_name", F.col(RUN).alias(run_col)).agg(F.min("version").alias("version"))
+    j = pairs.where(F.col(run_col).isNotNull()).join(v, ["model_name", run_col])
+    return j.groupBy("model_name").agg(F.max_by("version", F.struct(newest_col, run_col)).alias("version")).select(
+        "model_name", F.lit(alias).alias("alias"), F.col("version").cast("bigint").alias("version"))
 
 
 def _upsert_aliases(aliases: DataFrame, new: DataFrame) -> DataFrame:
@@ -221,51 +226,49 @@ def _upsert_aliases(aliases: DataFrame, new: DataFrame) -> DataFrame:
     return keep.unionByName(new.select("model_name", "alias", "version"))
 
 
+def _newest_of(alias: str, *order) -> Column:
+    """(order..., start_time, run_id) of the newest run of that alias, as an aggregate."""
+    rec = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.col(START).alias("at"), F.col(RUN).alias("run"))
+    return F.max(F.when(F.col("tags")[ALIAS_TAG] == alias, rec))
+
+
 def promote_model(runs: DataFrame, versions: DataFrame, aliases: DataFrame, now: str,
-                  model_name=model_name_for):
+                  model_name=model_name_for, decisions: DataFrame | None = None):
     """Challenger -> champion, old champion -> archived, for every
     experiment that has a challenger.  Returns (runs, versions, aliases).
 
+    ``decisions`` (experiment_id, promote_challenger, as ``compare_models``
+    gives them): only experiments whose comparison says so are promoted.
+
     The challenger's run is registered as a new version (max + 1) unless
-    already registered; alias ``champion`` moves to it and ``archived`` to
-    the old champion's version.  Tags and registry come from one plan.
+    already registered.  Of all experiments of one model, the newest promoted
+    run gets alias ``champion`` and the newest replaced one ``archived``.
+    The runs are read twice: for the newest run per alias, and to retag.
     """
-    ch = run_by_alias(runs, "challenger").select(EXP, F.col(RUN).alias("_chal"))
-    cp = run_by_alias(runs, "champion").select(EXP, F.col(RUN).alias("_champ"))
-    pairs = _pinned(ch.join(cp, EXP, "left").withColumn("model_name", model_name(F.col(EXP))))
-
-    arch = pairs.where(F.col("_champ").isNotNull()).select(
-        EXP, F.col("_champ").alias(RUN),
-        F.lit(None).cast("map<string,string>").alias("_t"))
-    prom = pairs.select(EXP, F.col("_chal").alias(RUN), F.lit(None).cast("map<string,string>").alias("_t"))
-    old = runs.select(EXP, RUN, "tags")
-    arch = arch.join(old, [EXP, RUN]).select(EXP, RUN, set_tags(F.col("tags"), {
-        ALIAS_TAG: "archived", "archived_at": now, "archived_reason": ARCHIVED_REASON}).alias("_new"))
-    prom = prom.join(old, [EXP, RUN]).select(EXP, RUN, set_tags(F.col("tags"), {
-        ALIAS_TAG: "champion", "promoted_at": now, "promoted_from": "challenger"}).alias("_new"))
-    new_runs = _apply(runs, arch.unionByName(prom))
+    from ..session import materialize
+
+    facts = runs.groupBy(EXP).agg(_newest_of("challenger").alias("ch"), _newest_of("champion").alias("cp"))
+    pairs = facts.where(F.col("ch").isNotNull()).select(
+        EXP, F.col("ch.run").alias("_chal"), F.col("ch.at").alias("_chal_at"), F.col("cp.run").alias("_champ"), F.col("cp.at").alias("_champ_at"))
+    if decisions is not None:
+        pairs = pairs.join(decisions.where("promote_challenger").select(EXP).distinct(), EXP, "left_semi")
+    pairs = materialize(pairs.withColumn("model_name", model_name(F.col(EXP))), "promote-pairs")  # one row an experiment
+
+    new_runs = _retag(runs, pairs, {
+        "_chal": set_tags(F.col("tags"), {ALIAS_TAG: "champion", "promoted_at": now, "promoted_from": "challenger"}),
+        "_champ": set_tags(F.col("tags"), {ALIAS_TAG: "archived", "archived_at": now, "archived_reason": ARCHIVED_REASON})})
 
     # registry: register the challenger run unless it already has a version
-    have = versions.select("model_name", F.col(RUN).alias("_chal"), F.col("version").alias("_v"))
-    p = pairs.join(have, ["model_name", "_chal"], "left")
     top = versions.groupBy("model_name").agg(F.max("version").alias("_max"))
-    p = p.join(top, "model_name", "left")
+    p = pairs.join(versions.select("model_name", F.col(RUN).alias("_chal")), ["model_name", "_chal"], "left_anti").join(top, "model_name", "left")
     # several experiments may map to one model name: number new versions in order
     w = Window.partitionBy("model_name").orderBy(EXP)
-    fresh = p.where(F.col("_v").isNull()).withColumn(
-        "_v", F.coalesce("_max", F.lit(0)) + F.row_number().over(w))
-    add = fresh.select("model_name", F.col("_v").cast("bigint").alias("version"), F.col("_chal").alias(RUN))
+    fresh = p.withColumn("_v", F.coalesce("_max", F.lit(0)) + F.row_number().over(w))
+    add = materialize(fresh.select("model_name", F.col("_v").cast("bigint").alias("version"), F.col("_chal").alias(RUN)), "promote-versions")
     new_versions = versions.unionByName(add)
-    chal_v = p.where(F.col("_v").isNotNull()).select("model_name", EXP, "_chal", "_champ", "_v").unionByName(
-        fresh.select("model_name", EXP, "_chal", "_champ", "_v"))
-    champ_alias = chal_v.select("model_name", F.lit("champion").alias("alias"),
-                                F.col("_v").cast("bigint").alias("version"))
-    old_v = (pairs.where(F.col("_champ").isNotNull())
-                  .join(versions.select("model_name", F.col(RUN).alias("_champ"), "version"), ["model_name", "_champ"])
-                  .groupBy("model_name", "_champ").agg(F.min("version").alias("version"))
-                  .select("model_name", F.lit("archived").alias("alias"), "version"))
-    new_aliases = _upsert_aliases(aliases, champ_alias.unionByName(old_v))
-    return new_runs, new_versions, new_aliases
+    new = _alias_rows(pairs, new_versions, "_chal", "_chal_at", "champion").unionByName(
+        _alias_rows(pairs, versions, "_champ", "_champ_at", "archived"))
+    return new_runs, new_versions, _upsert_aliases(aliases, new)
 
 
 def rollback_model(runs: DataFrame, versions: DataFrame, aliases: DataFrame, now: str,
@@ -273,29 +276,22 @@ def rollback_model(runs: DataFrame, versions: DataFrame, aliases: DataFrame, now
     """Current champion -> archived; the most recently archived run
     (by ``archived_at``, then newest) -> champion with ``restored_at`` and
     without ``archived_at``.  Experiments lacking either are unchanged.
-    Registry aliases move too.  Returns (runs, aliases)."""
-    cur = run_by_alias(runs, "champion").select(EXP, F.col(RUN).alias("_cur"))
-    arch = runs.where(F.col("tags")[ALIAS_TAG] == "archived")
+    Registry aliases move too, to the newest run of the model's experiments.
+    Returns (runs, aliases).  The runs are read twice."""
+    from ..session import materialize
+
     # archived_at DESC with missing stamps last, then start_time / run_id DESC
-    prev = _newest(arch, [F.col("tags")["archived_at"].isNotNull(), F.col("tags")["archived_at"],
-                          F.col(START), F.col(RUN)]).select(EXP, F.col(RUN).alias("_prev"))
-    pairs = _pinned(cur.join(prev, EXP).withColumn("model_name", model_name(F.col(EXP))))
-    old = runs.select(EXP, RUN, "tags")
-    a = pairs.select(EXP, F.col("_cur").alias(RUN)).join(old, [EXP, RUN]).select(
-        EXP, RUN, set_tags(F.col("tags"), {ALIAS_TAG: "archived", "archived_at": now,
-                                            "archived_reason": ROLLBACK_REASON}).alias("_new"))
-    b = pairs.select(EXP, F.col("_prev").alias(RUN)).join(old, [EXP, RUN]).select(
-        EXP, RUN, set_tags(drop_tags(F.col("tags"), ["archived_at"]),
-                           {ALIAS_TAG: "champion", "restored_at": now}).alias("_new"))
-    new_runs = _apply(runs, a.unionByName(b))
-    vr = versions.select("model_name", RUN, "version")
-    to_champ = (pairs.join(vr.withColumnRenamed(RUN, "_prev"), ["model_name", "_prev"])
-                     .groupBy("model_name").agg(F.min("version").alias("version"))
-                     .select("model_name", F.lit("champion").alias("alias"), "version"))
-    to_arch = (pairs.join(vr.withColumnRenamed(RUN, "_cur"), ["model_name", "_cur"])
-                    .groupBy("model_name").agg(F.min("version").alias("version"))
-                    .select("model_name", F.lit("archived").alias("alias"), "version"))
-    return new_runs, _upsert_aliases(aliases, to_champ.unionByName(to_arch))
+    stamp = F.col("tags")["archived_at"]
+    facts = runs.groupBy(EXP).agg(_newest_of("champion").alias("cu"), _newest_of("archived", stamp.isNotNull(), stamp).alias("pr"))
+    pairs = facts.where(F.col("cu").isNotNull() & F.col("pr").isNotNull()).select(
+        EXP, F.col("cu.run").alias("_cur"), F.col("cu.at").alias("_cur_at"), F.col("pr.run").alias("_prev"), F.col("pr.at").alias("_prev_at"))
+    pairs = materialize(pairs.withColumn("model_name", model_name(F.col(EXP))), "rollback-pairs")
+    new_runs = _retag(runs, pairs, {
+        "_cur": set_tags(F.col("tags"), {ALIAS_TAG: "archived", "archived_at": now, "archived_reason": ROLLBACK_REASON}),
+        "_prev": set_tags(drop_tags(F.col("tags"), ["archived_at"]), {ALIAS_TAG: "champion", "restored_at": now})})
+    new = _alias_rows(pairs, versions, "_prev", "_prev_at", "champion").unionByName(
+        _alias_rows(pairs, versions, "_cur", "_cur_at", "archived"))
+    return new_runs, _upsert_aliases(aliases, new)
 
 
 # ------------------------------------------------------------------ R9

@@ -64,6 +64,23 @@ def q_promote_model_registry(spark, sf):
     return _promoted(spark, sf)[2]
 
 
+def _gated(spark, sf):
+    """Only experiments whose comparison says so are promoted; two experiments share a model name."""
+    runs = runs_records(spark, sf)
+    versions, aliases = registry_from_runs(runs)
+    decisions = R.compare_models(runs, "test_accuracy", 0.01).select("experiment_id", "promote_challenger")
+    shared = lambda e: F.concat(F.lit("shared-"), F.floor(e / 2).cast("string"))
+    return R.promote_model(R.tag_challenger(runs), versions, aliases, NOW, model_name=shared, decisions=decisions)
+
+
+def q_promote_gated(spark, sf):
+    return _tag_view(_gated(spark, sf)[0])
+
+
+def q_promote_gated_registry(spark, sf):
+    return _gated(spark, sf)[2]
+
+
 def _rolled(spark, sf):
     runs = runs_records(spark, sf)
     versions, aliases = registry_from_runs(runs)
@@ -109,6 +126,8 @@ QUERIES = {
     "tag_challenger": q_tag_challenger,
     "promote_model": q_promote_model,
     "promote_model_registry": q_promote_model_registry,
+    "promote_gated": q_promote_gated,
+    "promote_gated_registry": q_promote_gated_registry,
     "rollback_model": q_rollback_model,
     "rollback_model_registry": q_rollback_model_registry,
     "comparison_report": q_comparison_report,
@@ -259,6 +278,29 @@ select experiment_id, model_name, version_spec, cast(rv as bigint) resolved_vers
 from res""",
 }
 
+_GATE = f"""dec as (select experiment_id from ({_compare_sql("test_accuracy", True)}) where promote_challenger),
+{RUNS}, {LATEST},
+t as (select r.experiment_id, r.run_id, r.start_time,
+        case when l.run_id is not null then 'challenger' else r.alias end alias
+      from runs r left join l on r.run_id = l.run_id and r.experiment_id = l.experiment_id),
+ch as (select * from (select *, {NEWEST} rn from t where alias = 'challenger') where rn = 1 and experiment_id in (select experiment_id from dec)),
+cp as (select * from (select *, {NEWEST} rn from t where alias = 'champion') where rn = 1 and experiment_id in (select experiment_id from ch))"""
+SQL["promote_gated"] = f"""with {_GATE}
+select t.experiment_id, t.run_id,
+  case when ch.run_id is not null then ['ci_pipeline=true', 'model_alias=champion', 'promoted_at={NOW}', 'promoted_from=challenger']
+       when cp.run_id is not null then ['archived_at={NOW}', 'archived_reason=Replaced by better model', 'model_alias=archived']
+       when t.run_id = l.run_id then ['ci_pipeline=true', 'model_alias=challenger']
+       when t.alias is not null then ['model_alias=' || t.alias] else [] end tags
+from t left join ch on t.run_id = ch.run_id and t.experiment_id = ch.experiment_id
+       left join cp on t.run_id = cp.run_id and t.experiment_id = cp.experiment_id
+       left join l on t.run_id = l.run_id and t.experiment_id = l.experiment_id"""
+# every promoted run is new under its shared name: versions number a model's experiments in order; the newest run is champion
+SQL["promote_gated_registry"] = f"""with {_GATE}, {REG},
+n as (select 'shared-' || (experiment_id // 2) model_name, run_id, start_time,
+        row_number() over (partition by experiment_id // 2 order by experiment_id) version from ch)
+select model_name, alias, cast(version as bigint) version from a
+union all select model_name, 'champion', cast(arg_max(version, struct_pack(start_time, run_id)) as bigint) from n group by 1"""
+
 from .splits import SQL as _SPLIT_SQL  # noqa: E402
 
 SQL["dataset_lineage"] = f"""with s as ({_SPLIT_SQL["split_three_way"]})

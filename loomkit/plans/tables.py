@@ -73,8 +73,8 @@ def registry_from_runs(runs):
     minute = F.floor(F.unix_micros(F.col("start_time").cast("timestamp")) / 60_000_000)
     versions = rank_in_groups(reg, ["model_name"], [F.col("start_time"), F.col("run_id")], minute, "version") \
         .withColumn("version", F.col("version").cast("bigint"))
-    from ..operators.runs import _pinned
-    versions = _pinned(versions)  # small; read by several later steps
+    from ..session import materialize
+    versions = materialize(versions, "registry-versions")  # read by several later steps
     aliases = versions.groupBy("model_name", "alias").agg(
         F.max_by("version", F.struct("start_time", "run_id")).alias("version"))
     return versions.select("model_name", "version", "run_id"), aliases

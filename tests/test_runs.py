@@ -180,3 +180,30 @@ def test_resolve_model_fallbacks(spark):
     assert got[("a-model", "staging")] == "runs:/1/model"           # alias not set: newest champion run
     assert got[("b-model", "latest")] == "runs:/3/model"            # no registry, no champion: newest run
     assert got[("c-model", "1")] == "models/c-model"                # nothing known: local path
+
+
+def test_gate_and_shared_model_name(spark):
+    rows = [("a", 1, 1, {"model_alias": "champion"}, 0.5), ("a", 2, 2, {"model_alias": "challenger"}, 0.9),
+            ("b", 3, 3, {"model_alias": "champion"}, 0.5), ("b", 4, 9, {"model_alias": "challenger"}, 0.8),
+            ("c", 5, 1, {"model_alias": "champion"}, 0.5), ("c", 6, 2, {"model_alias": "challenger"}, 0.1)]
+    runs = _runs(spark, rows)
+    versions = spark.createDataFrame([("m", 1, 1), ("m", 2, 3), ("m", 3, 5)], "model_name string, version long, run_id long")
+    aliases = spark.createDataFrame([("m", "champion", 1), ("other", "champion", 7)], "model_name string, alias string, version long")
+    one = lambda e: F.lit("m")
+    r2, v2, a2 = R.promote_model(runs, versions, aliases, NOW, model_name=one, decisions=R.compare_models(runs))
+    assert _alias(r2) == {1: "archived", 2: "champion", 3: "archived", 4: "champion", 5: "champion", 6: "challenger"}
+    assert sorted(map(tuple, v2.collect())) == [("m", 1, 1), ("m", 2, 3), ("m", 3, 5), ("m", 4, 2), ("m", 5, 4)]
+    # one row per alias: the newest promoted run (4) and the newest replaced one (3)
+    assert sorted(map(tuple, a2.collect())) == [("m", "archived", 2), ("m", "champion", 5), ("other", "champion", 7)]
+    _, a3 = R.rollback_model(r2, v2, a2, "2025-02-01T00:00:00", model_name=one)
+    assert sorted(map(tuple, a3.collect())) == [("m", "archived", 5), ("m", "champion", 2), ("other", "champion", 7)]
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_search_runs_is_ordered_without_a_limit(spark):
+    rows = [("e", 1, 2, {}, 0.1), ("e", 2, 3, {}, 0.3), ("e", 3, 1, {}, 0.2), ("d", 4, 1, {}, 0.2)]
+    runs = _runs(spark, rows)
+    assert [r["run_id"] for r in R.search_runs(runs).collect()] == [4, 2, 1, 3]
+    by = [(F.col("metrics")["test_accuracy"], True)]
+    assert [r["run_id"] for r in R.search_runs(runs, order_by=by).collect()] == [4, 1, 3, 2]
+    assert [r["run_id"] for r in R.search_runs(runs, order_by=by, max_results=2).collect()] == [4, 1, 3]

@@ -7,7 +7,7 @@ ML; only the fitted parameters live on the driver.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
@@ -29,9 +29,9 @@ def _label_stages(df: DataFrame, label: str):
     return [], label
 
 
-# Learners pay per partition on every pass: aim for at least this many rows
-# in a cached training partition (large inputs keep their partitioning).
-ROWS_PER_PARTITION = 200_000
+# Learners pay per partition on every pass: cached training data is merged
+# into partitions of about this many bytes (measured in the cache).
+BYTES_PER_PARTITION = 32 << 20
 
 
 class cached:
@@ -39,17 +39,17 @@ class cached:
     iterative learners make many passes, and the input's lineage (splits,
     joins, text features) should run once.  Lost blocks are recomputed.
     Many tiny partitions (a small table after a wide shuffle) are merged
-    with a narrow ``coalesce`` over the cached blocks."""
+    with a narrow ``coalesce`` by their size in bytes."""
 
     def __init__(self, df: DataFrame):
         self.df = df
 
     def __enter__(self) -> DataFrame:
-        import math
         from pyspark import StorageLevel
         d = self.df.persist(StorageLevel.MEMORY_AND_DISK)
-        n = d.count()
-        target = max(1, math.ceil(n / ROWS_PER_PARTITION))
+        d.count()
+        size = int(str(d.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        target = max(1, -(-size // BYTES_PER_PARTITION))
         return d.coalesce(target) if d.rdd.getNumPartitions() > target else d
 
     def __exit__(self, *exc):
@@ -67,9 +67,9 @@ def _labeled(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn(label, F.col(label).cast("double"))
 
 
-def forest_params(n_estimators=100, max_depth=10, min_samples_leaf=1, max_features=None, seed=42) -> dict:
-    """Map forest settings onto Spark names (None depth -> 30, None
-    features -> all)."""
+def forest_params(n_estimators=100, max_depth=10, min_samples_leaf=1, max_features="sqrt", seed=42) -> dict:
+    """Map forest settings onto Spark names (None depth -> 30; features per
+    split: the classifier's usual square root, all if None is given)."""
     return {"numTrees": int(n_estimators),
             "maxDepth": MAX_TREE_DEPTH if max_depth is None else min(int(max_depth), MAX_TREE_DEPTH),
             "minInstancesPerNode": int(min_samples_leaf),
@@ -84,8 +84,8 @@ def random_forest_pipeline(df: DataFrame, features, label: str, **kw) -> Pipelin
 
 
 def train_random_forest(df: DataFrame, features, label: str, n_estimators=100, max_depth=10,
-                        min_samples_leaf=1, max_features=None, seed=42):
-    """M2: random forest classifier (100 trees, depth 10, seeded)."""
+                        min_samples_leaf=1, max_features="sqrt", seed=42):
+    """M2: random forest classifier (100 trees, depth 10, square root of the features per split, seeded)."""
     df = _labeled(df, label)
     return _fit(random_forest_pipeline(df, features, label, n_estimators=n_estimators, max_depth=max_depth,
                                        min_samples_leaf=min_samples_leaf, max_features=max_features,
@@ -117,11 +117,14 @@ def train_mlp(df: DataFrame, features, label: str, hidden=(4,), num_classes: int
     ls, lcol = _label_stages(df, label)
     stages = assemble_features(df, features, label, output="raw_features")
     stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True))
-    n_in = len(list(features))
     k = num_classes or df.select(F.count_distinct(label)).first()[0]
-    mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol=lcol,
-                                         layers=[n_in, *hidden, int(k)], maxIter=max_iter, seed=seed)
-    return _fit(Pipeline(stages=stages + ls + [mlp]), df)
+    with cached(df) as d:
+        prep = Pipeline(stages=stages + ls).fit(d)
+        ready = prep.transform(d)
+        n_in = len(ready.select("features").first()[0])  # vectors all have this width, or assembling fails
+        mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol=lcol,
+                                             layers=[n_in, *hidden, int(k)], maxIter=max_iter, seed=seed)
+        return PipelineModel(stages=[*prep.stages, mlp.fit(ready)])
 
 
 def concurrency(spark, jobs: int, parallelism: int | None, partitions: int = 1) -> int:
@@ -139,7 +142,6 @@ def train_kmeans(df: DataFrame, features, k=3, max_iter=300, seed=42, n_init=10,
     Spark jobs (``parallelism`` at a time)."""
     from concurrent.futures import ThreadPoolExecutor
 
-    from pyspark.ml import PipelineModel
     prep = Pipeline(stages=assemble_features(df, features)).fit(df)
 
     with cached(prep.transform(df).select("features")) as data:
@@ -176,22 +178,28 @@ def explained_variance_ratio(model) -> float:
     return float(sum(model.stages[-1].explainedVariance.toArray()))
 
 
+def _doubles(values):
+    return F.array(*[F.lit(float(v)) for v in values])  # folds into one literal
+
+
 def project(df: DataFrame, features: str, components, mean, out: str = "scores") -> DataFrame:
     """Scores ``(x - mean) . pc_j`` for an array column (pure column math)."""
-    d, k = len(mean), len(components[0])
-    x = F.col(features)
-    cols = [sum(((x[i].cast("double") - F.lit(float(mean[i]))) * F.lit(float(components[i][j]))
-                 for i in range(d)), F.lit(0.0)) for j in range(k)]
-    return df.withColumn(out, F.array(*cols))
+    centred = F.zip_with(F.col(features), _doubles(mean), lambda x, m: x.cast("double") - m)
+    dot = lambda j: F.aggregate(F.zip_with(centred, _doubles(c[j] for c in components), lambda x, p: x * p),
+                                F.lit(0.0), lambda t, v: t + v)
+    return df.withColumn(out, F.array(*[dot(j) for j in range(len(components[0]))]))
 
 
 def reconstruct(df: DataFrame, scores: str, components, mean, out: str = "reconstruction") -> DataFrame:
     """Inverse transform: ``mean + pc . score`` for every coordinate."""
-    d, k = len(mean), len(components[0])
-    s = F.col(scores)
-    cols = [F.lit(float(mean[i])) + sum((s[j] * F.lit(float(components[i][j])) for j in range(k)), F.lit(0.0))
-            for i in range(d)]
-    return df.withColumn(out, F.array(*cols))
+    rec = _doubles(mean)
+
+    def add(rec, j):
+        return F.zip_with(rec, _doubles(c[j] for c in components), lambda r, p: r + p * F.col(scores)[j])
+
+    for j in range(len(components[0])):
+        rec = add(rec, j)
+    return df.withColumn(out, rec)
 
 
 def column_means(df: DataFrame, features: str, dim: int) -> list:

@@ -61,13 +61,17 @@ def param_grid(spark: SparkSession, space: dict) -> DataFrame:
 
 def random_trials(spark: SparkSession, ranges: dict, n_trials: int = 20, seed: int = 42) -> DataFrame:
     """H3 draws: setting ``p`` of trial ``t`` is
-    ``low + (first 32 bits of md5('<seed>|<t>|<p>')) mod (high - low)``."""
+    ``low + (first 32 bits of md5('<seed>|<t>|<p>')) mod (high - low)`` for a
+    ``(low, high)`` range, or the choice at those bits modulo their number for a list."""
     t = spark.range(n_trials).select(F.col("id").alias("trial_id"))
     cols = []
-    for n, (lo, hi) in ranges.items():
+    for n, r in ranges.items():
         h = seeded_md5(seed, F.col("trial_id"), F.lit(n))
         u = F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
-        cols.append((F.lit(int(lo)) + u % F.lit(int(hi) - int(lo))).cast("string").alias(n))
+        if isinstance(r, list):
+            cols.append(F.element_at(F.array(*[_lit(v) for v in r]), (u % len(r)).cast("int") + 1).alias(n))
+        else:
+            cols.append((F.lit(int(r[0])) + u % F.lit(int(r[1]) - int(r[0]))).cast("string").alias(n))
     return t.select("trial_id", *cols)
 
 
@@ -88,6 +92,14 @@ def fit_key(params: dict) -> tuple:
     return tuple(sorted((k, v) for k, v in params.items() if k not in NO_SPARK_COUNTERPART))
 
 
+def higher_better(metric: str) -> bool:
+    """Whether more of ``metric`` is better, by the same table as R4."""
+    from .runs import METRIC_DIRECTIONS
+    name = metric.lower()
+    table = list(METRIC_DIRECTIONS)
+    return next((v for k, v in table if k == name), next((v for k, v in table if k in name), True))
+
+
 # Metrics a cross-validation can optimize (computed by loomkit's aggregates).
 CV_METRICS = {"accuracy", "f1", "precision", "recall", "rmse", "mse", "mae", "r2"}
 
@@ -106,11 +118,12 @@ def fold_scores(scored: DataFrame, label: str, metric: str) -> dict:
 
 def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str, k: int = 3,
                    metric: str = "accuracy", keys=None, seed: int = 42, parallelism: int | None = None,
-                   stratify: bool = True) -> DataFrame:
+                   stratify: bool = True, folds: DataFrame | None = None) -> DataFrame:
     """H2 core: per (trial, fold) test and train scores, as a Spark table.
 
     ``make_pipeline(params: dict) -> Pipeline``.  Trials with equal
-    fit-relevant settings share their fits.
+    fit-relevant settings share their fits.  ``folds``: ``df`` with its fold
+    column, if the caller has cached it already.
     """
     spark = df.sparkSession
     from contextlib import ExitStack
@@ -126,8 +139,9 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
 
     with ExitStack() as stack:
         # the input and its fold assignment are each computed once and cached
-        d = stack.enter_context(cached(df))
-        folds = stack.enter_context(cached(stratified_kfold(d, label if stratify else None, keys, k, seed)))
+        if folds is None:
+            d = stack.enter_context(cached(df))
+            folds = stack.enter_context(cached(stratified_kfold(d, label if stratify else None, keys, k, seed)))
 
         def run(job):
             key, f = job
@@ -178,70 +192,80 @@ def best_trial(scores: DataFrame, score: str = "test_score", higher_is_better: b
 
 def _search(df, trials, make_pipeline, label, k, metric, keys, seed, parallelism, higher):
     scores = cross_validate(df, trials, make_pipeline, label, k, metric, keys, seed, parallelism)
-    return summarize_trials(scores, trials, higher)
+    return summarize_trials(scores, trials, higher_better(metric) if higher is None else higher)
 
 
 def grid_search(df, space, make_pipeline, label, k=3, metric="accuracy", keys=None, seed=42,
-                parallelism=None, higher_is_better=True) -> DataFrame:
+                parallelism=None, higher_is_better=None) -> DataFrame:
     """H2: CV score of every combination (mean, std, train score) ranked."""
     trials = param_grid(df.sparkSession, space)
     return _search(df, trials, make_pipeline, label, k, metric, keys, seed, parallelism, higher_is_better)
 
 
 def random_search(df, ranges, make_pipeline, label, n_trials=20, k=3, metric="accuracy", keys=None,
-                  seed=42, parallelism=None, higher_is_better=True) -> DataFrame:
+                  seed=42, parallelism=None, higher_is_better=None) -> DataFrame:
     """H3: ``n_trials`` seeded draws, then cross-validated like H2."""
     trials = random_trials(df.sparkSession, ranges, n_trials, seed)
     return _search(df, trials, make_pipeline, label, k, metric, keys, seed, parallelism, higher_is_better)
 
 
+def _densities(values: list, at: list, kind) -> np.ndarray:
+    """Parzen density of ``values`` at ``at``: Gaussian kernels for a range, smoothed shares for choices."""
+    if isinstance(kind, list):
+        names = [str(v) for v in kind]
+        share = np.array([1.0 + sum(str(v) == n for v in values) for n in names])
+        return (share / share.sum())[[names.index(str(v)) for v in at]]
+    width = max(1.0, (kind[1] - kind[0]) / 5.0)
+    d = (np.array(at, float)[:, None] - np.array(values, float)[None, :]) / width
+    return np.exp(-0.5 * d * d).mean(axis=1) + 1e-12
+
+
 def adaptive_search(df, ranges, make_pipeline, label, n_trials=20, n_startup=8, batch=4, gamma=0.25,
                     n_candidates=64, k=3, metric="accuracy", keys=None, seed=42, parallelism=None,
-                    higher_is_better=True) -> DataFrame:
+                    higher_is_better=None) -> DataFrame:
     """H4: sequential model-based search in rounds (tree-structured Parzen
-    style).  Start with ``n_startup`` seeded draws; each round splits past
-    trials into good (best ``gamma`` share) and bad, scores hashed
-    candidate draws by the ratio of Parzen densities l(x)/g(x) per setting,
-    and cross-validates the best ``batch`` in parallel.  Only the proposal
-    runs on the driver (over the trials table); every fit is a Spark job."""
+    style).  ``ranges`` holds ``(low, high)`` integer ranges and lists of choices.
+    Start with ``n_startup`` seeded draws; each round splits past trials into
+    good (best ``gamma`` share) and bad, draws ``n_candidates`` fresh candidates,
+    scores them by the ratio of Parzen densities l(x)/g(x) per setting, and
+    cross-validates the best ``batch`` in parallel.  The folds are computed once.
+    Only the proposal runs on the driver (over the trials table)."""
+    from .models import cached
+
     spark = df.sparkSession
     names = list(ranges)
-    done_trials, done_scores = None, None
-    next_id = 0
-    pool = random_trials(spark, ranges, n_startup + n_trials * n_candidates, seed)
-    pool_rows = [[int(r[n]) for n in names] for r in pool.orderBy("trial_id").collect()]
-    used = set()
-    history = []  # (params list, mean score)
-    while next_id < n_trials:
-        if next_id < n_startup:
-            pick = list(range(next_id, min(n_startup, n_trials)))
-        else:
-            hist = sorted(history, key=lambda h: -h[1] if higher_is_better else h[1])
-            n_good = max(1, int(math.ceil(gamma * len(hist))))
-            good = np.array([h[0] for h in hist[:n_good]], dtype=float)
-            bad = np.array([h[0] for h in hist[n_good:]] or [h[0] for h in hist], dtype=float)
-            cand = [i for i in range(len(pool_rows)) if i not in used][:n_candidates]
-            x = np.array([pool_rows[i] for i in cand], dtype=float)
-            widths = np.array([max(1.0, (hi - lo) / 5.0) for lo, hi in ranges.values()])
-
-            def dens(pts):
-                d = (x[:, None, :] - pts[None, :, :]) / widths
-                return np.exp(-0.5 * d * d).mean(axis=1) + 1e-12
-
-            ratio = np.log(dens(good)).sum(axis=1) - np.log(dens(bad)).sum(axis=1)
-            order = np.argsort(-ratio, kind="stable")
-            pick = [cand[i] for i in order[:min(batch, n_trials - next_id)]]
-        used.update(pick)
-        rows = [(next_id + j, *[str(pool_rows[i][c]) for c in range(len(names))]) for j, i in enumerate(pick)]
-        t = spark.createDataFrame(rows, ["trial_id", *names]).withColumn("trial_id", F.col("trial_id").cast("bigint"))
-        sc = cross_validate(df, t, make_pipeline, label, k, metric, keys, seed, parallelism)
-        means = {r["trial_id"]: r["m"] for r in sc.groupBy("trial_id").agg(F.avg("test_score").alias("m")).collect()}
-        for j, i in enumerate(pick):
-            history.append((pool_rows[i], means[next_id + j]))
-        done_trials = t if done_trials is None else done_trials.unionByName(t)
-        done_scores = sc if done_scores is None else done_scores.unionByName(sc)
-        next_id += len(pick)
-    return summarize_trials(done_scores, done_trials, higher_is_better)
+    higher = higher_better(metric) if higher_is_better is None else higher_is_better
+    rounds = max(0, -(-(n_trials - n_startup) // batch))
+    pool = random_trials(spark, ranges, n_startup + rounds * n_candidates, seed)  # bounded by the search's own settings
+    drawn = [[r[n] for n in names] for r in pool.orderBy("trial_id").collect()]
+    history: list[tuple[list, float]] = []
+    tables: list[tuple[DataFrame, DataFrame]] = []
+    with cached(df) as d, cached(stratified_kfold(d, label, keys, k, seed)) as folds:
+        while len(history) < n_trials:
+            if not history:
+                pick = drawn[:min(n_startup, n_trials)]
+            else:
+                past = sorted(history, key=lambda h: -h[1] if higher else h[1])
+                n_good = max(1, int(math.ceil(gamma * len(past))))
+                good = [h[0] for h in past[:n_good]]
+                bad = [h[0] for h in past[n_good:]] or good
+                start = n_startup + (len(tables) - 1) * n_candidates
+                fresh = drawn[start:start + n_candidates]
+                ratio = sum(np.log(_densities([g[c] for g in good], [f[c] for f in fresh], ranges[n]))
+                            - np.log(_densities([b[c] for b in bad], [f[c] for f in fresh], ranges[n])) for c, n in enumerate(names))
+                order = np.argsort(-ratio, kind="stable")
+                pick = [fresh[i] for i in order[:min(batch, n_trials - len(history))]]
+            first = len(history)
+            schema = "trial_id long, " + ", ".join(f"`{n}` string" for n in names)
+            t = spark.createDataFrame([(first + i, *p) for i, p in enumerate(pick)], schema)
+            sc = cross_validate(df, t, make_pipeline, label, k, metric, keys, seed, parallelism, folds=folds)
+            means = {r["trial_id"]: r["m"] for r in sc.groupBy("trial_id").agg(F.avg("test_score").alias("m")).collect()}
+            history += [(p, means[first + i]) for i, p in enumerate(pick)]
+            tables.append((t, sc))
+    trials, scores = tables[0]
+    for t, sc in tables[1:]:
+        trials, scores = trials.unionByName(t), scores.unionByName(sc)
+    return summarize_trials(scores, trials, higher)
 
 
 def best_params(summary: DataFrame) -> dict:
@@ -254,11 +278,15 @@ def best_params(summary: DataFrame) -> dict:
 def final_evaluation(split_df: DataFrame, params: dict, make_pipeline, label: str,
                      metric: str = "accuracy", split_col: str = "split") -> DataFrame:
     """H6: refit on train with the best settings, score test and validation."""
-    from .metrics import accuracy, regression_metrics
+    from .metrics import accuracy, precision_recall_f1, regression_metrics
     from .models import cached
+    if metric not in CV_METRICS:
+        raise ValueError(f"metric must be one of {sorted(CV_METRICS)}")
     with cached(split_df.where(F.col(split_col) == "train")) as train:
         model = make_pipeline(params).fit(train)
     scored = model.transform(split_df.where(F.col(split_col) != "train"))
     if metric == "accuracy":
         return accuracy(scored, label, "prediction", [split_col])
+    if metric in ("f1", "precision", "recall"):
+        return precision_recall_f1(scored, label, "prediction", [split_col]).where(F.col("class") == "weighted").drop("class")
     return regression_metrics(scored, label, "prediction", [split_col])

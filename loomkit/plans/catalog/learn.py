@@ -48,8 +48,7 @@ def q_train_random_forest(spark, sf):
 
 def q_train_random_forest_regressor(spark, sf):
     p = S.split_random(table(spark, sf, "part"), keys=["p_partkey"])
-    m = M.train_random_forest_regressor(p.where("split = 'train'"), ["p_partkey", "p_size"], "p_retailprice",
-                                        n_estimators=20, max_depth=8)
+    m = M.train_random_forest_regressor(p.where("split = 'train'"), ["p_partkey", "p_size"], "p_retailprice")
     return E.regression_metrics(m.transform(p.where("split = 'test'")), "p_retailprice", "prediction")
 
 
@@ -84,6 +83,34 @@ def q_explained_variance_ratio(spark, sf):
         F.lit(ratio).alias("explained_variance_ratio"), F.lit(2).alias("n_components"), "n_rows")
 
 
+def _clustered(spark, sf):
+    """Embeddings split, k-means fitted on the train part, every row with its fitted cluster."""
+    from ...session import materialize
+    e = S.split_bernoulli(table(spark, sf, "embeddings"), keys=["vec_id"], test_size=0.2, validation_size=0.1)
+    m = M.train_kmeans(e.where("split = 'train'"), ["embedding"], k=3, max_iter=300, seed=42, n_init=10)
+    return materialize(m.transform(e).select("vec_id", "split", "embedding", "cluster"), "clustered")
+
+
+def q_cluster_scores_by_split(spark, sf):
+    """E8, E9, E11 and E12 of the fitted clusters on train, test and validation."""
+    c = _clustered(spark, sf)
+    out = None
+    for metric in (E.silhouette_squared, E.davies_bouldin, E.calinski_harabasz, E.inertia):
+        m = metric(c, "embedding", "cluster", ["split"])
+        out = m if out is None else out.join(m, "split")
+    return out
+
+
+def q_pca_error_by_split(spark, sf):
+    """E13 and E14 of the fitted PCA, on train and test."""
+    e = S.split_bernoulli(table(spark, sf, "embeddings"), keys=["vec_id"], test_size=0.2)
+    model = M.train_pca(e.where("split = 'train'"), ["embedding"], k=2)
+    pc, mean = M.pca_parts(model)
+    rec = M.reconstruct(M.project(e, "embedding", pc, mean), "scores", pc, mean)
+    err = E.reconstruction_error(rec, features="embedding", recon="reconstruction", group=["split"])
+    return err.withColumn("explained_variance_ratio", F.lit(M.explained_variance_ratio(model)))
+
+
 def q_reconstruction_error(spark, sf):
     """E14 with a fixed projection (the first two coordinate axes), fitted
     mean from the train part; error per split."""
@@ -105,8 +132,6 @@ def rf_pipeline_for(df):
 
 SMALL_SPACE = {"n_estimators": [10, 20], "max_depth": [3, 5], "min_samples_split": [2, 5],
                "min_samples_leaf": [1], "max_features": ["sqrt"]}
-SMALL_RANGES = {"n_estimators": (5, 30), "max_depth": (2, 8), "min_samples_split": (2, 10),
-                "min_samples_leaf": (1, 5)}
 
 
 def _train(spark, sf):
@@ -121,13 +146,13 @@ def q_grid_search(spark, sf):
 
 def q_random_search(spark, sf):
     tr = _train(spark, sf)
-    return H.random_search(tr, SMALL_RANGES, rf_pipeline_for(tr), "quality", n_trials=6, k=3, keys=["doc_id"])
+    return H.random_search(tr, H.DEFAULT_RF_RANGES, rf_pipeline_for(tr), "quality", k=3, keys=["doc_id"])
 
 
 def q_adaptive_search(spark, sf):
     tr = _train(spark, sf)
-    return H.adaptive_search(tr, SMALL_RANGES, rf_pipeline_for(tr), "quality", n_trials=8, n_startup=4,
-                             batch=2, k=3, keys=["doc_id"])
+    space = {**H.DEFAULT_RF_RANGES, "max_features": H.DEFAULT_RF_SPACE["max_features"]}
+    return H.adaptive_search(tr, space, rf_pipeline_for(tr), "quality", k=3, keys=["doc_id"])
 
 
 def q_final_evaluation(spark, sf):
@@ -155,6 +180,8 @@ QUERIES = {
     "train_mlp": q_train_mlp,
     "metric_explained_variance_ratio": q_explained_variance_ratio,
     "metric_reconstruction_error": q_reconstruction_error,
+    "cluster_scores_by_split": q_cluster_scores_by_split,
+    "pca_error_by_split": q_pca_error_by_split,
     "grid_search": q_grid_search,
     "random_search": q_random_search,
     "adaptive_search": q_adaptive_search,

@@ -63,3 +63,45 @@ def test_final_evaluation_scores_held_out_parts(spark, train):
     s = split_three_way(train, keys=["doc_id"], label="quality", test_size=0.2, validation_size=0.1)
     out = H.final_evaluation(s, {"n_estimators": 3, "max_depth": 2}, _make(train), "quality").collect()
     assert {r["split"] for r in out} == {"test", "validation"}
+
+
+def test_rows_in_are_rows_out_and_ragged_arrays_are_refused(spark):
+    good = spark.createDataFrame([(i, [float(i % 3), float(i)]) for i in range(10)], "id long, f array<double>")
+    assert M.train_kmeans(good, ["f"], k=2, max_iter=5, n_init=1).transform(good).count() == 10
+    for odd in ([1.0], None):
+        bad = good.unionByName(spark.createDataFrame([(99, odd)], good.schema))
+        with pytest.raises(ValueError, match="different lengths"):
+            M.train_kmeans(bad, ["f"], k=2)
+    model = M.train_kmeans(good, ["f"], k=2, max_iter=5, n_init=1)
+    with pytest.raises(Exception):  # at scoring too a row is never dropped
+        model.transform(good.unionByName(spark.createDataFrame([(99, [1.0])], good.schema))).select("cluster").collect()
+
+
+def test_mlp_takes_array_features(spark):
+    df = spark.createDataFrame([(i, [float(i % 2), float(i), 1.0], float(i % 2)) for i in range(40)], "id long, f array<double>, y double")
+    m = M.train_mlp(df, ["f"], "y", hidden=(4,), max_iter=20)
+    assert m.transform(df).count() == 40
+
+
+def test_forest_defaults():
+    assert M.forest_params()["featureSubsetStrategy"] == "sqrt"
+    assert M.forest_params(max_features=None)["featureSubsetStrategy"] == "all"
+
+
+@pytest.mark.parametrize("metric,cols", [("f1", {"split", "precision", "recall", "support", "f1"}), ("accuracy", {"split", "accuracy", "n_rows"})])
+def test_final_evaluation_returns_the_metric_asked_for(spark, train, metric, cols):
+    from loomkit.operators.splits import split_three_way
+    s = split_three_way(train, keys=["doc_id"], label="quality", test_size=0.2, validation_size=0.1)
+    out = H.final_evaluation(s, {"n_estimators": 3, "max_depth": 2}, _make(train), "quality", metric=metric)
+    assert set(out.columns) == cols
+
+
+def test_directions_follow_the_metric_table():
+    assert H.higher_better("accuracy") and H.higher_better("r2")
+    assert not H.higher_better("rmse") and not H.higher_better("mae")
+
+
+def test_adaptive_search_takes_choices(spark, train):
+    space = {"n_estimators": (2, 6), "max_depth": [2, 3]}
+    a = H.adaptive_search(train, space, _make(train), "quality", n_trials=6, n_startup=2, batch=2, n_candidates=5, k=2, keys=["doc_id"]).collect()
+    assert sorted(x["trial_id"] for x in a) == list(range(6)) and {x["max_depth"] for x in a} <= {"2", "3"}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hnsw, langid, neardup, packing, radix, secrets, subword, suffixes, urllist, warc
+from . import credentials, hnsw, langid, neardup, packing, radix, subword, suffixes, urllist, warc
 from .common import read
 
 
@@ -20,7 +20,7 @@ def piece_bpe_path() -> str:
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(read(spark, sf_dir, "documents"))
+    return credentials.scan(read(spark, sf_dir, "documents"))
 
 
 def op2_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:

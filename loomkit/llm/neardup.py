@@ -14,10 +14,12 @@ distance screens pairs in the JVM before texts are fetched (38 of 128; 16 expect
 at 0.75).  Links are confirmed on the full sets: 100 * intersection >= 75 * union.
 
 Texts with equal sets are one node.  Pairs are never expanded inside a bucket: first
-every node is compared with the smallest node of each bucket it is in, and the
-confirmed links make components.  Only then the remaining pairs of a bucket,
-those across components, are compared, so a large group of copies costs one
-comparison per member and bucket at most, and no link between components is lost.
+every node is compared with the smallest and the largest node of each bucket it is
+in, and the confirmed links make components.  Then the pairs of a bucket that are still in
+different components are screened where they meet, and only those that pass are
+rows: the screen is a longer bit signature and an exact bound, as no intersection
+exceeds the number of a set's shingles that any other set in question has.  So a
+large group costs a comparison per member and bucket, and no link is lost.
 
 Defined results: null or wordless text has size 0 and links with nothing; rows with
 equal ids are rows of their own; a component's id is its smallest id, nulls last;
@@ -46,6 +48,7 @@ from .shingles import mixed, shingle_sets
 LANES = 128
 CHUNKS, WIDTH, ERRORS = 8, 5, 2
 MOST_BITS = 38
+LONG_BITS, MOST_LONG_BITS = 2048, 335  # 256 expected at 0.75; 5.3 standard deviations more
 _RNG = np.random.default_rng(75)
 _XOR = _RNG.integers(0, 1 << 64, LANES, dtype=np.uint64)
 _MUL = _RNG.integers(0, 1 << 63, LANES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -96,7 +99,7 @@ def sketch(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def index_keys(nodes: DataFrame) -> DataFrame:
-    """(key, node): every node under each of its chunk readings with ``ERRORS`` lanes left out."""
+    """(p, key, node): every node under each of its chunk readings with ``ERRORS`` lanes left out."""
     ship_package(nodes.sparkSession)
 
     def run(batches):
@@ -112,7 +115,7 @@ def index_keys(nodes: DataFrame) -> DataFrame:
             yield pa.record_batch([b.column(0), pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).ravel()), len(_PATTERNS)).cast(
                 pa.list_(pa.int64()))], names=["node", "keys"])
 
-    return nodes.select("node", "lanes").mapInArrow(run, "node long, keys array<long>").select(F.explode("keys").alias("key"), "node")
+    return nodes.select("node", "lanes").mapInArrow(run, "node long, keys array<long>").select(F.posexplode("keys").alias("p", "key"), "node")
 
 
 def texts_by_digest(docs: DataFrame, text: str) -> DataFrame:
@@ -132,22 +135,32 @@ def texts_by_digest(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(text_or_empty(text).alias("text")).mapInArrow(run, "digest binary, z binary")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
-    """Those (a, b) of ``pairs`` whose full sets have 100 * intersection >= 75 * union."""
-    spark = docs.sparkSession
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = written(wanted.join(nodes.select("node", "digest").hint("merge"), "node"), "near-wanted")
-    found = texts_by_digest(docs, text).join(wanted.hint("merge"), "digest").groupBy("node").agg(F.first("z").alias("z"))
+def fetched(wanted: DataFrame, docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
+    """(node, z): the compressed text of each of the ``wanted`` nodes, written."""
+    digests = written(wanted.join(nodes.select("node", "digest").hint("merge"), "node"), "near-wanted")
+    found = texts_by_digest(docs, text).join(digests.hint("merge"), "digest").groupBy("node").agg(F.first("z").alias("z"))
     found = written(found, "near-texts", "uncompressed")
+    drop_written(docs.sparkSession, digests)
+    return found
+
+
+def confirmed(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Those (a, b) of ``pairs`` whose full sets have 100 * intersection >= 75 * union."""
 
     def run(batches):
-        known = (None, None)
+        known, recent, size = (None, None), {}, 0  # sets at hand, bounded by their shingles
         for b in batches:
             keep = []
-            for i, (k, za, zb) in enumerate(zip(b.column(1).to_pylist(), b.column(2), b.column(3), strict=True)):
+            for i, (j, k, za, zb) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3), strict=True)):
                 if known[0] != k:
                     known = (k, _set(zb.as_py()))
-                x, y = _set(za.as_py()), known[1]
+                if (x := recent.get(j)) is None:
+                    if size > 4_000_000:
+                        recent.clear()
+                        size = 0
+                    x = recent[j] = _set(za.as_py())
+                    size += len(x)
+                y = known[1]
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * both >= 75 * (len(x) + len(y) - both):
                     keep.append(i)
@@ -155,9 +168,39 @@ def confirmed(pairs: DataFrame, docs: DataFrame, text: str, nodes: DataFrame) ->
 
     one = pairs.join(found.select(F.col("node").alias("a"), F.col("z").alias("za")).hint("merge"), "a")
     two = one.join(found.select(F.col("node").alias("b"), F.col("z").alias("zb")).hint("merge"), "b")
-    links = written(two.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long"), "near-links")
-    drop_written(spark, wanted, found)
-    return links
+    return written(two.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long"), "near-links")
+
+
+def long_sketches(found: DataFrame) -> DataFrame:
+    """(node, k, sets): ``LONG_BITS`` min-hash bits as longs, and the set itself."""
+
+    def run(batches):
+        rng = np.random.default_rng(76)
+        xor = rng.integers(0, 1 << 64, LONG_BITS, dtype=np.uint64)
+        mul = rng.integers(0, 1 << 63, LONG_BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        for b in batches:
+            for lo in range(0, b.num_rows, 64):
+                part = b.slice(lo, 64)
+                sets = [_set(z.as_py()) for z in part.column(1)]
+                at = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+                every = np.concatenate(sets)
+                bits = np.empty((len(sets), LONG_BITS), np.uint8)
+                for i in range(LONG_BITS):
+                    bits[:, i] = (np.minimum.reduceat((every ^ xor[i]) * mul[i], at[:-1]) >> np.uint64(40)) & np.uint64(1)
+                k = np.packbits(bits, axis=1).view("<i8").reshape(len(sets), -1)
+                yield pa.record_batch([part.column(0), pa.array(list(k), pa.list_(pa.int64())), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))],
+                                      names=["node", "k", "sets"])
+
+    return found.mapInArrow(run, "node long, k array<long>, sets array<long>")
+
+
+def shared_counts(sets: DataFrame) -> DataFrame:
+    """(node, c): how many of a node's shingles another of these nodes has too.
+
+    No intersection with any of them is larger, which bounds a pair's similarity exactly."""
+    each = sets.select("node", F.explode("sets").alias("h"))
+    twice = written(each.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "near-shared")
+    return each.join(twice.hint("merge"), "h").groupBy("node").agg(F.count(F.lit(1)).alias("c"))
 
 
 def _set(z: bytes) -> np.ndarray:
@@ -171,11 +214,32 @@ def _screen(x: str, y: str):
                   f"bit_count({x}.b1 ^ {y}.b1) + bit_count({x}.b2 ^ {y}.b2) <= {MOST_BITS}")
 
 
+def _lane_list(nodes: DataFrame) -> DataFrame:
+    """(node, l): the index lanes as an array of ints."""
+
+    def run(batches):
+        for b in batches:
+            lanes = [np.frombuffer(x, "<i4") for x in b.column(1).to_pylist()]
+            yield pa.record_batch([b.column(0), pa.array(lanes, pa.list_(pa.int32()))], names=["node", "l"])
+
+    return nodes.select("node", "lanes").mapInArrow(run, "node long, l array<int>")
+
+
+def _first_meeting() -> F.Column:
+    """Reading x.p is the first in which the two signatures meet, so a pair is made once.
+
+    (Written with array functions: spelt out, the compiled condition grows too large for the JVM to optimise.)"""
+    n = CHUNKS * WIDTH
+    masks = ", ".join(f"{sum(1 << (n - 1 - i) for i in pattern)}L" for pattern in _PATTERNS)
+    same = "aggregate(zip_with(x.l, y.l, (a, b) -> if(a = b, 1L, 0L)), 0L, (m, e) -> m * 2 + e)"
+    return F.expr(f"transform(array({same}), m -> array_position(transform(array({masks}), q -> (m & q) = q), true))[0] = x.p + 1")
+
+
 def node_components(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
     """(node, comp) of every node with a link."""
     spark = docs.sparkSession
     keys = index_keys(nodes)
-    shared = keys.groupBy("key").agg(F.min("node").alias("top"), F.max("node").alias("last")).where("top <> last").select("key", "top")
+    shared = keys.groupBy("key").agg(F.min("node").alias("top"), F.max("node").alias("last")).where("top <> last")
     shared = written(shared, "near-buckets")
     member = written(keys.join(shared.hint("merge"), "key"), "near-members")
     drop_written(spark, shared)
@@ -185,24 +249,39 @@ def node_components(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
         x, y = slim.alias("x"), slim.alias("y")
         return pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node")).where(_screen("x", "y")).select("a", "b")
 
-    stars = member.where("node <> top").select(F.col("node").alias("a"), F.col("top").alias("b")).distinct()
+    hub = lambda c: member.where(F.col("node") != F.col(c)).select(F.col("node").alias("a"), F.col(c).alias("b"))
+    stars = hub("top").unionByName(hub("last")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     stars = written(with_sketch(stars), "near-stars")
-    links = confirmed(stars, docs, text, nodes)
+    ends = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
+    found = fetched(ends, docs, text, nodes)
+    links = confirmed(stars, found)
+    drop_written(spark, found)
     comp = written(components(links), "near-comp")
 
     # pairs of a bucket that are still in different components
-    at = member.select("key", "node").join(comp, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    at = member.select("p", "key", "node").join(comp, "node", "left").select("p", "key", "node", F.coalesce("comp", "node").alias("comp"))
     at = written(at.join(slim, "node"), "near-members")
     open_ = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     left = written(at.join(open_.hint("merge"), "key"), "near-open")
-    x, y = left.alias("x"), left.alias("y")
-    rest = x.hint("merge").join(y, F.expr("x.key = y.key and x.node > y.node and x.comp <> y.comp") & _screen("x", "y"))
-    rest = rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    rest = written(rest.join(stars, ["a", "b"], "left_anti"), "near-rest")
-    drop_written(spark, member, at, left)
+    x, y = left.alias("x").hint("merge"), left.alias("y").hint("merge")
+    apart = F.expr("x.key = y.key and x.comp <> y.comp") & _screen("x", "y")
+    some = written(x.join(y, apart, "left_semi").select("node").distinct(), "near-some")  # nodes with any such partner
+    drop_written(spark, member, at)
+    if some.isEmpty():
+        return comp
+    found = fetched(some, docs, text, nodes)
+    sets = written(long_sketches(found), "near-sets")
+    more = shared_counts(sets).join(sets.select("node", "k").hint("merge"), "node").join(_lane_list(nodes).hint("merge"), "node")
+    left = written(left.join(more.hint("merge"), "node"), "near-open")
+    x, y = left.alias("x").hint("merge"), left.alias("y").hint("merge")
+    bound = F.expr("100 * least(x.c, y.c) >= 75 * (x.n + y.n - least(x.c, y.c))")
+    bits = F.expr(f"aggregate(zip_with(x.k, y.k, (a, b) -> bit_count(a ^ b)), 0, (s, v) -> s + v) <= {MOST_LONG_BITS}")
+    meet = F.expr("x.key = y.key and x.node > y.node and x.comp <> y.comp")
+    rest = x.join(y, meet & _screen("x", "y") & bound & bits & _first_meeting())
+    rest = written(rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "near-rest")
     if rest.isEmpty():
         return comp
-    return components(links.unionByName(confirmed(rest, docs, text, nodes)))
+    return components(links.unionByName(confirmed(rest, found)))
 
 
 def _classes(docs: DataFrame, id_col: str, text: str) -> tuple[DataFrame, DataFrame]:

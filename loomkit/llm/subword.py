@@ -39,6 +39,7 @@ import math
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -245,8 +246,7 @@ def decode_ids(rows: DataFrame, model_file: str, ids: str = "ids", out: str = "t
     ship_package(rows.sparkSession)
 
     @F.pandas_udf("string")
-    def decode(s: "pd.Series") -> "pd.Series":  # noqa: F821
-        import pandas as pd
+    def decode(s: pd.Series) -> pd.Series:
         sp = lattices(model_file).sp
         return pd.Series([None if x is None else sp.decode([int(i) for i in x]) for x in s])
 

@@ -91,7 +91,9 @@ def anchors_of(data: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     lone = np.concatenate([[True], np.diff(i) > 1]) if len(i) else np.zeros(0, bool)
     heads = np.flatnonzero(lone)
     ends = np.concatenate([heads[1:], [len(i)]]) - 1 if len(i) else heads
-    return h[keep].view(np.int64), a[keep], first[keep], last[keep], (first[i[heads]], last[i[ends]])
+    tail = i[ends]  # a stretch's last starts are equal to the ones a period later
+    return h[keep].view(np.int64), a[keep], first[keep], last[keep], (
+        np.concatenate([first[i[heads]], first[tail] + step[tail]]), np.concatenate([last[tail], last[tail] + step[tail]]))
 
 
 def text_key(name: str):

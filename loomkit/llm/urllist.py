@@ -16,9 +16,8 @@ on the capture side, which adaptive execution splits.  Repeated captures are
 counted before the join and given back after it.
 
 Defined results: null or hostless URLs and null fetch times match nothing and
-are not blocked; of entries with the same pattern and time the greatest action
-name (``remove``, ``block``, ``allow``) holds; entries with a null field are left
-out; repeated captures each get a row; empty tables give empty results or no match.
+are not blocked; of entries with the same pattern and time ``remove`` holds over
+``block`` and ``block`` over ``allow``; entries with a null field are left out; repeated captures each get a row; empty tables give empty results or no match.
 """
 
 from __future__ import annotations

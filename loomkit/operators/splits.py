@@ -19,7 +19,7 @@ its lineage cut with ``checkpoint()`` into the session's checkpoint
 folder; class sizes, quotas and the cut all derive from it.  A running
 sum over the buckets finds, for each class, the one bucket holding the
 quota boundary.  Rows below it go first and rows above it second with no
-shuffle (broadcast join of a per-class table whose size is checked); only
+shuffle of their own (a join with a per-class table, broadcast by the planner if small); only
 the rows of the boundary bucket (about 1/65,536 of a class) are ranked.
 The result equals a full sort by (hash, key) and does not depend on
 partitioning.
@@ -36,8 +36,6 @@ from pyspark.sql.types import StringType
 from ..functions.hashing import hash_prefix, hash_unit, seeded_md5
 from ..functions.missing import as_missing
 
-# Largest per-class / per-bucket helper table we ship to every executor.
-BROADCAST_MAX_ROWS = 1_000_000
 # ``task_type`` threshold: fewer distinct non-missing values -> classification.
 CLASSIFICATION_MAX_DISTINCT = 20
 
@@ -58,11 +56,6 @@ def split_sizes(n: int, test_size) -> tuple[int, int]:
     return n_train, n_test
 
 
-def maybe_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
-    """Broadcast a helper table only when its row count is within bound."""
-    return F.broadcast(df) if n_rows <= BROADCAST_MAX_ROWS else df
-
-
 # Hash-prefix length of a bucket: 16**4 = 65,536 buckets per class.
 BUCKET_HEX = 4
 
@@ -110,12 +103,11 @@ def _train_quotas(cls: DataFrame, n: int, n_train: int, stratified: bool) -> Dat
 
 def _check_strata(n, k, minc, n_train, n_test):
     if minc < 2:
-        raise ValueError("The least populated class in y has only 1 member, which is too few. "
-                         "The minimum number of groups for any class cannot be less than 2.")
+        raise ValueError("a class has a single row: it cannot be in both parts")
     if n_train < k:
-        raise ValueError(f"The train_size = {n_train} should be greater or equal to the number of classes = {k}")
+        raise ValueError(f"{n_train} training rows cannot cover {k} classes")
     if n_test < k:
-        raise ValueError(f"The test_size = {n_test} should be greater or equal to the number of classes = {k}")
+        raise ValueError(f"{n_test} test rows cannot cover {k} classes")
 
 
 def exact_split(df: DataFrame, keys=None, label: str | None = None, test_size=0.2,
@@ -138,16 +130,16 @@ def exact_split(df: DataFrame, keys=None, label: str | None = None, test_size=0.
 
     run = Window.partitionBy(_Y).orderBy(_B).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bc = bc.withColumn("_cum", F.sum("_n").over(run))
-    cut = (bc.join(maybe_broadcast(quotas, k), bc[_Y].eqNullSafe(quotas["_yk"]))
+    cut = (bc.join(quotas, bc[_Y].eqNullSafe(quotas["_yk"]))
              .where((F.col("_cum") - F.col("_n") < F.col("_tr")) & (F.col("_tr") <= F.col("_cum")))
              .select(F.col("_yk").alias("_yc"), F.col(_B).alias("_bb"),
                      (F.col("_tr") - (F.col("_cum") - F.col("_n"))).alias("_need")))
     # classes whose quota is 0 have no boundary: everything goes second
-    cut = quotas.join(maybe_broadcast(cut, k), quotas["_yk"].eqNullSafe(cut["_yc"]), "left").select(
+    cut = quotas.join(cut, quotas["_yk"].eqNullSafe(cut["_yc"]), "left").select(
         "_yk", F.coalesce("_bb", F.lit("")).alias("_bb"), F.coalesce("_need", F.lit(0)).alias("_need"))
 
     if label:
-        rows = d.join(maybe_broadcast(cut, k), d[_Y].eqNullSafe(cut["_yk"]))
+        rows = d.join(cut, d[_Y].eqNullSafe(cut["_yk"]))
     else:  # one stratum: its boundary is two scalars, no join needed
         rows = d.select("*", cut.select("_bb").scalar().alias("_bb"), cut.select("_need").scalar().alias("_need"))
     inner = rows.where(F.col(_B) != F.col("_bb")).withColumn(
@@ -262,8 +254,7 @@ def rank_within(df: DataFrame, keys, label: str | None, seed=42, rank_col="_rank
     run = Window.partitionBy(_Y).orderBy(_B).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     off = bc.select(F.col(_Y).alias("_yk"), F.col(_B).alias("_bk"),
                     (F.sum("_n").over(run) - F.col("_n")).alias("_off"))
-    bound = min(n, k * 16 ** BUCKET_HEX)
-    rows = d.join(maybe_broadcast(off, bound),
+    rows = d.join(off,
                   d[_Y].eqNullSafe(off["_yk"]) & (d[_B] == off["_bk"]))
     order = [F.col(_H)] + [F.col(c).asc_nulls_first() for c in keys]
     rn = F.row_number().over(Window.partitionBy(_Y, _B).orderBy(*order))
@@ -279,15 +270,6 @@ def stratified_kfold(df: DataFrame, label: str | None, keys=None, k: int = 3, se
     return r.withColumn(fold_col, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank")
 
 
-def with_split_views(df: DataFrame, split_col="split") -> dict[str, DataFrame]:
-    """The split table as filtered views (X and y stay in one row)."""
-    return {s: df.where(F.col(split_col) == s).drop(split_col) for s in ("train", "test", "validation")}
-
-
-def hash_order_col(seed, *keys) -> Column:
-    return seeded_md5(seed, *keys)
-
-
 def rank_in_groups(df: DataFrame, group_cols, order_cols, bucket: Column, rank_col: str = "_rank") -> DataFrame:
     """Exact 1-based ``row_number`` inside each group by ``order_cols``
     without sorting a whole group in one task.

@@ -179,9 +179,9 @@ QUERIES = {
 
 # ---------------------------------------------------------------- oracle SQL
 QV = """qv as (select d.doc_id, d.lang, d.n_chars,
-   length(regexp_replace(d.text, '[^a-zA-Z]', '', 'g')) / length(d.text) as letter_share,
+   coalesce(length(regexp_replace(d.text, '[^a-zA-Z]', '', 'g')) / nullif(length(d.text), 0), 0) as letter_share,
    cast(l.quality as integer) as quality
- from documents d join labels l using (doc_id) where d.n_chars > 0)"""
+ from documents d join labels l using (doc_id))"""
 P1 = "(1.0 / (1.0 + exp(-(-8.0 + 12.0 * letter_share))))"
 BERN = ("case when u < 0.2e0 then 'test' when u < 0.2e0 + 0.1e0 then 'validation' else 'train' end")
 U = "cast(('0x' || substr(md5('42|' || {k}), 1, 8)) as bigint) / 4294967296.0e0"

@@ -51,8 +51,8 @@ def quality_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     The text feature is computed before the join, so a shuffle join carries
     numbers, never whole texts."""
     letters = F.length(F.regexp_replace("text", "[^a-zA-Z]", ""))
-    d = (table(spark, sf_dir, "documents").where(F.col("n_chars") > 0)
-         .select("doc_id", "lang", "n_chars", (letters / F.length("text")).alias("letter_share")))
+    share = F.coalesce(F.try_divide(letters, F.length("text")), F.lit(0.0))  # empty or missing text has no letters
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", share.alias("letter_share"))
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("int").alias("quality"))
     return d.join(lab, "doc_id").select("doc_id", "lang", "n_chars", "letter_share", "quality")
 

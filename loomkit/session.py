@@ -45,12 +45,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the launcher sets it to shared storage and it is used as
-    is.  Only when it is unset (local tests) is a fresh folder made.
+    is.  Only a local session without one gets a fresh folder; elsewhere a
+    machine's own folder would not be seen by the other executors.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="loomkit-ckpt-")
         try:  # record it for later calls; some deployments refuse the change
             spark.conf.set("spark.checkpoint.dir", d)

@@ -61,7 +61,7 @@ def test_train_rows_are_first_in_hash_order(spark):
 
 
 def test_single_member_class_is_an_error(spark):
-    with pytest.raises(ValueError, match="least populated"):
+    with pytest.raises(ValueError, match="single row"):
         S.split_stratified(_df(spark, ["a"] * 5 + ["b"]), "y", keys=["id"])
 
 

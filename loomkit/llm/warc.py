@@ -280,8 +280,8 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url: str = "url", html
 
     A revisit's length and digest come from the response it refers to."""
     manifest = write_archives(pages, id_col, url, html, least, segment)
-    segments = written(read_segments(manifest), "warc-segments")
-    got = written(reassemble(segments).drop("payload"), "warc-records")
+    # the archives are streamed once for records in one piece and once for segments: less than writing all blocks again
+    got = written(reassemble(read_segments(manifest)).drop("payload"), "warc-records")
     response = got.where(F.col("record_type") == "response")
     target = response.where(F.isnotnull("page_id")).groupBy("page_id", "payload_digest").agg(F.max("payload_bytes").alias("full"))
     revisit = got.where(F.col("record_type") == "revisit").alias("v").join(

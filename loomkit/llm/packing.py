@@ -30,7 +30,7 @@ from .common import blocks, bytes_of, col, text_or_empty, written
 
 WINDOW = 1024
 END_ID = 0
-BLOCK = 8 << 20  # bytes of text encoded together
+BLOCK = 4 << 20  # bytes of text encoded together
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text",

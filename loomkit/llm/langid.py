@@ -200,6 +200,10 @@ def predict(docs: DataFrame, model: ByteCNN, id_col: str = "doc_id", text: str =
 def keep_identified(docs: DataFrame, model: ByteCNN, text: str = "text", least: float = 0.0) -> DataFrame:
     """``docs`` without the rows whose language is undetermined or scored below ``least``; columns as they were.
 
-    The default rejects only what cannot be told (null text, no letter): a short or odd text scores low but may be clean."""
+    The default rejects only what cannot be told (null text, no letter): a short or odd text scores low but may be clean.
+    A model without languages (no labelled row outside the held-out ones) tells nothing about a text, and there is no
+    score to hold against ``least``: then too only null and letterless texts go."""
+    if not model.langs:
+        return docs.where(text_or_empty(text).rlike(r"\p{L}"))
     out = _predicted(_inputs(docs, whole_row(docs), text), model)
     return unpack_row(out.where((F.col("lang_pred") != UND) & (F.col("score") >= least)), "carry", docs.columns)

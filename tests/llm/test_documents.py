@@ -234,3 +234,12 @@ def test_language_of_odd_rows(spark):
     nobody = langid.train(H.empty_documents(spark))
     assert nobody.langs == [] and {r.lang_pred for r in langid.predict(docs, nobody).collect()} == {"und"}
     assert langid.predict(H.empty_documents(spark), model).count() == 0
+
+
+@pytest.mark.parametrize("labelled", ["none", "held out"])
+def test_language_stage_without_training_rows_keeps_texts_with_letters(spark, labelled):
+    import corpus_pipeline
+    label = F.when(langid.held_out("doc_id"), F.col("lang")) if labelled == "held out" else F.lit(None).cast("string")
+    docs = H.odd_documents(spark).withColumn("lang", label)
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 4, 6, 7, 8, 9]

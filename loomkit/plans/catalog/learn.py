@@ -130,10 +130,6 @@ def rf_pipeline_for(df):
     return make
 
 
-SMALL_SPACE = {"n_estimators": [10, 20], "max_depth": [3, 5], "min_samples_split": [2, 5],
-               "min_samples_leaf": [1], "max_features": ["sqrt"]}
-
-
 def _train(spark, sf):
     tr, _ = _train_test(spark, sf)
     return tr.drop("split").withColumn("quality", F.col("quality").cast("double"))
@@ -141,7 +137,7 @@ def _train(spark, sf):
 
 def q_grid_search(spark, sf):
     tr = _train(spark, sf)
-    return H.grid_search(tr, SMALL_SPACE, rf_pipeline_for(tr), "quality", k=3, keys=["doc_id"])
+    return H.grid_search(tr, H.DEFAULT_RF_SPACE, rf_pipeline_for(tr), "quality", k=3, keys=["doc_id"])
 
 
 def q_random_search(spark, sf):
@@ -158,7 +154,7 @@ def q_adaptive_search(spark, sf):
 def q_final_evaluation(spark, sf):
     s = _quality_split(spark, sf).withColumn("quality", F.col("quality").cast("double"))
     tr = s.where("split = 'train'")
-    summary = H.grid_search(tr.drop("split"), SMALL_SPACE, rf_pipeline_for(tr), "quality", k=3, keys=["doc_id"])
+    summary = H.grid_search(tr.drop("split"), H.DEFAULT_RF_SPACE, rf_pipeline_for(tr), "quality", k=3, keys=["doc_id"])
     return H.final_evaluation(s, H.best_params(summary), rf_pipeline_for(tr), "quality")
 
 

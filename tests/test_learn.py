@@ -105,3 +105,22 @@ def test_adaptive_search_takes_choices(spark, train):
     space = {"n_estimators": (2, 6), "max_depth": [2, 3]}
     a = H.adaptive_search(train, space, _make(train), "quality", n_trials=6, n_startup=2, batch=2, n_candidates=5, k=2, keys=["doc_id"]).collect()
     assert sorted(x["trial_id"] for x in a) == list(range(6)) and {x["max_depth"] for x in a} <= {"2", "3"}
+
+
+@pytest.mark.parametrize("name", ["grid_search", "final_evaluation"])
+def test_registered_searches_run_the_default_grid(spark, monkeypatch, name):
+    from loomkit.plans.catalog import QUERIES
+    seen = []
+
+    def scored(df, trials, *a, **kw):                                        # stands in for the 675 fits
+        rows = trials.collect()
+        seen.extend(rows)
+        return spark.createDataFrame([(r.trial_id, f, float(r.trial_id == 0), 1.0) for r in rows for f in range(3)],
+                                     "trial_id long, fold long, test_score double, train_score double")
+
+    monkeypatch.setattr(H, "cross_validate", scored)
+    QUERIES[name](spark, SF001).collect()
+    want = {tuple(r)[1:] for r in H.param_grid(spark, H.DEFAULT_RF_SPACE).collect()}
+    assert len(seen) == 675 and {tuple(r)[1:] for r in seen} == want
+    params = [{n: H._parse(v) for n, v in r.asDict().items() if n != "trial_id"} for r in seen]
+    assert len({H.fit_key(p) for p in params}) == 225

@@ -7,9 +7,9 @@ capture is evaluated against the entries active when it was fetched: an as-of
 join on pattern and month, with the exact interval as join condition.
 
 A pattern is a host (``a.example.com``), a parent domain (``example.com``, also
-matching every host below it) or a host with a path prefix (``example.com/es/``,
-up to the first path segment).  Among the active entries the longest pattern
-decides; ``allow`` beats a shorter ``block``.
+matching every host below it) or a host with a path prefix of whole segments
+(``example.com/es/``, ``example.com/es/Shop/``).  Hosts are compared without case,
+paths with it.  Among the active entries the longest pattern decides; ``allow`` beats a shorter ``block``.
 
 Months spread a hot host over its fetch dates, and the join's remaining skew is
 on the capture side, which adaptive execution splits.  Repeated captures are
@@ -34,17 +34,21 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
-def first_segment(url: Column) -> Column:
-    return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^/?#]+/)", 1)
+def path_prefixes(url: Column, deepest: Column) -> Column:
+    """``/a/``, ``/a/b/``, ... of a path, at most ``deepest`` of them."""
+    parts = F.split(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^?#]*/)", 1), "/")
+    n = F.least(F.size(parts) - 2, deepest)
+    made = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.concat(F.array_join(F.slice(parts, 1, i + 1), "/"), F.lit("/")))
+    return F.when(n >= 1, made).otherwise(F.array().cast("array<string>"))
 
 
-def patterns_of(url: Column) -> Column:
-    """Every pattern that can match: the host and its parent domains, each also with the first path segment."""
-    host, seg = host_of(url), first_segment(url)
+def patterns_of(url: Column, deepest: Column) -> Column:
+    """Every pattern that can match: the host and its parent domains, each also with the path prefixes."""
+    host = host_of(url)
     labels = F.split(host, r"\.")
     parents = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    with_path = F.when(seg != "", F.transform(parents, lambda p: F.concat(p, seg))).otherwise(F.array().cast("array<string>"))
+    with_path = F.flatten(F.transform(path_prefixes(url, deepest), lambda x: F.transform(parents, lambda p: F.concat(p, x))))
     return F.when(F.isnotnull(host), F.array_distinct(F.concat(parents, with_path)))
 
 
@@ -54,7 +58,8 @@ def _month(t: Column) -> Column:
 
 def intervals(entries: DataFrame) -> DataFrame:
     """(pattern, action, valid_from, valid_to): active stretches; ``valid_to`` is null while the entry stands."""
-    e = entries.select(F.lower("pattern").alias("pattern"), "action", F.col("listed_at").cast("timestamp").alias("valid_from"))
+    pattern = F.concat(F.lower(F.substring_index("pattern", "/", 1)), F.regexp_extract("pattern", "(?s)^[^/]*(/.*)?$", 1))
+    e = entries.select(pattern.alias("pattern"), "action", F.col("listed_at").cast("timestamp").alias("valid_from"))
     rank = F.when(F.col("action") == "allow", 0).when(F.col("action") == "block", 1).otherwise(2)
     e = e.dropna().groupBy("pattern", "valid_from").agg(F.max_by("action", rank).alias("action"))
     w = Window.partitionBy("pattern").orderBy("valid_from")
@@ -65,7 +70,10 @@ def temporal_list_join(captures: DataFrame, entries: DataFrame, id_col: str, url
     """Per capture: id, url, time, n_active, matched pattern, its action and start, and ``blocked``."""
     c = captures.select(col(id_col).alias("id"), col(url_col).cast("string").alias("url"), col(time_col).cast("timestamp").alias("at"))
     c = c.groupBy("id", "url", "at").agg(F.count(F.lit(1)).alias("copies"))
-    spread = c.where(F.isnotnull("at")).select("id", "url", "at", F.explode(patterns_of(F.col("url"))).alias("pattern"), _month(F.col("at")).alias("month"))
+    # no prefix deeper than the deepest entry can match
+    deepest = F.coalesce(entries.agg(F.max(F.size(F.split("pattern", "/")) - 2).alias("n")).scalar(), F.lit(0))
+    dated = c.where(F.isnotnull("at")).select("id", "url", "at", deepest.alias("deepest"))
+    spread = dated.select("id", "url", "at", F.explode(patterns_of(F.col("url"), F.col("deepest"))).alias("pattern"), _month(F.col("at")).alias("month"))
     last = c.agg(F.max("at").alias("t")).scalar()  # open intervals reach to the last capture's month
     until = F.coalesce(F.least("valid_to", last), last)
     iv = intervals(entries).where(F.col("valid_from") <= last).select(

@@ -89,6 +89,17 @@ def test_temporal_list(spark):
     assert urllist.temporal_list_join(c, e.limit(0), "id", "link", "at").where("blocked").count() == 0
 
 
+def test_list_paths_keep_case_and_depth(spark):
+    e = spark.createDataFrame([("Example.com/Shop/", "block"), ("example.com/Shop/a/B/", "allow"), ("deep.org/x/y/", "block")],
+                              "pattern string, action string").withColumn("listed_at", F.to_timestamp(F.lit("2024-01-01")))
+    urls = ["http://example.com/Shop/x", "http://www.EXAMPLE.com/Shop/", "http://example.com/shop/x", "http://example.com/Shop", "http://example.com/Shop/a/B/c",
+            "http://example.com/Shop/a/b/c", "http://deep.org/x/y/z/w?q=/", "http://deep.org/x/yy/", "http://deep.org/x?/y/", "http://deep.org//x/y/"]
+    c = spark.createDataFrame(list(enumerate(urls)), "id long, url string").withColumn("at", F.to_timestamp(F.lit("2024-02-01")))
+    rows = {r.id: r for r in urllist.temporal_list_join(c, e, "id", "url", "at").collect()}
+    assert len(rows) == len(urls) and [i for i in sorted(rows) if rows[i].blocked] == [0, 1, 5, 6]
+    assert (rows[4].n_active, rows[4].pattern, rows[4].action) == (2, "example.com/Shop/a/B/", "allow")
+
+
 def test_url_query_stays_native(spark):
     plan = QUERIES["op6_temporal_url_list"](spark, H.SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))

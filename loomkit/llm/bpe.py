@@ -3,9 +3,11 @@
 A text without a space before another white-space character falls apart at its
 spaces: the pre-tokenizer starts a new word there, so each stretch encodes to
 the same ids alone as within the text.  Every distinct stretch is encoded once
-and remembered, in two generations of bounded size; other texts are encoded whole.
-New stretches are encoded as one text, whose ids are dealt out by the number of
-bytes each stands for.
+and remembered, in two generations of bounded bytes (a stretch longer than
+``LONGEST`` is not remembered).  Other texts fall apart only at single spaces
+between two other characters, and are encoded a few of these pieces at a time.
+New stretches are encoded as texts of ``CALL`` bytes or little more, whose ids are dealt out by
+the number of bytes each stands for; no call sees more, unless one stretch alone is longer.
 """
 
 from __future__ import annotations
@@ -17,8 +19,24 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMORY = 300_000  # stretches remembered per generation and worker
+MEMORY = 24 << 20  # bytes remembered per generation and worker, overhead included
+OVERHEAD = 200  # bytes that a remembered stretch costs beside its text and ids
+LONGEST = 4096
+CALL = 128 << 10  # bytes of text given to the tokenizer at once: its own result is some 30 times as large
 _ODD = re.compile(r" (?:\s|\Z)")
+_SINGLE = re.compile(r"(?<=\S) (?=\S)")
+
+
+def _runs(sizes: list[int], limit: int):
+    """Consecutive index ranges that reach ``limit`` at their last member (one member at least)."""
+    lo, total = 0, 0
+    for i, n in enumerate(sizes):
+        total += n
+        if total >= limit:
+            yield lo, i + 1
+            lo, total = i + 1, 0
+    if lo < len(sizes):
+        yield lo, len(sizes)
 
 
 class Encoder:
@@ -34,27 +52,44 @@ class Encoder:
             self.bytes_of_id[i] = len(piece)
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def _keep(self, word: str, ids: bytes) -> None:
+        if len(word) <= LONGEST:
+            if self.held > MEMORY:
+                self.old, self.new, self.held = self.new, {}, 0
+            self.new[word] = ids
+            self.held += len(word) + len(ids) + OVERHEAD
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct ``words`` that the new generation lacks."""
+        found = list(map(self.old.get, words))
+        todo = [w for w, x in zip(words, found, strict=True) if x is None]
+        coded: list[bytes] = []
+        for lo, hi in _runs([len(w) for w in todo], CALL):
+            part = todo[lo:hi]
+            ids = np.array(self.tok.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.cumsum(self.bytes_of_id[ids])
+            words_end = np.cumsum(np.array(pc.binary_length(pa.array(part, pa.string())), np.int64))
+            cut = np.searchsorted(ends, words_end) + 1
+            if cut[-1] != len(ids) or (ends[cut - 1] != words_end).any():
+                raise ValueError("ids don't end where the stretches do: not a byte-level file")
+            raw, cut = ids.tobytes(), (cut * 4).tolist()
+            coded += map(raw.__getitem__, map(slice, [0, *cut[:-1]], cut))
+        rest = iter(coded)
+        found = [next(rest) if x is None else x for x in found]
+        for w, x in zip(words, found, strict=True):
+            self._keep(w, x)
+        return found
 
-    def _learn(self, words: list[str]) -> None:
-        """Put distinct ``words`` into the new generation."""
-        old, new = self.old, self.new
-        todo = []
-        for w in words:
-            if (ids := old.get(w)) is not None:
-                new[w] = ids
-            else:
-                todo.append(w)
-        if not todo:
-            return
-        one = self.tok.encode_batch_fast(["".join(todo)], add_special_tokens=False)[0]
-        ids = np.array(one.ids, "<u4")
-        ends = np.cumsum(self.bytes_of_id[ids])
-        words_end = np.cumsum(np.array(pc.binary_length(pa.array(todo, pa.string())), np.int64))
-        cut = np.searchsorted(ends, words_end) + 1
-        if cut[-1] != len(ids) or (ends[cut - 1] != words_end).any():
-            raise ValueError("ids don't end where the stretches do: not a byte-level file")
-        raw, cut = ids.tobytes(), (cut * 4).tolist()
-        new.update(zip(todo, map(raw.__getitem__, map(slice, [0, *cut[:-1]], cut)), strict=True))
+    def _whole(self, text: str) -> bytes:
+        """Ids of a text with odd white space, in pieces cut at single spaces."""
+        cuts = [0]
+        for m in _SINGLE.finditer(text):
+            if m.start() - cuts[-1] >= CALL:
+                cuts.append(m.start())
+        pieces = [text[i:j] for i, j in zip(cuts, [*cuts[1:], len(text)], strict=True)]
+        return b"".join(np.array(self.tok.encode_batch_fast([x], add_special_tokens=False)[0].ids, "<u4").tobytes() for x in pieces)
 
     def encode(self, text: str) -> np.ndarray:
         ids, _ = self.encode_many(pa.array([text], pa.string()))
@@ -77,18 +112,18 @@ class Encoder:
         head[np.cumsum(count) - count] = True
         coded = words.dictionary_encode()
         known = [" " + w for w in coded.dictionary.to_pylist()]
-        if len(self.new) > MEMORY:
-            self.old, self.new = self.new, {}
-        get = self.new.get
-        found = list(map(get, known))
-        missing = [w for w, x in zip(known, found, strict=True) if x is None]
+        found = list(map(self.new.get, known))
+        missing = [i for i, x in enumerate(found) if x is None]
         if missing:
-            self._learn(missing)
-            found = list(map(get, known))
+            for i, x in zip(missing, self._learn([known[i] for i in missing]), strict=True):
+                found[i] = x
         special = words.filter(pa.array(head)).to_pylist()
-        for i in odd:  # encoded whole
-            special[i] = strings[i]
-        found += [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(special, add_special_tokens=False)]
+        first_ids: list[bytes] = []
+        for lo, hi in _runs([len(w) for w in special], CALL):
+            first_ids += [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(special[lo:hi], add_special_tokens=False)]
+        for i in odd:
+            first_ids[i] = self._whole(strings[i])
+        found += first_ids
         tail = [] if end_id is None else [np.array([end_id], "<u4").tobytes()]
         found += tail
         at = np.array(coded.indices).astype(np.int64)

@@ -17,6 +17,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +27,11 @@ from pyspark.sql.window import Window
 from loomkit.session import ship_package
 
 from .bpe import encoder
-from .common import blocks, bytes_of, col, text_or_empty, written
+from .common import blocks, col, text_or_empty, written
 
 WINDOW = 1024
 END_ID = 0
-BLOCK = 4 << 20  # bytes of text encoded together
+BLOCK = 1 << 20  # bytes of text encoded together
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text",
@@ -42,7 +43,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
         part, at = TaskContext.get().partitionId(), 0
         enc = encoder(tokenizer)
         for whole in batches:
-            for lo, hi in blocks(np.diff(bytes_of(whole.column(1))[1]), BLOCK):
+            for lo, hi in blocks(np.array(pc.binary_length(whole.column(1)), np.int64), BLOCK):
                 b = whole.slice(lo, hi - lo)
                 ids, n = enc.encode_many(b.column(1), end_id)
                 starts = at + np.cumsum(n) - n

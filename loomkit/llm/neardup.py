@@ -14,15 +14,19 @@ distance screens pairs in the JVM before texts are fetched (38 of 128; 16 expect
 at 0.75).  Links are confirmed on the full sets: 100 * intersection >= 75 * union.
 
 Texts with equal sets are one node.  Pairs are never expanded inside a bucket: first
-every node is compared with the smallest and the largest node of each bucket it is
-in, and the confirmed links make components.  Then the pairs of a bucket that are still in
+every node is compared with three nodes at most (of the smallest nodes of its buckets
+the smallest and the most frequent, and the largest node of any of them), and the
+confirmed links make components.  Then the pairs of a bucket that are still in
 different components are screened where they meet, and only those that pass are
 rows: the screen is a longer bit signature and an exact bound, as no intersection
 exceeds the number of a set's shingles that any other set in question has.  So a
-large group costs a comparison per member and bucket, and no link is lost.
+large group costs three comparisons a member, and no link is lost.  Buckets are cut by
+set size, as linked sets differ by a third at most, and a cut with more than ``CELL``
+nodes is dealt out over several tasks.
 
 Defined results: null or wordless text has size 0 and links with nothing; rows with
-equal ids are rows of their own; a component's id is its smallest id, nulls last;
+equal ids are rows of their own, but of those with an equal set, too, ``drop_near_copies`` keeps
+one (that whose JSON text has the smallest SHA-256); a component's id is its smallest id, nulls last;
 an empty table gives an empty result; other columns are carried along untouched.
 """
 
@@ -48,6 +52,7 @@ from .shingles import mixed, shingle_sets
 LANES = 128
 CHUNKS, WIDTH, ERRORS = 8, 5, 2
 MOST_BITS = 38
+CELL = 4096
 LONG_BITS, MOST_LONG_BITS = 2048, 335  # 256 expected at 0.75; 5.3 standard deviations more
 _RNG = np.random.default_rng(75)
 _XOR = _RNG.integers(0, 1 << 64, LANES, dtype=np.uint64)
@@ -235,6 +240,25 @@ def _first_meeting() -> F.Column:
     return F.expr(f"transform(array({same}), m -> array_position(transform(array({masks}), q -> (m & q) = q), true))[0] = x.p + 1")
 
 
+def _meet(left: DataFrame, above: int, on: F.Column, how: str) -> DataFrame:
+    """x joined with y for each two rows of a bucket whose size classes allow a link (y's class is ``above`` x's at most).
+
+    The cells (bucket and size class) with more than CELL rows are dealt out: x by its node, y to every share."""
+    cell = ["key", "cell"]
+    rows = left.withColumn("cell", F.col("size"))
+    hot = written(rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > CELL).select(
+        *cell, F.ceil(F.col("rows") / CELL).cast("int").alias("shares")), "near-hot")
+
+    def shared(df: DataFrame) -> DataFrame:
+        return df.join(hot, cell, "left").withColumn("shares", F.coalesce("shares", F.lit(1)))
+
+    x = shared(rows).withColumn("share", F.pmod(F.xxhash64("node"), "shares").cast("int"))
+    y = left.withColumn("cell", F.explode(F.expr(f"sequence(size - {above}, size + 1)")))
+    y = shared(y).withColumn("share", F.explode(F.expr("sequence(0, shares - 1)")))
+    x, y = x.alias("x").hint("merge"), y.alias("y").hint("merge")
+    return x.join(y, F.expr("x.key = y.key and x.cell = y.cell and x.share = y.share") & on, how)
+
+
 def node_components(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
     """(node, comp) of every node with a link."""
     spark = docs.sparkSession
@@ -244,14 +268,12 @@ def node_components(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
     member = written(keys.join(shared.hint("merge"), "key"), "near-members")
     drop_written(spark, shared)
     slim = nodes.select("node", "n", "b1", "b2")
-
-    def with_sketch(pairs: DataFrame) -> DataFrame:
-        x, y = slim.alias("x"), slim.alias("y")
-        return pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node")).where(_screen("x", "y")).select("a", "b")
-
-    hub = lambda c: member.where(F.col("node") != F.col(c)).select(F.col("node").alias("a"), F.col(c).alias("b"))
-    stars = hub("top").unionByName(hub("last")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    stars = written(with_sketch(stars), "near-stars")
+    hubs = member.groupBy("node").agg(F.min("top").alias("lo"), F.mode("top", True).alias("often"), F.max("last").alias("hi"))
+    pairs = hubs.select("node", F.explode(F.array_distinct(F.array("lo", "often", "hi"))).alias("hub")).where("node <> hub")
+    pairs = pairs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
+    x, y = slim.alias("x"), slim.alias("y")
+    stars = pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node")).where(_screen("x", "y")).select("a", "b")
+    stars = written(stars, "near-stars")
     ends = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
     found = fetched(ends, docs, text, nodes)
     links = confirmed(stars, found)
@@ -262,10 +284,10 @@ def node_components(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
     at = member.select("p", "key", "node").join(comp, "node", "left").select("p", "key", "node", F.coalesce("comp", "node").alias("comp"))
     at = written(at.join(slim, "node"), "near-members")
     open_ = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    left = written(at.join(open_.hint("merge"), "key"), "near-open")
-    x, y = left.alias("x").hint("merge"), left.alias("y").hint("merge")
-    apart = F.expr("x.key = y.key and x.comp <> y.comp") & _screen("x", "y")
-    some = written(x.join(y, apart, "left_semi").select("node").distinct(), "near-some")  # nodes with any such partner
+    left = at.join(open_.hint("merge"), "key").withColumn("size", F.floor(F.log("n") / F.log(F.lit(4 / 3))).cast("int"))
+    left = written(left, "near-open")
+    apart = F.expr("x.comp <> y.comp") & _screen("x", "y")
+    some = written(_meet(left, 1, apart, "left_semi").select("node").distinct(), "near-some")  # nodes with any such partner
     drop_written(spark, member, at)
     if some.isEmpty():
         return comp
@@ -273,11 +295,10 @@ def node_components(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
     sets = written(long_sketches(found), "near-sets")
     more = shared_counts(sets).join(sets.select("node", "k").hint("merge"), "node").join(_lane_list(nodes).hint("merge"), "node")
     left = written(left.join(more.hint("merge"), "node"), "near-open")
-    x, y = left.alias("x").hint("merge"), left.alias("y").hint("merge")
     bound = F.expr("100 * least(x.c, y.c) >= 75 * (x.n + y.n - least(x.c, y.c))")
     bits = F.expr(f"aggregate(zip_with(x.k, y.k, (a, b) -> bit_count(a ^ b)), 0, (s, v) -> s + v) <= {MOST_LONG_BITS}")
-    meet = F.expr("x.key = y.key and x.node > y.node and x.comp <> y.comp")
-    rest = x.join(y, meet & _screen("x", "y") & bound & bits & _first_meeting())
+    once = F.expr("x.comp <> y.comp and (x.size > y.size or x.node > y.node)")
+    rest = _meet(left, 0, once & _screen("x", "y") & bound & bits & _first_meeting(), "inner")
     rest = written(rest.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "near-rest")
     if rest.isEmpty():
         return comp
@@ -327,7 +348,6 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     rows = src.mapInArrow(run, T.StructType([T.StructField("row", src.schema["row"].dataType), T.StructField("digest", T.BinaryType()),
                                              T.StructField("own", T.LongType())])).withColumn("id", F.col("row").getField(id_col))
     r, k = rows.alias("r"), keep.withColumn("hit", F.lit(True)).alias("k").hint("merge")
-    # an id that repeats with an equal set is one document
     out = r.join(k, F.expr("r.digest = k.digest and r.id <=> k.id"), "left").where(F.col("hit") | (F.col("own") > 0))
-    once = out.select("r.row", "r.digest", "r.id", "r.own").dropDuplicates(["digest", "id", "own"])
-    return unpack_row(once, "row", docs.columns)
+    first = F.min_by("r.row", F.sha2(F.to_json("r.row"), 256)).alias("row")  # an id that repeats with an equal set is one document
+    return unpack_row(out.groupBy("r.digest", "r.id", "r.own").agg(first), "row", docs.columns)

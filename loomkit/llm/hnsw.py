@@ -5,11 +5,18 @@ shard becomes a hierarchy of graphs kept as flat neighbour arrays (one row of
 node numbers per node and level, -1 padded).  Levels are drawn geometrically;
 links are the nearest nodes of the level thinned by the diversity rule (a link is
 kept if its end is nearer to the node than to any kept one), plus reverse links.
+Where norms differ, every node of the lowest level has links to its largest inner products, too.
+A level whose nearest links leave a tight group to itself (more near copies than links)
+is mended: a group of mutual links without a node on the level above sends one there,
+and so does whatever cannot be reached from the level above.  So every group has an
+entry, and a search of the lowest level starts from the best entries of several groups.
 Vectors get one extra component that makes all norms of a shard equal, so nearest
 by inner product is nearest by distance.
 
 A search task takes one shard and one block of queries and walks the levels down
-in lockstep for all queries of the block, keeping the ``ef`` best nodes of each.
+in lockstep for all queries of the block, keeping the ``ef`` best nodes of each
+(on the last level above the lowest, all nodes are scored).  Large groups of near copies could
+fill those places and hide better nodes behind them, so a second walk leaves such groups out.
 Shard results are rescored in double precision and merged per query.
 
 Equal vectors are one node with their ``k + 1`` smallest ids; no other id of theirs
@@ -40,6 +47,8 @@ LINKS = 24
 CANDIDATES = 48
 EF = 128
 EF_UPPER = 16
+GROUP = 8  # mutual groups of this size get an entry of their own
+STARTS, PER_GROUP = 32, 8  # where a search of the lowest level starts
 
 
 def usable(vector) -> F.Column:
@@ -82,6 +91,50 @@ def _level_links(x: np.ndarray, nodes: np.ndarray, links: int) -> np.ndarray:
     return np.where(out >= 0, nodes[out], -1).astype(np.int32)
 
 
+def _mutual_groups(links: np.ndarray) -> np.ndarray:
+    """A group number per row: rows that reach each other over links that go both ways."""
+    n = len(links)
+    src, slot = np.nonzero(links >= 0)
+    dst = links[src, slot]
+    both = np.isin(src.astype(np.int64) * n + dst, dst.astype(np.int64) * n + src)
+    src, dst, group = src[both], dst[both], np.arange(n)
+    while True:
+        low = group.copy()
+        np.minimum.at(low, src, group[dst])
+        low = low[low]
+        if (low == group).all():
+            return group
+        group = low
+
+
+def _reached(links: np.ndarray, at: np.ndarray, seen: np.ndarray) -> None:
+    """Mark in ``seen`` what the rows ``at`` lead to."""
+    while len(at):
+        at = np.unique(links[at])
+        at = at[at >= 0]
+        at = at[~seen[at]]
+        seen[at] = True
+
+
+def entries(x: np.ndarray, links: np.ndarray, above: np.ndarray) -> np.ndarray:
+    """Rows of a level that need a node on the level above, where the rows ``above`` are."""
+    group = _mutual_groups(links[:, :LINKS])  # without the reverse links, which also lead out of a tight group
+    sizes = np.bincount(group, minlength=len(x))
+    has = np.zeros(len(x), bool)
+    has[group[above]] = True
+    new = [int((m := np.flatnonzero(group == g))[np.argmax(x[m] @ x[m].mean(0))]) for g in np.flatnonzero((sizes >= GROUP) & ~has)]
+    seen = np.zeros(len(x), bool)
+    start = np.concatenate([above, np.array(new, np.int64)]).astype(np.int64)
+    seen[start] = True
+    _reached(links, start, seen)
+    while not seen.all():
+        one = np.flatnonzero(~seen)[:1]
+        new.append(int(one[0]))
+        seen[one] = True
+        _reached(links, one, seen)
+    return np.array(new, np.int64)
+
+
 def build_graph(vectors: np.ndarray, seed: int = 5) -> list[tuple[np.ndarray, np.ndarray]]:
     """[(nodes, neighbour rows)] from the lowest level (all nodes) to the highest."""
     x = lifted(vectors)
@@ -89,25 +142,55 @@ def build_graph(vectors: np.ndarray, seed: int = 5) -> list[tuple[np.ndarray, np
     out, l = [], 0
     while l == 0 or (len(out[-1][0]) > LINKS and (levels >= l).any()):
         nodes = np.flatnonzero(levels >= l)
-        out.append((nodes.astype(np.int32), _level_links(x, nodes, LINKS)))
+        links = _level_links(x, nodes, LINKS)
+        if len(nodes) > LINKS:
+            here = np.full(len(x), -1)
+            here[nodes] = np.arange(len(nodes))
+            more = entries(x[nodes], np.where(links >= 0, here[links], -1), np.flatnonzero(levels[nodes] > l))
+            levels[nodes[more]] = l + 1
+        if l == 0 and (x[:, -1] > 1e-6 * np.abs(x).max()).any():
+            links = np.column_stack([links, _largest_products(x[:, :-1], LINKS)])
+        out.append((nodes.astype(np.int32), links))
         l += 1
     return out
 
 
+def _largest_products(v: np.ndarray, links: int) -> np.ndarray:
+    """The ``links`` other rows with the largest inner product with each row."""
+    c = min(links, len(v) - 1)
+    out = np.full((len(v), links), -1, np.int32)
+    for lo in range(0, len(v) * (c > 0), 512):
+        sims = v[lo:lo + 512] @ v.T
+        sims[np.arange(len(sims)), lo + np.arange(len(sims))] = -np.inf
+        out[lo:lo + 512, :c] = np.argpartition(-sims, c - 1, axis=1)[:, :c]
+    return out
+
+
 def lifted(vectors: np.ndarray) -> np.ndarray:
     sq = (vectors * vectors).sum(1)
     return np.column_stack([vectors, np.sqrt(np.maximum(sq.max() - sq, 0))]).astype(np.float32)
 
 
-def _beam(x, links, q, start, ef, expand=4):
+def _tight(x: np.ndarray, group: np.ndarray, least: int, cosine: float = 0.9) -> np.ndarray:
+    """Nodes of groups of ``least`` or more whose members are near copies of each other (``x`` has equal norms)."""
+    names, at, sizes = np.unique(group, return_inverse=True, return_counts=True)
+    total = np.zeros((len(names), x.shape[1]))
+    np.add.at(total, at, x)
+    near = (total * total).sum(1) / sizes ** 2 > cosine * (x[0] * x[0]).sum()
+    return (near & (sizes >= least))[at]
+
+
+def _beam(x, links, q, start, ef, expand=4, skip=None):
     """The ``ef`` best nodes found for each query, from ``start`` (nodes per query), best first; -1 padded."""
     rows = np.arange(len(q))[:, None]
     seen = np.zeros((len(q), len(x) + 1), bool)
     seen[:, -1] = True  # the padding
+    if skip is not None:
+        seen[:, :-1] = skip
     pool = np.full((len(q), ef), -1, np.int32)
     score = np.full((len(q), ef), -np.inf, np.float32)
     done = np.ones((len(q), ef), bool)
-    new = start
+    new = np.concatenate([start, links[start].reshape(len(q), -1)], 1)  # every start is followed, however many better ones there are
     while True:
         new = np.sort(new, axis=1)
         twice = np.zeros(new.shape, bool)
@@ -130,7 +213,7 @@ def _beam(x, links, q, start, ef, expand=4):
 
 
 def search_graph(vectors: np.ndarray, graph, queries: np.ndarray, ef: int = EF) -> np.ndarray:
-    """Node numbers [query, ef], best first, -1 padded."""
+    """Node numbers [query, ef or twice as many], best first, -1 padded."""
     x = np.vstack([lifted(vectors), np.zeros((1, vectors.shape[1] + 1), np.float32)])
     q = np.column_stack([queries, np.zeros(len(queries))]).astype(np.float32)
     n, out = len(vectors), []
@@ -139,15 +222,49 @@ def search_graph(vectors: np.ndarray, graph, queries: np.ndarray, ef: int = EF)
         t = np.full((n + 1, rows.shape[1]), -1, np.int32)
         t[nodes] = rows
         tables.append(t)
-    for lo in range(0, len(q), 128):
-        part = q[lo:lo + 128]
+    group = _mutual_groups(tables[0][:-1, :LINKS]) if len(tables) > 1 and n > ef else None
+    skip = None
+    if group is not None:
+        skip = _tight(x[:-1], group, ef // 4)
+        rest = graph[1][0][~skip[graph[1][0]]]
+        skip = skip if skip.any() and len(rest) else None
+    for lo in range(0, len(q), 64):
+        part = q[lo:lo + 64]
         start = np.tile(np.arange(n, dtype=np.int32) if n <= ef else graph[-1][0], (len(part), 1))
-        for t in tables[:0:-1]:
+        for t in tables[:1:-1]:
             start = _beam(x[:-1], t, part, start, EF_UPPER)
-        out.append(_beam(x[:-1], tables[0], part, start, ef))
+        if group is not None:
+            start = _starts(x, graph[1][0], group, part)
+        found = _beam(x[:-1], tables[0], part, start, ef)
+        if skip is not None:
+            found = _merged(x, part, found, _beam(x[:-1], tables[0], part, _starts(x, rest, group, part), ef, skip=skip))
+        out.append(found)
     return np.concatenate(out)
 
 
+def _merged(x: np.ndarray, q: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The nodes of both lists, each once, best first; -1 padded."""
+    both = np.sort(np.concatenate([a, b], 1), axis=1)
+    both[:, 1:][both[:, 1:] == both[:, :-1]] = -1
+    score = np.einsum("qd,qkd->qk", q, x[both], optimize=True)
+    score[both < 0] = -np.inf
+    return np.take_along_axis(both, np.argsort(-score, axis=1, kind="stable"), 1)
+
+
+def _starts(x: np.ndarray, nodes: np.ndarray, group: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The best ``nodes`` of each query, ``PER_GROUP`` of a group at most; -1 padded."""
+    order = np.argsort(-(q @ x[nodes].T), axis=1, kind="stable")
+    out = np.full((len(q), STARTS), -1, np.int32)
+    for i, o in enumerate(order):
+        g = group[nodes[o]]
+        by = np.argsort(g, kind="stable")
+        rank = np.empty(len(g), np.int64)
+        rank[by] = np.arange(len(g)) - np.searchsorted(g[by], g[by])
+        top = nodes[o[rank < PER_GROUP][:STARTS]]
+        out[i, :len(top)] = top
+    return out
+
+
 INDEX = "dim int, shard int, n int, ids binary, id_counts binary, vectors binary, nodes array<binary>, links array<binary>"
 
 

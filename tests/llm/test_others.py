@@ -51,6 +51,40 @@ def test_search_recall_and_scores(spark, shard_rows):
         assert all(abs(s - true[i]) < 1e-12 for i, s in found if i in true)
 
 
+def _shard(kind, n, rng, dims=64):
+    x = rng.normal(size=(n, dims))
+    if kind == "norms":
+        return x * rng.lognormal(0, 0.5, (n, 1))
+    copies = {"one half a group": 4096, "two groups": 2048}.get(kind, n if isinstance(kind, int) else 0)
+    size = {"one half a group": 4096, "two groups": 1024}.get(kind, kind)
+    if copies:
+        x[:copies] = rng.normal(size=(n, dims))[np.arange(copies) // size] + x[:copies] * 0.01
+    return (x / np.linalg.norm(x, axis=1, keepdims=True))[rng.permutation(n)]
+
+
+@pytest.mark.parametrize("kind", ["noise", 60, 256, 1024, "two groups", "one half a group", "norms"])
+def test_recall_in_a_full_shard_of_near_copies(kind):
+    """Groups of near copies larger than a node's links, alone and beside noise, and norms that differ."""
+    x = _shard(kind, 8192, np.random.default_rng(3))
+    asked = np.arange(0, len(x), 20)
+    found, recall = hnsw.search_graph(x, hnsw.build_graph(x), x[asked]), []
+    for i, at in zip(asked, found, strict=True):
+        s = x @ x[i]
+        s[i] = -np.inf
+        at = at[(at >= 0) & (at != i)]
+        assert len(set(at.tolist())) == len(at)
+        recall.append((s[at[:20]] >= np.sort(s)[-20] - 1e-12).mean())
+    assert np.mean(recall) > 0.98 and min(recall) >= 0.8
+
+
+def test_search_of_clashing_and_null_tables(spark):
+    rows = [(i, [float(i), 1.0], 1, 2) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, id long, `rank` long")
+    assert hnsw.nearest(df).columns == ["query_id", "rank", "vec_id", "score"] and hnsw.nearest(df).count() == 40
+    nulls = spark.createDataFrame([(None, None)] * 3, "vec_id long, embedding array<double>")
+    assert hnsw.nearest(nulls).count() == 0
+
+
 def test_search_of_odd_vectors(spark):
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(1, 90)]

@@ -6,17 +6,30 @@ data is cached once, and (trial, fold) fits run ``parallelism`` at a time
 as concurrent Spark jobs.  Only the per-fit scores (one number each) reach
 the driver; they are turned straight back into a table and aggregated in
 Spark (H5).
+
+Forests nest: for settings that differ in the number of trees only, the
+largest forest is fitted once per fold and its first n trees are scored as
+the forest of n trees (``NESTED``).  With a ``TrialStore`` the scores of every
+finished fit are written down, so a search that was broken off goes on where it
+stood, and another query reads the scores without fitting again.
 """
 
 from __future__ import annotations
 
+import gc
+import hashlib
+import json
 import math
+import os
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, MapType, StructField, StructType
 
 from ..functions.hashing import seeded_md5
 from .splits import stratified_kfold
@@ -38,6 +51,8 @@ DEFAULT_RF_RANGES = {
 }
 # Settings with no Spark counterpart: kept in the trials table, ignored by fits.
 NO_SPARK_COUNTERPART = ("min_samples_split",)
+# The setting whose smaller values are prefixes of the largest fit.
+NESTED = "n_estimators"
 
 
 def _lit(v):
@@ -116,56 +131,144 @@ def fold_scores(scored: DataFrame, label: str, metric: str) -> dict:
     return {r["_part"]: float(r[metric]) for r in rows}
 
 
+def first_trees(forest, n: int, column: str):
+    """The model of a fitted forest's first ``n`` trees, writing ``column`` (and no probabilities)."""
+    from pyspark import SparkContext
+    sc, j, every = SparkContext._active_spark_context, forest._java_obj, forest._java_obj.trees()
+    jvm, uid, classifies = sc._jvm, f"{j.uid()}_{n}", isinstance(forest, RandomForestClassificationModel)
+    tree = jvm.org.apache.spark.ml.classification.DecisionTreeClassificationModel if classifies \
+        else jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees = sc._gateway.new_array(tree, int(n))
+    for i in range(int(n)):
+        trees[i] = every[i]
+    if classifies:
+        cut = RandomForestClassificationModel(jvm.org.apache.spark.ml.classification.RandomForestClassificationModel(
+            uid, trees, j.numFeatures(), j.numClasses()))
+        cut = cut.setProbabilityCol("").setRawPredictionCol("")
+    else:
+        cut = RandomForestRegressionModel(jvm.org.apache.spark.ml.regression.RandomForestRegressionModel(uid, trees, j.numFeatures()))
+    return cut.setFeaturesCol(forest.getFeaturesCol()).setPredictionCol(column)
+
+
+class TrialStore:
+    """Scores of finished fits, one folder a fit under ``path``: a fit that is repeated replaces its own rows."""
+
+    SCHEMA = "fold long, trees long, test_score double, train_score double"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    @staticmethod
+    def search_id(df: DataFrame, *facts) -> str:
+        """Names the data (row count and a sum of row hashes), the folds and the metric; not the settings tried."""
+        usable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+        r = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*usable).cast("decimal(38,0)"))).first()
+        return hashlib.sha256(json.dumps([df.schema.simpleString(), str(r[0]), str(r[1]), *map(str, facts)]).encode()).hexdigest()[:16]
+
+    def _folder(self, search: str) -> str:
+        return os.path.join(self.path, f"search={search}")
+
+    def scores(self, search: str) -> DataFrame:
+        """(unit, fold, trees, test_score, train_score) of a search's finished fits."""
+        folder = self._folder(search)
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        done = []
+        if fs.exists(p):  # a folder without its mark is a write that was broken off
+            units = [x.getPath().getName() for x in fs.listStatus(p)]
+            done = [os.path.join(folder, u) for u in units if fs.exists(jvm.org.apache.hadoop.fs.Path(os.path.join(folder, u, "_SUCCESS")))]
+        if not done:
+            return self.spark.createDataFrame([], "unit string, " + self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA + ", unit string").option("basePath", folder).parquet(*done).select(
+            "unit", "fold", "trees", "test_score", "train_score")
+
+    def add(self, search: str, unit: str, rows: list[tuple]) -> None:
+        df = self.spark.createDataFrame(rows, self.SCHEMA).coalesce(1)
+        df.write.mode("overwrite").parquet(os.path.join(self._folder(search), f"unit={unit}"))
+
+
+def _settings(row: dict) -> dict:
+    return {n: _parse(v) for n, v in row.items() if n != "trial_id"}
+
+
 def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str, k: int = 3,
                    metric: str = "accuracy", keys=None, seed: int = 42, parallelism: int | None = None,
-                   stratify: bool = True, folds: DataFrame | None = None) -> DataFrame:
+                   stratify: bool = True, folds: DataFrame | None = None, store: TrialStore | None = None) -> DataFrame:
     """H2 core: per (trial, fold) test and train scores, as a Spark table.
 
     ``make_pipeline(params: dict) -> Pipeline``.  Trials with equal
-    fit-relevant settings share their fits.  ``folds``: ``df`` with its fold
-    column, if the caller has cached it already.
+    fit-relevant settings share their fits, and trials that differ only in
+    their number of trees share the largest of them, of which the smaller are
+    prefixes.  ``folds``: ``df`` with its fold column, if the caller has cached
+    it already.  ``store``: where scores are kept and looked up.
     """
     spark = df.sparkSession
     from contextlib import ExitStack
 
-    from .models import cached
+    from .models import cached, concurrency
     rows = [r.asDict() for r in trials.orderBy("trial_id").collect()]  # one row per trial (bounded)
-    fits = {}
-    for r in rows:
-        p = {n: _parse(v) for n, v in r.items() if n != "trial_id"}
-        fits.setdefault(fit_key(p), p)
     if metric not in CV_METRICS:
         raise ValueError(f"metric must be one of {sorted(CV_METRICS)}")
+    sizes: dict[tuple, set] = {}
+    for r in rows:
+        p = dict(fit_key(_settings(r)))
+        n = p.pop(NESTED, None)
+        sizes.setdefault(tuple(sorted(p.items())), set()).add(n)
+    # one unit of work: all sizes of one setting on one fold
+    unit = lambda key, f: hashlib.sha256(json.dumps([key, sorted(map(str, sizes[key])), f]).encode()).hexdigest()[:24]
+    jobs = {unit(key, f): (key, f) for key in sizes for f in range(k)}
+    done: dict[tuple, tuple] = {}  # (setting, fold, trees) -> scores
+    search = store and store.search_id(df, label, k, metric, keys, seed, stratify)
+    if store:
+        for r in store.scores(search).where(F.col("unit").isin(list(jobs))).collect():  # a number per finished fit
+            done[jobs[r.unit][0], r.fold, r.trees] = (r.test_score, r.train_score)
+    todo = [(u, key, f) for u, (key, f) in jobs.items() if any((key, f, n) not in done for n in sizes[key])]
+
+    def run(job):
+        u, key, f = job
+        counts = sorted(sizes[key], key=lambda n: -1 if n is None else n)
+        p = {**dict(key), **({} if counts[-1] is None else {NESTED: counts[-1]})}
+        m = make_pipeline(p).fit(folds.where(F.col("fold") != f))
+        part = F.when(F.col("fold") == f, F.lit("test")).otherwise(F.lit("train"))
+        if len(counts) > 1 and isinstance(m.stages[-1], (RandomForestClassificationModel, RandomForestRegressionModel)):
+            scored = PipelineModel(m.stages[:-1]).transform(folds)
+            for n in counts:
+                scored = first_trees(m.stages[-1], n, f"_of_{n}").transform(scored)
+            each = F.explode(F.array(*[F.struct(F.lit(str(n)).alias("n"), F.col(f"_of_{n}").alias("prediction")) for n in counts]))
+            scored = scored.select(part.alias("_p"), F.col(label), each.alias("_e")).select(
+                F.concat_ws(":", "_p", "_e.n").alias("_part"), label, "_e.prediction")
+        elif len(counts) > 1:
+            raise ValueError(f"only forests nest: {NESTED} varies, but the last stage is {type(m.stages[-1]).__name__}")
+        else:
+            scored = m.transform(folds).select(F.concat(part, F.lit(f":{counts[0]}")).alias("_part"), label, "prediction")
+        # test and train scores of every size from one pass over the scored folds
+        got = fold_scores(scored, label, metric)
+        out = [(f, n, got[f"test:{n}"], got[f"train:{n}"]) for n in counts]
+        if store:
+            store.add(search, u, out)
+        del m, scored
+        gc.collect(0)  # lets go of the JVM's models
+        return key, out
 
     with ExitStack() as stack:
-        # the input and its fold assignment are each computed once and cached
-        if folds is None:
-            d = stack.enter_context(cached(df))
-            folds = stack.enter_context(cached(stratified_kfold(d, label if stratify else None, keys, k, seed)))
-
-        def run(job):
-            key, f = job
-            m = make_pipeline(fits[key]).fit(folds.where(F.col("fold") != f))
-            # test and train scores from one pass over the scored folds
-            part = F.when(F.col("fold") == f, F.lit("test")).otherwise(F.lit("train")).alias("_part")
-            got = fold_scores(m.transform(folds).select(part, label, "prediction"), label, metric)
-            return key, f, got["test"], got["train"]
-
-        jobs = [(key, f) for key in fits for f in range(k)]
-        from .models import concurrency
-        workers = concurrency(spark, len(jobs), parallelism, folds.rdd.getNumPartitions())
-        with ThreadPoolExecutor(max_workers=workers) as pool:
-            res = {(key, f): (te, tr) for key, f, te, tr in pool.map(run, jobs)}
+        if todo:
+            # the input and its fold assignment are each computed once and cached
+            if folds is None:
+                d = stack.enter_context(cached(df))
+                folds = stack.enter_context(cached(stratified_kfold(d, label if stratify else None, keys, k, seed)))
+            workers = concurrency(spark, len(todo), parallelism, folds.rdd.getNumPartitions())
+            with ThreadPoolExecutor(max_workers=workers) as pool:
+                for key, out in pool.map(run, todo):
+                    done.update({(key, f, n): (te, tr) for f, n, te, tr in out})
     out = []
     for r in rows:
-        p = {n: _parse(v) for n, v in r.items() if n != "trial_id"}
-        for f in range(k):
-            te, tr = res[(fit_key(p), f)]
-            out.append((int(r["trial_id"]), f, te, tr))
+        p = dict(fit_key(_settings(r)))
+        n = p.pop(NESTED, None)
+        out += [(int(r["trial_id"]), f, *done[tuple(sorted(p.items())), f, n]) for f in range(k)]
     schema = StructType([StructField("trial_id", LongType()), StructField("fold", LongType()),
                          StructField("test_score", DoubleType()), StructField("train_score", DoubleType())])
-    scores = spark.createDataFrame(out, schema)
-    return scores
+    return spark.createDataFrame(out, schema)
 
 
 def summarize_trials(scores: DataFrame, trials: DataFrame | None = None, higher_is_better: bool = True) -> DataFrame:
@@ -190,16 +293,19 @@ def best_trial(scores: DataFrame, score: str = "test_score", higher_is_better: b
     return top.withColumn("loss", -F.col("mean_score") if higher_is_better else F.col("mean_score"))
 
 
-def _search(df, trials, make_pipeline, label, k, metric, keys, seed, parallelism, higher):
-    scores = cross_validate(df, trials, make_pipeline, label, k, metric, keys, seed, parallelism)
+def _search(df, trials, make_pipeline, label, k, metric, keys, seed, parallelism, higher, store=None):
+    scores = cross_validate(df, trials, make_pipeline, label, k, metric, keys, seed, parallelism, store=store)
     return summarize_trials(scores, trials, higher_better(metric) if higher is None else higher)
 
 
 def grid_search(df, space, make_pipeline, label, k=3, metric="accuracy", keys=None, seed=42,
-                parallelism=None, higher_is_better=None) -> DataFrame:
-    """H2: CV score of every combination (mean, std, train score) ranked."""
+                parallelism=None, higher_is_better=None, store: TrialStore | None = None) -> DataFrame:
+    """H2: CV score of every combination (mean, std, train score) ranked.
+
+    Smaller forests are prefixes of the largest one with the same other settings.
+    With a ``store``, what it holds of this search is not fitted again."""
     trials = param_grid(df.sparkSession, space)
-    return _search(df, trials, make_pipeline, label, k, metric, keys, seed, parallelism, higher_is_better)
+    return _search(df, trials, make_pipeline, label, k, metric, keys, seed, parallelism, higher_is_better, store)
 
 
 def random_search(df, ranges, make_pipeline, label, n_trials=20, k=3, metric="accuracy", keys=None,

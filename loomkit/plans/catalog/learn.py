@@ -135,9 +135,15 @@ def _train(spark, sf):
     return tr.drop("split").withColumn("quality", F.col("quality").cast("double"))
 
 
+def _grid(spark, tr):
+    """The whole default grid; its scores are kept, so that the queries that use them fit it once."""
+    from ...session import scratch_path
+    store = H.TrialStore(spark, scratch_path(spark, "trials"))
+    return H.grid_search(tr, H.DEFAULT_RF_SPACE, rf_pipeline_for(tr), "quality", k=3, keys=["doc_id"], store=store)
+
+
 def q_grid_search(spark, sf):
-    tr = _train(spark, sf)
-    return H.grid_search(tr, H.DEFAULT_RF_SPACE, rf_pipeline_for(tr), "quality", k=3, keys=["doc_id"])
+    return _grid(spark, _train(spark, sf))
 
 
 def q_random_search(spark, sf):
@@ -153,9 +159,8 @@ def q_adaptive_search(spark, sf):
 
 def q_final_evaluation(spark, sf):
     s = _quality_split(spark, sf).withColumn("quality", F.col("quality").cast("double"))
-    tr = s.where("split = 'train'")
-    summary = H.grid_search(tr.drop("split"), H.DEFAULT_RF_SPACE, rf_pipeline_for(tr), "quality", k=3, keys=["doc_id"])
-    return H.final_evaluation(s, H.best_params(summary), rf_pipeline_for(tr), "quality")
+    tr = s.where("split = 'train'").drop("split")
+    return H.final_evaluation(s, H.best_params(_grid(spark, tr)), rf_pipeline_for(tr), "quality")
 
 
 def q_best_trial(spark, sf):

@@ -33,3 +33,72 @@ def test_best_trial_ties_to_lowest_id(spark):
     b = H.best_trial(s).first()
     assert b["trial_id"] == 1 and abs(b["mean_score"] - 0.6) < 1e-12
     assert H.best_trial(s, higher_is_better=False).first()["trial_id"] == 2
+
+
+def _fits(df, seen=None):
+    from loomkit.operators import models as M
+
+    def make(p):
+        if seen is not None:
+            seen.append(dict(p))
+        return M.random_forest_pipeline(df, ["x", "z"], "y", n_estimators=int(p["n_estimators"]), max_depth=int(p["max_depth"]))
+    return make
+
+
+def _points(spark):
+    return spark.createDataFrame([(i, float(i % 7), float((i * 37) % 11), float((i % 7 + (i * 37) % 11) % 3 == 0)) for i in range(90)],
+                                 "id long, x double, z double, y double")
+
+
+def test_smaller_forests_are_prefixes_summed_tree_by_tree(spark):
+    import numpy as np
+    from pyspark.ml import PipelineModel
+    from pyspark.sql import functions as F
+    df = _points(spark)
+    model = _fits(df)({"n_estimators": 7, "max_depth": 4}).fit(df)
+    forest, ready = model.stages[-1], PipelineModel(model.stages[:-1]).transform(df).orderBy("id")
+    votes = []
+    for tree in forest.trees:
+        raw = np.array([r.raw for r in tree.setRawPredictionCol("raw").setPredictionCol("p").setProbabilityCol("").setFeaturesCol("features")
+                        .transform(ready).orderBy("id").select("raw").collect()])
+        votes.append(raw / raw.sum(axis=1, keepdims=True))
+    for n in (1, 3, 7):
+        got = [r.p for r in H.first_trees(forest, n, "p").transform(ready).orderBy("id").select("p").collect()]
+        assert got == np.sum(votes[:n], axis=0).argmax(axis=1).astype(float).tolist()
+    whole = [r.prediction for r in forest.transform(ready).orderBy("id").select(F.col("prediction")).collect()]
+    assert whole == got
+
+
+def test_grid_fits_the_largest_forest_only(spark):
+    df, seen = _points(spark), []
+    space = {"n_estimators": [2, 5, 4], "max_depth": [2, 3], "min_samples_split": [2, 5]}
+    out = H.grid_search(df, space, _fits(df, seen), "y", k=3, keys=["id"]).collect()
+    assert len(out) == 12 and sorted(r["rank"] for r in out) == list(range(1, 13))
+    assert len(seen) == 6 and {p["n_estimators"] for p in seen} == {5}       # 2 depths x 3 folds
+
+
+def test_a_broken_search_goes_on_and_a_second_query_fits_nothing(spark, tmp_path):
+    df = _points(spark)
+    store = H.TrialStore(spark, str(tmp_path))
+    space = {"n_estimators": [2, 4], "max_depth": [2, 3, 4]}
+    calls = []
+
+    def breaking(p):
+        if len(calls) == 5:
+            raise RuntimeError("stopped")
+        calls.append(p)
+        return _fits(df)(p)
+
+    with __import__("pytest").raises(RuntimeError, match="stopped"):
+        H.grid_search(df, space, breaking, "y", k=3, keys=["id"], store=store, parallelism=1)
+    seen = []
+    whole = H.grid_search(df, space, _fits(df, seen), "y", k=3, keys=["id"], store=store).collect()
+    assert len(seen) == 9 - 5
+    again = []
+    assert sorted(map(tuple, H.grid_search(df, space, _fits(df, again), "y", k=3, keys=["id"], store=store).collect())) == sorted(map(tuple, whole))
+    assert not again
+    fresh = H.grid_search(df, space, _fits(df), "y", k=3, keys=["id"]).collect()
+    assert sorted(map(tuple, fresh)) == sorted(map(tuple, whole))
+    other = []
+    H.grid_search(df.where("id < 80"), {"n_estimators": [2], "max_depth": [2]}, _fits(df, other), "y", k=2, keys=["id"], store=store).collect()
+    assert len(other) == 2                                                   # other rows: another search

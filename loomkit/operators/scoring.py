@@ -7,14 +7,13 @@
 * Spark ML ``Model`` / ``PipelineModel``: ``transform`` plus
   ``vector_to_array(probability)[i]`` -> ``prob_class_i``; no shuffle.
 * Python models (I2): ``mapInPandas`` with the model loaded once per
-  Python worker (module-level cache keyed by path) and called per Arrow
-  batch of ``batch_size`` rows.
+  Python worker (module-level cache keyed by path) and called on slices of
+  ``batch_size`` rows of each Arrow batch; no session setting is touched.
 """
 
 from __future__ import annotations
 
 import json
-import os
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ..functions.storage import read_text, write_text
+
 BATCH_SIZE = 1000  # rows per Arrow batch handed to a Python model
 
 
@@ -39,15 +40,12 @@ class ExpressionModel:
         return df.select("*", *outs) if keep_inputs else df.select(*outs)
 
     def save(self, path: str) -> None:
-        os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-        with open(path, "w") as f:
-            json.dump({"features": self.features, "outputs": self.outputs, "name": self.name,
-                       "meta": self.meta}, f, indent=1)
+        write_text(path, json.dumps({"features": self.features, "outputs": self.outputs, "name": self.name,
+                                     "meta": self.meta}, indent=1))
 
     @staticmethod
     def load(path: str) -> "ExpressionModel":
-        with open(path) as f:
-            d = json.load(f)
+        d = json.loads(read_text(path))
         return ExpressionModel(d["features"], d["outputs"], d.get("name", "expression-model"), d.get("meta", {}))
 
 
@@ -69,14 +67,23 @@ def linear_expression_model(coef: dict, intercept: float, name: str = "linear")
                            {"coef": coef, "intercept": intercept})
 
 
+def _class_count(model) -> int:
+    """Number of classes that a fitted model gives probabilities for, read from the model."""
+    while hasattr(model, "stages") or hasattr(model, "bestModel"):
+        model = model.bestModel if hasattr(model, "bestModel") else model.stages[-1]
+    for name in ("numClasses", "weights"):  # classifiers; mixtures
+        if hasattr(model, name):
+            value = getattr(model, name)
+            return int(value) if name == "numClasses" else len(value)
+    raise ValueError(f"give num_classes: {type(model).__name__} does not tell it")
+
+
 def _spark_ml_outputs(model, df: DataFrame, keep_inputs: bool, num_classes: int | None):
     from pyspark.ml.functions import vector_to_array
     out = model.transform(df)
     cols = [F.col("prediction").cast("double").alias("prediction")]
     if "probability" in out.columns:
-        k = num_classes
-        if k is None:
-            k = len(out.select("probability").first()[0]) if num_classes is None else num_classes
+        k = _class_count(model) if num_classes is None else num_classes
         arr = vector_to_array(F.col("probability"))
         cols += [arr[i].alias(f"prob_class_{i}") for i in range(k)]
     keep = [F.col(c) for c in df.columns] if keep_inputs else []
@@ -117,14 +124,12 @@ class NumpyLogisticModel:
         return (self.predict_proba(pdf)[:, 1] >= self.threshold).astype("float64")
 
     def save(self, path: str) -> None:
-        with open(path, "w") as f:
-            json.dump({"kind": "numpy_logistic", "features": self.features, "coef": self.coef.tolist(),
-                       "intercept": self.intercept, "threshold": self.threshold}, f)
+        write_text(path, json.dumps({"kind": "numpy_logistic", "features": self.features, "coef": self.coef.tolist(),
+                                     "intercept": self.intercept, "threshold": self.threshold}))
 
     @staticmethod
     def load(path: str) -> "NumpyLogisticModel":
-        with open(path) as f:
-            d = json.load(f)
+        d = json.loads(read_text(path))
         return NumpyLogisticModel(d["features"], d["coef"], d["intercept"], d.get("threshold", 0.5))
 
 
@@ -151,9 +156,7 @@ def predict_batch_udf(df: DataFrame, model, features, num_classes: int = 2,
     """
     from ..session import ship_package
     keep = list(keep or [])
-    spark = df.sparkSession
-    ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(int(batch_size)))
+    ship_package(df.sparkSession)
     fields = [df.schema[c] for c in keep] + [StructField("prediction", DoubleType())] + [
         StructField(f"prob_class_{i}", DoubleType()) for i in range(num_classes)]
     schema = StructType(fields)
@@ -163,8 +166,8 @@ def predict_batch_udf(df: DataFrame, model, features, num_classes: int = 2,
 
     def score(batches):
         m = _cached_model(path, loader) if path else obj
-        for pdf in batches:
-            out = pd.DataFrame({c: pdf[c] for c in keep})
+        for pdf in (b.iloc[lo:lo + batch_size] for b in batches for lo in range(0, len(b), batch_size)):
+            out = pd.DataFrame({c: pdf[c] for c in keep}, index=pdf.index)
             x = pdf[feats]
             out["prediction"] = np.asarray(m.predict(x), dtype="float64")
             if num_classes and hasattr(m, "predict_proba"):
@@ -178,13 +181,24 @@ def predict_batch_udf(df: DataFrame, model, features, num_classes: int = 2,
 
 # ---------------------------------------------------------------- S1/S11 + I4
 def score_file(spark, model, in_path: str, out_path: str, features=None, keep_inputs: bool = True,
-               fmt: str | None = None, mode: str = "overwrite") -> DataFrame:
+               fmt: str | None = None, mode: str = "overwrite", store=None, version: str = "champion") -> DataFrame:
     """I4: read csv/parquet by suffix, keep the features, score, write in the
-    same format; returns the written result read back."""
+    same format; returns the written result read back.
+
+    ``model`` is a model, or a name in ``store`` (a ``ModelStore``) with a
+    version number, an alias or ``latest``."""
     from ..sources.files import detect_format, read_table, write_table
+    if isinstance(model, str):
+        if store is None:
+            raise ValueError("a model name needs the store that has it")
+        model = store.load(model, version)
     fmt = fmt or detect_format(in_path)
     df = read_table(spark, in_path, fmt)
     if features:
         df = df.select(*features)
-    write_table(predict_batch(model, df, keep_inputs=keep_inputs), out_path, fmt, mode)
+    if isinstance(model, NumpyLogisticModel):
+        scored = predict_batch_udf(df, model, model.features, keep=df.columns if keep_inputs else None)
+    else:
+        scored = predict_batch(model, df, keep_inputs=keep_inputs)
+    write_table(scored, out_path, fmt, mode)
     return read_table(spark, out_path, fmt)

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ...operators import metrics as E
+from ...operators import runs as R
 from ...operators import scoring as I
 from ...operators import splits as S
+from ...operators.store import ModelStore, RunStore
 from ...session import scratch_path
 from ...sources import files as FS
 from ..tables import quality_view, table
@@ -17,6 +19,7 @@ from ..tables import quality_view, table
 # Fixed model used by the scoring and metric queries (a saved artifact).
 QUALITY_MODEL = I.logistic_expression_model({"letter_share": 12.0}, -8.0)
 PRICE_MODEL = I.linear_expression_model({"p_partkey": 0.05}, 900.0)
+FLAT_MODEL = I.linear_expression_model({"p_size": 1.0}, 1400.0, "flat")
 
 
 def _fresh(spark, name):
@@ -48,6 +51,44 @@ def q_score_file(spark, sf):
     return I.score_file(spark, PRICE_MODEL, src, out, features=["p_partkey", "p_retailprice"])
 
 
+def q_score_file_by_name(spark, sf):
+    """I4 with a model that the store resolves by name and alias (R10), after two versions were registered."""
+    store = ModelStore(spark, _fresh(spark, "model_store"))
+    first = store.register("price", PRICE_MODEL, run_id=1)
+    second = store.register("price", FLAT_MODEL, run_id=2)
+    store.set_alias("price", "champion", second)
+    store.set_alias("price", "champion", first)
+    store.set_alias("price", "archived", second)
+    src, cols = f"{sf}/part.parquet", ["p_partkey", "p_size", "p_retailprice"]
+    out = None
+    for spec in ("champion", "latest"):
+        path = _fresh(spark, "score_file_by_name") + "/scored.parquet"
+        part = I.score_file(spark, "price", src, path, features=cols, store=store, version=spec)
+        part = part.withColumn("model_version", F.lit(store.resolve("price", spec)[0]).cast("bigint"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_append_runs(spark, sf):
+    """Two runs of one experiment logged and appended (the second twice), then read back: the newest by R2, its metrics from the JSON, too."""
+    store = RunStore(spark, _fresh(spark, "run_store"))
+    part = table(spark, sf, "part")
+    facts = part.agg(F.count(F.lit(1)).cast("string").alias("value")).select(F.lit("rows").alias("key"), "value")
+    for run_id, model in ((1, PRICE_MODEL), (2, FLAT_MODEL)):
+        scores = E.regression_metrics(I.predict_with_inputs(model, part), "p_retailprice", "prediction")
+        metrics = scores.select(F.stack(F.lit(3), F.lit("r2"), "r2", F.lit("rmse"), "rmse", F.lit("mae"), "mae").alias("key", "value"))
+        tags = facts.select(F.lit("model_alias").alias("key"), F.lit("challenger").alias("value"))
+        run = R.log_run(7, run_id, f"2024-01-0{run_id} 12:00:00", tags, facts, metrics)
+        store.append(run)
+    store.append(run)
+    newest = R.latest_run(store.runs())
+    flat = newest.select("experiment_id", "run_id", F.col("tags")["model_alias"].alias("alias"), F.col("params")["rows"].alias("n_rows"),
+                         F.explode("metrics").alias("metric", "value"))
+    written = store.metrics().withColumnRenamed("value", "json_value")
+    per = store.runs().groupBy("experiment_id").agg(F.count(F.lit(1)).alias("runs_held"))
+    return flat.join(written, ["experiment_id", "run_id", "metric"]).join(per, "experiment_id")
+
+
 def q_scan_parquet(spark, sf):
     df = FS.read_table(spark, f"{sf}/lineitem.parquet")
     return df.where(F.col("l_discount") > 0.05).select("l_orderkey", "l_extendedprice", "l_discount")
@@ -154,6 +195,8 @@ QUERIES = {
     "predict_with_inputs": q_predict_with_inputs,
     "predict_batch_udf": q_predict_batch_udf,
     "score_file": q_score_file,
+    "score_file_by_name": q_score_file_by_name,
+    "append_runs": q_append_runs,
     "scan_parquet": q_scan_parquet,
     "scan_csv": q_scan_csv,
     "sink_parquet": _sink("parquet"),
@@ -199,6 +242,13 @@ SQL = {
     "predict_batch_udf": f"""with {QV} select doc_id, cast(case when {P1} >= 0.5 then 1 else 0 end as double) prediction,
   1.0 - {P1} prob_class_0, {P1} prob_class_1 from qv""",
     "score_file": "select p_partkey, p_retailprice, cast(900.0 + 0.05 * p_partkey as double) prediction from part",
+    "score_file_by_name": """select p_partkey, p_size, p_retailprice, cast(900.0 + 0.05 * p_partkey as double) prediction, cast(1 as bigint) model_version from part
+union all select p_partkey, p_size, p_retailprice, cast(1400.0 + 1.0 * p_size as double), 2 from part""",
+    "append_runs": """with p as (select cast(p_retailprice as double) y, 1400.0e0 + 1.0e0 * p_size yhat from part),
+m as (select 1 - avg((y-yhat)*(y-yhat)) / var_pop(y) r2, sqrt(avg((y-yhat)*(y-yhat))) rmse, avg(abs(y-yhat)) mae, count(*) n from p),
+u as (select 'r2' metric, r2 as value, n from m union all select 'rmse', rmse, n from m union all select 'mae', mae, n from m)
+select cast(7 as bigint) experiment_id, cast(2 as bigint) run_id, metric, 'challenger' as alias, cast(n as varchar) n_rows, value, value json_value,
+  cast(2 as bigint) runs_held from u""",
     "scan_parquet": "select l_orderkey, l_extendedprice, l_discount from lineitem where l_discount > 0.05",
     "scan_csv": "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders",
     "sink_parquet": "select * from orders",

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, StringType, StructField, StructType
 
+from ..functions.storage import arrow_fs
+
 # Image file suffixes (matched case-insensitively).
 IMAGE_SUFFIXES = ("jpg", "jpeg", "png", "bmp", "tiff")
 _SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?"
@@ -55,7 +57,7 @@ def _listed(folders: DataFrame, recursive: bool) -> DataFrame:
         import pyarrow.fs as pafs
         for pdf in batches:
             for folder in pdf["path"]:
-                fs, base = _arrow_fs(folder)
+                fs, base = arrow_fs(folder)
                 found = fs.get_file_info(pafs.FileSelector(base, recursive=recursive))
                 for lo in range(0, len(found), 10_000):
                     part = found[lo:lo + 10_000]
@@ -182,12 +184,12 @@ def _visible_copies(spark: SparkSession, root: str):
 
     def run(batches):
         import hashlib
-        fs, base_out = _arrow_fs(folder)
+        fs, base_out = arrow_fs(folder)
         fs.create_dir(base_out, recursive=True)
         for pdf in batches:
             names = []
             for path in pdf["path"]:
-                src, at = _arrow_fs(path)
+                src, at = arrow_fs(path)
                 names.append("f" + hashlib.sha256(path.encode()).hexdigest() + ".img")
                 with src.open_input_stream(at) as i, fs.open_output_stream(f"{base_out}/{names[-1]}") as o:
                     while block := i.read(1 << 20):
@@ -265,26 +267,18 @@ def quantize_embedding(vec) -> np.ndarray:
     return np.clip(np.floor((v + 1.0) * 127.5 + 0.5), 0, 255).astype(np.uint8)
 
 
-def _arrow_fs(root: str):
-    """A pyarrow file system and base path for a folder URI (local, s3, gs, hdfs...)."""
-    import pyarrow.fs as pafs
-    if root.startswith("file:") and not root.startswith("file://"):
-        root = "file://" + root[5:]
-    if "://" not in root:
-        return pafs.LocalFileSystem(), root
-    return pafs.FileSystem.from_uri(root)
-
-
-def write_embedding_images(df: DataFrame, root: str, side: int = 8) -> DataFrame:
+def write_embedding_images(df: DataFrame, root: str, side: int = 8, mixed: bool = False) -> DataFrame:
     """Render each ``embeddings`` row as a ``side x side`` gray PNG at
-    ``<root>/<label>/<vec_id:06d>.png``.  Each task writes its own files
+    ``<root>/<label>/<vec_id:06d>.png``.  ``mixed``: every third row (by id) is a
+    colour image of half the height with the values, then their negatives, then zeros as
+    red, green and blue, of the first half of the vector; every seventh is cut off inside its header.  Each task writes its own files
     through ``pyarrow.fs`` (local, object store or HDFS folder; rewriting a
     file on retry is harmless); returns ``(vec_id, label, rel_path)``."""
     from ..session import ship_package
     ship_package(df.sparkSession)
 
     def run(batches):
-        fs, base = _arrow_fs(root)
+        fs, base = arrow_fs(root)
         made = set()
         for pdf in batches:
             rels = []
@@ -294,8 +288,15 @@ def write_embedding_images(df: DataFrame, root: str, side: int = 8) -> DataFrame
                 if folder not in made:
                     fs.create_dir(folder, recursive=True)
                     made.add(folder)
+                gray = quantize_embedding(emb).reshape(side, side)
+                data = png_bytes(gray)
+                if mixed and vid % 3 == 0:
+                    half = gray[:side // 2]
+                    data = png_bytes(np.stack([half, 255 - half, np.zeros_like(half)], axis=2))
+                if mixed and vid % 7 == 0:
+                    data = data[:20]
                 with fs.open_output_stream(f"{base}/{rel}") as f:
-                    f.write(png_bytes(quantize_embedding(emb).reshape(side, side)))
+                    f.write(data)
                 rels.append(rel)
             yield pd.DataFrame({"vec_id": pdf["vec_id"], "label": pdf["label"].astype("int32"), "rel_path": rels})
 

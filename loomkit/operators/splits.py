@@ -11,23 +11,25 @@ Semantics (same contract as the common in-memory splitter):
 * Inside a class rows are ordered by ``md5('<seed>|<key>')`` then key; the
   first quota rows are train.
 
-The cut never ranks a whole class in one task.  Rows are counted per
-``(class, hash-prefix bucket)`` with the first 4 hex digits of the hash:
-at most 65,536 buckets per class, so map-side partial aggregation shrinks
-every task's output to that size.  This count table is computed once and
-its lineage cut with ``checkpoint()`` into the session's checkpoint
-folder; class sizes, quotas and the cut all derive from it.  A running
-sum over the buckets finds, for each class, the one bucket holding the
-quota boundary.  Rows below it go first and rows above it second with no
-shuffle of their own (a join with a per-class table, broadcast by the planner if small); only
-the rows of the boundary bucket (about 1/65,536 of a class) are ranked.
-The result equals a full sort by (hash, key) and does not depend on
-partitioning.
+The cut never ranks a whole class in one task, and a split reads its input
+twice, whatever the number of parts.  The first read writes a narrow table of
+(class, hashes, key) into the session's checkpoint folder.  There, rows are
+counted per ``(class, hash-prefix bucket)`` with the first 4 hex digits of the
+hash: at most 65,536 buckets per class, so map-side partial aggregation shrinks
+every task's output to that size.  A running sum over the buckets finds, for
+each class, the one bucket holding the quota boundary; only its rows (about
+1/65,536 of a class) are ranked, which gives the last (hash, key) of the first
+part.  A three-way split finds its second cut in the same narrow table.  The second
+read compares every row with the cuts of its class (a per-class table, broadcast by the
+planner if small).  Rows that equal a cut are ranked among themselves only if some
+of them belong on each side.  The result equals a full sort by (hash, key) and
+does not depend on partitioning.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,7 +41,7 @@ from ..functions.missing import as_missing
 # ``task_type`` threshold: fewer distinct non-missing values -> classification.
 CLASSIFICATION_MAX_DISTINCT = 20
 
-_Y, _H, _B = "_lk_y", "_lk_h", "_lk_b"
+_Y, _H, _B, _K = "_lk_y", "_lk_h", "_lk_b", "_lk_k"
 
 
 def split_sizes(n: int, test_size) -> tuple[int, int]:
@@ -110,46 +112,102 @@ def _check_strata(n, k, minc, n_train, n_test):
         raise ValueError(f"{n_test} test rows cannot cover {k} classes")
 
 
-def exact_split(df: DataFrame, keys=None, label: str | None = None, test_size=0.2,
-                seed: int = 42, salt: str | None = None, split_col: str = "split",
-                first: str = "train", second: str = "test") -> DataFrame:
-    """Assign every row to ``first`` or ``second`` with exact quotas.
+def _narrow(df: DataFrame, keys, label, seed, salts) -> DataFrame:
+    """(class, key, one hash a salt) of every row, written; the only read of ``df`` that finding cuts takes."""
+    from ..session import materialize
+    y = as_missing(F.col(label), df.schema[label].dataType) if label else F.lit(0)
+    return materialize(df.select(y.alias(_Y), F.struct(*[F.col(c) for c in keys]).alias(_K),
+                                 *[seeded_md5(seed, *keys, salt=x).alias(f"{_H}{i}") for i, x in enumerate(salts)]), "split-keys")
 
-    ``label`` given means stratified.  ``keys`` must identify a row
-    (default: all columns, so identical rows tie and are interchangeable).
-    """
-    d, keys = _prepare(df, keys, label, seed, salt)
-    bc = _bucket_counts(d)
-    cls, n, k, minc, maxc = _class_stats(bc)
+
+def _place(i: int) -> Column:
+    """A narrow row's place in the order of its ``i``-th hash."""
+    return F.struct(F.col(f"{_H}{i}").alias("h"), F.col(_K).alias("k"))
+
+
+def _cuts(narrow: DataFrame, i: int, stratified: bool, test_size) -> DataFrame:
+    """Per class: ``cut`` (the last place of the first part; NULL if that is empty), how many rows
+    have that place (``_ties``) and how many of them go first (``_first``).  Written: one row a class."""
+    from ..session import materialize
+    rows = narrow if stratified else narrow.withColumn(_Y, F.lit(0))
+    rows = rows.select(_Y, hash_prefix(F.col(f"{_H}{i}"), BUCKET_HEX).alias(_B), _place(i).alias("_o"))
+    bc = _bucket_counts(rows)
+    cls, n, k, minc, _ = _class_stats(bc)
     if n == 0:
         raise ValueError("Cannot split an empty table")
     n_first, n_second = split_sizes(n, test_size)
-    if label:
+    if stratified:
         _check_strata(n, k, minc, n_first, n_second)
-    quotas = _train_quotas(cls, n, n_first, bool(label))
-
+    quotas = _train_quotas(cls, n, n_first, stratified)
     run = Window.partitionBy(_Y).orderBy(_B).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     bc = bc.withColumn("_cum", F.sum("_n").over(run))
-    cut = (bc.join(quotas, bc[_Y].eqNullSafe(quotas["_yk"]))
-             .where((F.col("_cum") - F.col("_n") < F.col("_tr")) & (F.col("_tr") <= F.col("_cum")))
-             .select(F.col("_yk").alias("_yc"), F.col(_B).alias("_bb"),
-                     (F.col("_tr") - (F.col("_cum") - F.col("_n"))).alias("_need")))
-    # classes whose quota is 0 have no boundary: everything goes second
-    cut = quotas.join(cut, quotas["_yk"].eqNullSafe(cut["_yc"]), "left").select(
-        "_yk", F.coalesce("_bb", F.lit("")).alias("_bb"), F.coalesce("_need", F.lit(0)).alias("_need"))
+    edge = (bc.join(quotas, bc[_Y].eqNullSafe(quotas["_yk"]))
+              .where((F.col("_cum") - F.col("_n") < F.col("_tr")) & (F.col("_tr") <= F.col("_cum")))
+              .select("_yk", F.col(_B).alias("_bb"), (F.col("_tr") - (F.col("_cum") - F.col("_n"))).alias("_need")))
+    near = rows.join(edge, rows[_Y].eqNullSafe(edge["_yk"]) & (rows[_B] == edge["_bb"]))  # one bucket a class
+    order = Window.partitionBy("_yk").orderBy("_o")
+    near = near.select("_yk", "_o", "_need", F.row_number().over(order).alias("_rn"), F.rank().over(order).alias("_r"),
+                       F.count(F.lit(1)).over(Window.partitionBy("_yk", "_o")).alias("_ties"))
+    last = near.where(F.col("_rn") == F.col("_need")).select(
+        F.col("_yk").alias("_ye"), F.col("_o").alias("cut"), "_ties", (F.col("_rn") - F.col("_r") + 1).alias("_first"))
+    return materialize(quotas.join(last, quotas["_yk"].eqNullSafe(last["_ye"]), "left").select("_yk", "cut", "_ties", "_first"), "split-cuts")
+
+
+def _assigned(d: DataFrame, place: Column, klass: Column, cuts: DataFrame, col: str, first: str, second: str, stratified: bool,
+              among: Column | None = None) -> DataFrame:
+    """``d`` with ``col``: its side of the cut of its class.  Rows outside ``among`` take no place (their side means nothing)."""
+    if stratified:
+        rows = d.withColumn("_yd", klass)
+        rows = rows.join(cuts, rows["_yd"].eqNullSafe(cuts["_yk"]), "left").drop("_yd", "_yk")
+    else:  # one stratum: its cut is three scalars, no join needed
+        rows = d.select("*", *[cuts.select(c).scalar().alias(c) for c in ("cut", "_ties", "_first")])
+    rows = rows.withColumn("_o", place)
+    before = F.col("cut").isNotNull() & ((F.col("_o") < F.col("cut")) | ((F.col("_o") == F.col("cut")) & (F.col("_first") == F.col("_ties"))))
+    side = F.when(before, F.lit(first)).otherwise(F.lit(second))
+    keep = [*[F.col(c) for c in d.columns], F.col(col)]
+    if not cuts.where("_first < _ties").take(1):  # one row a class
+        return rows.withColumn(col, side).select(*keep)
+    straddles = F.coalesce((F.col("_o") == F.col("cut")) & (F.col("_first") < F.col("_ties")), F.lit(False))
+    straddles = straddles if among is None else straddles & among
+    rn = F.row_number().over(Window.partitionBy("_o").orderBy(F.lit(0)))  # equal rows
+    tied = rows.where(straddles).withColumn(col, F.when(rn <= F.col("_first"), F.lit(first)).otherwise(F.lit(second)))
+    return rows.where(~straddles).withColumn(col, side).select(*keep).unionByName(tied.select(*keep))
+
+
+def _split(df: DataFrame, keys, label, seed, steps, split_col, decide=None) -> DataFrame:
+    """Cut off one part after another: ``steps`` are (salt, share or size of the second part, rest, second part).
+
+    ``decide``: whether the label gives strata, asked of the narrow table at each step (None: it does if given)."""
+    keys = list(keys) if keys else list(df.columns)
+    narrow = _narrow(df, keys, label, seed, [x for x, *_ in steps])
+    y = as_missing(F.col(label), df.schema[label].dataType) if label else F.lit(0)
+    out = df.select("*", y.alias("_lk_class"), *[F.struct(seeded_md5(seed, *keys, salt=x).alias("h"), F.struct(*[F.col(c) for c in keys]).alias("k"))
+                                               .alias(f"_lk_o{i}") for i, (x, *_) in enumerate(steps)])
+    left, parts = narrow, []
+    for i, (_, share, first, second) in enumerate(steps):
+        strata = bool(label) and (decide is None or decide(left, i))
+        cuts = _cuts(left, i, strata, share)
+        part = f"_lk_part{i}"
+        parts.append((part, first, second))
+        still = reduce(lambda a, b: a & b, [F.col(p) == f for p, f, _ in parts[:-1]]) if i else None
+        out = _assigned(out, F.col(f"_lk_o{i}"), F.col("_lk_class"), cuts, part, first, second, strata, still)
+        if i + 1 < len(steps):
+            left = _assigned(left, _place(i), F.col(_Y), cuts, part, first, second, strata).where(F.col(part) == first).drop(part)
+    name = F.lit(None)
+    for part, first, second in reversed(parts):
+        name = F.when(F.col(part) == second, F.lit(second)).otherwise(name if part != parts[-1][0] else F.lit(first))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], name.alias(split_col))
 
-    if label:
-        rows = d.join(cut, d[_Y].eqNullSafe(cut["_yk"]))
-    else:  # one stratum: its boundary is two scalars, no join needed
-        rows = d.select("*", cut.select("_bb").scalar().alias("_bb"), cut.select("_need").scalar().alias("_need"))
-    inner = rows.where(F.col(_B) != F.col("_bb")).withColumn(
-        split_col, F.when(F.col(_B) < F.col("_bb"), F.lit(first)).otherwise(F.lit(second)))
-    order = [F.col(_H)] + [F.col(c).asc_nulls_first() for c in keys]
-    rn = F.row_number().over(Window.partitionBy(_Y).orderBy(*order))
-    edge = (rows.where(F.col(_B) == F.col("_bb"))
-                .withColumn(split_col, F.when(rn <= F.col("_need"), F.lit(first)).otherwise(F.lit(second))))
-    out_cols = list(df.columns) + [split_col]
-    return inner.select(*out_cols).unionByName(edge.select(*out_cols))
+
+def exact_split(df: DataFrame, keys=None, label: str | None = None, test_size=0.2,
+                seed: int = 42, salt: str | None = None, split_col: str = "split",
+                first: str = "train", second: str = "test") -> DataFrame:
+    """Assign every row to ``first`` or ``second`` with exact quotas.
+
+    ``label`` given means stratified.  ``keys`` must identify a row
+    (default: all columns, so identical rows tie and are interchangeable).
+    """
+    return _split(df, keys, label, seed, [(salt, test_size, first, second)], split_col)
 
 
 def task_type_of(df: DataFrame, column: str) -> str:
@@ -212,22 +270,21 @@ def split_three_way(df: DataFrame, keys=None, label: str | None = None, test_siz
     """Test first, then validation carved out of train with
     ``validation_size / (1 - test_size)``; stratified again on train labels
     when the target is a classification target (``stratify=None``)."""
-    stratified = None
-    if label:
-        stratified = is_classification(df, label) if stratify is None else stratify
-    s1 = exact_split(df, keys, label if stratified else None, test_size, seed, split_col=split_col)
-    if not validation_size or validation_size <= 0:
-        return s1
-    val_share = validation_size / (1 - test_size)
-    train = s1.where(F.col(split_col) == "train").drop(split_col)
-    # Train labels are re-checked only when they could change the answer: a
-    # subset of a classification target (string, or < 20 values) stays one.
-    strat2 = stratified
-    if label and stratify is None and not stratified:
-        strat2 = is_classification(train, label)
-    s2 = exact_split(train, keys, label if strat2 else None, val_share, seed, salt="validation",
-                     split_col=split_col, first="train", second="validation")
-    return s1.where(F.col(split_col) == "test").unionByName(s2)
+    steps = [(None, test_size, "train", "test")]
+    if validation_size and validation_size > 0:
+        steps.append(("validation", validation_size / (1 - test_size), "train", "validation"))
+    known: list[bool] = []
+
+    def decide(rows: DataFrame, i: int) -> bool:
+        if stratify is not None:
+            return stratify
+        # asked again of the train rows only when that could change the answer: a
+        # subset of a classification target (string, or < 20 values) stays one
+        if not known or not known[0]:
+            known[:] = [is_classification(rows.select(F.col(_Y).alias(label)), label)]
+        return known[0]
+
+    return _split(df, keys, label, seed, steps, split_col, decide)
 
 
 def split_bernoulli(df: DataFrame, keys=None, test_size=0.2, validation_size=0.0,

@@ -147,3 +147,57 @@ def test_null_labels_are_their_own_stratum(spark):
     assert tr == {"a": 16, "b": 8, None: 8}
     folds = S.stratified_kfold(df, "y", keys=["id"], k=2).collect()
     assert sum(1 for r in folds if r["y"] is None and r["fold"] == 0) == 5
+
+
+@pytest.mark.parametrize("label", [None, "y"])
+def test_three_way_split_reads_its_input_twice(spark, tmp_path, label):
+    """One scan for the narrow table, one for the result; nothing else touches the input."""
+    path = str(tmp_path / "in")
+    spark.createDataFrame([(i, "ab"[i % 2], "x" * 50) for i in range(500)], "id long, y string, wide string").write.parquet(path)
+    reads = []
+    plain = S._narrow
+    try:
+        S._narrow = lambda df, *a: reads.append(df) or plain(df, *a)
+        out = S.split_three_way(spark.read.parquet(path), keys=["id"], label=label, test_size=0.2, validation_size=0.1)
+    finally:
+        S._narrow = plain
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert len(reads) == 1 and plan.count("wide#") >= 1
+    assert sum(path.split("/")[-2] in x for x in out._jdf.queryExecution().executedPlan().toString().split("Location: ")) == 1
+    assert {r["split"]: r["count"] for r in out.groupBy("split").count().collect()} == {"train": 350, "test": 100, "validation": 50}
+
+
+def test_repeated_rows_keep_exact_sizes(spark):
+    """Rows without a key of their own: the cuts fall among equal rows."""
+    df = spark.createDataFrame([("a",)] * 70 + [("b",)] * 30, "y string")
+    for label in (None, "y"):
+        out = S.split_three_way(df, label=label, test_size=0.2, validation_size=0.1, stratify=bool(label))
+        assert {r["split"]: r["count"] for r in out.groupBy("split").count().collect()} == {"train": 70, "test": 20, "validation": 10}
+    by = {(r["y"], r["split"]): r["count"] for r in out.groupBy("y", "split").count().collect()}
+    assert by == {("a", "train"): 49, ("a", "test"): 14, ("a", "validation"): 7, ("b", "train"): 21, ("b", "test"): 6, ("b", "validation"): 3}
+
+
+def test_a_class_without_training_rows_stays(spark):
+    df = _df(spark, ["a"] * 2 + ["b"] * 48)
+    out = S.split_three_way(df, label="y", keys=["id"], test_size=0.8, validation_size=0.1, stratify=True)
+    assert out.count() == 50 and out.where("split = 'test'").count() == 40
+
+
+def test_bernoulli_split_of_a_stream_after_a_restart(spark, tmp_path):
+    """Files arrive, the stream is stopped and started again on its checkpoint; the parts equal the batch split's."""
+    src, out, ckpt = (str(tmp_path / x) for x in ("in", "out", "ckpt"))
+    schema = "id long, y string"
+
+    def go():
+        s = S.split_bernoulli(spark.readStream.schema(schema).parquet(src), keys=["id"], test_size=0.3, validation_size=0.1)
+        q = s.writeStream.format("parquet").partitionBy("split").option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    _df(spark, ["a"] * 300).write.mode("append").parquet(src)
+    go()
+    _df(spark, ["a"] * 700).where("id >= 300").write.mode("append").parquet(src)
+    go()
+    go()                                                                     # nothing new: nothing twice
+    got = {r["id"]: r["split"] for r in spark.read.parquet(out).collect()}
+    assert spark.read.parquet(out).count() == 700
+    assert got == _assign(S.split_bernoulli(_df(spark, ["a"] * 700), keys=["id"], test_size=0.3, validation_size=0.1))

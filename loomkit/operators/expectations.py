@@ -15,6 +15,7 @@ non-missing rows, except for the not-null check where it is over all rows.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -92,17 +93,10 @@ def dedupe(suite) -> list:
 
 def default_suite(columns=None, column_types=None) -> list:
     """The starter suite: non-empty table, at least one column, and when
-    given, the exact column set and per-column dtypes."""
-    s = [Expectation.of(ROW_COUNT, min_value=1), Expectation.of(COLUMN_COUNT, min_value=1, max_value=None)]
-    if columns:
-        s.append(Expectation.of(COLUMNS_MATCH, column_set=list(columns), exact_match=True))
-    for c, t in (column_types or {}).items():
-        s.append(Expectation.of(OF_TYPE, c, type_=t))
-    if columns:
-        s.append(Expectation.of(COLUMNS_MATCH, column_set=list(columns)))
-    for c, t in (column_types or {}).items():
-        s.append(Expectation.of(OF_TYPE, c, type_=t))
-    return s
+    given, the exact column set and per-column dtypes; each check once."""
+    checks = [Expectation.of(ROW_COUNT, min_value=1), Expectation.of(COLUMN_COUNT, min_value=1, max_value=None)]
+    checks += [Expectation.of(OF_TYPE, c, type_=t) for c, t in sorted((column_types or {}).items())]
+    return checks + ([Expectation.of(COLUMNS_MATCH, column_set=list(columns), exact_match=True)] if columns else [])
 
 
 def _in_range(v: Column, lo, hi, strict_lo=False, strict_hi=False) -> Column:
@@ -167,28 +161,82 @@ def validate(df: DataFrame, suite) -> DataFrame:
     """
     suite = dedupe(suite)
     fields = {f.name: f.dataType for f in df.schema.fields}
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    uniq = []
+    aggs, uniq = _aggregates(suite, fields)
+    stats = df.agg(*aggs)
+    return _results(_with_duplicates(stats, df, suite, uniq, fields), suite, df)
+
+
+def _aggregates(suite, fields) -> tuple[list, list]:
+    """The aggregates of every row-wise check, and the numbers of the uniqueness checks."""
+    aggs, uniq = [F.count(F.lit(1)).alias("_rows")], []
     for i, e in enumerate(suite):
-        kw, c = e.kw, e.column
-        if e.expectation in (ROW_COUNT, COLUMN_COUNT, COLUMNS_MATCH, OF_TYPE, EXISTS):
-            continue
-        if c not in fields:
-            continue  # reported as a failed expectation below
+        c = e.column
+        if e.expectation in (ROW_COUNT, COLUMN_COUNT, COLUMNS_MATCH, OF_TYPE, EXISTS) or c not in fields:
+            continue  # from the schema; a missing column is reported as a failed expectation
         if e.expectation == UNIQUE:
             aggs.append(_count(as_missing(F.col(c), fields[c]).isNull()).alias(f"m{i}"))
             uniq.append(i)
         else:
             aggs += _row_exprs(i, e, fields)
-    stats = df.agg(*aggs)
-    if uniq:
-        stats = stats.select("*", _duplicate_counts(df, suite, uniq, fields))
-        stats = stats.select("*", *[F.col("_dups")[f"u{i}"].alias(f"u{i}") for i in uniq]).drop("_dups")
+    return aggs, uniq
 
+
+def _with_duplicates(stats: DataFrame, df: DataFrame, suite, uniq, fields) -> DataFrame:
+    if not uniq:
+        return stats
+    stats = stats.select("*", _duplicate_counts(df, suite, uniq, fields))
+    return stats.select("*", *[F.col("_dups")[f"u{i}"].alias(f"u{i}") for i in uniq]).drop("_dups")
+
+
+def _results(stats: DataFrame, suite, df: DataFrame) -> DataFrame:
+    fields = {f.name: f.dataType for f in df.schema.fields}
     rows = [_result(i, e, fields, df.columns) for i, e in enumerate(suite)]
     return stats.select(F.inline(F.array(*rows)))
 
 
+#: Settings that a side session takes over, as they decide what an expression gives.
+_CARRIED = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
+
+
+def write_validated(df: DataFrame, suite, path: str, fmt: str = "parquet", mode: str = "overwrite") -> DataFrame:
+    """V13 while writing: ``df`` is written to ``path`` and validated in the same pass over it.
+
+    Row counts, missing values, value checks and means are observed by the job
+    that writes.  Checks that need all values of a column at once (uniqueness,
+    number of distinct values) read that column of what was written.  The
+    writing runs in a session of its own that shares the tables: in Spark 4.1 an
+    ``Observation`` leaves a listener in its session, after which aggregations
+    over ML predictions there fail to serialise."""
+    from pyspark.sql import Observation
+
+    from ..sources.files import read_table, write_table
+    spark = df.sparkSession
+    suite = dedupe(suite)
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    distinct = [i for i, e in enumerate(suite) if e.expectation == DISTINCT_BETWEEN and e.column in fields]
+    aggs, uniq = _aggregates([e if i not in distinct else Expectation.of(NOT_NULL, e.column) for i, e in enumerate(suite)], fields)
+    side = spark.newSession()
+    for name in _CARRIED:
+        side.conf.set(name, spark.conf.get(name))
+    view = f"loomkit_write_{uuid.uuid4().hex}"
+    df.createGlobalTempView(view)
+    try:
+        seen = Observation(view)
+        write_table(side.table(f"{side.conf.get('spark.sql.globalTempDatabase')}.{view}").observe(seen, *aggs), path, fmt, mode)
+        counts = seen.get
+    finally:
+        spark.catalog.dropGlobalTempView(view)
+    schema = df.limit(0).agg(*aggs).schema
+    stats = spark.createDataFrame([tuple(counts[f.name] for f in schema)], schema)
+    back = read_table(spark, path, fmt, schema=df.schema if fmt != "parquet" else None)
+    if distinct:
+        exact = back.agg(F.struct(*[F.count_distinct(as_missing(F.col(suite[i].column), fields[suite[i].column])).cast("double").alias(f"o{i}")
+                                    for i in distinct])).scalar().alias("_distinct")
+        stats = stats.drop(*[f"u{i}" for i in distinct]).select("*", exact)
+        stats = stats.select("*", *[F.col("_distinct")[f"o{i}"].alias(f"o{i}") for i in distinct]).drop("_distinct")
+    return _results(_with_duplicates(stats, back, suite, uniq, fields), suite, df)
+
+
 def _result(i: int, e: Expectation, fields: dict, columns: list) -> Column:
     kw, c = e.kw, e.column
     n = F.col("_rows")

@@ -53,7 +53,8 @@ def precision_recall_f1(df: DataFrame, label="label", prediction="prediction", g
         F.sum("n_rows").alias("support"),
         F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n_rows")).otherwise(0)).alias("tp"))
     p = c.groupBy(*g, F.col("prediction").alias("class")).agg(F.sum("n_rows").alias("predicted"))
-    j = t.join(p, g + ["class"], "full").fillna(0, ["support", "tp", "predicted"])
+    j = t.unionByName(p, allowMissingColumns=True).groupBy(*g, "class").agg(  # a NULL group or class is one like any other
+        *[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("support", "tp", "predicted")])
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     j = j.select(*g, "class", prec.alias("precision"), rec.alias("recall"),
@@ -77,14 +78,16 @@ def mcc(df: DataFrame, label="label", prediction="prediction", group=None) -> Da
         .withColumn("prediction", F.col("prediction").cast("string"))
     t = c.groupBy(*g, F.col("label").alias("k")).agg(F.sum("n_rows").alias("t"))
     p = c.groupBy(*g, F.col("prediction").alias("k")).agg(F.sum("n_rows").alias("p"))
-    tp = t.join(p, g + ["k"], "full").fillna(0, ["t", "p"]).groupBy(*g).agg(
+    each = t.unionByName(p, allowMissingColumns=True).groupBy(*g, "k").agg(
+        *[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in ("t", "p")])
+    tp = each.groupBy(*g).agg(
         F.sum(F.col("t").cast("double") * F.col("p")).alias("tp_sum"),
         F.sum(F.col("t").cast("double") * F.col("t")).alias("t2"),
         F.sum(F.col("p").cast("double") * F.col("p")).alias("p2"))
     tot = c.groupBy(*g).agg(F.sum("n_rows").cast("double").alias("s"),
                             F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n_rows")).otherwise(0))
                             .cast("double").alias("cor"))
-    j = tot.join(tp, g) if g else tot.select(
+    j = _on(tot, tp, g) if g else tot.select(
         "*", *[tp.select(c).scalar().alias(c) for c in ("tp_sum", "t2", "p2")])
     den = F.sqrt((F.col("s") * F.col("s") - F.col("p2")) * (F.col("s") * F.col("s") - F.col("t2")))
     return j.select(*g, F.when(den > 0, (F.col("cor") * F.col("s") - F.col("tp_sum")) / den)

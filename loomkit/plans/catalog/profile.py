@@ -28,8 +28,7 @@ def q_dataset_summary(spark, sf):
     return P.dataset_summary(info, file_name="orders.parquet")
 
 
-# The suite used by validate_suite: the starter checks (added twice, as a
-# starter suite does), one of each value check, and a failing case each.
+# The suite used by validate_suite: the starter checks, one of each value check, and a failing case each.
 def orders_suite():
     s = X.default_suite(ORDERS_COLS, {"o_orderkey": "int64", "o_totalprice": "float64"})
     s += [
@@ -69,6 +68,16 @@ def q_validate_suite(spark, sf):
     return X.validate(table(spark, sf, "orders"), orders_suite())
 
 
+def q_write_validated(spark, sf):
+    """V13 while ``orders`` is written: the same results from one pass over it, and the rows that were written."""
+    import uuid
+
+    from ...session import scratch_path
+    path = scratch_path(spark, f"validated/{uuid.uuid4().hex}")
+    out = X.write_validated(table(spark, sf, "orders"), orders_suite(), path)
+    return out.withColumn("rows_written", spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
 def q_validate_suite_totals(spark, sf):
     return X.suite_statistics(q_validate_suite(spark, sf))
 
@@ -80,6 +89,7 @@ QUERIES = {
     "dataset_summary": q_dataset_summary,
     "validate_suite": q_validate_suite,
     "validate_suite_totals": q_validate_suite_totals,
+    "write_validated": q_write_validated,
 }
 QUERIES.update({k: _single(e) for k, e in SINGLE.items()})
 
@@ -189,6 +199,7 @@ l as (select unnest([repeat('=', 60), 'TABULAR DATASET SUMMARY', repeat('=', 60)
       unnest(range(1, 15)) line_no from i)
 select cast(line_no as bigint) as line_no, line from l""",
     "validate_suite": _suite_sql(),
+    "write_validated": f"select *, (select count(*) from orders) as rows_written from ({_suite_sql()})",
     "validate_suite_totals": f"""
 with r as ({_suite_sql()})
 select count(*) as evaluated_expectations, cast(sum(case when success then 1 else 0 end) as bigint) as successful_expectations,

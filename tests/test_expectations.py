@@ -72,3 +72,39 @@ def test_several_unique_checks_in_one_pass(spark):
     suite = [X.Expectation.of(X.UNIQUE, c) for c in ("k", "s", "d")]
     got = {r["column"]: r["unexpected_count"] for r in X.validate(df, suite).collect()}
     assert got == {"k": 2, "s": 2, "d": 2}     # NaN is missing, so only the two 0.5 values collide
+
+
+def test_written_and_validated_in_one_pass(spark, tmp_path):
+    """The input is computed once; results equal ``validate``; the session can aggregate ML predictions afterwards."""
+    from pyspark.sql import functions as F
+
+    from loomkit.operators import expectations as X
+    from loomkit.operators import models as M
+    from loomkit.plans.catalog.profile import orders_suite
+    from loomkit.plans.tables import table
+    from tests.conftest import SF001
+    orders = table(spark, SF001, "orders")
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+
+    from loomkit.session import ship_package
+    ship_package(spark)
+    once = orders.mapInArrow(counted, orders.schema)
+    got = X.write_validated(once, orders_suite(), str(tmp_path / "out"))
+    rows = sorted(map(repr, got.collect()))
+    assert reads.value == orders.count()
+    assert rows == sorted(map(repr, X.validate(orders, orders_suite()).collect()))
+    assert spark.read.parquet(str(tmp_path / "out")).exceptAll(orders).count() == 0
+    df = spark.createDataFrame([(float(i), float(i % 2)) for i in range(20)], "x double, y double")
+    scored = M.train_random_forest(df, ["x"], "y", n_estimators=2, max_depth=2).transform(df)
+    assert scored.groupBy("prediction").agg(F.count("*").alias("n")).agg(F.sum("n")).first()[0] == 20
+
+
+def test_default_suite_has_each_check_once():
+    from loomkit.operators import expectations as X
+    s = X.default_suite(["a", "b"], {"a": "int64"})
+    assert len(s) == len({(e.expectation, e.column) for e in s}) == 4

@@ -171,3 +171,13 @@ def test_cluster_metrics_by_group_equal_those_of_the_parts(spark, metric):
     got = {r["split"]: r[1] for r in metric(df, group=["split"]).collect()}
     for s in ("train", "test"):
         assert abs(metric(df.where(F.col("split") == s)).first()[0] - got[s]) < 1e-9
+
+
+def test_null_groups_and_classes_are_kept(spark):
+    rows = [(None, "a", "a"), (None, "a", "b"), (None, None, "a"), ("x", "b", "b"), ("x", "a", "a"), ("x", None, None)]
+    df = spark.createDataFrame(rows, "g string, label string, prediction string")
+    prf = E.precision_recall_f1(df, group=["g"]).collect()
+    assert len([r for r in prf if r["class"] is None]) == 2                  # one row a group for the missing class
+    weighted = {r["g"]: r["support"] for r in prf if r["class"] == "weighted"}
+    assert weighted == {None: 3, "x": 3}
+    assert {r["g"] for r in E.mcc(df, group=["g"]).collect()} == {None, "x"}

@@ -14,8 +14,9 @@ distance screens pairs in the JVM before texts are fetched (38 of 128; 16 expect
 at 0.75).  Links are confirmed on the full sets: 100 * intersection >= 75 * union.
 
 Texts with equal sets are one node.  Pairs are never expanded inside a bucket: first
-every node is compared with three nodes at most (of the smallest nodes of its buckets
-the smallest and the most frequent, and the largest node of any of them), and the
+every node is compared with three hubs at most.  A bucket's hub is its most central
+node, the one that shares most keys with other nodes; a node takes the most and the
+least central hub of its buckets and the most frequent one.  The
 confirmed links make components.  Then the pairs of a bucket that are still in
 different components are screened where they meet, and only those that pass are
 rows: the screen is a longer bit signature and an exact bound, as no intersection
@@ -263,12 +264,15 @@ def node_components(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
     """(node, comp) of every node with a link."""
     spark = docs.sparkSession
     keys = index_keys(nodes)
-    shared = keys.groupBy("key").agg(F.min("node").alias("top"), F.max("node").alias("last")).where("top <> last")
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("others")).where("others > 1")
     shared = written(shared, "near-buckets")
     member = written(keys.join(shared.hint("merge"), "key"), "near-members")
     drop_written(spark, shared)
     slim = nodes.select("node", "n", "b1", "b2")
-    hubs = member.groupBy("node").agg(F.min("top").alias("lo"), F.mode("top", True).alias("often"), F.max("last").alias("hi"))
+    central = member.groupBy("node").agg(F.sum("others").alias("c"))
+    tops = written(member.join(central.hint("merge"), "node").groupBy("key").agg(F.max(F.struct("c", "node")).alias("top")), "near-tops")
+    hubs = member.join(tops.hint("merge"), "key").groupBy("node").agg(
+        F.max("top").getField("node").alias("hi"), F.mode("top.node", True).alias("often"), F.min("top").getField("node").alias("lo"))
     pairs = hubs.select("node", F.explode(F.array_distinct(F.array("lo", "often", "hi"))).alias("hub")).where("node <> hub")
     pairs = pairs.select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
     x, y = slim.alias("x"), slim.alias("y")

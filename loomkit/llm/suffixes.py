@@ -10,17 +10,18 @@ the interval of starts it is the anchor of, and only anchors whose gram occurs t
 can own a repeat; the gram's hash is a filter, never a decision.
 
 The suffixes at those anchors, with the text to the left that belongs to their
-starts, are range-partitioned by their leading bytes with sampled splitters and
+starts, are range-partitioned by their leading bytes (Spark's range partitioner samples
+the splitters, and never splits equal leads) and
 sorted in each bucket by multikey quicksort, eight bytes to a token.  Neighbours'
 common prefixes to the right, and those of the reversed left sides, give for
 every start the suffixes it is equal to: it must agree with one on both sides.
-Leading bytes are never split between buckets, but for those so frequent that
-the sample puts two splitters on them: their suffixes are dealt to several
-buckets and compared across them, by counting the strings at all their starts
+Leads that more than a bucket's worth of suffixes begin with are not sorted: they are
+compared wherever they lie, by counting the strings at all their starts
 (128-bit fingerprints, combined before the shuffle).
 
 Periodic stretches, where a gram repeats inside its own neighbourhood, are found
-in the pass that picks the anchors, and only the last of such anchors is sorted.
+in the pass that picks the anchors by comparing their bytes, and only the last of such
+anchors is sorted.
 
 Defined results: null text is empty; texts shorter than ``LENGTH`` never change;
 rows with equal texts are repeats of each other, so a long enough text that occurs
@@ -48,7 +49,6 @@ GRAM = 128
 CHUNK = 256 << 10
 LEAD = 16
 BUCKET_ROWS = 20_000
-SAMPLES = 64  # a bucket
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -84,7 +84,11 @@ def anchors_of(data: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     again = np.concatenate([h[1:] == h[:-1], [False]]) & (step < w)
     i = np.flatnonzero(again)
     i = i[last[i] + length + step[i] <= n]
-    same = spans_hash(prefix, first[i], last[i] + length) == spans_hash(prefix, first[i] + step[i], last[i] + length + step[i])
+    same = np.zeros(len(i), bool)
+    for period in np.unique(step[i]).tolist():
+        wrong = np.concatenate([[0], np.cumsum(data[:-period] != data[period:])])
+        k = np.flatnonzero(step[i] == period)
+        same[k] = wrong[last[i[k]] + length] == wrong[first[i[k]]]
     i = i[same]
     keep = np.ones(len(a), bool)
     keep[i] = False
@@ -129,12 +133,21 @@ def anchor_rows(docs: DataFrame, text: str, length: int, gram: int) -> DataFrame
 
 
 def packed_texts(docs: DataFrame, text: str, length: int) -> DataFrame:
+    """(dk, z): the compressed texts; of a task's copies of a text only one leaves it."""
     ship_package(docs.sparkSession)
 
     def run(batches):
+        met: set[bytes] = set()  # keys this task has sent on
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
+            new = []
+            for i, k in enumerate(b.column(0).to_pylist()):
+                if k not in met:
+                    if len(met) >= 500_000:
+                        met.clear()
+                    met.add(k)
+                    new.append(i)
+            for lo in range(0, len(new), 256):
+                part = b.take(pa.array(new[lo:lo + 256], pa.int64()))
                 yield pa.record_batch([part.column(0), pa.array([zlib.compress(x.as_buffer(), 1) for x in part.column(1)], pa.binary())], names=["dk", "z"])
 
     rows = docs.select(text_key(text).alias("dk"), text_or_empty(text).alias("text")).where(F.octet_length("text") >= length)
@@ -234,26 +247,18 @@ def repeated_starts(units: list[bytes], al: np.ndarray, nr: np.ndarray, length:
 
 
 def resolved(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """Sorted buckets -> (dk, s, e, unit): starts s..e repeat (unit null), or are open (unit holds their text)."""
+    """Sorted buckets -> (dk, s, e): starts s..e repeat."""
     chunk = BUCKET_ROWS // 4
 
     def flush(t: pa.Table):
-        hot = np.array(t["hot"], bool)
-        dk, l, nr = t["dk"].combine_chunks(), np.array(t["l"]), np.array(t["nr"], np.int64)
-        if hot.any():
-            k = np.flatnonzero(hot)
-            yield pa.record_batch([dk.take(pa.array(k)), pa.array(l[k]), pa.array(l[k] + nr[k]), t["unit"].combine_chunks().take(pa.array(k))],
-                                  names=["dk", "s", "e", "unit"])
-        k = np.flatnonzero(~hot)
-        if len(k) > 1:
-            units = t["unit"].combine_chunks().take(pa.array(k)).to_pylist()
-            m = repeated_starts(units, np.array(t["al"], np.int64)[k], nr[k], length, gram)
+        if t.num_rows > 1:
+            dk, l, nr = t["dk"].combine_chunks(), np.array(t["l"]), np.array(t["nr"], np.int64)
+            m = repeated_starts(t["unit"].to_pylist(), np.array(t["al"], np.int64), nr, length, gram)
             edge = np.diff(np.pad(m, ((0, 0), (1, 1))).astype(np.int8), axis=1)
             who, s = np.nonzero(edge == 1)
             _, e = np.nonzero(edge == -1)
             if len(who):
-                yield pa.record_batch([dk.take(pa.array(k[who])), pa.array(l[k[who]] + s), pa.array(l[k[who]] + e - 1),
-                                       pa.nulls(len(who), pa.binary())], names=["dk", "s", "e", "unit"])
+                yield pa.record_batch([dk.take(pa.array(who)), pa.array(l[who] + s), pa.array(l[who] + e - 1)], names=["dk", "s", "e"])
 
     def run(batches):
         hold: list[pa.Table] = []
@@ -272,38 +277,19 @@ def resolved(rows: DataFrame, length: int, gram: int) -> DataFrame:
         if hold:
             yield from flush(pa.concat_tables(hold))
 
-    return rows.mapInArrow(run, "dk binary, s long, e long, unit binary")
+    return rows.mapInArrow(run, "dk binary, s long, e long")
 
 
-def dealt(suffixes: DataFrame, bucket_rows: int) -> DataFrame:
-    """``suffixes`` range-partitioned by sampled splitters of their leading bytes and sorted by them; ``hot``: dealt to several buckets."""
-    total = suffixes.count()
-    buckets = max(1, -(-total // bucket_rows))
-    share = min(1.0, SAMPLES * buckets / max(total, 1))
-    point = F.pmod(F.xxhash64("dk", "l"), F.lit(1 << 20))
-    sample = [bytes(r.lead) for r in suffixes.where(point < int(share * (1 << 20)) + 1).select("lead").collect()]  # SAMPLES a bucket
-    sample.sort()
-    cuts = [sample[i * len(sample) // buckets] for i in range(1, buckets)] if sample else []
-    often = sorted({x for x, y in zip(cuts, cuts[1:]) if x == y})
-    often = {x: cuts.count(x) for x in often}
-    splitters = sorted(set(cuts))
-
-    def run(batches):
-        import bisect
-        for b in batches:
-            lead = b.column(0).to_pylist()
-            at = [bisect.bisect_right(splitters, x) for x in lead]
-            hot = [x in often for x in lead]
-            salt = [zlib.crc32(k + l.to_bytes(8, "little")) for k, l in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
-            place = [cuts.index(x) + s % (often[x] + 1) if h else p for x, h, s, p in zip(lead, hot, salt, at, strict=True)]
-            yield pa.record_batch([*b.columns, pa.array(hot, pa.bool_()), pa.array(place, pa.int32())], names=[*b.schema.names, "hot", "bucket"])
-
-    cols = "lead binary, dk binary, l long, al int, nr int, unit binary, hot boolean, bucket int"
-    return suffixes.mapInArrow(run, cols).repartitionById(buckets, F.col("bucket")).sortWithinPartitions("lead").drop("bucket")
+def dealt(suffixes: DataFrame, bucket_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(suffixes range-partitioned by their leading bytes and sorted by them; those whose lead more than ``bucket_rows`` have)."""
+    per = written(suffixes.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows).select("lead"), "suffix-hot")
+    buckets = max(1, -(-suffixes.count() // bucket_rows))
+    cold = suffixes.join(per, "lead", "left_anti").repartitionByRange(buckets, "lead").sortWithinPartitions("lead")
+    return cold, suffixes.join(per, "lead", "left_semi")
 
 
 def across(open_: DataFrame, length: int) -> DataFrame:
-    """(dk, s, e) of the starts of open units whose string occurs at another start of one."""
+    """(dk, s, e) of the starts of the suffixes' units whose string occurs at another start of one."""
 
     def run(batches):
         for b in batches:
@@ -319,7 +305,7 @@ def across(open_: DataFrame, length: int) -> DataFrame:
                 who, p, one, two = (np.concatenate(x) for x in zip(*out, strict=True))
                 yield pa.record_batch([part.column(0).take(pa.array(who)), pa.array(p), pa.array(one), pa.array(two)], names=["dk", "p", "f1", "f2"])
 
-    starts = open_.mapInArrow(run, "dk binary, p long, f1 long, f2 long")
+    starts = open_.select("dk", F.col("l").alias("s"), F.lit(0).alias("e"), "unit").mapInArrow(run, "dk binary, p long, f1 long, f2 long")
     x = F.xxhash64("dk", "p")
     twice = written(starts.groupBy("f1", "f2").agg(F.min(x).alias("lo"), F.max(x).alias("hi")).where("lo <> hi").select("f1", "f2"), "suffix-twice")
     return starts.join(twice.hint("merge"), ["f1", "f2"]).select("dk", F.col("p").alias("s"), F.col("p").alias("e"))
@@ -340,11 +326,10 @@ def repeat_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, gram
     cand = packed_texts(docs, text, length).join(per.hint("merge"), "dk").groupBy("dk").agg(F.first("z").alias("z"), F.first("anchors").alias("anchors"))
     cand = written(cand, "suffix-texts", "lz4")
     suffixes = written(suffix_rows(cand, length), "suffix-rows")
-    out = written(resolved(dealt(suffixes, bucket_rows), length, gram), "suffix-marks")
-    marks = out.where(F.isnull("unit")).select("dk", "s", "e").unionByName(periodic)
-    open_ = out.where(F.isnotnull("unit"))
-    if not open_.isEmpty():
-        marks = marks.unionByName(across(open_, length))
+    cold, hot = dealt(suffixes, bucket_rows)
+    marks = written(resolved(cold, length, gram), "suffix-marks").unionByName(periodic)
+    if not hot.isEmpty():
+        marks = marks.unionByName(written(across(hot, length), "suffix-across"))
     drop_written(spark, suffixes, per, grams)
     return cand.select("dk", "z"), marks
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 import bisect
 import hashlib
 import re
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -77,9 +78,11 @@ def linked(text: str, base: list[Span], weak: list[Span], reach: int = REACH) ->
     taken = sorted((s, e) for _, s, e in base)
     starts = [s for s, _ in taken]
 
+    reached = list(accumulate((e for _, e in taken), max))  # the farthest end of the spans so far
+
     def free(s: int, e: int) -> bool:  # not inside or across a base span
         i = bisect.bisect_left(starts, e)
-        return not any(x[1] > s for x in taken[max(0, i - 3):i])
+        return i == 0 or reached[i - 1] <= s
 
     weak = [w for w in weak if w[0] != "token" or free(w[1], w[2])]
     inside = sorted((s, e) for k, s, e in weak if k != "token")

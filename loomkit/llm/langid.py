@@ -12,6 +12,12 @@ with the smallest hash of id), ``windows_per_doc`` windows of each, spread evenl
 Defined results: null text, or text without a letter (``\\p{L}``), is ``und`` with
 score 0; so is every text when no labelled row was found.  Rows with a null id or
 label are never trained on.  Repeated rows are predicted each on its own.
+
+With ``noise=True`` the network also learns what is no language: windows whose bytes are
+shuffled, and windows drawn from the 64 characters of encoded data (both by a seeded rule, as
+many as a language has on average).  ``keep_identified`` rejects texts that it takes for
+noise with a score of ``limit`` or more, which lies half-way between the highest such score of
+any labelled training window and 1, and not under ``LEAST_LIMIT``.
 """
 
 from __future__ import annotations
@@ -33,6 +39,7 @@ FILTERS = 16
 PER_LANG = 600
 WINDOWS_PER_DOC = 4
 UND = "und"
+LEAST_LIMIT = 0.9
 
 
 def held_out(id_col: str) -> Column:
@@ -64,6 +71,7 @@ class ByteCNN:
         self.bias = np.zeros(FILTERS * len(WIDTHS), np.float32)
         self.out = rng.normal(0, 0.2, (FILTERS * len(WIDTHS), len(langs))).astype(np.float32)
         self.out_bias = np.zeros(len(langs), np.float32)
+        self.limit = 1.0
 
     def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, batch: int = 64, rate: float = 0.01, seed: int = 11) -> None:
         rng = np.random.default_rng(seed)
@@ -131,8 +139,8 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", per_lang: int = PER_LANG,
-          windows_per_doc: int = WINDOWS_PER_DOC) -> ByteCNN:
-    """Fit on at most ``per_lang`` rows of each language, none of them held out."""
+          windows_per_doc: int = WINDOWS_PER_DOC, noise: bool = False) -> ByteCNN:
+    """Fit on at most ``per_lang`` rows of each language, none of them held out; ``noise`` adds the class of no language."""
     ship_package(docs.sparkSession)
     rows = docs.select(col(id_col).alias("id"), col(lang).cast("string").alias("lang"), held_out(id_col).alias("held"),
                        col(text).cast("string").alias("text"))
@@ -154,13 +162,33 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     small = rows.where(F.col("text").rlike(r"\p{L}")).join(F.broadcast(chosen.distinct()), "id", "left_semi").select("lang", "text")
     got = sorted((r.lang, bytes(r.bytes)) for r in small.mapInArrow(sample, "lang string, bytes binary").collect())
     langs = sorted({g[0] for g in got})
+    x = np.frombuffer(b"".join(g[1] for g in got), np.uint8).reshape(-1, WINDOW)
+    y = np.array([langs.index(g[0]) for g in got], np.int64)
+    if noise and langs:
+        junk = noise_windows(x, max(2, len(x) // len(langs)))
+        model = ByteCNN([*langs, UND])
+        model.fit(np.concatenate([x, junk]), np.concatenate([y, np.full(len(junk), len(langs))]))
+        highest = float(model.probabilities(x, model.tables())[:, -1].max())
+        model.limit = max(LEAST_LIMIT, (1 + highest) / 2)
+        return model
     model = ByteCNN(langs)
     if len(langs) > 1:
-        x = np.frombuffer(b"".join(g[1] for g in got), np.uint8).reshape(-1, WINDOW)
-        model.fit(x, np.array([langs.index(g[0]) for g in got]))
+        model.fit(x, y)
     return model
 
 
+def noise_windows(x: np.ndarray, n: int, seed: int = 23) -> np.ndarray:
+    """``n`` windows of no language: half with the bytes of windows of ``x`` shuffled, half of random base-64 characters."""
+    rng = np.random.default_rng(seed)
+    out = x[rng.integers(0, len(x), n)].copy()
+    for row in out:
+        size = np.count_nonzero(row)  # the padding stays
+        row[:size] = rng.permutation(row[:size])
+    letters = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
+    out[n // 2:] = letters[rng.integers(0, 64, (n - n // 2, WINDOW))]
+    return out
+
+
 def _predicted(rows: DataFrame, model: ByteCNN) -> DataFrame:
     """``rows`` (carry, text, letters) -> (carry, lang_pred, score)."""
     ship_package(rows.sparkSession)
@@ -197,13 +225,14 @@ def predict(docs: DataFrame, model: ByteCNN, id_col: str = "doc_id", text: str =
     return out.select(F.col("carry.id").alias(id_col), F.col("carry.held").alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, model: ByteCNN, text: str = "text", least: float = 0.0) -> DataFrame:
-    """``docs`` without the rows whose language is undetermined or scored below ``least``; columns as they were.
+def keep_identified(docs: DataFrame, model: ByteCNN, text: str = "text") -> DataFrame:
+    """``docs`` without null and letterless texts, and without what a model trained with ``noise`` takes for noise
+    with a score of ``model.limit`` or more; columns as they were.
 
-    The default rejects only what cannot be told (null text, no letter): a short or odd text scores low but may be clean.
-    A model without languages (no labelled row outside the held-out ones) tells nothing about a text, and there is no
-    score to hold against ``least``: then too only null and letterless texts go."""
+    A model without languages (no labelled row outside the held-out ones) tells nothing about a text:
+    then only null and letterless texts go."""
     if not model.langs:
         return docs.where(text_or_empty(text).rlike(r"\p{L}"))
-    out = _predicted(_inputs(docs, whole_row(docs), text), model)
-    return unpack_row(out.where((F.col("lang_pred") != UND) & (F.col("score") >= least)), "carry", docs.columns)
+    out = _predicted(_inputs(docs, whole_row(docs), text), model)  # letterless texts score 0
+    keep = (F.col("lang_pred") != UND) | ((F.col("score") > 0) & (F.col("score") < model.limit))
+    return unpack_row(out.where(keep), "carry", docs.columns)

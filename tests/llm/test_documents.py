@@ -67,6 +67,36 @@ def test_near_groups_of_planted_chains_and_hot_groups(spark):
     assert got == H.near_groups(rows)
 
 
+def test_near_groups_at_a_larger_scale(spark):
+    sf = "/root/testdata/sf0.01"
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in QUERIES["op8_hamming_near_dup"](spark, sf).collect()}
+    assert got == H.near_groups(H.texts(spark, sf))
+
+
+def test_near_groups_of_a_thousand_edited_copies(spark):
+    """Copies with few to many edits: most link through central ones only, many with none; no pair list of the group appears."""
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 6))
+    base = [word() for _ in range(150)]
+    rows = []
+    for i in range(1000):
+        w = list(base)
+        for at in rng.integers(0, 150, rng.integers(0, 9)):
+            w[at] = word()
+        rows.append((i, " ".join(w)))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == H.near_groups(rows)
+
+
+def test_one_row_of_a_repeated_id_is_kept_by_a_total_order(spark):
+    rows = [(1, "a b c d e f", x) for x in ("z", "m", "a")] + [(2, "q r s t u v w", "k")]
+    kept = []
+    for n in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string, other string").repartition(n)
+        kept.append(sorted(map(tuple, neardup.drop_near_copies(df).collect())))
+    assert kept[0] == kept[1] and len(kept[0]) == 2
+
+
 def test_near_groups_of_odd_rows(spark):
     rows = neardup.near_groups(H.odd_documents(spark)).collect()
     by = {r.doc_id: r for r in rows}
@@ -117,6 +147,21 @@ def test_repeat_removal_of_odd_rows(spark):
     assert suffixes.remove_repeats(H.empty_documents(spark)).count() == 0
 
 
+def test_periodic_stretches_are_compared_by_bytes():
+    """Equal grams inside a window whose surroundings differ are no periodic repeat."""
+    rng = np.random.default_rng(6)
+    for unit in (1, 7, 130, 270):
+        raw = np.resize(rng.integers(97, 123, unit).astype(np.uint8), 3000)
+        raw[1500] ^= 1
+        _, _, _, _, (first, last) = suffixes.anchors_of(raw)
+        marked = np.zeros(len(raw), bool)
+        for s, e in zip(first.tolist(), last.tolist(), strict=True):
+            marked[s:e + 1] = True
+        text = raw.tobytes()
+        for at in np.flatnonzero(marked).tolist():
+            assert text.count(text[at:at + 400]) > 1 or text.find(text[at:at + 400], text.find(text[at:at + 400]) + 1) >= 0
+
+
 def test_multikey_order_is_byte_order():
     rng = np.random.default_rng(2)
     words = [bytes(rng.integers(0, 3, rng.integers(0, 30)).astype(np.uint8)) for _ in range(400)]
@@ -236,6 +281,59 @@ def test_language_of_odd_rows(spark):
     assert langid.predict(H.empty_documents(spark), model).count() == 0
 
 
+def _plain_probabilities(model, x):
+    """The network as it is described: one-hot bytes, filters slid over the window, maximum, rectifier, softmax."""
+    out = []
+    for window in x:
+        one_hot = np.eye(256)[window]
+        pooled = []
+        for w, taps in model.taps.items():
+            z = np.array([[(one_hot[at:at + w] * taps[:, :, f]).sum() for f in range(taps.shape[2])] for at in range(langid.WINDOW - w + 1)])
+            pooled.append(z.max(0))
+        z = np.maximum(np.concatenate(pooled) + model.bias, 0) @ model.out + model.out_bias
+        out.append(np.exp(z - z.max()) / np.exp(z - z.max()).sum())
+    return np.array(out)
+
+
+def test_network_equals_a_plain_convolution():
+    rng = np.random.default_rng(2)
+    model = langid.ByteCNN(["a", "b", "c"])
+    model.bias += rng.normal(0, 0.1, model.bias.shape).astype(np.float32)
+    x = rng.integers(0, 256, (3, langid.WINDOW)).astype(np.uint8)
+    x[2, 100:] = 0
+    assert np.allclose(model.probabilities(x, model.tables()), _plain_probabilities(model, x), atol=1e-5)
+
+
+def test_training_step_follows_the_numeric_gradient():
+    """One step on one batch moves every weight against its numeric gradient (the step's size is the rate)."""
+    rng = np.random.default_rng(3)
+    x, y = rng.integers(97, 123, (4, langid.WINDOW)).astype(np.uint8), np.array([0, 1, 0, 1])
+    before, after = langid.ByteCNN(["a", "b"]), langid.ByteCNN(["a", "b"])
+    after.fit(x, y, epochs=1, batch=4, rate=0.01)
+
+    def loss(m):
+        return -np.log(_plain_probabilities(m, x)[np.arange(4), y]).mean()
+
+    for name, at in (("out", (3, 1)), ("out_bias", (0,)), ("out", (20, 0))):
+        up = langid.ByteCNN(["a", "b"])
+        getattr(up, name)[at] += 1e-2
+        grad = (loss(up) - loss(before)) / 1e-2
+        moved = getattr(after, name)[at] - getattr(before, name)[at]
+        assert abs(grad) < 1e-4 or np.sign(moved) == -np.sign(grad)
+
+
+def test_language_stage_rejects_encoded_data_and_keeps_language(spark):
+    import base64
+    import hashlib as hl
+
+    import corpus_pipeline
+    docs = read(spark, "/root/testdata/sf0.01", "documents")
+    dump = lambda i: base64.b64encode(b"".join(hl.sha256(f"{i}-{k}".encode()).digest() for k in range(60))).decode()
+    junk = spark.createDataFrame([(10_000 + i, dump(i), "en" if i % 2 else None, "src0", 2560) for i in range(6)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(junk.where("lang is null")), "").select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id").collect()}       # nothing clean goes, every dump does
+
+
 @pytest.mark.parametrize("labelled", ["none", "held out"])
 def test_language_stage_without_training_rows_keeps_texts_with_letters(spark, labelled):
     import corpus_pipeline
@@ -243,3 +341,10 @@ def test_language_stage_without_training_rows_keeps_texts_with_letters(spark, la
     docs = H.odd_documents(spark).withColumn("lang", label)
     kept = corpus_pipeline.language_id(spark, docs, "")
     assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 4, 6, 7, 8, 9]
+
+
+def test_token_inside_a_long_assignment_is_not_reported_again():
+    hexes = "0123456789abcdef01234567"
+    text = f"user: alice_1 password={hexes}.{hexes}.{hexes}.{hexes}.AAaa11AAaa11AAaa11AA"
+    found = credentials.scan_text(text)["spans"]
+    assert "token" not in found and found.count("assign:14:") == 1 and "identifier:0:" in found

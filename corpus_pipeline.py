@@ -5,7 +5,8 @@ Parquet and reread as the next one's ``docs``; all but the last return the colum
 of ``documents``.
 
 1. ``language_id``: trains the byte CNN on the stage's own labelled rows (a bounded
-   sample) and drops documents whose language is undetermined; if no row can be
+   sample) and on noise, and drops documents without a letter and those that the
+   network is sure are no language (encoded data, shuffled bytes); if no row can be
    trained on, only documents with null or letterless text go.
 2. ``exact_dedup``: keeps the longest original of each group of texts equal but for white space.
 3. ``near_dedup``: keeps the document with the smallest id of each near-duplicate component.
@@ -23,7 +24,7 @@ from loomkit.llm.queries import byte_bpe_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return langid.keep_identified(docs, langid.train(docs))
+    return langid.keep_identified(docs, langid.train(docs, noise=True))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

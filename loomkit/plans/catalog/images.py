@@ -119,11 +119,11 @@ p as (select vec_id, y, x, c as channel, case when not colour then v when c = 0
       from g join e using (vec_id), range(0, 3) t(c)),
 wx as (select o, i, greatest(0, 1 - abs(i + 0.5e0 - (o + 0.5e0) * 1.6e0) / 1.6e0) as w from range(0, 5) a(o), range(0, 8) b(i)),
 nx as (select o, i, w / sum(w) over (partition by o) as w from wx),
-a as (select vec_id, y, o as x, channel, floor(sum(v * w) + 0.5e0) as v from p join nx on p.x = nx.i group by all),
+a as (select vec_id, y, o as x, channel, floor(round(sum(v * w), 9) + 0.5e0) as v from p join nx on p.x = nx.i group by all),
 wy as (select h, o, i, greatest(0, 1 - abs(i + 0.5e0 - (o + 0.5e0) * h / 3.0e0) / (h / 3.0e0)) as w
        from (values (4), (8)) s(h), range(0, 3) q(o), range(0, 8) b(i) where i < h),
 ny as (select h, o, i, w / sum(w) over (partition by h, o) as w from wy),
-r as (select vec_id, o as y, x, channel, least(greatest(floor(sum(v * w) + 0.5e0), 0), 255) as v
+r as (select vec_id, o as y, x, channel, least(greatest(floor(round(sum(v * w), 9) + 0.5e0), 0), 255) as v
       from a join e using (vec_id) join ny on e.h = ny.h and a.y = ny.i group by all)
 select rel_path, 3 height, 5 width, case when cut then 0 else 1 end decoded, yy as y, xx as x, cc as channel, cast(coalesce(r.v, 0) as bigint) as value
 from e, range(0, 3) q(yy), range(0, 5) s(xx), range(0, 3) t(cc)

@@ -208,3 +208,25 @@ from x join m using (i) group by split""",
 select trial_id, mean_score, std_score, n_folds, -mean_score loss from s
 order by mean_score desc, trial_id limit 1""",
 }
+
+
+def _largest_eigenvalues_sql(steps: int = 26) -> str:
+    """Two largest eigenvalues of the covariance of ``embeddings``: a matrix squared again and again tends to the
+    projection on its first eigenvector; the second is the first of what is left without it."""
+    ctes = ["""x as materialized (select vec_id, unnest(embedding)::double v, generate_subscripts(embedding, 1) i from embeddings)""",
+            """m as materialized (select i, avg(v) m, count(*) n from x group by i)""",
+            """c0 as materialized (select a.i, b.i j, (sum(a.v * b.v) - any_value(p.n * p.m * q.m)) / (any_value(p.n) - 1) v
+  from x a join x b using (vec_id) join m p on p.i = a.i join m q on q.i = b.i group by a.i, b.i)"""]
+    for e in (0, 1):
+        ctes.append(f"p{e}_0 as materialized (select i, j, v / (select sum(v) from c{e} where i = j) v from c{e})")
+        for k in range(steps):
+            ctes.append(f"s{e}_{k} as materialized (select a.i, b.j, sum(a.v * b.v) v from p{e}_{k} a join p{e}_{k} b on a.j = b.i group by a.i, b.j)")
+            ctes.append(f"p{e}_{k + 1} as materialized (select i, j, v / (select sum(v) from s{e}_{k} where i = j) v from s{e}_{k})")
+        ctes.append(f"l{e} as materialized (select sum(c.v * p.v) l from c{e} c join p{e}_{steps} p using (i, j))")
+        ctes.append(f"c{e + 1} as materialized (select i, j, c.v - (select l from l{e}) * p.v v from c{e} c join p{e}_{steps} p using (i, j))")
+    return ("with " + ",\n".join(ctes) + """
+select ((select l from l0) + (select l from l1)) / (select sum(v) from c0 where i = j) explained_variance_ratio, 2 n_components,
+  (select count(*) from embeddings) n_rows""")
+
+
+SQL["metric_explained_variance_ratio"] = _largest_eigenvalues_sql()

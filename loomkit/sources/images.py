@@ -144,13 +144,13 @@ def _weights(n_in: int, n_out: int) -> np.ndarray:
 
 
 def _resize(img: np.ndarray, h: int, w: int) -> np.ndarray:
-    """Anti-aliased bilinear resize, columns then rows, each rounded to uint8."""
+    """Anti-aliased bilinear resize, columns then rows, each rounded to uint8 (halves up, whatever the order of the sums)."""
     ih, iw = img.shape[:2]
     f = img.astype("float64")
     if iw != w:
-        f = np.floor(np.einsum("yxc,ox->yoc", f, _weights(iw, w)) + 0.5)
+        f = np.floor(np.round(np.einsum("yxc,ox->yoc", f, _weights(iw, w)), 9) + 0.5)
     if ih != h:
-        f = np.floor(np.einsum("yxc,oy->oxc", f, _weights(ih, h)) + 0.5)
+        f = np.floor(np.round(np.einsum("yxc,oy->oxc", f, _weights(ih, h)), 9) + 0.5)
     return np.clip(f, 0, 255).astype("uint8")
 
 

@@ -24,9 +24,9 @@ import os
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.ml.regression import RandomForestRegressionModel
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, MapType, StructField, StructType
@@ -131,23 +131,27 @@ def fold_scores(scored: DataFrame, label: str, metric: str) -> dict:
     return {r["_part"]: float(r[metric]) for r in rows}
 
 
-def first_trees(forest, n: int, column: str):
-    """The model of a fitted forest's first ``n`` trees, writing ``column`` (and no probabilities)."""
-    from pyspark import SparkContext
-    sc, j, every = SparkContext._active_spark_context, forest._java_obj, forest._java_obj.trees()
-    jvm, uid, classifies = sc._jvm, f"{j.uid()}_{n}", isinstance(forest, RandomForestClassificationModel)
-    tree = jvm.org.apache.spark.ml.classification.DecisionTreeClassificationModel if classifies \
-        else jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
-    trees = sc._gateway.new_array(tree, int(n))
-    for i in range(int(n)):
-        trees[i] = every[i]
-    if classifies:
-        cut = RandomForestClassificationModel(jvm.org.apache.spark.ml.classification.RandomForestClassificationModel(
-            uid, trees, j.numFeatures(), j.numClasses()))
-        cut = cut.setProbabilityCol("").setRawPredictionCol("")
-    else:
-        cut = RandomForestRegressionModel(jvm.org.apache.spark.ml.regression.RandomForestRegressionModel(uid, trees, j.numFeatures()))
-    return cut.setFeaturesCol(forest.getFeaturesCol()).setPredictionCol(column)
+class first_trees:
+    """The model of the first ``n`` trees of a fitted forest (the JVM's model), writing its prediction to ``column``.
+
+    Models are held without their Python wrappers, which call the JVM for every tree."""
+
+    def __init__(self, forest, n: int, column: str):
+        from pyspark import SparkContext
+        ml = SparkContext._active_spark_context._jvm.org.apache.spark.ml
+        trees, uid = forest.trees()[0:int(n)], f"{forest.uid()}_{n}"
+        if "Classification" in forest.getClass().getSimpleName():
+            cut = ml.classification.RandomForestClassificationModel(uid, trees, forest.numFeatures(), forest.numClasses())
+            cut.setProbabilityCol("")
+            cut.setRawPredictionCol("")
+        else:
+            cut = ml.regression.RandomForestRegressionModel(uid, trees, forest.numFeatures())
+        cut.setFeaturesCol(forest.getFeaturesCol())
+        cut.setPredictionCol(column)
+        self.model = cut
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return DataFrame(self.model.transform(df._jdf), df.sparkSession)
 
 
 class TrialStore:
@@ -229,25 +233,28 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
         u, key, f = job
         counts = sorted(sizes[key], key=lambda n: -1 if n is None else n)
         p = {**dict(key), **({} if counts[-1] is None else {NESTED: counts[-1]})}
-        m = make_pipeline(p).fit(folds.where(F.col("fold") != f))
+        train = folds.where(F.col("fold") != f)
         part = F.when(F.col("fold") == f, F.lit("test")).otherwise(F.lit("train"))
-        if len(counts) > 1 and isinstance(m.stages[-1], (RandomForestClassificationModel, RandomForestRegressionModel)):
-            scored = PipelineModel(m.stages[:-1]).transform(folds)
-            for n in counts:
-                scored = first_trees(m.stages[-1], n, f"_of_{n}").transform(scored)
-            each = F.explode(F.array(*[F.struct(F.lit(str(n)).alias("n"), F.col(f"_of_{n}").alias("prediction")) for n in counts]))
-            scored = scored.select(part.alias("_p"), F.col(label), each.alias("_e")).select(
-                F.concat_ws(":", "_p", "_e.n").alias("_part"), label, "_e.prediction")
-        elif len(counts) > 1:
-            raise ValueError(f"only forests nest: {NESTED} varies, but the last stage is {type(m.stages[-1]).__name__}")
+        pipeline = make_pipeline(p)
+        *before, last = pipeline.getStages()
+        if isinstance(last, (RandomForestClassifier, RandomForestRegressor)):
+            ready = Pipeline(stages=before).fit(train)
+            forest, scored = last._fit_java(ready.transform(train)), ready.transform(folds)
+            columns = [f"_of_{n}" for n in counts]
+            for n, c in zip(counts, columns):
+                scored = first_trees(forest, forest.getNumTrees() if n is None else n, c).transform(scored)
+        elif len(counts) == 1:
+            scored, columns = pipeline.fit(train).transform(folds), ["prediction"]
         else:
-            scored = m.transform(folds).select(F.concat(part, F.lit(f":{counts[0]}")).alias("_part"), label, "prediction")
+            raise ValueError(f"only forests nest: {NESTED} varies, but the last stage is {type(last).__name__}")
+        each = F.explode(F.array(*[F.struct(F.lit(str(n)).alias("n"), F.col(c).cast("double").alias("prediction")) for n, c in zip(counts, columns)]))
+        scored = scored.select(part.alias("_p"), F.col(label), each.alias("_e")).select(
+            F.concat_ws(":", "_p", "_e.n").alias("_part"), label, "_e.prediction")
         # test and train scores of every size from one pass over the scored folds
         got = fold_scores(scored, label, metric)
         out = [(f, n, got[f"test:{n}"], got[f"train:{n}"]) for n in counts]
         if store:
             store.add(search, u, out)
-        del m, scored
         gc.collect(0)  # lets go of the JVM's models
         return key, out
 

@@ -63,7 +63,7 @@ def test_smaller_forests_are_prefixes_summed_tree_by_tree(spark):
                         .transform(ready).orderBy("id").select("raw").collect()])
         votes.append(raw / raw.sum(axis=1, keepdims=True))
     for n in (1, 3, 7):
-        got = [r.p for r in H.first_trees(forest, n, "p").transform(ready).orderBy("id").select("p").collect()]
+        got = [r.p for r in H.first_trees(forest._java_obj, n, "p").transform(ready).orderBy("id").select("p").collect()]
         assert got == np.sum(votes[:n], axis=0).argmax(axis=1).astype(float).tolist()
     whole = [r.prediction for r in forest.transform(ready).orderBy("id").select(F.col("prediction")).collect()]
     assert whole == got

@@ -1,7 +1,8 @@
 """Image folders.
 
-* Folders are listed in tasks through ``pyarrow.fs``: one task lists the
-  root, each folder below it is listed by a task of its own.  Names that
+* Folders are listed in tasks through ``pyarrow.fs``, one level of the tree
+  after another: the folders found on a level are dealt out over the cluster and listed
+  for the next, so a tree is listed once and a deep class folder by many tasks.  Names that
   start with ``_`` or ``.`` count like any other (Spark's file sources skip
   them).  Labels come from the path.
 * Decoding uses Spark's ``image`` source (undecodable files kept, marked
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -48,7 +50,7 @@ def path_key(c) -> "F.Column":
 _LISTED = "path string, length long, is_dir boolean"
 
 
-def _listed(folders: DataFrame, recursive: bool) -> DataFrame:
+def _listed(folders: DataFrame) -> DataFrame:
     """The entries of each folder in ``path``, listed where the row is."""
     from ..session import ship_package
     ship_package(folders.sparkSession)
@@ -58,7 +60,7 @@ def _listed(folders: DataFrame, recursive: bool) -> DataFrame:
         for pdf in batches:
             for folder in pdf["path"]:
                 fs, base = arrow_fs(folder)
-                found = fs.get_file_info(pafs.FileSelector(base, recursive=recursive))
+                found = fs.get_file_info(pafs.FileSelector(base))
                 for lo in range(0, len(found), 10_000):
                     part = found[lo:lo + 10_000]
                     yield pd.DataFrame({"path": [folder + f.path[len(base.rstrip("/")):] for f in part],
@@ -68,16 +70,23 @@ def _listed(folders: DataFrame, recursive: bool) -> DataFrame:
     return folders.mapInPandas(run, _LISTED)
 
 
-def _top_level(spark: SparkSession, root: str) -> DataFrame:
-    return _listed(spark.createDataFrame([(_qualify(spark, root),)], "path string"), False)
+def _levels(spark: SparkSession, root: str) -> list[DataFrame]:
+    """The entries of each level of the tree, written: one listing a folder."""
+    from ..session import materialize
+    folders, levels = spark.createDataFrame([(_qualify(spark, root),)], "path string"), []
+    while not levels or folders.take(1):
+        levels.append(materialize(_listed(folders), "image-listing"))
+        folders = levels[-1].where("is_dir").select("path").repartition(spark.sparkContext.defaultParallelism)
+    return levels
+
+
+def _files(levels: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [x.where("not is_dir").select("path", "length") for x in levels])
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """All files under ``root`` (recursive): ``path, length``."""
-    top = _top_level(spark, root)
-    folders = top.where("is_dir").select("path").repartition(spark.sparkContext.defaultParallelism)
-    below = _listed(folders, True).where("not is_dir")
-    return top.where("not is_dir").unionByName(below).select("path", "length")
+    return _files(_levels(spark, root))
 
 
 def _suffix_ok(path_col):
@@ -91,9 +100,10 @@ def image_manifest_dir(spark: SparkSession, root: str) -> DataFrame:
     else ``(image_path)`` of every image under the root."""
     if not _exists(spark, root):
         raise FileNotFoundError(f"no folder {root}")
-    labeled = not _top_level(spark, root).where("is_dir").isEmpty()
+    levels = _levels(spark, root)
+    labeled = len(levels) > 1
     base = _qualify(spark, root)
-    files = list_files(spark, root).where(_suffix_ok(F.col("path")))
+    files = _files(levels).where(_suffix_ok(F.col("path")))
     rel = F.expr(f"substring(path, {len(base) + 2})")
     if labeled:
         files = files.where(F.instr(rel, "/") > 0).select(

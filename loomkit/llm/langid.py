@@ -17,7 +17,8 @@ With ``noise=True`` the network also learns what is no language: windows whose b
 shuffled, and windows drawn from the 64 characters of encoded data (both by a seeded rule, as
 many as a language has on average).  ``keep_identified`` rejects texts that it takes for
 noise with a score of ``limit`` or more, which lies half-way between the highest such score of
-any labelled training window and 1, and not under ``LEAST_LIMIT``.
+any labelled training window and 1, and not under ``LEAST_LIMIT``.  A text shorter than a window
+holds too little to be rejected: a key or a number may be most of it.
 """
 
 from __future__ import annotations
@@ -227,12 +228,13 @@ def predict(docs: DataFrame, model: ByteCNN, id_col: str = "doc_id", text: str =
 
 def keep_identified(docs: DataFrame, model: ByteCNN, text: str = "text") -> DataFrame:
     """``docs`` without null and letterless texts, and without what a model trained with ``noise`` takes for noise
-    with a score of ``model.limit`` or more; columns as they were.
+    with a score of ``model.limit`` or more and a window's length; columns as they were.
 
     A model without languages (no labelled row outside the held-out ones) tells nothing about a text:
     then only null and letterless texts go."""
     if not model.langs:
         return docs.where(text_or_empty(text).rlike(r"\p{L}"))
     out = _predicted(_inputs(docs, whole_row(docs), text), model)  # letterless texts score 0
-    keep = (F.col("lang_pred") != UND) | ((F.col("score") > 0) & (F.col("score") < model.limit))
+    short = F.octet_length(F.col("carry").getField(text).cast("string")) < WINDOW
+    keep = (F.col("lang_pred") != UND) | ((F.col("score") > 0) & (short | (F.col("score") < model.limit)))
     return unpack_row(out.where(keep), "carry", docs.columns)

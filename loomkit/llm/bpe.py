@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMORY = 24 << 20  # bytes remembered per generation and worker, overhead included
+MEMORY = 96 << 20  # bytes remembered per generation and worker, overhead included
 OVERHEAD = 200  # bytes that a remembered stretch costs beside its text and ids
 LONGEST = 4096
 CALL = 128 << 10  # bytes of text given to the tokenizer at once: its own result is some 30 times as large
@@ -54,12 +54,15 @@ class Encoder:
         self.old: dict[str, bytes] = {}
         self.held = 0
 
-    def _keep(self, word: str, ids: bytes) -> None:
-        if len(word) <= LONGEST:
-            if self.held > MEMORY:
-                self.old, self.new, self.held = self.new, {}, 0
-            self.new[word] = ids
-            self.held += len(word) + len(ids) + OVERHEAD
+    def _keep(self, words: list[str], ids: list[bytes]) -> None:
+        """Remember stretches; a generation goes over its bound by one block's at most."""
+        if self.held > MEMORY:
+            self.old, self.new, self.held = self.new, {}, 0
+        if max(map(len, words), default=0) > LONGEST:
+            short = [(w, x) for w, x in zip(words, ids, strict=True) if len(w) <= LONGEST]
+            words, ids = [w for w, _ in short], [x for _, x in short]
+        self.new.update(zip(words, ids, strict=True))
+        self.held += sum(map(len, words)) + sum(map(len, ids)) + OVERHEAD * len(words)
 
     def _learn(self, words: list[str]) -> list[bytes]:
         """Ids of distinct ``words`` that the new generation lacks."""
@@ -78,8 +81,7 @@ class Encoder:
             coded += map(raw.__getitem__, map(slice, [0, *cut[:-1]], cut))
         rest = iter(coded)
         found = [next(rest) if x is None else x for x in found]
-        for w, x in zip(words, found, strict=True):
-            self._keep(w, x)
+        self._keep(words, found)
         return found
 
     def _whole(self, text: str) -> bytes:

@@ -41,14 +41,14 @@ from loomkit.session import ship_package
 
 from .common import col, written
 
-SHARD_ROWS = 8192
+SHARD_ROWS = 16384
 BLOCK_ROWS = 4096
 LINKS = 24
 CANDIDATES = 48
 EF = 128
 EF_UPPER = 16
 GROUP = 8  # mutual groups of this size get an entry of their own
-STARTS, PER_GROUP = 32, 8  # where a search of the lowest level starts
+STARTS, PER_GROUP = 24, 6  # where a search of the lowest level starts
 
 
 def usable(vector) -> F.Column:

@@ -35,7 +35,7 @@ def nearest(rows, k=20):
     return out
 
 
-@pytest.mark.parametrize("shard_rows", [8192, 128])
+@pytest.mark.parametrize("shard_rows", [16384, 128])
 def test_search_recall_and_scores(spark, shard_rows):
     sf = "/root/testdata/sf0.1"
     e = read(spark, sf, "embeddings")
@@ -55,8 +55,8 @@ def _shard(kind, n, rng, dims=64):
     x = rng.normal(size=(n, dims))
     if kind == "norms":
         return x * rng.lognormal(0, 0.5, (n, 1))
-    copies = {"one half a group": 4096, "two groups": 2048}.get(kind, n if isinstance(kind, int) else 0)
-    size = {"one half a group": 4096, "two groups": 1024}.get(kind, kind)
+    copies = {"one half a group": n // 2, "two groups": 2048}.get(kind, n if isinstance(kind, int) else 0)
+    size = {"one half a group": n // 2, "two groups": 1024}.get(kind, kind)
     if copies:
         x[:copies] = rng.normal(size=(n, dims))[np.arange(copies) // size] + x[:copies] * 0.01
     return (x / np.linalg.norm(x, axis=1, keepdims=True))[rng.permutation(n)]
@@ -65,7 +65,7 @@ def _shard(kind, n, rng, dims=64):
 @pytest.mark.parametrize("kind", ["noise", 60, 256, 1024, "two groups", "one half a group", "norms"])
 def test_recall_in_a_full_shard_of_near_copies(kind):
     """Groups of near copies larger than a node's links, alone and beside noise, and norms that differ."""
-    x = _shard(kind, 8192, np.random.default_rng(3))
+    x = _shard(kind, hnsw.SHARD_ROWS, np.random.default_rng(3))
     asked = np.arange(0, len(x), 20)
     found, recall = hnsw.search_graph(x, hnsw.build_graph(x), x[asked]), []
     for i, at in zip(asked, found, strict=True):

@@ -30,10 +30,12 @@ def q_dataset_summary(spark, sf):
     return P.dataset_summary(info, file_name="orders.parquet")
 
 
-# The suite used by validate_suite: the starter checks, one of each value check, and a failing case each.
-def orders_suite():
-    s = X.default_suite(ORDERS_COLS, {"o_orderkey": "int64", "o_totalprice": "float64"})
-    s += [
+ORDERS_TYPES = {"o_orderkey": "int64", "o_totalprice": "float64"}
+
+
+def _value_checks():
+    """One of each value check, and a failing case each."""
+    return [
         X.Expectation.of(X.EXISTS, "o_orderdate"),
         X.Expectation.of(X.BETWEEN, "o_totalprice", min_value=1000, max_value=400000),
         X.Expectation.of(X.REGEX, "o_orderpriority", regex="^[1-3]-"),
@@ -43,7 +45,20 @@ def orders_suite():
         X.Expectation.of(X.UNIQUE, "o_custkey"),
         X.Expectation.of(X.DISTINCT_BETWEEN, "o_orderstatus", min_value=1, max_value=3),
     ]
-    return s
+
+
+# The suite used by validate_suite: the starter checks as a starter suite adds them (the exact column set and
+# the types, then the column set as it is by default and the types again), then the value checks.
+def orders_suite():
+    types = [X.Expectation.of(X.OF_TYPE, c, type_=t) for c, t in ORDERS_TYPES.items()]
+    return [X.Expectation.of(X.ROW_COUNT, min_value=1), X.Expectation.of(X.COLUMN_COUNT, min_value=1, max_value=None),
+            X.Expectation.of(X.COLUMNS_MATCH, column_set=ORDERS_COLS, exact_match=True), *types,
+            X.Expectation.of(X.COLUMNS_MATCH, column_set=ORDERS_COLS), *types, *_value_checks()]
+
+
+def written_suite():
+    """The suite used by write_validated: each starter check once, then the value checks."""
+    return X.default_suite(ORDERS_COLS, ORDERS_TYPES) + _value_checks()
 
 
 SINGLE = {
@@ -76,7 +91,7 @@ def q_write_validated(spark, sf):
 
     from ...session import scratch_path
     path = scratch_path(spark, f"validated/{uuid.uuid4().hex}")
-    out = X.write_validated(table(spark, sf, "orders"), orders_suite(), path)
+    out = X.write_validated(table(spark, sf, "orders"), written_suite(), path)
     return out.withColumn("rows_written", spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).scalar())
 
 
@@ -169,8 +184,8 @@ def expectation_sql(i, e):
                 pct=f"{u} * 100.0 / count({c})", src="from orders")
 
 
-def _suite_sql():
-    return "\nunion all\n".join(expectation_sql(i + 1, e) for i, e in enumerate(X.dedupe(orders_suite())))
+def _suite_sql(suite):
+    return "\nunion all\n".join(expectation_sql(i + 1, e) for i, e in enumerate(X.dedupe(suite)))
 
 
 SQL = {
@@ -200,10 +215,10 @@ l as (select unnest([repeat('=', 60), 'TABULAR DATASET SUMMARY', repeat('=', 60)
       'Task: SUPERVISED', 'Target: o_orderstatus', 'Type: classification', 'Classes: ' || k, repeat('=', 60)]) line,
       unnest(range(1, 15)) line_no from i)
 select cast(line_no as bigint) as line_no, line from l""",
-    "validate_suite": _suite_sql(),
-    "write_validated": f"select *, (select count(*) from orders) as rows_written from ({_suite_sql()})",
+    "validate_suite": _suite_sql(orders_suite()),
+    "write_validated": f"select *, (select count(*) from orders) as rows_written from ({_suite_sql(written_suite())})",
     "validate_suite_totals": f"""
-with r as ({_suite_sql()})
+with r as ({_suite_sql(orders_suite())})
 select count(*) as evaluated_expectations, cast(sum(case when success then 1 else 0 end) as bigint) as successful_expectations,
   cast(sum(case when success then 0 else 1 end) as bigint) as unsuccessful_expectations,
   sum(case when success then 1 else 0 end) * 100.0 / count(*) as success_percent, bool_and(success) as success from r""",

@@ -109,3 +109,13 @@ def test_default_suite_has_each_check_once():
     from loomkit.operators import expectations as X
     s = X.default_suite(["a", "b"], {"a": "int64"})
     assert len(s) == len({(e.expectation, e.column) for e in s}) == 4
+
+
+def test_orders_suite_is_whole():
+    """The starter suite checks the column set twice: exactly, and as it is by default."""
+    from loomkit.operators import expectations as X
+    from loomkit.plans.catalog.profile import SQL, orders_suite
+    whole = X.dedupe(orders_suite())
+    assert len(whole) == 14
+    assert [e.kw.get("exact_match") for e in whole if e.expectation == X.COLUMNS_MATCH] == [True, None]
+    assert SQL["validate_suite"].count("as expectation_id") == 14

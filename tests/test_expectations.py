@@ -119,3 +119,10 @@ def test_orders_suite_is_whole():
     assert len(whole) == 14
     assert [e.kw.get("exact_match") for e in whole if e.expectation == X.COLUMNS_MATCH] == [True, None]
     assert SQL["validate_suite"].count("as expectation_id") == 14
+
+
+def test_totals_count_the_whole_orders_suite(spark):
+    from loomkit.plans.catalog.profile import SQL, q_validate_suite_totals
+    from tests.conftest import SF001
+    assert SQL["validate_suite_totals"].count("as expectation_id") == 14
+    assert q_validate_suite_totals(spark, SF001).first()["evaluated_expectations"] == 14

@@ -15,7 +15,7 @@ from pyspark.ml.feature import PCA, StandardScaler, StringIndexer
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import AtomicType, StringType
 
 from .features import assemble_features
 
@@ -32,6 +32,9 @@ def _label_stages(df: DataFrame, label: str):
 # Learners pay per partition on every pass: cached training data is merged
 # into partitions of about this many bytes (measured in the cache).
 BYTES_PER_PARTITION = 32 << 20
+# A forest meets each row once a tree on every level: a few bytes of input are much work.  Its input is cut into
+# partitions of this many (row, tree) pairs, one per core at most, beyond which a partition may hold up to MOST_PAIRS.
+PAIRS_PER_PARTITION, MOST_PAIRS = 5_000_000, 100_000_000
 
 
 class cached:
@@ -39,28 +42,44 @@ class cached:
     iterative learners make many passes, and the input's lineage (splits,
     joins, text features) should run once.  Lost blocks are recomputed.
     Many tiny partitions (a small table after a wide shuffle) are merged
-    with a narrow ``coalesce`` by their size in bytes."""
+    with a narrow ``coalesce`` by their size in bytes.  For a forest of
+    ``trees`` trees the rows are spread over the cores by their work, each
+    row's place given by its values."""
 
-    def __init__(self, df: DataFrame):
-        self.df = df
+    def __init__(self, df: DataFrame, trees: int = 0):
+        self.df, self.trees = df, int(trees)
 
     def __enter__(self) -> DataFrame:
         from pyspark import StorageLevel
         d = self.df.persist(StorageLevel.MEMORY_AND_DISK)
-        d.count()
+        pairs = d.count() * self.trees
         size = int(str(d.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        target = max(1, -(-size // BYTES_PER_PARTITION))
-        return d.coalesce(target) if d.rdd.getNumPartitions() > target else d
+        cores = d.sparkSession.sparkContext.defaultParallelism
+        target = max(1, -(-size // BYTES_PER_PARTITION), min(-(-pairs // PAIRS_PER_PARTITION), cores), -(-pairs // MOST_PAIRS))
+        have = d.rdd.getNumPartitions()
+        if have < target and self.trees:
+            values = [F.col(f"`{f.name}`") for f in d.schema.fields if isinstance(f.dataType, AtomicType)]
+            spread = d.repartition(target, *values)
+            spread = (spread.sortWithinPartitions(*values) if values else spread).persist(StorageLevel.MEMORY_AND_DISK)
+            spread.count()
+            self.df.unpersist()
+            self.df = d = spread
+        return d.coalesce(target) if have > target else d
 
     def __exit__(self, *exc):
         self.df.unpersist()
 
 
-def _fit(pipeline: Pipeline, df: DataFrame):
-    with cached(df) as d:
+def _fit(pipeline: Pipeline, df: DataFrame, trees: int = 0):
+    with cached(df, trees) as d:
         return pipeline.fit(d)
 
 
+def _used(df: DataFrame, features, label: str) -> DataFrame:
+    """The columns a fit reads: no others are cached."""
+    return df.select(*dict.fromkeys([*features, label])) if features else df
+
+
 def _labeled(df: DataFrame, label: str) -> DataFrame:
     if isinstance(df.schema[label].dataType, StringType):
         return df
@@ -69,11 +88,14 @@ def _labeled(df: DataFrame, label: str) -> DataFrame:
 
 def forest_params(n_estimators=100, max_depth=10, min_samples_leaf=1, max_features="sqrt", seed=42) -> dict:
     """Map forest settings onto Spark names (None depth -> 30; features per
-    split: the classifier's usual square root, all if None is given)."""
+    split: the classifier's usual square root, all if None is given).  The
+    node of each row is kept from level to level: the trees so far are not
+    sent to the tasks and walked again on every level."""
     return {"numTrees": int(n_estimators),
             "maxDepth": MAX_TREE_DEPTH if max_depth is None else min(int(max_depth), MAX_TREE_DEPTH),
             "minInstancesPerNode": int(min_samples_leaf),
             "featureSubsetStrategy": "all" if max_features is None else str(max_features),
+            "cacheNodeIds": True,
             "seed": int(seed)}
 
 
@@ -89,7 +111,7 @@ def train_random_forest(df: DataFrame, features, label: str, n_estimators=100, m
     df = _labeled(df, label)
     return _fit(random_forest_pipeline(df, features, label, n_estimators=n_estimators, max_depth=max_depth,
                                        min_samples_leaf=min_samples_leaf, max_features=max_features,
-                                       seed=seed), df)
+                                       seed=seed), _used(df, features, label), n_estimators)
 
 
 def train_random_forest_regressor(df: DataFrame, features, label: str, n_estimators=100, max_depth=10,
@@ -98,7 +120,7 @@ def train_random_forest_regressor(df: DataFrame, features, label: str, n_estimat
     df = _labeled(df, label)
     p = forest_params(n_estimators, max_depth, min_samples_leaf, max_features, seed)
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, **p)
-    return _fit(Pipeline(stages=assemble_features(df, features, label) + [rf]), df)
+    return _fit(Pipeline(stages=assemble_features(df, features, label) + [rf]), _used(df, features, label), n_estimators)
 
 
 def train_gbt(df: DataFrame, features, label: str, max_iter=20, max_depth=5, step_size=0.1, seed=42):
@@ -128,11 +150,11 @@ def train_mlp(df: DataFrame, features, label: str, hidden=(4,), num_classes: int
 
 
 def concurrency(spark, jobs: int, parallelism: int | None, partitions: int = 1) -> int:
-    """Concurrent fits: as given, else as many as the cluster's cores can
-    run side by side, i.e. cores / partitions-per-fit (a fit over a large
+    """Concurrent fits: as given, else as many as keep the cluster's cores
+    busy, i.e. cores / partitions-per-fit rounded up (a fit over a large
     input that already spans the cluster runs alone); never more than the
     number of jobs."""
-    p = parallelism or spark.sparkContext.defaultParallelism // max(1, int(partitions))
+    p = parallelism or -(-spark.sparkContext.defaultParallelism // max(1, int(partitions)))
     return max(1, min(int(jobs), int(p)))
 
 

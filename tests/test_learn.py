@@ -124,3 +124,40 @@ def test_registered_searches_run_the_default_grid(spark, monkeypatch, name):
     assert len(seen) == 675 and {tuple(r)[1:] for r in seen} == want
     params = [{n: H._parse(v) for n, v in r.asDict().items() if n != "trial_id"} for r in seen]
     assert len({H.fit_key(p) for p in params}) == 225
+
+
+def test_forest_inputs_are_spread_by_their_work(spark, monkeypatch):
+    """A few bytes a row, but met once a tree on every level: one partition was one core for the whole fit."""
+    df = spark.range(90).select("id", (F.col("id") % 7).cast("double").alias("x")).coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(M, "PAIRS_PER_PARTITION", 100)
+    places = []
+    for _ in range(2):
+        with M.cached(df, 10) as d:
+            places.append(d.rdd.glom().collect())
+            assert d.rdd.getNumPartitions() == min(9, cores)
+    assert places[0] == places[1] and sorted(r.id for p in places[0] for r in p) == list(range(90))
+    monkeypatch.setattr(M, "MOST_PAIRS", 900 // (cores + 3))                 # bounded per partition beyond the cores
+    with M.cached(df, 10) as d:
+        assert d.rdd.getNumPartitions() >= cores + 3
+    with M.cached(df) as d:
+        assert d.rdd.getNumPartitions() == 1
+
+
+def test_forests_keep_the_nodes_of_rows_and_cache_what_they_read(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+    df = spark.createDataFrame([(i, "long text", float(i % 5), float(i * 7 % 11)) for i in range(60)], "id long, s string, x double, y double")
+    assert M.forest_params()["cacheNodeIds"]
+    rf = M.RandomForestRegressor(featuresCol="features", labelCol="y", **M.forest_params(5, 6, max_features=None))
+    stages = M.assemble_features(df, ["x"], "y")
+    trees = [Pipeline(stages=[*stages, rf.copy({rf.cacheNodeIds: on})]).fit(df).stages[-1].toDebugString for on in (True, False)]
+    assert trees[0].split("\n")[1:] == trees[1].split("\n")[1:]
+    seen, real = [], M.cached
+
+    def looked_at(d, trees=0):
+        seen.append((d.columns, trees))
+        return real(d, trees)
+
+    monkeypatch.setattr(M, "cached", looked_at)
+    M.train_random_forest_regressor(df, ["x"], "y", n_estimators=3)
+    assert seen == [(["x", "y"], 3)]

@@ -53,6 +53,8 @@ DEFAULT_RF_RANGES = {
 NO_SPARK_COUNTERPART = ("min_samples_split",)
 # The setting whose smaller values are prefixes of the largest fit.
 NESTED = "n_estimators"
+# The setting of which several values may ask for the same number of features per split.
+SUBSET = "max_features"
 
 
 def _lit(v):
@@ -107,6 +109,31 @@ def fit_key(params: dict) -> tuple:
     return tuple(sorted((k, v) for k, v in params.items() if k not in NO_SPARK_COUNTERPART))
 
 
+def _subset_size(strategy: str, width: int):
+    """How many of ``width`` features a named strategy tries per split (a name it does not know stands for itself)."""
+    return {"all": width, "sqrt": math.ceil(math.sqrt(width)), "log2": max(1, math.ceil(math.log(width) / math.log(2))),
+            "onethird": math.ceil(width / 3.0)}.get(strategy, strategy)
+
+
+def _alike_subsets(df: DataFrame, params: list[dict], make_pipeline) -> dict:
+    """``{value: the value fitted in its place}`` for the ``max_features`` that mean the same fit on these features
+    (of 3 features, ``sqrt`` and ``log2`` both try 2)."""
+    first = {}
+    for p in params:
+        first.setdefault(p.get(SUBSET), p)
+    if len(first) < 2:
+        return {v: v for v in first}
+    stages = {v: make_pipeline(p).getStages() for v, p in first.items()}
+    if not all(isinstance(s[-1], (RandomForestClassifier, RandomForestRegressor)) for s in stages.values()):
+        return {v: v for v in first}
+    *before, last = next(iter(stages.values()))
+    row = Pipeline(stages=before).fit(df).transform(df).select(last.getFeaturesCol()).first()
+    if row is None:
+        return {v: v for v in first}
+    fitted: dict = {}
+    return {v: fitted.setdefault(_subset_size(s[-1].getFeatureSubsetStrategy(), row[0].size), v) for v, s in stages.items()}
+
+
 def higher_better(metric: str) -> bool:
     """Whether more of ``metric`` is better, by the same table as R4."""
     from .runs import METRIC_DIRECTIONS
@@ -196,13 +223,19 @@ def _settings(row: dict) -> dict:
     return {n: _parse(v) for n, v in row.items() if n != "trial_id"}
 
 
+def most_trees(rows: list[dict]) -> int:
+    """The largest number of trees among trials (0: not forests)."""
+    return max((n for r in rows if isinstance(n := _settings(r).get(NESTED), int)), default=0)
+
+
 def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str, k: int = 3,
                    metric: str = "accuracy", keys=None, seed: int = 42, parallelism: int | None = None,
                    stratify: bool = True, folds: DataFrame | None = None, store: TrialStore | None = None) -> DataFrame:
     """H2 core: per (trial, fold) test and train scores, as a Spark table.
 
     ``make_pipeline(params: dict) -> Pipeline``.  Trials with equal
-    fit-relevant settings share their fits, and trials that differ only in
+    fit-relevant settings share their fits (those that try equally many
+    features per split too), and trials that differ only in
     their number of trees share the largest of them, of which the smaller are
     prefixes.  ``folds``: ``df`` with its fold column, if the caller has cached
     it already.  ``store``: where scores are kept and looked up.
@@ -214,11 +247,16 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
     rows = [r.asDict() for r in trials.orderBy("trial_id").collect()]  # one row per trial (bounded)
     if metric not in CV_METRICS:
         raise ValueError(f"metric must be one of {sorted(CV_METRICS)}")
+    params = [dict(fit_key(_settings(r))) for r in rows]
+    alike = _alike_subsets(df, params, make_pipeline)
+    fits = []  # of every trial: the setting fitted and the number of trees
     sizes: dict[tuple, set] = {}
-    for r in rows:
-        p = dict(fit_key(_settings(r)))
+    for p in params:
         n = p.pop(NESTED, None)
-        sizes.setdefault(tuple(sorted(p.items())), set()).add(n)
+        if SUBSET in p:
+            p[SUBSET] = alike[p[SUBSET]]
+        fits.append((tuple(sorted(p.items())), n))
+        sizes.setdefault(fits[-1][0], set()).add(n)
     # one unit of work: all sizes of one setting on one fold
     unit = lambda key, f: hashlib.sha256(json.dumps([key, sorted(map(str, sizes[key])), f]).encode()).hexdigest()[:24]
     jobs = {unit(key, f): (key, f) for key in sizes for f in range(k)}
@@ -263,16 +301,12 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
             # the input and its fold assignment are each computed once and cached
             if folds is None:
                 d = stack.enter_context(cached(df))
-                folds = stack.enter_context(cached(stratified_kfold(d, label if stratify else None, keys, k, seed)))
+                folds = stack.enter_context(cached(stratified_kfold(d, label if stratify else None, keys, k, seed), most_trees(rows)))
             workers = concurrency(spark, len(todo), parallelism, folds.rdd.getNumPartitions())
             with ThreadPoolExecutor(max_workers=workers) as pool:
                 for key, out in pool.map(run, todo):
                     done.update({(key, f, n): (te, tr) for f, n, te, tr in out})
-    out = []
-    for r in rows:
-        p = dict(fit_key(_settings(r)))
-        n = p.pop(NESTED, None)
-        out += [(int(r["trial_id"]), f, *done[tuple(sorted(p.items())), f, n]) for f in range(k)]
+    out = [(int(r["trial_id"]), f, *done[key, f, n]) for r, (key, n) in zip(rows, fits) for f in range(k)]
     schema = StructType([StructField("trial_id", LongType()), StructField("fold", LongType()),
                          StructField("test_score", DoubleType()), StructField("train_score", DoubleType())])
     return spark.createDataFrame(out, schema)
@@ -350,10 +384,11 @@ def adaptive_search(df, ranges, make_pipeline, label, n_trials=20, n_startup=8,
     higher = higher_better(metric) if higher_is_better is None else higher_is_better
     rounds = max(0, -(-(n_trials - n_startup) // batch))
     pool = random_trials(spark, ranges, n_startup + rounds * n_candidates, seed)  # bounded by the search's own settings
-    drawn = [[r[n] for n in names] for r in pool.orderBy("trial_id").collect()]
+    drawn = [r.asDict() for r in pool.orderBy("trial_id").collect()]
+    trees, drawn = most_trees(drawn), [[r[n] for n in names] for r in drawn]
     history: list[tuple[list, float]] = []
     tables: list[tuple[DataFrame, DataFrame]] = []
-    with cached(df) as d, cached(stratified_kfold(d, label, keys, k, seed)) as folds:
+    with cached(df) as d, cached(stratified_kfold(d, label, keys, k, seed), trees) as folds:
         while len(history) < n_trials:
             if not history:
                 pick = drawn[:min(n_startup, n_trials)]
@@ -395,7 +430,7 @@ def final_evaluation(split_df: DataFrame, params: dict, make_pipeline, label: st
     from .models import cached
     if metric not in CV_METRICS:
         raise ValueError(f"metric must be one of {sorted(CV_METRICS)}")
-    with cached(split_df.where(F.col(split_col) == "train")) as train:
+    with cached(split_df.where(F.col(split_col) == "train"), most_trees([params])) as train:
         model = make_pipeline(params).fit(train)
     scored = model.transform(split_df.where(F.col(split_col) != "train"))
     if metric == "accuracy":

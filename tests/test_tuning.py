@@ -102,3 +102,39 @@ def test_a_broken_search_goes_on_and_a_second_query_fits_nothing(spark, tmp_path
     other = []
     H.grid_search(df.where("id < 80"), {"n_estimators": [2], "max_depth": [2]}, _fits(df, other), "y", k=2, keys=["id"], store=store).collect()
     assert len(other) == 2                                                   # other rows: another search
+
+
+def test_settings_that_try_equally_many_features_share_their_fits(spark, tmp_path):
+    """Of 3 features, sqrt and log2 both try 2: one fit for both, and the scores of fitting each."""
+    from loomkit.operators import models as M
+    df = _points(spark).withColumn("w", __import__("pyspark").sql.functions.col("id") % 5)
+
+    def make(p):
+        return M.random_forest_pipeline(df, ["x", "z", "w"], "y", n_estimators=int(p["n_estimators"]), max_depth=3, max_features=p["max_features"])
+
+    space = {"n_estimators": [2, 4], "max_features": ["sqrt", "log2", None]}
+    out = H.grid_search(df, space, make, "y", k=3, keys=["id"], store=H.TrialStore(spark, str(tmp_path))).collect()
+    assert len(list(tmp_path.glob("search=*/unit=*"))) == 2 * 3
+    score = {(r.n_estimators, r.max_features): (round(r.mean_test_score, 9), round(r.mean_train_score, 9)) for r in out}
+    for choice in ("sqrt", "log2", None):
+        alone = H.grid_search(df, {**space, "max_features": [choice]}, make, "y", k=3, keys=["id"]).collect()
+        assert {r.n_estimators: (round(r.mean_test_score, 9), round(r.mean_train_score, 9)) for r in alone} == {n: score[n, choice] for n in ("2", "4")}
+
+
+def test_searches_spread_their_folds_by_the_largest_forest(spark, monkeypatch):
+    from loomkit.operators import models as M
+    df, asked, real = _points(spark), [], M.cached
+
+    def looked_at(d, trees=0):
+        asked.append(trees)
+        return real(d, trees)
+
+    monkeypatch.setattr(M, "cached", looked_at)
+    ranges = {"n_estimators": (2, 6), "max_depth": (2, 4)}
+    most = max(int(r.n_estimators) for r in H.random_trials(spark, ranges, 4, 42).collect())
+    H.random_search(df, ranges, _fits(df), "y", n_trials=4, k=2, keys=["id"])
+    assert asked == [0, most]
+    asked.clear()
+    H.adaptive_search(df, ranges, _fits(df), "y", n_trials=3, n_startup=2, batch=1, n_candidates=4, k=2, keys=["id"])
+    assert asked[0] == 0 and 2 <= asked[1] < 6
+    assert [M.concurrency(spark, 99, None, n) for n in (1, 10 ** 6)] == [min(99, spark.sparkContext.defaultParallelism), 1]

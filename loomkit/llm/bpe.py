@@ -8,10 +8,15 @@ and remembered, in two generations of bounded bytes (a stretch longer than
 between two other characters, and are encoded a few of these pieces at a time.
 New stretches are encoded as texts of ``CALL`` bytes or little more, whose ids are dealt out by
 the number of bytes each stands for; no call sees more, unless one stretch alone is longer.
+
+With the usual byte-level split, a word ends where letters are followed by what is none: a new stretch that
+begins with Latin letters falls apart once more behind them.  Both parts are remembered, too, and the letters,
+one word, need the file's merges only.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -25,6 +30,26 @@ LONGEST = 4096
 CALL = 128 << 10  # bytes of text given to the tokenizer at once: its own result is some 30 times as large
 _ODD = re.compile(r" (?:\s|\Z)")
 _SINGLE = re.compile(r"(?<=\S) (?=\S)")
+# Latin letters, then nothing or what begins with an ASCII character that is none
+_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([\x00-\x40\x5B-\x60\x7B-\x7F].*)?", re.DOTALL)
+
+
+def _usual_split(file: dict) -> bool:
+    """Whether words are split as by byte-level BPE's own pattern, of the text as it is, and no added token begins with a letter or space."""
+    split = file.get("pre_tokenizer") or {}
+    starts = [t["content"][:1] for t in file.get("added_tokens") or []]
+    return (file.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) is True
+            and not split.get("add_prefix_space", True) and all(c.isascii() and not c.isalpha() and not c.isspace() for c in starts))
+
+
+def _letters_of_bytes() -> dict[int, str]:
+    """Byte-level BPE's character for each byte: itself if it can be seen in Latin-1, else one from 256 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in seen]
+    return {**{b: chr(b) for b in seen}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+_AS_LETTERS = _letters_of_bytes()
 
 
 def _runs(sizes: list[int], limit: int):
@@ -50,7 +75,8 @@ class Encoder:
         self.bytes_of_id = np.zeros(max(vocab.values()) + 1, np.int64)
         for piece, i in vocab.items():
             self.bytes_of_id[i] = len(piece)
-        self.new: dict[str, bytes] = {}
+        self.model = self.tok.model if _usual_split(json.loads(self.tok.to_str())) else None
+        self.new: dict[str, bytes] = {}  # stretches without their space; what follows letters has one before it
         self.old: dict[str, bytes] = {}
         self.held = 0
 
@@ -64,26 +90,62 @@ class Encoder:
         self.new.update(zip(words, ids, strict=True))
         self.held += sum(map(len, words)) + sum(map(len, ids)) + OVERHEAD * len(words)
 
-    def _learn(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct ``words`` that the new generation lacks."""
-        found = list(map(self.old.get, words))
-        todo = [w for w, x in zip(words, found, strict=True) if x is None]
+    def _joined(self, words: list[str], before: str, skip: int = 0) -> list[bytes]:
+        """Ids of each word behind ``before``, without the first ``skip``."""
         coded: list[bytes] = []
-        for lo, hi in _runs([len(w) for w in todo], CALL):
-            part = todo[lo:hi]
-            ids = np.array(self.tok.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
+        for lo, hi in _runs([len(before) + len(w) for w in words], CALL):
+            part = words[lo:hi]
+            ids = np.array(self.tok.encode_batch_fast([before + before.join(part)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.cumsum(self.bytes_of_id[ids])
-            words_end = np.cumsum(np.array(pc.binary_length(pa.array(part, pa.string())), np.int64))
+            words_end = np.cumsum(np.array(pc.binary_length(pa.array(part, pa.string())), np.int64) + len(before))
             cut = np.searchsorted(ends, words_end) + 1
             if cut[-1] != len(ids) or (ends[cut - 1] != words_end).any():
                 raise ValueError("ids don't end where the stretches do: not a byte-level file")
-            raw, cut = ids.tobytes(), (cut * 4).tolist()
-            coded += map(raw.__getitem__, map(slice, [0, *cut[:-1]], cut))
-        rest = iter(coded)
-        found = [next(rest) if x is None else x for x in found]
-        self._keep(words, found)
+            raw, cut = ids.tobytes(), cut.tolist()
+            coded += [raw[4 * (i + skip):4 * j] for i, j in zip([0, *cut], cut, strict=False)]
+        return coded
+
+    def _merged(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters alone, each with a space before it."""
+        space, tokenize = _AS_LETTERS[0x20], self.model.tokenize
+        ids: list[int] = []
+        cut = [0]
+        for w in words:
+            ids += [t.id for t in tokenize(space + (w if w.isascii() else w.encode().decode("latin-1").translate(_AS_LETTERS)))]
+            cut.append(4 * len(ids))
+        raw = np.array(ids, "<u4").tobytes()
+        return list(map(raw.__getitem__, map(slice, cut, cut[1:])))
+
+    def _behind_letter(self, rests: list[str]) -> list[bytes]:
+        """Ids of what follows letters (given with a space before it)."""
+        return self._joined([x[1:] for x in rests], " a", len(self.tok.encode(" a", add_special_tokens=False).ids))
+
+    def _recall(self, keys: list[str], code) -> list[bytes]:
+        """Ids of distinct ``keys``; ``code`` gives those that neither generation holds, the new one then holds all."""
+        found = list(map(self.new.get, keys))
+        lack = [i for i, x in enumerate(found) if x is None]
+        if lack:
+            older = [self.old.get(keys[i]) for i in lack]
+            coded = iter(code([keys[i] for i, x in zip(lack, older, strict=True) if x is None]))
+            for i, x in zip(lack, older, strict=True):
+                found[i] = next(coded) if x is None else x
+            self._keep([keys[i] for i in lack], [found[i] for i in lack])
         return found
 
+    def _stretches(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct stretches that are not remembered."""
+        if self.model is None:
+            return self._joined(words, " ")
+        parts = [m.groups() if (m := _LETTERS.fullmatch(w)) else (None, w) for w in words]
+        alone = [h for h, r in parts if r is None]
+        head = dict(zip(alone, self._merged(alone), strict=True))
+        heads = list({h: 0 for h, r in parts if r is not None and h is not None and h not in head})
+        head.update(zip(heads, self._recall(heads, self._merged), strict=True))
+        rests = list({" " + r: 0 for h, r in parts if r is not None and h is not None})
+        rest = dict(zip(rests, self._recall(rests, self._behind_letter), strict=True))
+        others = iter(self._joined([r for h, r in parts if h is None], " "))
+        return [next(others) if h is None else head[h] if r is None else head[h] + rest[" " + r] for h, r in parts]
+
     def _whole(self, text: str) -> bytes:
         """Ids of a text with odd white space, in pieces cut at single spaces."""
         cuts = [0]
@@ -113,12 +175,8 @@ class Encoder:
         head = np.zeros(len(words), bool)
         head[np.cumsum(count) - count] = True
         coded = words.dictionary_encode()
-        known = [" " + w for w in coded.dictionary.to_pylist()]
-        found = list(map(self.new.get, known))
-        missing = [i for i, x in enumerate(found) if x is None]
-        if missing:
-            for i, x in zip(missing, self._learn([known[i] for i in missing]), strict=True):
-                found[i] = x
+        known = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = self._recall(known, self._stretches)
         special = words.filter(pa.array(head)).to_pylist()
         first_ids: list[bytes] = []
         for lo, hi in _runs([len(w) for w in special], CALL):

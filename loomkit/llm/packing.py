@@ -31,7 +31,7 @@ from .common import blocks, col, text_or_empty, written
 
 WINDOW = 1024
 END_ID = 0
-BLOCK = 2 << 20  # bytes of text encoded together
+BLOCK = 4 << 20  # bytes of text encoded together: its distinct stretches are looked up once
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text",

@@ -351,3 +351,42 @@ def test_token_inside_a_long_assignment_is_not_reported_again():
     text = f"user: alice_1 password={hexes}.{hexes}.{hexes}.{hexes}.AAaa11AAaa11AAaa11AA"
     found = credentials.scan_text(text)["spans"]
     assert "token" not in found and found.count("assign:14:") == 1 and "identifier:0:" in found
+
+
+def test_ids_of_letters_and_what_follows_them():
+    """Stretches that fall apart behind their letters have the ids of the whole text."""
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from loomkit.llm import bpe
+    tok, enc = Tokenizer.from_file(byte_bpe_path()), bpe.Encoder(byte_bpe_path())
+    assert enc.model is not None
+    rnd = random.Random(7)
+    bits = ["don", "'t", "'s", "\n", "\n\n", "\t", ",", "...", "42", "²", "_", "été", "é", "ā", "Ω", "漢字", "ª", "µ", "×", "÷", " ", " ", "🙂",
+            "THE", "<|endoftext|>", "<|", "-", "\x00", "\x1c", "\x7f", " ", " ", " ", " a", "  "]
+    texts = ["".join(rnd.choices(bits, k=rnd.randint(0, 12))) for _ in range(4000)]
+    for part in (texts[:2500], texts[2500:], texts[:500]):
+        ids, n = enc.encode_many(pa.array(part, pa.string()), 0)
+        want = [[*tok.encode(t, add_special_tokens=False).ids, 0] for t in part]
+        assert n.tolist() == list(map(len, want)) and ids.tolist() == [i for w in want for i in w]
+
+
+def test_known_parts_are_not_encoded_again():
+    """A new stretch of letters and what follows them costs the tokenizer nothing if both parts are known."""
+    import pyarrow as pa
+
+    from loomkit.llm import bpe
+    enc = bpe.Encoder(byte_bpe_path())
+    enc.encode_many(pa.array(["x foo, bar"]))
+    given, whole = [], enc.tok
+
+    class Watched:
+        def encode_batch_fast(self, texts, **kw):
+            given.extend(texts)
+            return whole.encode_batch_fast(texts, **kw)
+    enc.tok = Watched()
+    ids, _ = enc.encode_many(pa.array(["x bar, foo"]))
+    assert "".join(given) == "x"
+    assert ids.tolist() == whole.encode("x bar, foo", add_special_tokens=False).ids

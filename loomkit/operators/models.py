@@ -44,7 +44,9 @@ class cached:
     Many tiny partitions (a small table after a wide shuffle) are merged
     with a narrow ``coalesce`` by their size in bytes.  For a forest of
     ``trees`` trees the rows are spread over the cores by their work, each
-    row's place given by its values."""
+    row's place given by its values.  If it is small, every executor gets a
+    copy of what is kept: tasks prefer the executors that hold their input,
+    and fits side by side would all wait for the cores of one."""
 
     def __init__(self, df: DataFrame, trees: int = 0):
         self.df, self.trees = df, int(trees)
@@ -57,14 +59,20 @@ class cached:
         cores = d.sparkSession.sparkContext.defaultParallelism
         target = max(1, -(-size // BYTES_PER_PARTITION), min(-(-pairs // PAIRS_PER_PARTITION), cores), -(-pairs // MOST_PAIRS))
         have = d.rdd.getNumPartitions()
+        copies = executors(d.sparkSession) if self.trees and size <= BYTES_PER_PARTITION else 1
         if have < target and self.trees:
             values = [F.col(f"`{f.name}`") for f in d.schema.fields if isinstance(f.dataType, AtomicType)]
             spread = d.repartition(target, *values)
-            spread = (spread.sortWithinPartitions(*values) if values else spread).persist(StorageLevel.MEMORY_AND_DISK)
-            spread.count()
-            self.df.unpersist()
-            self.df = d = spread
-        return d.coalesce(target) if have > target else d
+            spread = spread.sortWithinPartitions(*values) if values else spread
+        elif copies > 1:  # even if no partition is merged: kept again, with its copies
+            spread = d.coalesce(target)
+        else:
+            return d.coalesce(target) if have > target else d
+        spread = spread.persist(StorageLevel(True, True, False, False, copies))
+        spread.count()
+        self.df.unpersist()
+        self.df = spread
+        return spread
 
     def __exit__(self, *exc):
         self.df.unpersist()
@@ -149,12 +157,19 @@ def train_mlp(df: DataFrame, features, label: str, hidden=(4,), num_classes: int
         return PipelineModel(stages=[*prep.stages, mlp.fit(ready)])
 
 
-def concurrency(spark, jobs: int, parallelism: int | None, partitions: int = 1) -> int:
+def executors(spark) -> int:
+    """Executors that hold cached data (1 in local mode), 10 at most (Spark keeps fewer than 40 copies)."""
+    sc = spark.sparkContext
+    others = sc._jsc.sc().getExecutorMemoryStatus().size() - 1  # the driver is listed, too
+    return max(1, min(others, 10))
+
+
+def concurrency(spark, jobs: int, parallelism: int | None, partitions: int = 1, least: int = 1) -> int:
     """Concurrent fits: as given, else as many as keep the cluster's cores
     busy, i.e. cores / partitions-per-fit rounded up (a fit over a large
-    input that already spans the cluster runs alone); never more than the
-    number of jobs."""
-    p = parallelism or -(-spark.sparkContext.defaultParallelism // max(1, int(partitions)))
+    input that already spans the cluster runs alone, unless ``least`` are
+    asked for); never more than the number of jobs."""
+    p = parallelism or max(least, -(-spark.sparkContext.defaultParallelism // max(1, int(partitions))))
     return max(1, min(int(jobs), int(p)))
 
 

@@ -302,7 +302,8 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
             if folds is None:
                 d = stack.enter_context(cached(df))
                 folds = stack.enter_context(cached(stratified_kfold(d, label if stratify else None, keys, k, seed), most_trees(rows)))
-            workers = concurrency(spark, len(todo), parallelism, folds.rdd.getNumPartitions())
+            # two at least: while the driver grows the trees of one forest, the cluster works on another
+            workers = concurrency(spark, len(todo), parallelism, folds.rdd.getNumPartitions(), least=2)
             with ThreadPoolExecutor(max_workers=workers) as pool:
                 for key, out in pool.map(run, todo):
                     done.update({(key, f, n): (te, tr) for f, n, te, tr in out})

@@ -138,3 +138,27 @@ def test_searches_spread_their_folds_by_the_largest_forest(spark, monkeypatch):
     H.adaptive_search(df, ranges, _fits(df), "y", n_trials=3, n_startup=2, batch=1, n_candidates=4, k=2, keys=["id"])
     assert asked[0] == 0 and 2 <= asked[1] < 6
     assert [M.concurrency(spark, 99, None, n) for n in (1, 10 ** 6)] == [min(99, spark.sparkContext.defaultParallelism), 1]
+
+
+def test_forests_take_two_fits_at_least():
+    """A fit that spans the cluster leaves it idle while its trees grow on the driver: searches run another beside it."""
+    from types import SimpleNamespace
+
+    from loomkit.operators.models import concurrency
+    spark = SimpleNamespace(sparkContext=SimpleNamespace(defaultParallelism=12))
+    assert concurrency(spark, 60, None, 12) == 1 and concurrency(spark, 60, None, 12, least=2) == 2
+    assert concurrency(spark, 60, None, 1, least=2) == 12 and concurrency(spark, 60, 1, 12, least=2) == 1 == concurrency(spark, 1, None, 1, least=2)
+
+
+def test_small_forest_input_is_kept_on_every_executor(spark, monkeypatch):
+    """Otherwise all fits side by side wait for the cores of the executor that holds the one partition."""
+    from loomkit.operators import models as M
+    df = spark.range(0, 100, 1, 4)
+    kept, persist = [], type(df).persist
+    monkeypatch.setattr(type(df), "persist", lambda self, level: (kept.append(level.replication), persist(self, level))[1])
+    monkeypatch.setattr(M, "executors", lambda s: 3)
+    for trees, copies in ((50, [1, 3]), (0, [1])):
+        kept.clear()
+        with M.cached(df, trees) as d:
+            assert d.rdd.getNumPartitions() == 1 and d.count() == 100
+        assert kept == copies

@@ -9,7 +9,8 @@ Spark (H5).
 
 Forests nest: for settings that differ in the number of trees only, the
 largest forest is fitted once per fold and its first n trees are scored as
-the forest of n trees (``NESTED``).  With a ``TrialStore`` the scores of every
+the forest of n trees (``NESTED``).  Classification forests that differ in
+their depth only are cut from the deepest of them (``cut_forest``).  With a ``TrialStore`` the scores of every
 finished fit are written down, so a search that was broken off goes on where it
 stood, and another query reads the scores without fitting again.
 """
@@ -21,6 +22,7 @@ import hashlib
 import json
 import math
 import os
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -32,6 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, MapType, StructField, StructType
 
 from ..functions.hashing import seeded_md5
+from ..session import scratch_path
+from .models import MAX_TREE_DEPTH
 from .splits import stratified_kfold
 
 # The default forest search space (grid) and random ranges
@@ -53,6 +57,10 @@ DEFAULT_RF_RANGES = {
 NO_SPARK_COUNTERPART = ("min_samples_split",)
 # The setting whose smaller values are prefixes of the largest fit.
 NESTED = "n_estimators"
+# The setting whose smaller values are the upper levels of the deepest fit.
+DEPTH = "max_depth"
+# A forest of more nodes is not cut to smaller depths (its nodes go to the driver for that): each depth is fitted.
+MOST_NODES = 4_000_000
 # The setting of which several values may ask for the same number of features per split.
 SUBSET = "max_features"
 
@@ -181,6 +189,97 @@ class first_trees:
         return DataFrame(self.model.transform(df._jdf), df.sparkSession)
 
 
+class cut_forest:
+    """Predictions of a fitted classification forest (the JVM's model) cut to ``(depth, trees)`` sizes.
+
+    A tree grows from the root, and no level depends on how many are allowed below it: the first d levels of a deep
+    tree, its leaves merged where they predict alike, are the tree fitted with depth d.  (Spark draws the features of
+    the nodes level by level, too, as long as a level fits ``maxMemoryInMB``; beyond that the draws are others.)
+    The forest tells which leaf of each tree a row reaches, and each leaf's ancestor on level d has the counts of its
+    classes; they are added tree by tree, as the forest does.  Only the nodes' counts and children go to the driver."""
+
+    def __init__(self, spark: SparkSession, forest, sizes: list[tuple[int, int]]):
+        self.spark, self.forest = spark, forest
+        path = scratch_path(spark, f"forests/{uuid.uuid4().hex}")
+        forest.save(path)
+        nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats",
+                                                          "nodeData.leftChild", "nodeData.rightChild").toArrow()
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        nodes = nodes.sort_by([("treeID", "ascending"), ("id", "ascending")]).combine_chunks()
+        column = lambda name: nodes[name].to_numpy()
+        tree = column("treeID")
+        roots = np.flatnonzero(np.diff(tree, prepend=-1))
+        root = roots[tree]  # ids count from 0 in each tree
+        left, right = (np.where(column(c) < 0, -1, root + column(c)) for c in ("leftChild", "rightChild"))
+        counts = nodes["impurityStats"].combine_chunks().flatten().to_numpy().reshape(len(tree), -1)
+        total = counts.sum(axis=1, keepdims=True)
+        levels = [roots]
+        while len(inner := levels[-1][left[levels[-1]] >= 0]):
+            levels.append(np.concatenate([left[inner], right[inner]]))
+        leaf = left < 0
+        first = np.cumsum(leaf)[roots] - leaf[roots]  # leaves before each tree
+        ends = {d: self._ends(levels, left, right, column("prediction"), d)[leaf].astype(np.int32) for d in {d for d, _ in sizes}}
+        self.model = spark.sparkContext.broadcast((np.divide(counts, total, out=np.zeros_like(counts), where=total != 0), first, ends, list(sizes)))
+
+    @staticmethod
+    def _ends(levels, left, right, prediction, depth: int):
+        """For each node, the leaf above it (or itself) in the tree cut to ``depth`` (-1: it is inside the cut tree)."""
+        ends = left < 0
+        if depth < len(levels):
+            ends[levels[depth]] = True
+        for level in reversed(levels[:depth]):
+            inner = level[left[level] >= 0]
+            a, b = left[inner], right[inner]
+            ends[inner] = ends[a] & ends[b] & (prediction[a] == prediction[b])
+        at = np.full(len(left), -1)
+        at[levels[0]] = np.where(ends[levels[0]], levels[0], -1)
+        for level in levels:
+            inner = level[left[level] >= 0]
+            for below in (left[inner], right[inner]):
+                at[below] = np.where(at[inner] >= 0, at[inner], np.where(ends[below], below, -1))
+        return at
+
+    def transform(self, df: DataFrame, keep: list[str], column: str) -> DataFrame:
+        """The columns ``keep`` of ``df``, and an array of the predictions of each size."""
+        from pyspark.ml.functions import vector_to_array
+        from pyspark.sql.types import ArrayType
+        model = self.model
+        self.forest.setLeafCol("_leaves")
+        for c in ("Prediction", "RawPrediction", "Probability"):
+            getattr(self.forest, f"set{c}Col")("")
+        reached = DataFrame(self.forest.transform(df._jdf), df.sparkSession).select(*keep, vector_to_array("_leaves").alias(column))
+
+        def vote(batches):
+            import numpy as np
+            import pyarrow as pa
+            share, first, ends, sizes = model.value
+            for b in batches:
+                leaves = b.column(len(keep)).flatten().to_numpy().reshape(b.num_rows, len(first)).astype(np.int64) + first
+                out = np.empty((b.num_rows, len(sizes)))
+                for i in range(0, b.num_rows, 1000):
+                    for d, at in ends.items():
+                        votes = np.cumsum(share[at[leaves[i:i + 1000]]], axis=1)  # in the order of the trees
+                        for j, (depth, n) in enumerate(sizes):
+                            if depth == d:
+                                out[i:i + 1000, j] = votes[:, n - 1].argmax(axis=1)
+                lists = pa.ListArray.from_arrays(np.arange(0, out.size + 1, max(1, len(sizes)), dtype=np.int32), out.ravel())
+                yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], lists], names=[*keep, column])
+
+        fields = [reached.schema[c] for c in keep]
+        return reached.mapInArrow(vote, StructType([*fields, StructField(column, ArrayType(DoubleType()))]))
+
+
+def _levels(depth) -> int | None:
+    """Spark's depth for a value of the setting ``DEPTH`` (None: not a depth)."""
+    return MAX_TREE_DEPTH if depth is None else min(depth, MAX_TREE_DEPTH) if isinstance(depth, int) and depth >= 0 else None
+
+
+def _but_depth(stages) -> list:
+    """What sets the stages of a pipeline apart from others, without the depth."""
+    return [(type(s), {p.name: str(v) for p, v in s.extractParamMap().items() if p.name != "maxDepth"}) for s in stages]
+
+
 class TrialStore:
     """Scores of finished fits, one folder a fit under ``path``: a fit that is repeated replaces its own rows."""
 
@@ -237,7 +336,7 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
     fit-relevant settings share their fits (those that try equally many
     features per split too), and trials that differ only in
     their number of trees share the largest of them, of which the smaller are
-    prefixes.  ``folds``: ``df`` with its fold column, if the caller has cached
+    prefixes; those that differ only in depth are cut from the deepest.  ``folds``: ``df`` with its fold column, if the caller has cached
     it already.  ``store``: where scores are kept and looked up.
     """
     spark = df.sparkSession
@@ -266,35 +365,66 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
         for r in store.scores(search).where(F.col("unit").isin(list(jobs))).collect():  # a number per finished fit
             done[jobs[r.unit][0], r.fold, r.trees] = (r.test_score, r.train_score)
     todo = [(u, key, f) for u, (key, f) in jobs.items() if any((key, f, n) not in done for n in sizes[key])]
-
-    def run(job):
-        u, key, f = job
-        counts = sorted(sizes[key], key=lambda n: -1 if n is None else n)
-        p = {**dict(key), **({} if counts[-1] is None else {NESTED: counts[-1]})}
+    # settings that differ only in their depth come from the deepest of them; the longest fits begin first
+    alone: dict[tuple, list] = {}
+    for u, key, f in todo:
+        p = dict(key)
+        n = max((n for n in sizes[key] if n is not None), default=None)
+        nests = DEPTH in p and _levels(p[DEPTH]) is not None and None not in sizes[key]
+        alone.setdefault((tuple((k, v) for k, v in key if k != DEPTH), n, f) if nests else (u,), []).append((u, key, f))
+    depth = lambda key: _levels(dict(key).get(DEPTH)) or 0
+    work = lambda job: depth(job[1]) * max((n for n in sizes[job[1]] if isinstance(n, int)), default=1)
+    groups = sorted((sorted(g, key=lambda job: -depth(job[1])) for g in alone.values()), key=lambda g: -work(g[0]))
+    counts_of = lambda key: sorted(sizes[key], key=lambda n: -1 if n is None else n)
+
+    def fit(stages, key, f, others):
+        """Scores of a setting's sizes, and of other settings that can be cut from its forest, by (setting, trees)."""
+        counts = counts_of(key)
         train = folds.where(F.col("fold") != f)
         part = F.when(F.col("fold") == f, F.lit("test")).otherwise(F.lit("train"))
-        pipeline = make_pipeline(p)
-        *before, last = pipeline.getStages()
+        *before, last = stages
+        names, cut = [(key, n) for n in counts], None
         if isinstance(last, (RandomForestClassifier, RandomForestRegressor)):
             ready = Pipeline(stages=before).fit(train)
             forest, scored = last._fit_java(ready.transform(train)), ready.transform(folds)
-            columns = [f"_of_{n}" for n in counts]
-            for n, c in zip(counts, columns):
-                scored = first_trees(forest, forest.getNumTrees() if n is None else n, c).transform(scored)
+            nest = isinstance(last, RandomForestClassifier) and last.getMaxDepth() == depth(key) and forest.totalNumNodes() <= MOST_NODES
+            if others and nest:
+                names += [(o, n) for o in others for n in counts_of(o)]
+                cut = cut_forest(spark, forest, [(depth(o), n) for o, n in names])
+                scored = cut.transform(scored.select(part.alias("_p"), F.col(label), last.getFeaturesCol()), ["_p", label], "_each")
+            else:
+                columns = [f"_of_{i}" for i in range(len(counts))]
+                for n, c in zip(counts, columns):
+                    scored = first_trees(forest, forest.getNumTrees() if n is None else n, c).transform(scored)
         elif len(counts) == 1:
-            scored, columns = pipeline.fit(train).transform(folds), ["prediction"]
+            scored, columns = Pipeline(stages=stages).fit(train).transform(folds), ["prediction"]
         else:
             raise ValueError(f"only forests nest: {NESTED} varies, but the last stage is {type(last).__name__}")
-        each = F.explode(F.array(*[F.struct(F.lit(str(n)).alias("n"), F.col(c).cast("double").alias("prediction")) for n, c in zip(counts, columns)]))
-        scored = scored.select(part.alias("_p"), F.col(label), each.alias("_e")).select(
-            F.concat_ws(":", "_p", "_e.n").alias("_part"), label, "_e.prediction")
+        if not cut:
+            scored = scored.select(part.alias("_p"), F.col(label), F.array(*[F.col(c).cast("double") for c in columns]).alias("_each"))
+        scored = scored.select("_p", F.col(label), F.posexplode("_each").alias("_i", "prediction")).select(
+            F.concat_ws(":", "_p", F.col("_i").cast("string")).alias("_part"), label, "prediction")
         # test and train scores of every size from one pass over the scored folds
         got = fold_scores(scored, label, metric)
-        out = [(f, n, got[f"test:{n}"], got[f"train:{n}"]) for n in counts]
-        if store:
-            store.add(search, u, out)
+        if cut:
+            cut.model.destroy()
+        return {name: (got[f"test:{i}"], got[f"train:{i}"]) for i, name in enumerate(names)}
+
+    def run(group):
+        out, known, deepest = [], {}, None
+        for u, key, f in group:
+            n = counts_of(key)[-1]
+            stages = make_pipeline({**dict(key), **({} if n is None else {NESTED: n})}).getStages()
+            if not ((key, n) in known and stages[-1].getMaxDepth() == depth(key) and _but_depth(stages) == deepest):
+                others = [o for _, o, _ in group if o != key] if not known else []
+                known = {**known, **fit(stages, key, f, others)}
+                deepest = deepest or _but_depth(stages)
+            rows = [(f, n, *known[key, n]) for n in counts_of(key)]
+            if store:
+                store.add(search, u, rows)
+            out.append((key, rows))
         gc.collect(0)  # lets go of the JVM's models
-        return key, out
+        return out
 
     with ExitStack() as stack:
         if todo:
@@ -303,10 +433,10 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
                 d = stack.enter_context(cached(df))
                 folds = stack.enter_context(cached(stratified_kfold(d, label if stratify else None, keys, k, seed), most_trees(rows)))
             # two at least: while the driver grows the trees of one forest, the cluster works on another
-            workers = concurrency(spark, len(todo), parallelism, folds.rdd.getNumPartitions(), least=2)
+            workers = concurrency(spark, len(groups), parallelism, folds.rdd.getNumPartitions(), least=2)
             with ThreadPoolExecutor(max_workers=workers) as pool:
-                for key, out in pool.map(run, todo):
-                    done.update({(key, f, n): (te, tr) for f, n, te, tr in out})
+                for group in pool.map(run, groups):
+                    done.update({(key, f, n): (te, tr) for key, out in group for f, n, te, tr in out})
     out = [(int(r["trial_id"]), f, *done[key, f, n]) for r, (key, n) in zip(rows, fits) for f in range(k)]
     schema = StructType([StructField("trial_id", LongType()), StructField("fold", LongType()),
                          StructField("test_score", DoubleType()), StructField("train_score", DoubleType())])

@@ -121,6 +121,49 @@ def test_settings_that_try_equally_many_features_share_their_fits(spark, tmp_pat
         assert {r.n_estimators: (round(r.mean_test_score, 9), round(r.mean_train_score, 9)) for r in alone} == {n: score[n, choice] for n in ("2", "4")}
 
 
+def test_smaller_depths_are_cut_from_the_deepest_forest(spark, monkeypatch):
+    """One fit a fold for all depths, and the scores of fitting each depth."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from loomkit.operators import models as M
+    df = spark.createDataFrame([(i, float(i * 7919 % 101), float(i * 104729 % 97), float(i * 31 % 13), float((i * 7919 % 101 > 40) + (i * 2654435761 % 5 == 0)))
+                                for i in range(240)], "id long, x double, z double, w double, y double")  # noisy, of three classes
+    fits, real = [], RandomForestClassifier._fit_java
+    monkeypatch.setattr(RandomForestClassifier, "_fit_java", lambda self, d: (fits.append(self.getMaxDepth()), real(self, d))[1])
+
+    def make(p):
+        return M.random_forest_pipeline(df, ["x", "z", "w"], "y", n_estimators=int(p["n_estimators"]), max_depth=p["max_depth"],
+                                        min_samples_leaf=int(p["min_samples_leaf"]))
+
+    space = {"n_estimators": [3, 8], "max_depth": [0, 1, 2, 4, None], "min_samples_leaf": [1, 3]}
+    got = H.grid_search(df, space, make, "y", k=3, keys=["id"]).collect()
+    assert fits == [30] * 6                                                  # before: 5 depths x 2 x 3 folds
+    scores = lambda rows: {(r.n_estimators, r.max_depth, r.min_samples_leaf):
+                           tuple(round(x, 9) for x in (r.mean_test_score, r.std_test_score, r.mean_train_score)) for r in rows}
+    score = scores(got)
+    assert len(set(score.values())) > 10
+    for d in space["max_depth"]:
+        alone = H.grid_search(df, {**space, "max_depth": [d]}, make, "y", k=3, keys=["id"]).collect()
+        assert scores(alone) == {k: v for k, v in score.items() if k[1] == (None if d is None else str(d))}
+    monkeypatch.setattr(H, "MOST_NODES", 0)                                  # too large to be cut: each depth is fitted
+    fits.clear()
+    whole = H.grid_search(df, {**space, "max_depth": [1, 4]}, make, "y", k=3, keys=["id"]).collect()
+    assert sorted(fits) == [1] * 6 + [4] * 6
+    assert scores(whole) == {k: v for k, v in score.items() if k[1] in ("1", "4")}
+
+
+def test_pipelines_that_differ_in_more_than_depth_are_fitted_each(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+    from loomkit.operators import models as M
+    df, fits, real = _points(spark), [], RandomForestClassifier._fit_java
+    monkeypatch.setattr(RandomForestClassifier, "_fit_java", lambda self, d: (fits.append(self.getMaxDepth()), real(self, d))[1])
+
+    def make(p):
+        return M.random_forest_pipeline(df, ["x", "z"], "y", n_estimators=3, max_depth=p["max_depth"], seed=p["max_depth"])
+
+    H.grid_search(df, {"n_estimators": [3], "max_depth": [2, 4]}, make, "y", k=2, keys=["id"]).collect()
+    assert sorted(fits) == [2, 2, 4, 4]
+
+
 def test_searches_spread_their_folds_by_the_largest_forest(spark, monkeypatch):
     from loomkit.operators import models as M
     df, asked, real = _points(spark), [], M.cached

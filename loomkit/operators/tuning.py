@@ -24,6 +24,7 @@ import math
 import os
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 import numpy as np
 from pyspark.ml import Pipeline
@@ -60,7 +61,7 @@ NESTED = "n_estimators"
 # The setting whose smaller values are the upper levels of the deepest fit.
 DEPTH = "max_depth"
 # A forest of more nodes is not cut to smaller depths (its nodes go to the driver for that): each depth is fitted.
-MOST_NODES = 4_000_000
+MOST_NODES = 1_000_000
 # The setting of which several values may ask for the same number of features per split.
 SUBSET = "max_features"
 
@@ -196,16 +197,25 @@ class cut_forest:
     tree, its leaves merged where they predict alike, are the tree fitted with depth d.  (Spark draws the features of
     the nodes level by level, too, as long as a level fits ``maxMemoryInMB``; beyond that the draws are others.)
     The forest tells which leaf of each tree a row reaches, and each leaf's ancestor on level d has the counts of its
-    classes; they are added tree by tree, as the forest does.  Only the nodes' counts and children go to the driver."""
+    classes; they are added tree by tree, as the forest does.  Only the nodes' counts and children go to the driver,
+    those of one forest at a time."""
+
+    ONE = Lock()
 
     def __init__(self, spark: SparkSession, forest, sizes: list[tuple[int, int]]):
         self.spark, self.forest = spark, forest
         path = scratch_path(spark, f"forests/{uuid.uuid4().hex}")
         forest.save(path)
-        nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats",
-                                                          "nodeData.leftChild", "nodeData.rightChild").toArrow()
+        with self.ONE:
+            self.model = spark.sparkContext.broadcast(self._votes(spark.read.parquet(f"{path}/data"), list(sizes)))
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+    @classmethod
+    def _votes(cls, saved: DataFrame, sizes: list[tuple[int, int]]) -> tuple:
+        """Class shares of every node, leaves before each tree, by depth the node that a leaf votes for, and the sizes."""
+        nodes = saved.select("treeID", "nodeData.id", "nodeData.prediction", "nodeData.impurityStats",
+                             "nodeData.leftChild", "nodeData.rightChild").toArrow()
         nodes = nodes.sort_by([("treeID", "ascending"), ("id", "ascending")]).combine_chunks()
         column = lambda name: nodes[name].to_numpy()
         tree = column("treeID")
@@ -218,9 +228,9 @@ class cut_forest:
         while len(inner := levels[-1][left[levels[-1]] >= 0]):
             levels.append(np.concatenate([left[inner], right[inner]]))
         leaf = left < 0
-        first = np.cumsum(leaf)[roots] - leaf[roots]  # leaves before each tree
-        ends = {d: self._ends(levels, left, right, column("prediction"), d)[leaf].astype(np.int32) for d in {d for d, _ in sizes}}
-        self.model = spark.sparkContext.broadcast((np.divide(counts, total, out=np.zeros_like(counts), where=total != 0), first, ends, list(sizes)))
+        first = np.cumsum(leaf)[roots] - leaf[roots]
+        ends = {d: cls._ends(levels, left, right, column("prediction"), d)[leaf].astype(np.int32) for d in {d for d, _ in sizes}}
+        return np.divide(counts, total, out=np.zeros_like(counts), where=total != 0), first, ends, sizes
 
     @staticmethod
     def _ends(levels, left, right, prediction, depth: int):

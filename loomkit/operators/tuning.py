@@ -10,9 +10,12 @@ Spark (H5).
 Forests nest: for settings that differ in the number of trees only, the
 largest forest is fitted once per fold and its first n trees are scored as
 the forest of n trees (``NESTED``).  Classification forests that differ in
-their depth only are cut from the deepest of them (``cut_forest``).  With a ``TrialStore`` the scores of every
-finished fit are written down, so a search that was broken off goes on where it
-stood, and another query reads the scores without fitting again.
+their depth only are cut from the deepest of them (``cut_forest``).  Folds of
+more rows than their features have combinations of bins are counted per
+combination, and their forests grow over the counts (``binned``), a task a
+forest.  With a ``TrialStore`` the scores of every finished fit are written
+down, so a search that was broken off goes on where it stood, and another
+query reads the scores without fitting again.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import math
 import os
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from threading import Lock
+from threading import Lock, Semaphore
 
 import numpy as np
 from pyspark.ml import Pipeline
@@ -35,7 +38,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, MapType, StructField, StructType
 
 from ..functions.hashing import seeded_md5
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
+from . import binned
 from .models import MAX_TREE_DEPTH
 from .splits import stratified_kfold
 
@@ -229,27 +233,9 @@ class cut_forest:
             levels.append(np.concatenate([left[inner], right[inner]]))
         leaf = left < 0
         first = np.cumsum(leaf)[roots] - leaf[roots]
-        ends = {d: cls._ends(levels, left, right, column("prediction"), d)[leaf].astype(np.int32) for d in {d for d, _ in sizes}}
+        ends = {d: binned.voting(levels, left, right, column("prediction"), d)[leaf].astype(np.int32) for d in {d for d, _ in sizes}}
         return np.divide(counts, total, out=np.zeros_like(counts), where=total != 0), first, ends, sizes
 
-    @staticmethod
-    def _ends(levels, left, right, prediction, depth: int):
-        """For each node, the leaf above it (or itself) in the tree cut to ``depth`` (-1: it is inside the cut tree)."""
-        ends = left < 0
-        if depth < len(levels):
-            ends[levels[depth]] = True
-        for level in reversed(levels[:depth]):
-            inner = level[left[level] >= 0]
-            a, b = left[inner], right[inner]
-            ends[inner] = ends[a] & ends[b] & (prediction[a] == prediction[b])
-        at = np.full(len(left), -1)
-        at[levels[0]] = np.where(ends[levels[0]], levels[0], -1)
-        for level in levels:
-            inner = level[left[level] >= 0]
-            for below in (left[inner], right[inner]):
-                at[below] = np.where(at[inner] >= 0, at[inner], np.where(ends[below], below, -1))
-        return at
-
     def transform(self, df: DataFrame, keep: list[str], column: str) -> DataFrame:
         """The columns ``keep`` of ``df``, and an array of the predictions of each size."""
         from pyspark.ml.functions import vector_to_array
@@ -280,6 +266,126 @@ class cut_forest:
         return reached.mapInArrow(vote, StructType([*fields, StructField(column, ArrayType(DoubleType()))]))
 
 
+class counted_folds:
+    """The counted cells of each fold of a search (see ``binned``), made once and sent to the executors.
+
+    ``of`` gives None where a forest must be fitted to the rows: other learners and settings, more than two classes, fewer
+    rows than combinations of bins, and values or labels that Spark's own fit refuses."""
+
+    def __init__(self, metric: str, label: str):
+        self.metric, self.label, self.lock, self.locks, self.made = metric, label, Lock(), {}, {}
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *exc):
+        for cells in self.made.values():
+            if cells:
+                cells.destroy()
+
+    def of(self, folds: DataFrame, f: int, before: list, last):
+        if not self._grows(last):
+            return None
+        name = str((f, _but_depth(before), last.getFeaturesCol(), last.getMaxBins(), last.getSeed()))
+        with self.lock:
+            mine = self.locks.setdefault(name, Lock())
+        with mine:
+            if name not in self.made:
+                ready = Pipeline(stages=before).fit(folds.where(F.col("fold") != f)).transform(folds)
+                cells = self._counted(ready, f, last)
+                self.made[name] = cells and folds.sparkSession.sparkContext.broadcast(cells)
+            return self.made[name]
+
+    def _grows(self, last) -> bool:
+        """Whether ``binned`` grows the forest that the learner asks for."""
+        if self.metric not in ("accuracy", "f1", "precision", "recall") or not isinstance(last, RandomForestClassifier):
+            return False
+        p = {x.name: v for x, v in last.extractParamMap().items()}
+        return (p["labelCol"] == self.label and p["impurity"] == "gini" and p["subsamplingRate"] == 1.0
+                and p["minInfoGain"] == p["minWeightFractionPerNode"] == 0.0 and not p.get("weightCol")
+                and "thresholds" not in p and p["featureSubsetStrategy"] in ("auto", "all", "sqrt", "log2", "onethird"))
+
+    def _counted(self, ready: DataFrame, f: int, last) -> binned.Cells | None:
+        from pyspark.ml.functions import vector_to_array
+        spark, bins = ready.sparkSession, last.getMaxBins()
+        about = ready.schema[last.getFeaturesCol()].metadata.get("ml_attr", {})
+        width, kinds = about.get("num_attrs", 0), about.get("attrs", {})
+        arity = {a["idx"]: 2 for a in kinds.get("binary", [])}
+        arity.update({a["idx"]: len(a["vals"]) if "vals" in a else a.get("num_vals", 0) for a in kinds.get("nominal", [])})
+        if not width or not all(0 < n <= bins for n in arity.values()) or "ml_attr" in ready.schema[self.label].metadata:
+            return None
+        rows = ready.select(vector_to_array(last.getFeaturesCol()).alias("x"), F.col(self.label).cast("double").alias("y"), (F.col("fold") == f).alias("held"))
+        train = rows.where("not held")
+        n = train.count()
+        # Spark's bins: of the rows that its own fit looks at for them
+        share = min(1.0, max(bins * bins, 10_000) / max(1, n))
+        some = train.select("x")
+        if share < 1:
+            draw = spark._jvm.org.apache.spark.util.random.XORShiftRandom(last.getSeed()).nextInt()
+            drawn = some._jdf.rdd().sample(False, share, draw).toJavaRDD()
+            some = DataFrame(spark._jsparkSession.createDataFrame(drawn, some._jdf.schema()), spark)
+        some = some.toArrow()["x"].combine_chunks()
+        if some.null_count or len(some.flatten()) != len(some) * width:
+            return None
+        values = some.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+        if not len(values) or not np.isfinite(values).all():
+            return None
+        cuts = [None if j in arity else binned.thresholds(values[:, j], share * n, bins) for j in range(width)]
+        radix = [arity[j] if j in arity else len(cuts[j]) + 1 for j in range(width)]
+        if math.prod(radix) > min(n, binned.MOST_CELLS):
+            return None
+        with self.lock:
+            ship_package(spark)
+
+        def count(batches):
+            import numpy as np
+            import pyarrow as pa
+
+            from loomkit.operators import binned
+            held = np.zeros(math.prod(radix) * 4 + 1, np.int64)  # the last: rows that no forest takes
+            for b in batches:
+                x, y, out = b.column(0), b.column(1).to_numpy(zero_copy_only=False), b.column(2).to_numpy(zero_copy_only=False)
+                if x.null_count or len(x.flatten()) != len(x) * width:
+                    held[-1] += 1
+                    continue
+                cell = binned.encode(x.flatten().to_numpy(zero_copy_only=False).reshape(-1, width), cuts, arity)
+                good = (cell >= 0) & ((y == 0) | (y == 1))
+                held[-1] += (~good).sum()
+                at = (cell[good] * 2 + y[good].astype(np.int64)) * 2 + out[good].astype(np.int64)
+                held += np.bincount(at, minlength=len(held))
+            at = np.flatnonzero(held)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["at", "n"])
+
+        got = rows.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+        at, number = got["at"].to_numpy(), got["n"].to_numpy()
+        total = np.zeros(math.prod(radix) * 4 + 1, np.int64)
+        total[at] = number
+        by = total[:-1].reshape(-1, 2, 2)  # cell, class, held out
+        if total[-1] or not by[:, 1].any():
+            return None  # Spark's fit says what is wrong, or finds one class
+        cell = np.flatnonzero(by.any(axis=(1, 2)))
+        return binned.Cells(binned.decode(cell, radix), radix, [j in arity for j in range(width)],
+                            np.ascontiguousarray(by[cell, :, 0]), np.ascontiguousarray(by[cell, :, 1]))
+
+    def scores(self, spark: SparkSession, cells, last, sizes: list[tuple[int, int]]) -> list[tuple[float, float]]:
+        """(test, train) score of each ``(depth, trees)`` size, from one forest grown in a task of its own."""
+        least, seed, bootstrap, sizes = last.getMinInstancesPerNode(), last.getSeed(), last.getBootstrap(), list(sizes)
+        strategy, width = last.getFeatureSubsetStrategy(), len(cells.value.bins)
+        each = _subset_size("all" if strategy == "auto" and last.getNumTrees() == 1 else "sqrt" if strategy == "auto" else strategy, width)
+
+        def grow(batches):
+            import pyarrow as pa
+
+            from loomkit.operators import binned
+            for _ in batches:
+                got = binned.confusions(cells.value, sizes, least, each, seed, bootstrap)
+                yield pa.RecordBatch.from_arrays([pa.array([[int(n) for s in sizes for n in got[s].ravel()]])], names=["n"])
+
+        rows = spark.range(0, 1, 1, 1).mapInArrow(grow, "n array<long>").first().n
+        counts = np.array(rows).reshape(len(sizes), 2, 2, 2)
+        return [(binned.score(test, self.metric), binned.score(train, self.metric)) for test, train in counts]
+
+
 def _levels(depth) -> int | None:
     """Spark's depth for a value of the setting ``DEPTH`` (None: not a depth)."""
     return MAX_TREE_DEPTH if depth is None else min(depth, MAX_TREE_DEPTH) if isinstance(depth, int) and depth >= 0 else None
@@ -339,7 +445,8 @@ def most_trees(rows: list[dict]) -> int:
 
 def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str, k: int = 3,
                    metric: str = "accuracy", keys=None, seed: int = 42, parallelism: int | None = None,
-                   stratify: bool = True, folds: DataFrame | None = None, store: TrialStore | None = None) -> DataFrame:
+                   stratify: bool = True, folds: DataFrame | None = None, store: TrialStore | None = None,
+                   counted: counted_folds | None = None) -> DataFrame:
     """H2 core: per (trial, fold) test and train scores, as a Spark table.
 
     ``make_pipeline(params: dict) -> Pipeline``.  Trials with equal
@@ -347,7 +454,7 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
     features per split too), and trials that differ only in
     their number of trees share the largest of them, of which the smaller are
     prefixes; those that differ only in depth are cut from the deepest.  ``folds``: ``df`` with its fold column, if the caller has cached
-    it already.  ``store``: where scores are kept and looked up.
+    it already, and ``counted`` their counts.  ``store``: where scores are kept and looked up.
     """
     spark = df.sparkSession
     from contextlib import ExitStack
@@ -389,6 +496,17 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
 
     def fit(stages, key, f, others):
         """Scores of a setting's sizes, and of other settings that can be cut from its forest, by (setting, trees)."""
+        counts = counts_of(key)
+        *before, last = stages
+        cells = counted.of(folds, f, before, last)
+        if cells:
+            names = [(o, n) for o in [key, *(others if last.getMaxDepth() == depth(key) else [])] for n in counts_of(o)]
+            sizes_of = [(last.getMaxDepth() if o == key else depth(o), n or last.getNumTrees()) for o, n in names]
+            return dict(zip(names, counted.scores(spark, cells, last, sizes_of)))
+        with rows_fitted:
+            return fit_rows(stages, key, f, others)
+
+    def fit_rows(stages, key, f, others):
         counts = counts_of(key)
         train = folds.where(F.col("fold") != f)
         part = F.when(F.col("fold") == f, F.lit("test")).otherwise(F.lit("train"))
@@ -442,9 +560,11 @@ def cross_validate(df: DataFrame, trials: DataFrame, make_pipeline, label: str,
             if folds is None:
                 d = stack.enter_context(cached(df))
                 folds = stack.enter_context(cached(stratified_kfold(d, label if stratify else None, keys, k, seed), most_trees(rows)))
+            counted = counted or stack.enter_context(counted_folds(metric, label))
             # two at least: while the driver grows the trees of one forest, the cluster works on another
-            workers = concurrency(spark, len(groups), parallelism, folds.rdd.getNumPartitions(), least=2)
-            with ThreadPoolExecutor(max_workers=workers) as pool:
+            rows_fitted = Semaphore(concurrency(spark, len(groups), parallelism, folds.rdd.getNumPartitions(), least=2))
+            # a forest grown over counts takes one core
+            with ThreadPoolExecutor(max_workers=concurrency(spark, len(groups), parallelism)) as pool:
                 for group in pool.map(run, groups):
                     done.update({(key, f, n): (te, tr) for key, out in group for f, n, te, tr in out})
     out = [(int(r["trial_id"]), f, *done[key, f, n]) for r, (key, n) in zip(rows, fits) for f in range(k)]

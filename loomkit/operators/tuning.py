@@ -324,11 +324,11 @@ class counted_folds:
             draw = spark._jvm.org.apache.spark.util.random.XORShiftRandom(last.getSeed()).nextInt()
             drawn = some._jdf.rdd().sample(False, share, draw).toJavaRDD()
             some = DataFrame(spark._jsparkSession.createDataFrame(drawn, some._jdf.schema()), spark)
-        some = some.toArrow()["x"].combine_chunks()
-        if some.null_count or len(some.flatten()) != len(some) * width:
+        values = [r.x for r in some.collect()]
+        if not values or any(x is None or len(x) != width for x in values):
             return None
-        values = some.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-        if not len(values) or not np.isfinite(values).all():
+        values = np.array(values)
+        if not np.isfinite(values).all():
             return None
         cuts = [None if j in arity else binned.thresholds(values[:, j], share * n, bins) for j in range(width)]
         radix = [arity[j] if j in arity else len(cuts[j]) + 1 for j in range(width)]
@@ -649,7 +649,7 @@ def adaptive_search(df, ranges, make_pipeline, label, n_trials=20, n_startup=8,
     trees, drawn = most_trees(drawn), [[r[n] for n in names] for r in drawn]
     history: list[tuple[list, float]] = []
     tables: list[tuple[DataFrame, DataFrame]] = []
-    with cached(df) as d, cached(stratified_kfold(d, label, keys, k, seed), trees) as folds:
+    with cached(df) as d, cached(stratified_kfold(d, label, keys, k, seed), trees) as folds, counted_folds(metric, label) as counted:
         while len(history) < n_trials:
             if not history:
                 pick = drawn[:min(n_startup, n_trials)]
@@ -667,7 +667,7 @@ def adaptive_search(df, ranges, make_pipeline, label, n_trials=20, n_startup=8,
             first = len(history)
             schema = "trial_id long, " + ", ".join(f"`{n}` string" for n in names)
             t = spark.createDataFrame([(first + i, *p) for i, p in enumerate(pick)], schema)
-            sc = cross_validate(df, t, make_pipeline, label, k, metric, keys, seed, parallelism, folds=folds)
+            sc = cross_validate(df, t, make_pipeline, label, k, metric, keys, seed, parallelism, folds=folds, counted=counted)
             means = {r["trial_id"]: r["m"] for r in sc.groupBy("trial_id").agg(F.avg("test_score").alias("m")).collect()}
             history += [(p, means[first + i]) for i, p in enumerate(pick)]
             tables.append((t, sc))

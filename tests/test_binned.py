@@ -78,6 +78,17 @@ def test_with_draws_the_scores_are_near_sparks(spark, rows, fitted, monkeypatch)
     assert abs(apart[:, [0, 2]]).max() < 0.02 and abs(apart[:, [0, 2]].mean(axis=0)).max() < 0.004
 
 
+def test_every_search_counts_its_folds_once(spark, rows, fitted, monkeypatch):
+    counted, real = [], H.counted_folds._counted
+    monkeypatch.setattr(H.counted_folds, "_counted", lambda self, d, f, last: (counted.append(f), real(self, d, f, last))[1])
+    ranges = {"n_estimators": (2, 6), "max_depth": (2, 8), "min_samples_leaf": (1, 5), "max_features": ["sqrt", None]}
+    out = H.adaptive_search(rows, ranges, _make(rows), "y", n_trials=6, n_startup=2, batch=2, n_candidates=4, k=3, keys=["id"]).collect()
+    assert len(out) == 6 and not fitted and sorted(counted) == [0, 1, 2]
+    counted.clear()
+    assert len(H.random_search(rows, ranges, _make(rows), "y", n_trials=4, k=3, keys=["id"]).collect()) == 4
+    assert not fitted and sorted(counted) == [0, 1, 2]
+
+
 def test_smaller_sizes_are_part_of_the_largest():
     r = np.random.default_rng(7)
     codes = np.array([(i, j, k) for i in range(6) for j in range(5) for k in range(4)])

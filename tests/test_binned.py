@@ -125,3 +125,12 @@ def test_what_spark_refuses_or_takes_otherwise_goes_to_spark(spark, rows, fitted
     else:
         with pytest.raises(Exception):
             search()
+
+
+def test_the_final_evaluation_fits_its_best_setting_alone(spark, rows, fitted):
+    """The grid under it grows over counts; only the setting it finds is fitted to the rows."""
+    make = _make(rows)
+    grid = H.grid_search(rows, {**SPACE, "n_estimators": [3, 5]}, make, "y", k=3, keys=["id"])
+    split = rows.withColumn("split", F.element_at(F.array(*map(F.lit, ("train", "train", "test", "validation"))), (F.col("id") % 4).cast("int") + 1))
+    out = {r.split: r.n_rows for r in H.final_evaluation(split, H.best_params(grid), make, "y").collect()}
+    assert out == {"test": 750, "validation": 750} and len(fitted) == 1       # before: 9 fits of the grid, too
